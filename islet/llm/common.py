@@ -5,9 +5,15 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import islet
+
+#: Functions that run in tasks travel whole, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(islet)
+
 #: A word is a run of anything but space, tab, newline, VT, FF and CR.
 WORD = r"[^\x20\x09-\x0D]+"
 GAP = r"[\x20\x09-\x0D]+"

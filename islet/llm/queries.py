@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from islet.llm.common import table
+from islet.llm.jaccard import jaccard_join
 from islet.llm.quality import line_frequency_rules
 from islet.llm.secrets import BASE, KINDS, joined, link_credentials
 
@@ -16,6 +17,11 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_removed_words")
 
 
+def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return jaccard_join(docs).select("doc_id", "n_shingles", "component_id")
+
+
 def op7_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = link_credentials(docs)
@@ -23,5 +29,5 @@ def op7_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *[count(k) for k in BASE], F.sha2(joined(F.col("base_spans")), 256).alias("base_sha256"), joined(F.col("all_spans")).alias("spans"))
 
 
-QUERIES = {q.__name__: q for q in (op7_secret_scans, op10_quality_rules)}
+QUERIES = {q.__name__: q for q in (op5_ngram_jaccard_join, op7_secret_scans, op10_quality_rules)}
 ORACLE: dict[str, str] = {}

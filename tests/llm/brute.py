@@ -69,3 +69,39 @@ def span_text(spans):
 
 def sha(x):
     return hashlib.sha256(x.encode() if isinstance(x, str) else x).hexdigest()
+
+
+LOWER = {c: c + 32 for c in range(65, 91)}
+
+
+def shingle_set(text, k=5):
+    w = WORD.findall((text or "").translate(LOWER))
+    return {tuple(w[i : i + k]) for i in range(max(1, len(w) - k + 1))} if w else set()
+
+
+def jaccard(rows):
+    """rows: (doc_id, text) -> (doc_id, n_shingles, component_id)."""
+    sets = [shingle_set(t) for _, t in rows]
+    up = list(range(len(rows)))
+
+    def top(i):
+        while up[i] != i:
+            up[i] = up[up[i]]
+            i = up[i]
+        return i
+
+    at = defaultdict(list)
+    for i, s in enumerate(sets):
+        for x in s:
+            at[x].append(i)
+    for i, s in enumerate(sets):
+        both = Counter(j for x in s for j in at[x] if j < i)
+        for j, n in both.items():
+            if 100 * n >= 75 * (len(s) + len(sets[j]) - n):
+                up[top(i)] = top(j)
+    least = {}
+    for i, (d, _) in enumerate(rows):
+        if sets[i] and d is not None:
+            r = top(i)
+            least[r] = min(d, least.get(r, d))
+    return [(d, len(sets[i]), least.get(top(i)) if sets[i] else d) for i, (d, _) in enumerate(rows)]
