@@ -9,6 +9,12 @@ from islet.llm.common import table
 from islet.llm.jaccard import jaccard_join
 from islet.llm.quality import line_frequency_rules
 from islet.llm.secrets import BASE, KINDS, joined, link_credentials
+from islet.llm.suffixes import remove_repeats
+
+
+def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return remove_repeats(docs).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,5 +35,5 @@ def op7_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *[count(k) for k in BASE], F.sha2(joined(F.col("base_spans")), 256).alias("base_sha256"), joined(F.col("all_spans")).alias("spans"))
 
 
-QUERIES = {q.__name__: q for q in (op5_ngram_jaccard_join, op7_secret_scans, op10_quality_rules)}
+QUERIES = {q.__name__: q for q in (op5_ngram_jaccard_join, op7_secret_scans, op8_suffix_array_dedup, op10_quality_rules)}
 ORACLE: dict[str, str] = {}

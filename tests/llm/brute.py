@@ -105,3 +105,25 @@ def jaccard(rows):
             r = top(i)
             least[r] = min(d, least.get(r, d))
     return [(d, len(sets[i]), least.get(top(i)) if sets[i] else d) for i, (d, _) in enumerate(rows)]
+
+
+def suffixes(rows, depth=50):
+    """rows: (doc_id, text) -> (doc_id, n_bytes, n_removed, n_spans, kept_sha256)."""
+    order = lambda d: float("inf") if d is None else d
+    low = {}
+    for d, t in rows:
+        b = (t or "").encode()
+        for i in range(len(b) - depth + 1):
+            s = b[i : i + depth]
+            if order(d) < low.get(s, float("inf")):
+                low[s] = order(d)
+    out = []
+    for d, t in rows:
+        b = (t or "").encode()
+        gone = bytearray(len(b))
+        for i in range(len(b) - depth + 1):
+            if low.get(b[i : i + depth], float("inf")) < order(d):
+                gone[i : i + depth] = b"\1" * depth
+        runs = sum(1 for i, x in enumerate(gone) if x and (i == 0 or not gone[i - 1]))
+        out.append((d, len(b), sum(gone), runs, sha(bytes(x for x, g in zip(b, gone) if not g))))
+    return out
