@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from islet.llm.common import table
+from islet.llm.decontaminate import find_items
 from islet.llm.jaccard import jaccard_join
+from islet.llm.lm import cross_entropy_difference
 from islet.llm.quality import line_frequency_rules
 from islet.llm.secrets import BASE, KINDS, joined, link_credentials
 from islet.llm.suffixes import remove_repeats
@@ -17,12 +19,25 @@ def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(docs).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per document and benchmark item that it holds."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = find_items(docs, table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", F.explode("hits").alias("hit")).select("doc_id", "hit.*")
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     judged = line_frequency_rules(docs)
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_removed_words")
 
 
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = cross_entropy_difference(docs, table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", "n_tokens", "loss_target", "loss_background", "score")
+
+
 def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return jaccard_join(docs).select("doc_id", "n_shingles", "component_id")
@@ -35,5 +50,5 @@ def op7_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *[count(k) for k in BASE], F.sha2(joined(F.col("base_spans")), 256).alias("base_sha256"), joined(F.col("all_spans")).alias("spans"))
 
 
-QUERIES = {q.__name__: q for q in (op5_ngram_jaccard_join, op7_secret_scans, op8_suffix_array_dedup, op10_quality_rules)}
+QUERIES = {q.__name__: q for q in (op2_lm_scoring, op5_ngram_jaccard_join, op7_secret_scans, op8_suffix_array_dedup, op9_benchmark_decontamination, op10_quality_rules)}
 ORACLE: dict[str, str] = {}
