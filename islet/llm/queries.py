@@ -5,13 +5,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from islet.llm.chat import collapse_snapshots
 from islet.llm.common import table
 from islet.llm.decontaminate import find_items
 from islet.llm.jaccard import jaccard_join
 from islet.llm.lm import cross_entropy_difference
+from islet.llm.mixing import mix_to_targets
+from islet.llm.pii import replace_entities
 from islet.llm.quality import line_frequency_rules
 from islet.llm.secrets import BASE, KINDS, joined, link_credentials
 from islet.llm.suffixes import remove_repeats
+from islet.llm.urls import filter_urls
+
+#: Fixed values of the query contract.
+URL_RULES = [("com/en/", "block"), ("example.com/en/7", "allow"), ("net/de/", "allow"), ("example.net/de/8", "block"), ("org/es/", "block")]
+
+
+def op1_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return replace_entities(docs).select("doc_id", "n_entities", F.col("surrogate_text").alias("text"))
 
 
 def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -38,11 +50,26 @@ def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "n_tokens", "loss_target", "loss_background", "score")
 
 
+def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return filter_urls(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict", "score")
+
+
+def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collapse_snapshots(table(spark, sf_dir, "conversations"))
+
+
 def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return jaccard_join(docs).select("doc_id", "n_shingles", "component_id")
 
 
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    mixed = mix_to_targets(docs)
+    return mixed.select("doc_id", "source", "lang", "mix_topic", "n_tokens", "weight", "probability", "sampled")
+
+
 def op7_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = link_credentials(docs)
@@ -50,5 +77,5 @@ def op7_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *[count(k) for k in BASE], F.sha2(joined(F.col("base_spans")), 256).alias("base_sha256"), joined(F.col("all_spans")).alias("spans"))
 
 
-QUERIES = {q.__name__: q for q in (op2_lm_scoring, op5_ngram_jaccard_join, op7_secret_scans, op8_suffix_array_dedup, op9_benchmark_decontamination, op10_quality_rules)}
+QUERIES = {q.__name__: q for q in (op1_pii_surrogates, op2_lm_scoring, op3_url_filters, op4_chat_formatting, op5_ngram_jaccard_join, op6_mixing, op7_secret_scans, op8_suffix_array_dedup, op9_benchmark_decontamination, op10_quality_rules)}
 ORACLE: dict[str, str] = {}
