@@ -6,10 +6,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from islet.llm.common import enter, keep, leave
+from islet.llm.common import WORD, enter, keep, leave
 from islet.llm.components import components
 from islet.llm.textarrays import U, mix, shingles
 
@@ -46,7 +46,7 @@ def _keys(tokens: np.ndarray, common: np.ndarray) -> tuple[np.ndarray, int]:
     n = len(tokens)
     if not n:
         return tokens, 0
-    frequent = np.isin(tokens, common, kind="sort") if len(common) else np.zeros(n, bool)
+    frequent = common[np.minimum(np.searchsorted(common, tokens), len(common) - 1)] == tokens if len(common) else np.zeros(n, bool)
     hot = int(frequent.sum())
     out = []
     if n <= EXACT_UPTO:
@@ -214,28 +214,8 @@ def _linked(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
     return pairs.join(x, "a").join(y, "b").select("a", "b", "ta", "tb").mapInArrow(_verify, "a long, b long").distinct()
 
 
-def jaccard_join(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Links documents whose sets of 5-word shingles have a Jaccard similarity of 0.75 or more.
-
-    Adds n_shingles (set size) and component_id (the smallest doc_id reachable by links, itself
-    included). Words are the runs of anything but ASCII blanks, A-Z lower-cased; a text of fewer than five
-    words has one shingle, one without words or a null text none, and links with nothing.
-
-    1. Equal sets form classes; from here on a class is one row. Sets and tokens are told apart by 64-bit hashes.
-    2. Routing: each class gets a few dozen keys; linked classes share one (see ``_keys``). Tokens of many
-       documents come last in the order, so a passage that a third of the corpus shares makes no hot key.
-    3. Each class is checked against one hub, the best of its keys, and components are taken: this
-       settles nearly all of each near-copy group without looking at its pairs.
-    4. Signature trees complete this: of each key whose members are still in different components, blocks of
-       up to 1024 members form trees, blocks are paired (not those of the key's main component among
-       themselves), and dual traversal prunes node pairs in one component, with sizes too far apart or with too
-       small a maximum overlap. What is left is verified by the exact sets, and components are taken anew.
-
-    Repeated rows and equal texts each come back, in one class. Rows of one doc_id with different texts are
-    different documents that carry the same id. A null doc_id is a document that never gives a component its
-    id; a component of nulls only has a null id. Input columns named like an added column are replaced.
-    """
-    spark = docs.sparkSession
+def _components(docs: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, list[str], DataFrame]:
+    """The input with row (tells texts apart) and spot (tells documents apart), and per row with shingles its set size and component's root."""
     flat, names = enter(docs, doc_id=doc_id, text=text)
     flat = flat.withColumn("text", F.coalesce(F.col("text").cast("string"), F.lit("")))
     # row tells texts apart, spot documents
@@ -276,10 +256,49 @@ def jaccard_join(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text")
     more = _linked(second, texts, classes)
     roots = components(links.union(more))
 
-    of_class = sets.where("n > 0").select("row", "id", "n").distinct()
-    least = flat.groupBy("row").agg(F.min("doc_id").alias("least"))
-    member = of_class.join(least, "row").join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
-    known = member.join(member.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("row", F.col("n").alias("n_shingles"), "component_id")
-    done = flat.drop("text").join(known, "row", "left")
+    of_class = sets.where("n > 0").select("row", "id", F.col("n").alias("n_shingles")).distinct()
+    return flat, names, of_class.join(roots.withColumnRenamed("node", "id"), "id", "left").select("row", "n_shingles", F.coalesce("root", "id").alias("root"))
+
+
+def jaccard_join(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """Links documents whose sets of 5-word shingles have a Jaccard similarity of 0.75 or more.
+
+    Adds n_shingles (set size) and component_id (the smallest doc_id reachable by links, itself
+    included). Words are the runs of anything but ASCII blanks, A-Z lower-cased; a text of fewer than five
+    words has one shingle, one without words or a null text none, and links with nothing.
+
+    1. Equal sets form classes; from here on a class is one row. Sets and tokens are told apart by 64-bit hashes.
+    2. Routing: each class gets a few dozen keys; linked classes share one (see ``_keys``). Tokens of many
+       documents come last in the order, so a passage that a third of the corpus shares makes no hot key.
+    3. Each class is checked against one hub, the best of its keys, and components are taken: this
+       settles nearly all of each near-copy group without looking at its pairs.
+    4. Signature trees complete this: of each key whose members are still in different components, blocks of
+       up to 1024 members form trees, blocks are paired (not those of the key's main component among
+       themselves), and dual traversal prunes node pairs in one component, with sizes too far apart or with too
+       small a maximum overlap. What is left is verified by the exact sets, and components are taken anew.
+
+    Repeated rows and equal texts each come back, in one class. Rows of one doc_id with different texts are
+    different documents that carry the same id. A null doc_id is a document that never gives a component its
+    id; a component of nulls only has a null id. Input columns named like an added column are replaced.
+    """
+    flat, names, member = _components(docs, doc_id, text)
+    member = member.join(flat.groupBy("row").agg(F.min("doc_id").alias("least")), "row")
+    known = member.join(member.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("row", "n_shingles", "component_id")
+    done = flat.join(known, "row", "left")
     empty = F.col("n_shingles").isNull()
     return leave(done, names, {"n_shingles": F.coalesce("n_shingles", F.lit(0).cast("long")), "component_id": F.when(empty, F.col("doc_id")).otherwise(F.col("component_id"))})
+
+
+def one_of_each(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """Of each component of ``jaccard_join`` the document with the smallest doc_id (nulls last; then by a hash of the text), once.
+
+    Documents without shingles are in no component and all stay. Only ids and hashes meet by component; texts are
+    shuffled once, by a key that copies don't share.
+    """
+    flat, names, member = _components(docs, doc_id, text)
+    told = flat.select("row", "spot", "doc_id").join(member, "row")
+    chosen = told.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "spot")).alias("best")).select("best.spot")
+    some = flat.where(F.col("text").rlike(WORD))
+    first = Window.partitionBy("spot").orderBy(F.lit(1))
+    kept = some.join(chosen, "spot", "left_semi").withColumn("nth", F.row_number().over(first)).where("nth = 1")
+    return leave(kept, names, {}).unionByName(leave(flat.where(~F.col("text").rlike(WORD)), names, {}))
