@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from islet.llm.common import keep, table
+from islet.llm.decontaminate import find_items
+from islet.llm.jaccard import one_of_each
+from islet.llm.mixing import mix_to_targets
 from islet.llm.quality import line_frequency_rules
 from islet.llm.secrets import link_credentials
 
@@ -21,14 +24,36 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return _with_text(line_frequency_rules(docs).where("kept"), docs, "clean_text")
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of linked documents one stays."""
+    return one_of_each(docs)
+
+
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    found = find_items(docs, table(spark, sf_dir, "benchmark"))
+    return found.where(F.size("hits") == 0).select(*docs.columns)
+
+
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every secret is blanked; documents stay."""
     return _with_text(link_credentials(docs), docs, "redacted")
 
 
-STAGES = [("quality rules", quality_rules), ("secret scans", secret_scans)]
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that the mixture samples, with their weights."""
+    return mix_to_targets(docs).where("sampled").drop("sampled")
+
+
+STAGES = [
+    ("quality rules", quality_rules),
+    ("n-gram Jaccard join", near_duplicates),
+    ("benchmark decontamination", benchmark_decontamination),
+    ("secret scans", secret_scans),
+    ("mixing sources to target weights", mixing),
+]
 
-#: No stage but the first could be said in SQL; the tests hold the stages against plain versions.
+#: Edit distances, links between sets and fitted weights are not for SQL; the tests hold the stages against plain versions.
 ORACLE_SQL = None
 
 

@@ -101,27 +101,36 @@ def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(texts, pa.int64()), pa.array([shingles(t).tobytes() for t in texts.values()], pa.binary())], ["id", "tokens"])
 
 
+def _linked_sets(x: np.ndarray, y: np.ndarray) -> bool:
+    both = len(x) + len(y) - len(np.unique(np.concatenate([x, y])))
+    return OF * both >= SHARE * (len(x) + len(y) - both)
+
+
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(a, b, tokens of a, tokens of b) -> the links among them."""
     for batch in batches:
         ok = []
         for x, y in zip(batch.column(2), batch.column(3)):
-            x, y = (np.frombuffer(v.as_buffer(), U) for v in (x, y))
-            both = len(x) + len(y) - len(np.unique(np.concatenate([x, y])))
-            ok.append(OF * both >= SHARE * (len(x) + len(y) - both))
+            ok.append(_linked_sets(*(np.frombuffer(v.as_buffer(), U) for v in (x, y))))
         yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
 
+def _matrix(sets: list[np.ndarray]) -> np.ndarray:
+    """One row of bits (as 64-bit words) a set, a bit each for the values that two or more sets have."""
+    value, at, n = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    place = np.cumsum(n > 1) - 1
+    flags = np.zeros((len(sets), max(64, -(-int((n > 1).sum()) // 64) * 64)), bool)
+    who = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    some = n[at] > 1
+    flags[who[some], place[at[some]]] = True
+    return np.packbits(flags, axis=1, bitorder="little").view(U)
+
+
 class Tree:
-    """A signature tree: levels of nodes with OR-combined bitmaps, size ranges, least excess of tokens over bits, and components."""
-
-    def __init__(self, rows: list[tuple], words: int):
-        rows = sorted(rows, key=lambda r: (r[2], r[1], r[0]))
-        self.ids = np.array([r[0] for r in rows])
-        bits = np.stack([np.tile(b := np.frombuffer(r[3], U), words // len(b)) for r in rows])
-        own = np.array([int(np.bitwise_count(np.frombuffer(r[3], U)).sum()) for r in rows])
-        size, root = np.array([r[1] for r in rows]), np.array([r[2] for r in rows])
-        self.levels = [(bits, size, size, size - own, root, np.ones(len(rows), bool))]
+    """A signature tree: levels of nodes with OR-combined bitmaps, size ranges, most tokens beyond the bits, and components."""
+
+    def __init__(self, bits: np.ndarray, size: np.ndarray, excess: np.ndarray, root: np.ndarray):
+        self.levels = [(bits, size, size, excess, root, np.ones(len(size), bool))]
         while len(self.levels[0][0]) > 1:
             bits, low, high, excess, root, one = self.levels[0]
             if len(bits) % 2:  # an odd last node has itself as its twin
@@ -130,8 +139,8 @@ class Tree:
             self.levels.insert(0, (bits[even] | bits[odd], np.minimum(low[even], low[odd]), np.maximum(high[even], high[odd]), np.maximum(excess[even], excess[odd]), root[even], one[even] & one[odd] & (root[even] == root[odd])))
 
 
-def traverse(one: Tree, other: Tree | None) -> Iterator[tuple[int, int]]:
-    """Pairs of rows in different components that may link; dual traversal from the roots, or of a tree against itself."""
+def traverse(one: Tree, other: Tree | None) -> tuple[np.ndarray, np.ndarray]:
+    """Leaves in different components that may link, by dual traversal from the roots, or of a tree against itself."""
     same, two = other is None, other or one
     depth = max(len(one.levels), len(two.levels))
     level = lambda t, d: t.levels[max(0, d - depth + len(t.levels))]
@@ -156,60 +165,124 @@ def traverse(one: Tree, other: Tree | None) -> Iterator[tuple[int, int]]:
         if same:
             ok &= x <= y
         x, y = x[ok], y[ok]
-        if other is not None and len(x):  # a shorter tree's root meets the other's nodes once
+        if len(one.levels) != len(two.levels) and len(x):  # a shorter tree's root meets the other's nodes once
             x, y = np.unique(np.stack([x, y]), axis=1)
-    if same:
-        x, y = x[x != y], y[x != y]
-    yield from zip(one.ids[x].tolist(), two.ids[y].tolist())
-
-
-def _match(sides: tuple[list, list]) -> set[tuple[int, int]]:
-    """Of a group's rows (id, n, root, bits), at its two sides; an empty second side: the first against itself."""
-    first, second = sides
-    if len(first) + len(second) <= 3:  # most groups
-        pairs = [(p, q) for p in first for q in second] if second else [(p, q) for i, p in enumerate(first) for q in first[i + 1 :]]
-        out = set()
-        for p, q in pairs:
-            if p[2] != q[2] and OF * min(p[1], q[1]) >= SHARE * max(p[1], q[1]):
-                u, v = (int.from_bytes(r[3], "little") for r in (p, q))
-                w = max(len(p[3]), len(q[3]))
-                for k, r in enumerate((p, q)):
-                    if len(r[3]) < w:
-                        t = int.from_bytes(r[3] * (w // len(r[3])), "little")
-                        u, v = (t, v) if k == 0 else (u, t)
-                excess = min(r[1] - int.from_bytes(r[3], "little").bit_count() for r in (p, q))
-                if (SHARE + OF) * ((u & v).bit_count() + excess) >= _need(p[1], q[1]):
-                    out.add((p[0], q[0]))
-        return out
-    words = max(len(r[3]) for r in [*first, *second]) // 8
-    return set(traverse(Tree(first, words), Tree(second, words) if second else None))
-
-
-def _trees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (key, pair, side, id, n, root, bits), the rows of a (key, pair) together -> candidate pairs (a, b)."""
-    at, sides, found = None, ([], []), set()
-
-    def flush():
-        out = pa.RecordBatch.from_arrays([pa.array([min(p) for p in found], pa.int64()), pa.array([max(p) for p in found], pa.int64())], ["a", "b"])
-        found.clear()
-        return out
+    return (x[x != y], y[x != y]) if same else (x, y)
+
+
+def _sides(rows: list[dict]) -> tuple[list[dict], list[dict]]:
+    """A group's rows at its two sides, siblings of the tree near each other; an empty second side: the first against itself."""
+    rows = sorted(rows, key=lambda r: (r["root"], r["n"], r["id"]))
+    return [r for r in rows if not r["side"]], [r for r in rows if r["side"]]
+
+
+def _trees(first: list[dict], second: list[dict], bits: np.ndarray, excess: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows (by number in first + second) that the trees leave."""
+    rows, k = first + second, len(first)
+    size, root = np.array([r["n"] for r in rows]), np.array([r["root"] for r in rows])
+    made = [Tree(bits[s], size[s], excess[s], root[s]) for s in (slice(0, k), slice(k, None)) if len(rows[s])]
+    x, y = traverse(made[0], made[1] if second else None)
+    return x, y + k if second else y
+
+
+def _few(first: list[dict], second: list[dict]) -> Iterator[tuple[int, int]]:
+    """As _trees by hashed bitmaps, for groups of two or three."""
+    rows, k = first + second, len(first)
+    for i, j in [(i, j) for i in range(k) for j in (range(k, len(rows)) if second else range(i + 1, k))]:
+        p, q = rows[i], rows[j]
+        if p["root"] != q["root"] and OF * min(p["n"], q["n"]) >= SHARE * max(p["n"], q["n"]):
+            w = max(len(p["bits"]), len(q["bits"]))
+            u, v = (int.from_bytes(r["bits"] * (w // len(r["bits"])), "little") for r in (p, q))
+            excess = min(r["n"] - int.from_bytes(r["bits"], "little").bit_count() for r in (p, q))
+            if (SHARE + OF) * ((u & v).bit_count() + excess) >= _need(p["n"], q["n"]):
+                yield i, j
+
+
+def _survivors(rows: list[dict]) -> list[tuple]:
+    """(key, pair, side, id) of the members that keep a partner; a pair counts at the least key that it shares."""
+    first, second = _sides(rows)
+    rows = first + second
+    if not first or not second and len(first) < 2:
+        return []
+    key = rows[0]["key"]
+    if len(rows) <= 3:
+        alive = {i for p in _few(first, second) if min({*rows[p[0]]["keys"]} & {*rows[p[1]]["keys"]}) == key for i in p}
+    else:
+        words = max(len(r["bits"]) for r in rows) // 8
+        bits = np.stack([np.tile(b := np.frombuffer(r["bits"], U), words // len(b)) for r in rows])
+        own = np.array([int(np.bitwise_count(np.frombuffer(r["bits"], U)).sum()) for r in rows])
+        x, y = _trees(first, second, bits, np.array([r["n"] for r in rows]) - own)
+        lower = _matrix([(k := np.array(r["keys"], np.int64))[k < key] for r in rows])
+        alive, step = set(), 1 << 16
+        for i in range(0, len(x), step):
+            new = ~(lower[x[i : i + step]] & lower[y[i : i + step]]).any(1)
+            alive.update(x[i : i + step][new].tolist(), y[i : i + step][new].tolist())
+    return [(key, rows[i]["pair"], rows[i]["side"], rows[i]["id"]) for i in alive]
+
+
+def _forest(rows: list[dict]) -> list[tuple]:
+    """Links (a, b) among a group's members that join components, as many as it takes and no more; by trees of exact bitmaps."""
+    first, second = _sides(rows)
+    rows = first + second
+    if not first or not second and len(first) < 2:
+        return []
+    sets = [np.frombuffer(r["tokens"], U) for r in rows]
+    if sum(map(len, sets)) * len(sets) < 1 << 31:
+        # a bit for each token that two members share: what the trees leave is linked
+        x, y = _trees(first, second, _matrix(sets), np.zeros(len(sets), np.int64))
+        pairs = zip(x.tolist(), y.tolist())
+    else:
+        # sets too large to lay out: pair by pair, fitting sizes only
+        k = len(first)
+        pairs = ((i, j) for i in range(k) for j in (range(k, len(rows)) if second else range(i + 1, k)) if OF * min(len(sets[i]), len(sets[j])) >= SHARE * max(len(sets[i]), len(sets[j])))
+        pairs = (p for p in pairs if rows[p[0]]["root"] != rows[p[1]]["root"] and _linked_sets(sets[p[0]], sets[p[1]]))
+    up = {r["root"]: r["root"] for r in rows}
+
+    def top(v):
+        while up[v] != v:
+            up[v] = up[up[v]]
+            v = up[v]
+        return v
 
-    for batch in batches:
-        for key, pair, side, *row in zip(*[c.to_pylist() for c in batch.columns]):
-            if (key, pair) != at:
-                found |= _match(sides) if at else set()
-                at, sides = (key, pair), ([], [])
-                if len(found) > 100_000:
-                    yield flush()
-            sides[side].append(row)
-    found |= _match(sides) if at else set()
-    yield flush()
+    out = []
+    for i, j in pairs:
+        a, b = top(rows[i]["root"]), top(rows[j]["root"])
+        if a != b:
+            up[a] = b
+            out.append((rows[i]["id"], rows[j]["id"]))
+    return out
+
+
+def _by_group(what, names: list[str]):
+    """Runs ``what`` on the rows of each (key, pair), which come together."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, out = [], []
+        pack = lambda: pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], pa.int64()) for i in range(len(names))], names)
+        for batch in batches:
+            for row in batch.to_pylist():
+                if rows and (row["key"], row["pair"]) != (rows[0]["key"], rows[0]["pair"]):
+                    out += what(rows)
+                    rows = []
+                    if len(out) > 100_000:
+                        yield pack()
+                        out = []
+                rows.append(row)
+        out += what(rows) if rows else []
+        yield pack()
+
+    return run
+
+
+def _texts_tokens(ids: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """(id, tokens) of some classes; only their own documents' texts meet them, once each."""
+    used = ids.join(classes.select("id", "spot"), "id")
+    return keep(docs.join(used, "spot").select("id", "text").mapInArrow(_tokens, "id long, tokens binary"))
 
 
 def _linked(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
-    """The pairs (a, b) that link, by their exact sets. Only the texts of classes in pairs are shuffled, once each."""
-    used = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct().join(classes.select("id", "spot"), "id")
-    tokens = keep(docs.join(used, "spot").select("id", "text").mapInArrow(_tokens, "id long, tokens binary"))
+    """The pairs (a, b) that link, by their exact sets."""
+    tokens = _texts_tokens(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), docs, classes)
     x, y = (tokens.select(F.col("id").alias(k), F.col("tokens").alias(f"t{k}")) for k in "ab")
     return pairs.join(x, "a").join(y, "b").select("a", "b", "ta", "tb").mapInArrow(_verify, "a long, b long").distinct()
 
@@ -249,11 +322,13 @@ def _components(docs: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, lis
     own = F.when(F.col("is_main"), F.col("rests") + F.pmod(F.xxhash64("id"), "mains")).otherwise(F.pmod(F.xxhash64("id"), "rests"))
     dealt = dealt.withColumn("own", own).withColumn("i", F.explode(F.sequence(F.lit(0).cast("long"), F.when(F.col("is_main"), F.col("rests") - 1).otherwise(F.col("rests") + F.col("mains") - 1))))
     pair = F.least("own", "i") * (F.col("rests") + F.col("mains")) + F.greatest("own", "i")
-    dealt = dealt.select("key", pair.alias("pair"), F.when(F.col("own") > F.least("own", "i"), 1).otherwise(0).alias("side"), "id", "n", "root")
-    bits = sets.join(dealt.select("id").distinct(), "id", "left_semi").groupBy("id").agg(F.first("bits").alias("bits"))
-    treed = dealt.join(bits, "id").select("key", "pair", "side", "id", "n", "root", "bits").repartition("key", "pair").sortWithinPartitions("key", "pair")
-    second = keep(treed.mapInArrow(_trees, "a long, b long").distinct())
-    more = _linked(second, texts, classes)
+    dealt = keep(dealt.select("key", pair.alias("pair"), F.when(F.col("own") > F.least("own", "i"), 1).otherwise(0).alias("side"), "id", "n", "root"))
+    own = sets.join(dealt.select("id").distinct(), "id", "left_semi").groupBy("id").agg(F.first("bits").alias("bits"), F.first("keys").alias("keys"))
+    together = lambda rows: rows.repartition("key", "pair").sortWithinPartitions("key", "pair")
+    alive = together(dealt.join(own, "id")).mapInArrow(_by_group(_survivors, ["key", "pair", "side", "id"]), "key long, pair long, side long, id long")
+    alive = keep(alive.distinct().join(dealt, ["key", "pair", "side", "id"]))
+    tokens = _texts_tokens(alive.select("id").distinct(), texts, classes)
+    more = together(alive.join(tokens, "id")).mapInArrow(_by_group(_forest, ["a", "b"]), "a long, b long")
     roots = components(links.union(more))
 
     of_class = sets.where("n > 0").select("row", "id", F.col("n").alias("n_shingles")).distinct()
@@ -275,7 +350,9 @@ def jaccard_join(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text")
     4. Signature trees complete this: of each key whose members are still in different components, blocks of
        up to 1024 members form trees, blocks are paired (not those of the key's main component among
        themselves), and dual traversal prunes node pairs in one component, with sizes too far apart or with too
-       small a maximum overlap. What is left is verified by the exact sets, and components are taken anew.
+       small a maximum overlap. Members that keep a partner meet again with their whole sets, in trees whose bitmaps have a
+       bit for each shared token, so that what these leave is linked; of such links a spanning forest goes on, and
+       components are taken anew.
 
     Repeated rows and equal texts each come back, in one class. Rows of one doc_id with different texts are
     different documents that carry the same id. A null doc_id is a document that never gives a component its
