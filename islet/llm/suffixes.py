@@ -149,7 +149,8 @@ def _windows(parts: int, pieces: int):
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        # some documents at a time bound what a task holds
+        for batch in (b.slice(i, 2000) for b in batches for i in range(0, b.num_rows, 2000)):
             seen: dict[tuple[int, bytes], tuple] = {}
             gone = []
             for row, d, text, found in zip(*[c.to_pylist() for c in batch.columns]):
