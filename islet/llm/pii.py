@@ -103,7 +103,7 @@ def rendered(kind: Column, value: Column, new: Column) -> Column:
     )
     cased = F.array_join(F.zip_with(F.split(value, ""), F.split(new, ""), lambda c, n: F.when(c != F.lower(c), F.upper(n)).otherwise(n)), "")
     bare = F.substring(new, F.lit(3), F.length(new))
-    hyphens = F.array_join(F.transform(F.split(F.initcap(F.regexp_replace(bare, "-", " - ")), " - "), F.trim), "-")
+    hyphens = F.array_join(F.transform(F.split(F.initcap(F.regexp_replace(bare, "-", " - ")), " - "), lambda x: F.trim(x)), "-")
     old = F.regexp_replace(value, TITLE, "")
     name = F.concat(F.regexp_extract(value, TITLE, 0), F.when(old == F.upper(old), F.upper(bare)).otherwise(hyphens))
     return F.when(kind.isin("phone", "card", "ssn"), filled).when(kind == "email", cased).when(kind == "name", name).otherwise(new)

@@ -54,7 +54,7 @@ def line_frequency_rules(docs: DataFrame, *, text: str = "text", host: str = "so
 
     normal = F.split(F.lower(F.regexp_replace("text", LINE_GAP, " ")), "\n")
     lines = (
-        base.withColumn("lines", F.filter(F.transform(normal, F.trim), lambda x: x != ""))
+        base.withColumn("lines", F.filter(F.transform(normal, lambda x: F.trim(x)), lambda x: x != ""))
         .select("hk", "tk", "tl", F.explode(F.expr(_COUNTED)).alias("line"))
         # of equal texts one is enough: the map side drops most, this grouping the rest
         .groupBy("hk", F.col("line.h").alias("lh"), "tk", "tl")
