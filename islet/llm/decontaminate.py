@@ -43,29 +43,34 @@ def allowed(length: int, part: float) -> int:
     return int(part * length + 1e-9)
 
 
-def sketch(w: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
-    """LSH keys (windows, WALKS * BANDS) of the windows of ``length`` words at ``starts``.
+def sketch(w: np.ndarray, starts: np.ndarray, lengths: np.ndarray, stops: np.ndarray) -> np.ndarray:
+    """LSH keys (windows, WALKS * BANDS) of the windows of ``lengths`` words from ``starts`` on, not beyond ``stops``.
 
-    A walk reads 3 * length symbols, at each step moving on or not by a random bit of the step and the
-    symbol read, so that sequences a few edits apart mostly read the same symbols; each band is the hash of
-    the symbols at BITS sampled steps.
+    A walk reads 3 symbols a word, at each step moving on or not by a random bit of the step and the symbol read, so
+    that sequences a few edits apart mostly read the same symbols; each band is the hash of the symbols at BITS sampled
+    steps of the first two thirds, as after those most walks have passed the end. Windows of all lengths walk together; each length has its own samples.
     """
-    steps = 3 * length
     out = np.zeros((len(starts), WALKS * BANDS), U)
-    picks = np.random.default_rng(length).integers(0, steps, (WALKS, BANDS, BITS))
-    padded = np.concatenate([w, np.zeros(1, U)])
-    for walk in range(WALKS):
-        wanted = defaultdict(list)
-        for band in range(BANDS):
-            for k, step in enumerate(picks[walk, band]):
-                wanted[int(step)].append((band, U(2 * k + 3)))
-        i = np.zeros(len(starts), np.int64)
-        for step in range(steps):
-            symbol = padded[np.where(i < length, np.minimum(starts + i, len(w)), len(w))]
-            for band, factor in wanted.get(step, ()):
-                out[:, walk * BANDS + band] += mix(symbol * factor + factor)
-            i += ((mix(symbol + U(step * 977 + walk * 1_000_003 + 1)) >> U(40)) & U(1)).astype(np.int64)
-    return mix(out + np.arange(1, WALKS * BANDS + 1, dtype=U) * U(0x9E3779B97F4A7C15) + U(length))
+    for at in range(0, len(starts), 1 << 14):
+        cut = slice(at, at + (1 << 14))
+        first, size, stop = starts[cut], lengths[cut], stops[cut]
+        kinds, kind = np.unique(size, return_inverse=True)
+        picks = np.stack([np.random.default_rng(int(n)).integers(0, 2 * n, (WALKS, BANDS, BITS)) for n in kinds])
+        rows = np.arange(len(first))
+        for walk in range(WALKS):
+            i = np.zeros(len(first), np.int64)
+            read = np.zeros((3 * int(size.max()), len(first)), U)
+            for step in range(len(read)):
+                at_word = first + i
+                symbol = np.where((i < size) & (at_word < stop), w[np.minimum(at_word, len(w) - 1)], U(0))
+                read[step] = symbol
+                i += ((mix(symbol + U(step * 977 + walk * 1_000_003 + 1)) >> U(40)) & U(1)).astype(np.int64)
+            for band in range(BANDS):
+                total = np.full(len(first), walk * BANDS + band + 1, U) * U(0x9E3779B97F4A7C15)
+                for k in range(BITS):
+                    total += mix(read[picks[kind, walk, band, k], rows] * U(2 * k + 3) + U(k + 1))
+                out[cut, walk * BANDS + band] = mix(total)
+    return out
 
 
 def distance(item: list[int], text: list[int]) -> tuple[int, int]:
@@ -107,37 +112,46 @@ class Items:
             flags = np.zeros(1 << 20, bool)
             flags[(g & U((1 << 20) - 1)).astype(np.int64)] = True
             self.seeds[n] = (flags, g[order], at[order], pos[order])
-        self.keys = [set(sketch(w, np.zeros(1, np.int64), len(w))[0].tolist()) for _, w in self.items]
-
-    def find(self, text: str) -> list[dict]:
-        w = words(text)
+        flat, size = np.concatenate([*[w for _, w in self.items], np.zeros(1, U)]), np.array([len(w) for _, w in self.items], np.int64)
+        ends = np.cumsum(size)
+        self.sizes, self.keys = size, sketch(flat, ends - size, size, ends)
+
+    def find(self, texts: list[str]) -> list[list[dict]]:
+        """The hits of each text."""
+        each = [words(t) for t in texts]
+        w = np.concatenate([*each, np.zeros(1, U)])
+        ends = np.cumsum([len(x) for x in each])
         wanted = []
         for n, (flags, seeds, item, pos) in self.seeds.items():
             g = grams(w, n)
             some = np.flatnonzero(flags[(g & U((1 << 20) - 1)).astype(np.int64)])
+            doc = np.searchsorted(ends, some, "right")
+            some, doc = (v[(doc < len(ends)) & (some + n <= ends[np.minimum(doc, len(ends) - 1)])] for v in (some, doc))
             lo, hi = np.searchsorted(seeds, g[some], "left"), np.searchsorted(seeds, g[some], "right")
             times = hi - lo
-            if times.sum():
-                k = np.repeat(lo, times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
-                wanted.append(np.stack([item[k], np.repeat(some, times) - pos[k]]))
+            k = np.repeat(lo, times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+            doc = np.repeat(doc, times)
+            begin = np.maximum(np.repeat(some, times) - pos[k], ends[doc] - [len(each[d]) for d in doc.tolist()])
+            wanted.append(np.stack([doc, item[k], begin]))
+        out = [[] for _ in texts]
         if not wanted:
-            return []
-        at, start = np.unique(np.concatenate(wanted, 1), axis=1)
-        out = []
-        for k in np.unique(at).tolist():
-            i, x = self.items[k]
-            starts = np.maximum(start[at == k], 0)
-            keys = sketch(w, starts, len(x))
-            hit = np.fromiter((not self.keys[k].isdisjoint(row) for row in keys.tolist()), bool, len(keys))
-            e, best, upto = allowed(len(x), self.part), None, -1
-            for s in np.sort(starts[hit]).tolist():
-                if best is None or s > upto:  # one look covers all starts up to e words on
-                    lo, upto = max(0, s - e), s + e
-                    d, first = distance(x.tolist(), w[lo : upto + len(x) + e].tolist())
-                    if d <= e and (best is None or d < best[0]):
-                        best = (d, lo + first)
-            if best:
-                out.append({"item_id": i, "distance": best[0], "item_words": len(x), "first_word": best[1]})
+            return out
+        doc, item, start = np.unique(np.concatenate(wanted, 1), axis=1)
+        if not len(doc):
+            return out
+        met = (sketch(w, start, self.sizes[item], ends[doc]) == self.keys[item]).any(1)
+        found: dict[tuple[int, int], tuple] = {}
+        upto: dict[tuple[int, int], int] = {}
+        for d, k, s in zip(doc[met].tolist(), item[met].tolist(), start[met].tolist()):
+            x, begin = self.items[k][1], int(ends[d]) - len(each[d])
+            e, s = allowed(len(x), self.part), s - begin
+            if s > upto.get((d, k), -1):  # one look covers all starts up to e words on
+                lo, upto[d, k] = max(0, s - e), s + e
+                least, first = distance(x.tolist(), each[d][lo : s + 2 * e + len(x)].tolist())
+                if least <= e and least < found.get((d, k), (e + 1,))[0]:
+                    found[d, k] = (least, lo + first)
+        for (d, k), (least, first) in found.items():
+            out[d].append({"item_id": self.items[k][0], "distance": least, "item_words": len(self.items[k][1]), "first_word": first})
         return out
 
 
@@ -171,7 +185,9 @@ def find_items(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", ite
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             found = Items(sent.value, max_edits, min_words)
             for batch in batches:
-                hits = [[*(old or []), *found.find(t or "")] for t, old in zip(batch.column(text).to_pylist(), batch.column("hits").to_pylist())]
+                texts = [t or "" for t in batch.column(text).to_pylist()]
+                new = [h for i in range(0, len(texts), 1000) for h in found.find(texts[i : i + 1000])]
+                hits = [[*(old or []), *more] for old, more in zip(batch.column("hits").to_pylist(), new)]
                 made = pa.array(hits, pa.list_(pa.struct([("item_id", pa.int64()), ("distance", pa.int32()), ("item_words", pa.int32()), ("first_word", pa.int32())])))
                 yield pa.RecordBatch.from_arrays([*batch.columns[:-1], made], batch.schema.names)
 
