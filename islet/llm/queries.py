@@ -11,6 +11,7 @@ from islet.llm.decontaminate import find_items
 from islet.llm.jaccard import jaccard_join
 from islet.llm.lm import cross_entropy_difference
 from islet.llm.mixing import mix_to_targets
+from islet.llm.oracles import ORACLE  # noqa: F401
 from islet.llm.pii import replace_entities
 from islet.llm.quality import line_frequency_rules
 from islet.llm.secrets import BASE, KINDS, joined, link_credentials
@@ -78,4 +79,3 @@ def op7_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {q.__name__: q for q in (op1_pii_surrogates, op2_lm_scoring, op3_url_filters, op4_chat_formatting, op5_ngram_jaccard_join, op6_mixing, op7_secret_scans, op8_suffix_array_dedup, op9_benchmark_decontamination, op10_quality_rules)}
-ORACLE: dict[str, str] = {}
