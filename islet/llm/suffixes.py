@@ -70,9 +70,9 @@ def _split(keys: np.ndarray) -> Iterator[tuple[int, slice]]:
 def _grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[list[list]]:
     """The rows of each value of the first column; they come sorted by it."""
     rows, at = [], None
-    for batch in batches:
+    for batch in (b.slice(i, 64) for b in batches for i in range(0, b.num_rows, 64)):
         for row in zip(*[c.to_pylist() for c in batch.columns]):
-            if row[0] != at and rows:
+            if rows and (row[0] != at or at < 0 and len(rows) >= 64):  # part -1 needs no whole view
                 yield rows
                 rows = []
             at = row[0]
@@ -89,7 +89,7 @@ def _gather(parts: int):
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(i, 5000) for b in batches for i in range(0, b.num_rows, 5000)):
             texts = dict(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
             rows = np.fromiter(texts, np.int64, len(texts))
             each = [np.unique(anchors(_bytes(t))[0]) for t in texts.values()]
@@ -307,7 +307,7 @@ def remove_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text
     flat = flat.withColumn("row", F.xxhash64("text", F.length("text"))).withColumn("n_bytes", F.octet_length("text").cast("long"))
     total = flat.agg(F.sum("n_bytes")).first()[0] or 0
     # parts of some million anchors; runs of windows are fewer but larger
-    parts, pieces = 16 + total // (40 << 20), 64 + total // (8 << 20)
+    parts, pieces = 16 + total // (32 << 20), 64 + total // (2 << 20)
     least = flat.groupBy("row").agg(F.min("d").alias("least"))
     texts = flat.where(F.col("n_bytes") >= DEPTH).select("row", "d", "text")
     sent = texts.select("row", "text").mapInArrow(_gather(parts), "part long, low binary, which binary, docs binary")
