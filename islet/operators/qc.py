@@ -53,7 +53,7 @@ def median_imputed(counts: DataFrame, *, value: str = "frac_meth", sample: str =
     known = counts.where(F.col(value).isNotNull()).groupBy(locus, sample).agg(F.avg(value).alias("v"))
     middle = known.groupBy(locus).agg(F.percentile("v", 0.5).alias("middle"))
     samples = [r[0] for r in counts.select(sample).distinct().collect()]
-    grid = middle.withColumn(sample, F.explode(F.array(*map(F.lit, samples))).cast(counts.schema[sample].dataType) if samples else F.lit(None))
+    grid = middle.withColumn(sample, F.explode(F.array(*[F.lit(x).cast(counts.schema[sample].dataType) for x in samples])) if samples else F.lit(None))
     both = grid.join(known, [locus, sample], "left")
     return both.select(sample, locus, F.coalesce("v", "middle").alias(value), F.col("v").isNull().alias("imputed"))
 

@@ -10,7 +10,7 @@ from islet.sources.tables import COUNTS
 
 def counts_stream(spark: SparkSession, path: str, *, files_per_batch: int = 100) -> DataFrame:
     """New counts files of a folder, as they land."""
-    return spark.readStream.csv(path, sep="\t", header=True, schema=COUNTS, maxFilesPerTrigger=files_per_batch)
+    return spark.readStream.option("maxFilesPerTrigger", files_per_batch).csv(path, sep="\t", header=True, schema=COUNTS)
 
 
 def append_counts(stream: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
