@@ -275,7 +275,7 @@ def test_pii(spark, docs):
     assert card[0] == 4 and sum(d if i % 2 else d * 2 - 9 * (d > 4) for i, d in enumerate(card)) % 10 == 0
     assert brute.re.search(r"Mrs\. [A-Z]\w+ [A-Z]\w+ and Mr [A-Z-]+, г-жа [А-Я]\w+ and г-н [А-Я]\w+", two)
     assert got[4][0].surrogate_text == got[4][1].surrogate_text and got[4][0].surrogate_text[4:] in two
-    many = [(i, " ".join(f"Mr {chr(65 + i % 26)}{chr(97 + k % 26)}{chr(97 + i // 26)}son" for k in range(26)), "m") for i in range(60)]
+    many = [(i, ", ".join(f"Mr {chr(65 + i % 26)}{chr(97 + k % 26)}{chr(97 + i // 26)}son" for k in range(26)), "m") for i in range(60)]
     names = brute.re.compile(r"Mr \w+(?:-\w+)*")
     maps = {}
     for r in replace_entities(spark.createDataFrame(many, SCHEMA)).collect():
