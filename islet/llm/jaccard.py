@@ -328,8 +328,9 @@ def _components(docs: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, lis
     alive = together(dealt.join(own, "id")).mapInArrow(_by_group(_survivors, ["key", "pair", "side", "id"]), "key long, pair long, side long, id long")
     alive = keep(alive.distinct().join(dealt, ["key", "pair", "side", "id"]))
     tokens = _texts_tokens(alive.select("id").distinct(), texts, classes)
-    more = together(alive.join(tokens, "id")).mapInArrow(_by_group(_forest, ["a", "b"]), "a long, b long")
-    roots = components(links.union(more))
+    more = keep(together(alive.join(tokens, "id")).mapInArrow(_by_group(_forest, ["a", "b"]), "a long, b long"))
+    if not more.isEmpty():
+        roots = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more))
 
     of_class = sets.where("n > 0").select("row", "id", F.col("n").alias("n_shingles")).distinct()
     return flat, names, of_class.join(roots.withColumnRenamed("node", "id"), "id", "left").select("row", "n_shingles", F.coalesce("root", "id").alias("root"))
