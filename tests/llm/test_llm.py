@@ -116,14 +116,12 @@ def test_trees_leave_links_only():
     assert not _survivors([r | {"keys": [3, 5]} for r in one]) and not _forest(one[:1])
 
 
-def test_one_of_each(docs, rows):
-    kept = one_of_each(docs).collect()
-    by = defaultdict(list)
-    for (d, t, _), (_, n, c) in zip(rows, brute.jaccard([(d, t) for d, t, _ in rows])):
-        if n:
-            by[c if c is not None else t].append(d)
-    assert Counter(r.doc_id for r in kept if brute.WORD.search(r.text or "")) == Counter(c if isinstance(c, int) else None for c in by)
-    assert sum(not brute.WORD.search(r.text or "") for r in kept) == sum(not brute.WORD.search(t or "") for _, t, _ in rows)
+def test_one_of_each(spark):
+    made = [r for r in EDGE if r[0] != 10] + [(1000 + i, t, "n") for i, t in enumerate(near_texts(7, 2, 20))]
+    kept = one_of_each(clash(spark.createDataFrame(made, SCHEMA))).collect()
+    ids = {c for (d, t, _), (_, n, c) in zip(made, brute.jaccard([(d, t) for d, t, _ in made])) if n}
+    assert Counter(r.doc_id for r in kept if brute.WORD.search(r.text or "")) == Counter(ids)
+    assert sum(not brute.WORD.search(r.text or "") for r in kept) == sum(not brute.WORD.search(t or "") for _, t, _ in made)
 
 
 def test_suffixes(docs, rows):
