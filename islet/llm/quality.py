@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from islet.llm.common import GAP, WORD, enter, leave, words
+from islet.llm.common import GAP, WORD, enter, leave
 
 LINE_GAP = r"[\x20\x09\x0B-\x0D]+"
 
@@ -19,6 +19,16 @@ CASE WHEN size(array_distinct(win)) = size(win) THEN 0 ELSE
       aggregate(transform(p, (x, j) -> IF(j = size(p) - 1, 8, least(8, p[least(j + 1, size(p) - 1)] - x))), 0, (a, b) -> a + b))[0])[0]
 END"""
 
+#: Everything that needs the words, as one expression: each step is bound by a lambda, so a filter that the optimizer pushes
+#: down repeats the whole at most once and never its parts within each other.
+_METRICS = f"""
+transform(array(array_remove(split(text, r'{GAP}'), '')), words ->
+  transform(array(transform(words, w -> xxhash64(w))), wh ->
+    transform(array(IF(size(wh) >= 8, transform(sequence(0, size(wh) - 8), i -> xxhash64({", ".join(f"wh[i + {k}]" for k in range(8))})), array())), win ->
+      transform(array(CAST({_REPEATED} AS BIGINT)), r ->
+        struct(CAST(size(words) AS BIGINT) AS n_words, CAST(length(array_join(words, '')) AS BIGINT) AS word_chars, r AS n_repeat_words, size(words) < 20 OR 100 * r > 30 * size(words) AS base_failed))[0])[0])[0])[0]"""
+_DUP_LINES = f"""transform(array(filter(split(text, '\\n'), x -> x rlike r'{WORD}')), full -> size(full) - size(array_distinct(full)))[0]"""
+
 #: Lines -> each distinct line's hash and the words in all its occurrences, through a sort of (hash, words).
 _COUNTED = """
 transform(array(sort_array(transform(lines, x -> struct(xxhash64(x) AS h, length(x) - length(replace(x, ' ', '')) + 1 AS w)))), s ->
@@ -63,23 +73,17 @@ def line_frequency_rules(docs: DataFrame, *, text: str = "text", host: str = "so
     frequent = lines.groupBy("hk", "lh").agg(F.count("*").alias("docs")).where(F.col("docs") > max_docs).select("hk", "lh")
     hit = lines.join(frequent, ["hk", "lh"]).groupBy("hk", "tk", "tl").agg(F.sum("w").cast("long").alias("lost"), F.collect_set("lh").alias("bad"))
 
-    met = base.withColumn("words", words(F.col("text")))
-    met = met.withColumn("wh", F.expr("transform(words, w -> xxhash64(w))")).withColumn("n_words", F.size("words").cast("long"))
-    met = met.withColumn("win", F.expr(f"IF(size(wh) >= 8, transform(sequence(0, size(wh) - 8), i -> xxhash64({', '.join(f'wh[i + {k}]' for k in range(8))})), array())"))
     met = (
-        met.withColumn("word_chars", F.length(F.array_join("words", "")).cast("long"))
+        base.withColumn("m", F.expr(_METRICS))
         .withColumn("n_symbols", F.length(F.regexp_replace("text", r"[^#*$%&|<>]+", "")).cast("long"))
-        .withColumn("full_lines", F.filter(F.split("text", "\n"), lambda x: x.rlike(WORD)))
-        .withColumn("n_dup_lines", (F.size("full_lines") - F.size(F.array_distinct("full_lines"))).cast("long"))
-        .withColumn("n_repeat_words", F.expr(_REPEATED).cast("long"))
-        .drop("words", "wh", "win", "full_lines")
-        .withColumn("base_failed", (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words")))
+        .withColumn("n_dup_lines", F.expr(_DUP_LINES).cast("long"))
     )
     judged = met.join(hit, ["hk", "tk", "tl"], "left")
     key = lambda x: F.xxhash64(F.trim(F.lower(F.regexp_replace(x, LINE_GAP, " "))))
     raw = F.split("text", "\n")
     clean = F.when(F.col("bad").isNull(), F.col("text")).otherwise(F.array_join(F.filter(raw, lambda x: ~F.array_contains(F.col("bad"), key(x))), "\n"))
     judged = judged.withColumn("n_removed_words", F.coalesce("lost", F.lit(0).cast("long")))
-    own = {n: F.col(n) for n in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "n_removed_words")}
-    kept = ~F.col("base_failed") & ~(F.col("n_removed_words") > F.lit(max_removed) * F.col("n_words"))
+    told = {n: F.col(f"m.{n}") for n in ("n_words", "word_chars", "n_repeat_words", "base_failed")}
+    own = {n: told.get(n, F.col(n)) for n in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "n_removed_words")}
+    kept = ~F.col("m.base_failed") & ~(F.col("n_removed_words") > F.lit(max_removed) * F.col("m.n_words"))
     return leave(judged, names, own | {"clean_text": clean, "kept": kept})
