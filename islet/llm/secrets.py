@@ -56,7 +56,8 @@ def link_credentials(docs: DataFrame, *, text: str = "text", scope: int = 300) -
     secret-looking run, an endpoint - are reported only when, within ``scope`` code points of text
     between them, the document also holds a complementary part: identifiers need a secret, secrets
     an identifier or an endpoint, endpoints a secret. Weak parts inside a strong span are that span.
-    Complements are found by an interval join on (text, scope-wide bin), both neighbours included.
+    Complements are found by an interval join on (text, scope-wide bin): a part is in every bin that it
+    touches, and weak parts also look into the neighbours of theirs.
 
     Adds base_spans and all_spans (arrays of start, kind order, end), and redacted (the text with every
     reported span replaced by ``[SECRET]``).
@@ -81,9 +82,10 @@ def link_credentials(docs: DataFrame, *, text: str = "text", scope: int = 300) -
         .distinct()
     )
     role = F.get(F.array(*[F.lit(ROLE[k]) for k in KINDS]), F.col("k"))
-    parts = parts.withColumn("role", role).withColumn("bin", F.floor(F.col("s") / scope))
-    weak = parts.where(F.col("k") >= len(BASE)).withColumn("bin", F.explode(F.sequence(F.col("bin") - F.lit(1), F.floor(F.col("e") / scope) + F.lit(1))))
-    mate = parts.select("tk", "tl", "bin", F.col("s").alias("ms"), F.col("k").alias("mk"), F.col("e").alias("me"), F.col("role").alias("mrole"))
+    first, last = F.floor(F.col("s") / scope), F.floor(F.col("e") / scope)
+    parts = parts.withColumn("role", role)
+    weak = parts.where(F.col("k") >= len(BASE)).withColumn("bin", F.explode(F.sequence(first - F.lit(1), last + F.lit(1))))
+    mate = parts.select("tk", "tl", F.explode(F.sequence(first, last)).alias("bin"), F.col("s").alias("ms"), F.col("k").alias("mk"), F.col("e").alias("me"), F.col("role").alias("mrole"))
     fits = ((F.col("role") == "secret") & F.col("mrole").isin("id", "endpoint")) | (F.col("role").isin("id", "endpoint") & (F.col("mrole") == "secret"))
     linked = (
         weak.join(mate, ["tk", "tl", "bin"])

@@ -72,6 +72,18 @@ def test_secrets(spark, docs, rows):
     assert "[SECRET]" in out[100].redacted and "AKIA" not in out[100].redacted and out[101].redacted == made[1][1]
 
 
+def test_secrets_long_mates(spark):
+    made = []
+    for size in (300, 600, 700, 5000):
+        jwt = ("eyJhbGciOi." * size)[:size]
+        around = f"token={jwt}-AKIAQWERTY123-{'aB3' * 13}x-{jwt[: size // 2]}"
+        made += [f"token={jwt} https://api.example.org/v1", f"{'0123456789abcdef' * (size // 16)} AZIAABCDEFGH", f"https://api.example.org/ {'x ' * 100}token={jwt}", around, f"{around}{' .' * 100} login = someone", f"{around}{' .' * 200} login = someone"]
+    found = {r.doc_id: r for r in link_credentials(spark.createDataFrame([(i, t, "s") for i, t in enumerate(made)], SCHEMA)).collect()}
+    for i, t in enumerate(made):
+        assert list(map(tuple, found[i].all_spans)) == brute.linked_secrets(t), i
+    assert "api.example" not in found[18].redacted and len(found[21].all_spans) == len(found[21].base_spans)
+
+
 def near_texts(seed=3, groups=4, size=40):
     rng = random.Random(seed)
     word = lambda: "".join(rng.choices("abcdefgh", k=4))
