@@ -33,6 +33,7 @@ FAMILY = {
     ("cyrillic", "m"): "антонов белов власов громов демидов ершов жуков зорин калинин лапин морозов носов орлов панов рогов соколов".split(),
 }
 FAMILY["latin", "m"] = FAMILY["latin", "f"]
+GROW = 4
 
 
 def kind_of(value: Column) -> Column:
@@ -59,11 +60,16 @@ def _pick(names: list[str], digest: Column, at: int) -> Column:
 
 
 def surrogate(kind: Column, canon: Column, attempt: Column, key: str) -> Column:
-    """A keyed stand-in of the same form for a canonical value; every attempt gives another."""
+    """A keyed stand-in of the same form for a canonical value; every attempt gives another.
+
+    From attempt GROW on it is longer by a keyed letter, digit, octet or name per attempt, so that there are always
+    enough of them, however few the form itself allows.
+    """
     digest = F.sha2(F.concat_ws("\x1f", F.lit(key), kind, canon, attempt.cast("string")), 256)
     domain = F.sha2(F.concat_ws("\x1f", F.lit(key), F.lit("domain"), F.substring_index(canon, "@", -1)), 256)
     numerals = lambda d: F.translate(d, "abcdef", "073951")
     letters = lambda d: F.translate(d, "0123456789abcdef", "bcdfghjklmnprstv")
+    more, extra = F.sha2(digest, 256), F.least(F.greatest(attempt - GROW + 1, F.lit(0)), F.lit(32))
 
     def alike(text: Column, d: Column) -> Column:
         one = lambda c, i: F.when(c.rlike("[a-z]"), F.substring(letters(d), i % 64 + 1, F.lit(1))).when(c.rlike("[0-9]"), F.substring(numerals(d), i % 64 + 1, F.lit(1))).otherwise(c)
@@ -71,37 +77,46 @@ def surrogate(kind: Column, canon: Column, attempt: Column, key: str) -> Column:
 
     local, host = F.substring_index(canon, "@", 1), F.substring_index(canon, "@", -1)
     top = F.substring_index(host, ".", -1)
-    email = F.concat(alike(local, digest), F.lit("@"), alike(F.substring(host, F.lit(1), F.length(host) - F.length(top)), domain), top)
+    email = F.concat(alike(local, digest), F.substring(letters(more), F.lit(1), extra), F.lit("@"), alike(F.substring(host, F.lit(1), F.length(host) - F.length(top)), domain), top)
     octet = lambda i: (F.conv(F.substring(digest, 1 + 3 * i, 3), 16, 10).cast("int") % 254 + 1).cast("string")
-    ip = F.concat_ws(".", *[octet(i) for i in range(4)])
-    number = F.substring(numerals(digest), F.lit(1), F.length(canon))
-    payload = F.concat(F.substring(canon, 1, 1), F.substring(numerals(digest), F.lit(1), F.length(canon) - 2))
+    chosen = lambda make: F.when(extra > 0, F.array_join(F.transform(F.sequence(F.lit(1), extra), make), "")).otherwise("")
+    byte = lambda i: F.conv(F.substring(more, 2 * i - 1, F.lit(2)), 16, 10).cast("int")
+    ip = F.concat(F.concat_ws(".", *[octet(i) for i in range(4)]), chosen(lambda i: F.concat(F.lit("."), (byte(i) % 254 + 1).cast("string"))))
+    tail = F.substring(numerals(more), F.lit(1), extra)
+    number = F.concat(F.substring(numerals(digest), F.lit(1), F.length(canon)), tail)
+    payload = F.concat(F.substring(canon, 1, 1), F.substring(numerals(digest), F.lit(1), F.length(canon) - 2), tail)
     doubled = F.transform(F.split(payload, ""), lambda c, i: F.when((F.length(payload) - 1 - i) % 2 == 0, c.cast("int") * 2 - F.when(c.cast("int") > 4, 9).otherwise(0)).otherwise(c.cast("int")))
     check = (10 - F.aggregate(doubled, F.lit(0), lambda a, x: a + x) % 10) % 10
     name = None
     for (script, gender), given in GIVEN.items():
         family = FAMILY[script, gender]
         two = F.when(canon.rlike(r"^. \S+[ -]\S"), F.concat(_pick(given, digest, 1), F.lit(" "), _pick(family, digest, 3))).otherwise(_pick(family, digest, 3))
-        more = F.when(attempt > 0, F.concat(two, F.lit("-"), _pick(family, digest, 5), F.when(attempt > 2, F.concat(F.lit("-"), _pick(family, digest, 7), F.lit("-"), _pick(family, digest, 9))).otherwise(""))).otherwise(two)
+        joined = F.when(attempt > 0, F.concat(two, F.lit("-"), _pick(family, digest, 5), F.when(attempt > 2, F.concat(F.lit("-"), _pick(family, digest, 7), F.lit("-"), _pick(family, digest, 9))).otherwise(""))).otherwise(two)
         fits = canon.startswith(f"{gender} ") & (canon.rlike(r"\p{IsCyrillic}") if script == "cyrillic" else ~canon.rlike(r"\p{IsCyrillic}"))
-        whole = F.concat(F.lit(f"{gender} "), more)
+        further = chosen(lambda i: F.concat(F.lit("-"), F.get(F.array(*map(F.lit, family)), byte(i) % len(family))))  # noqa: B023
+        whole = F.concat(F.lit(f"{gender} "), joined, further)
         name = F.when(fits, whole) if name is None else name.when(fits, whole)
     return F.when(kind == "email", email).when(kind == "ip", ip).when(kind == "card", F.concat(payload, check.cast("string"))).when(kind == "name", name).otherwise(number)
 
 
-def rendered(kind: Column, value: Column, new: Column) -> Column:
-    """The surrogate in the mention's own format: its separators, country code, title and letter case."""
+def rendered(kind: Column, value: Column, canon: Column, new: Column) -> Column:
+    """The surrogate in the mention's own format: its separators, country code, title and letter case; what it is longer by follows."""
     digits = _digits(value)
-    extra = F.length(digits) - F.length(new)
+    extra = F.length(digits) - F.length(canon)
     filled = F.aggregate(
         F.split(value, ""),
         F.struct(F.lit(0).alias("i"), F.lit("").alias("out")),
         lambda a, c: F.when(~c.rlike("[0-9]"), F.struct(a["i"].alias("i"), F.concat(a["out"], c).alias("out")))
         .when(a["i"] < extra, F.struct((a["i"] + 1).alias("i"), F.concat(a["out"], c).alias("out")))
         .otherwise(F.struct((a["i"] + 1).alias("i"), F.concat(a["out"], F.substring(new, a["i"] - extra + 1, F.lit(1))).alias("out"))),
-        lambda a: a["out"],
+        lambda a: F.concat(a["out"], F.substring(new, F.length(canon) + 1, F.length(new))),
     )
-    cased = F.array_join(F.zip_with(F.split(value, ""), F.split(new, ""), lambda c, n: F.when(c != F.lower(c), F.upper(n)).otherwise(n)), "")
+
+    def like(old: Column, text: Column) -> Column:
+        each = F.array_join(F.zip_with(F.split(old, ""), F.split(text, ""), lambda c, n: F.when(c != F.lower(c), F.upper(n)).otherwise(n)), "")
+        return F.when((old == F.upper(old)) & (old != F.lower(old)), F.upper(text)).otherwise(each)
+
+    cased = F.concat_ws("@", *[like(F.substring_index(value, "@", i), F.substring_index(new, "@", i)) for i in (1, -1)])
     bare = F.substring(new, F.lit(3), F.length(new))
     hyphens = F.array_join(F.transform(F.split(F.initcap(F.regexp_replace(bare, "-", " - ")), " - "), lambda x: F.trim(x)), "-")
     old = F.regexp_replace(value, TITLE, "")
@@ -113,7 +128,7 @@ def distinct_surrogates(entities: DataFrame, key: str) -> DataFrame:
     """(kind, canon) -> (kind, canon, new): no two entities of a kind share a surrogate, and none is itself an entity of the input.
 
     In each round every entity left proposes one; of those that propose the same the smallest value gets it, unless it is
-    taken or real, and the others propose again.
+    taken or real, and the others propose again. What can be proposed grows with the rounds, so there is an end.
     """
     entities = keep(entities)
     done, left, attempt = None, entities, 0
@@ -150,7 +165,7 @@ def replace_entities(docs: DataFrame, *, text: str = "text", key: str = "islet")
     mentions = flat.where(has).select("tk", "tl", F.posexplode(F.regexp_extract_all("text", F.lit(ANY), F.lit(0))).alias("i", "value")).groupBy("tk", "tl", "i").agg(F.first("value").alias("value"))
     mentions = keep(mentions.withColumn("kind", kind_of(F.col("value"))).withColumn("canon", canonical(F.col("kind"), F.col("value"))))
     known = distinct_surrogates(mentions.select("kind", "canon").distinct(), key)
-    found = mentions.join(known, ["kind", "canon"]).withColumn("new", rendered(F.col("kind"), F.col("value"), F.col("new")))
+    found = mentions.join(known, ["kind", "canon"]).withColumn("new", rendered(F.col("kind"), F.col("value"), F.col("canon"), F.col("new")))
     found = found.groupBy("tk", "tl").agg(F.sort_array(F.collect_list(F.struct("i", "new"))).alias("found"))
     gaps = F.split(F.col("text"), ANY, -1)
     put = F.array_join(F.zip_with(gaps, F.col("found"), lambda g, x: F.concat(g, F.coalesce(x["new"], F.lit("")))), "")

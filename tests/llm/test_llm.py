@@ -294,6 +294,24 @@ def test_pii(spark, docs):
     assert len(maps) == 60 * 26 == len(set(maps.values())) and not set(maps) & set(maps.values())
 
 
+def test_pii_small_forms(spark):
+    from islet.llm.pii import GROW, surrogate
+
+    letters = [chr(97 + i) for i in range(26)]
+    forms = {"email": [f"{c}@example.com" for c in letters], "phone": [f"{i:06d}" for i in range(40)], "name": [f"m {c}{d}x" for c in letters for d in letters]}
+    few = spark.createDataFrame([(k, v, a) for k, vs in forms.items() for v in vs for a in range(GROW + 6)], "kind string, canon string, attempt int")
+    made = few.withColumn("new", surrogate(F.col("kind"), F.col("canon"), F.col("attempt"), "k")).collect()
+    for kind, values in forms.items():
+        assert len({r.new for r in made if r.kind == kind and r.attempt == GROW + 5}) == len(values)
+    for kind, canon, pattern in (("ip", "10.2.3.4", r"\d+(\.\d+){3}"), ("ssn", "123456789", r"\d{9}"), ("card", "4111111111111111", r"4\d{15}")):
+        one = [spark.range(1).select(surrogate(F.lit(kind), F.lit(canon), F.lit(a), "k")).first()[0] for a in (GROW - 1, GROW + 5)]
+        assert brute.re.fullmatch(pattern, one[0]) and len(one[1]) > len(canon)
+    text = ", ".join([f"{c}@example.com" for c in letters] + [f"{c.upper()}@EXAMPLE.COM" for c in letters])
+    got = replace_entities(spark.createDataFrame([(1, text, "s")], SCHEMA)).first().surrogate_text.split(", ")
+    assert len(set(got[:26])) == 26 and [x.upper() for x in got[:26]] == got[26:]
+    assert len({x.split("@")[1] for x in got[:26]}) == 1 and not set(got) & set(text.split(", "))
+
+
 def brute_mix(cells, powers, fraction):
     """cells: (source, lang, topic) -> tokens; -> probabilities."""
     keys = list(cells)
