@@ -6,16 +6,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from islet.llm.common import enter, leave
-from islet.llm.textarrays import _LOWER, U, word_bounds, word_hashes
+from islet.llm.common import enter, keep, leave
+from islet.llm.textarrays import _LOWER, U, mix, word_bounds, word_hashes
 
-WORDS = 2047  # of the shared vocabulary; id WORDS stands for all other words, WORDS + 1 for the start
-SIZE = WORDS + 2
-SEGMENTS = 64
 DIRICHLET = 20.0
+BATCH = 4 << 20  # bytes of text whose n-grams are asked for together
+SEGMENT = 16 << 20  # bytes of text whose n-grams a range of hashes holds on average
+START = U(0x2545F4914F6CDD1D)  # stands before the first word
+BIGRAM, WORD, CONTEXT = range(3)  # the last two bits of a key
+TOLD = "batch long, segment int, n int, keys binary, target binary, background binary"
+COUNTED = "batch long, segment int, target binary, background binary, n_target long, n_background long, n_words long"
 
 
 def _hashes(text: str) -> np.ndarray:
@@ -23,123 +27,164 @@ def _hashes(text: str) -> np.ndarray:
     return word_hashes(data, *word_bounds(data))
 
 
-def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        word, n = np.unique(np.concatenate([np.zeros(0, U), *[_hashes(t) for t in batch.column(0).to_pylist() if t]]), return_counts=True)
-        yield pa.RecordBatch.from_arrays([pa.array(word.view(np.int64)), pa.array(n)], ["word", "n"])
+def _keys(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of the bigrams, words and contexts of all tokens, one kind after the other, and the tokens of each text."""
+    each = [_hashes(t) for t in texts]
+    size = np.array([len(h) for h in each], np.int64)
+    word = np.concatenate([np.zeros(0, U), *each])
+    before = np.roll(word, 1)
+    before[(np.cumsum(size) - size)[size > 0]] = START
+    of = lambda x, kind: (x & ~U(3)) | U(kind)
+    return np.concatenate([of(mix(mix(before) * U(3) + word), BIGRAM), of(mix(word + U(1)), WORD), of(mix(before + U(2)), CONTEXT)]), size
 
 
-class Vocabulary:
-    """Ids by falling count; ties by hash."""
+def _shrunk(x: np.ndarray) -> bytes:
+    x = x.astype(np.min_scalar_type(int(x.max(initial=0))))
+    planes = np.ascontiguousarray(x.view(np.uint8).reshape(-1, x.itemsize).T)
+    return bytes([x.itemsize]) + pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
 
-    def __init__(self, words: list[int]):
-        got = np.array(words, np.int64).view(U)
-        self.order = np.argsort(got)
-        self.words = got[self.order]
 
-    def pairs(self, text: str) -> np.ndarray:
-        """Cells (previous id, id) of the text's words in the table of bigrams."""
-        h = _hashes(text)
-        if not len(self.words) or not len(h):
-            ids = np.full(len(h), WORDS)
-        else:
-            at = np.minimum(np.searchsorted(self.words, h), len(self.words) - 1)
-            ids = np.where(self.words[at] == h, self.order[at], WORDS)
-        return np.concatenate([[WORDS + 1], ids[:-1]]) * SIZE + ids if len(ids) else ids
+def _grown(data: bytes, n: int) -> np.ndarray:
+    planes = np.frombuffer(pa.decompress(data[1:], n * data[0], codec="zstd"), np.uint8).reshape(data[0], n)
+    return np.ascontiguousarray(planes.T).view(f"u{data[0]}").ravel().astype(np.int64)
 
 
-def _pair_counts(vocabulary):
-    """(text, is target) -> per segment of the table the cells that a partition's texts fill, packed."""
+def _packed(keys: np.ndarray) -> bytes:
+    """Sorted keys byte by byte of all: the high bytes hardly differ."""
+    return pa.compress(np.ascontiguousarray(keys.view(np.uint8).reshape(-1, 8).T).tobytes(), codec="zstd", asbytes=True)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, total = Vocabulary(vocabulary.value), np.zeros((2, SIZE * SIZE), np.int32)
-        for batch in batches:
-            for text, target in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                cells = known.pairs(text or "")
-                np.add.at(total[1], cells, 1)
-                if target:
-                    np.add.at(total[0], cells, 1)
-        used = np.flatnonzero(total[1])
-        out = [(s, used[used % SEGMENTS == s].astype(np.int32)) for s in range(SEGMENTS)]
-        out = [(s, c.tobytes(), total[0, c].tobytes(), total[1, c].tobytes()) for s, c in out if len(c)]
-        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate((pa.int64(), pa.binary(), pa.binary(), pa.binary()))], ["segment", "cells", "target", "background"])
 
-    return run
+def _unpacked(data: bytes, n: int) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(pa.decompress(data, n * 8, codec="zstd"), np.uint8).reshape(8, n).T).view(U).ravel()
+
 
+def _bundles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, tk, tl, text) -> batches of about BATCH bytes of text: their ids, and the rest packed."""
+    made, schema = 0, None
 
-def _add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sums what several partitions counted: one row a segment, of cells (int32) and counts (int64)."""
-    sums: dict[int, np.ndarray] = {}
+    def bundle(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
+        nonlocal made
+        table = pa.Table.from_batches(rows).combine_chunks()
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, table.schema.remove(0), options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+            out.write_table(table.drop_columns([table.schema.names[0]]))
+        made += 1
+        ids = pa.ListArray.from_arrays(pa.array([0, len(table)], pa.int32()), table.column(0).combine_chunks() if table.column(0).num_chunks != 1 else table.column(0).chunk(0))
+        batch = (TaskContext.get().partitionId() << 32) + made
+        return pa.RecordBatch.from_arrays([pa.array([batch]), ids, pa.array([sink.getvalue().to_pybytes()], pa.binary())], ["batch", "ids", "texts"])
+
+    rows, size = [], 0
     for batch in batches:
-        for segment, cells, *counts in zip(*[c.to_pylist() for c in batch.columns]):
-            table = sums.setdefault(segment, np.zeros((2, -(-SIZE * SIZE // SEGMENTS)), np.int64))
-            at = np.frombuffer(cells, np.int32) // SEGMENTS
-            for k, c in enumerate(counts):
-                table[k, at] += np.frombuffer(c, np.int32)
-    for segment, table in sums.items():
-        yield pa.RecordBatch.from_arrays([pa.array([segment]), *[pa.array([t.tobytes()], pa.binary()) for t in table]], ["segment", "target", "background"])
+        ends = np.cumsum([len(t) + 64 for t in batch.column(3).to_pylist()], dtype=np.int64)
+        at = 0
+        while at < batch.num_rows:
+            done = int(ends[at - 1]) if at else 0
+            upto = min(batch.num_rows, int(np.searchsorted(ends, done + BATCH - size)) + 1)
+            rows.append(batch.slice(at, upto - at))
+            size += int(ends[upto - 1]) - done
+            at = upto
+            if size >= BATCH:
+                yield bundle(rows)
+                rows, size = [], 0
+    if rows:
+        yield bundle(rows)
+
 
+def _opened(texts: bytes) -> pa.Table:
+    return pa.ipc.open_stream(texts).read_all()
 
-def losses(counts: np.ndarray) -> np.ndarray:
-    """The loss table of a model: Dirichlet-smoothed bigrams over add-one unigrams."""
-    table = counts.reshape(SIZE, SIZE).astype(np.float64)
-    word = (table.sum(0) + 1) / (table.sum() + SIZE)
-    return (-np.log((table + DIRICHLET * word) / (table.sum(1, keepdims=True) + DIRICHLET))).astype(np.float32).ravel()
 
+def _told(bits: int):
+    """(batch, places of its target texts, texts) -> per segment the batch's distinct keys in order and how often target and background have them."""
 
-def _score(vocabulary, models):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, (target, background) = Vocabulary(vocabulary.value), models.value
-        for batch in batches:
-            out = []
-            for text in batch.column(0).to_pylist():
-                cells = known.pairs(text or "")
-                out.append((len(cells), *[float(x[cells].mean(dtype=np.float64)) if len(cells) else None for x in (target, background)]))
-            more = [pa.array([r[i] for r in out], t) for i, t in enumerate((pa.int64(), pa.float64(), pa.float64()))]
-            yield pa.RecordBatch.from_arrays([*batch.columns[1:], *more], [*batch.schema.names[1:], "n_tokens", "loss_target", "loss_background"])
+        for rows in batches:
+            for batch, places, texts in zip(*[c.to_pylist() for c in rows.columns]):
+                keys, size = _keys(_opened(texts).column(2).to_pylist())
+                if not len(keys):
+                    continue
+                target = np.zeros(len(size))
+                target[places or []] = 1
+                key, at = np.unique(keys, return_inverse=True)
+                counts = [np.bincount(at, np.tile(np.repeat(target, size), 3)).astype(np.int64), np.bincount(at)]
+                segment = (key >> U(64 - bits)).astype(np.int64)
+                cuts = [*np.flatnonzero(np.diff(segment, prepend=-1)).tolist(), len(key)]
+                out = [(batch, int(segment[i]), j - i, _packed(key[i:j]), *[_shrunk(c[i:j]) for c in counts]) for i, j in zip(cuts, cuts[1:])]
+                kinds = (pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate(kinds)], ["batch", "segment", "n", "keys", "target", "background"])
 
     return run
 
 
-def fit(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str = "text", label_id: str = "doc_id", quality: str = "quality", toxic: str = "toxic"):
-    """The shared vocabulary and the two models, as broadcasts of fixed size.
+def _counted(group: pa.Table) -> pa.Table:
+    """All that was told of one segment -> the sums, for each batch in the order of its keys, and once the segment's tokens and words."""
+    batch, segment, n, keys, *told = [c.to_pylist() for c in group.columns]
+    key, at = np.unique(np.concatenate([_unpacked(k, m) for k, m in zip(keys, n)]), return_inverse=True)
+    sums = [np.bincount(at, np.concatenate([_grown(c, m) for c, m in zip(column, n)])).astype(np.int64) for column in told]
+    ends = np.cumsum(n)
+    back = [pa.array([_shrunk(s[at[e - m : e]]) for e, m in zip(ends, n)], pa.binary()) for s in sums]
+    words = (key & U(3)) == WORD
+    once = [pa.array([int(x), *[0] * (len(n) - 1)], pa.int64()) for x in (sums[0][words].sum(), sums[1][words].sum(), words.sum())]
+    return pa.Table.from_arrays([pa.array(batch, pa.int64()), pa.array(segment, pa.int32()), *back, *once], ["batch", "segment", "target", "background", "n_target", "n_background", "n_words"])
+
+
+def losses(counts: np.ndarray, tokens: int, words: int) -> np.ndarray:
+    """Of each token, by a model's counts of bigrams, words and contexts: Dirichlet-smoothed bigrams over add-one unigrams."""
+    bigram, word, context = counts.reshape(3, -1)
+    return -np.log((bigram + DIRICHLET * (word + 1) / (tokens + words)) / (context + DIRICHLET))
+
+
+def _scored(tokens: tuple[int, int], words: int):
+    """A batch's texts and the sums of its keys by segment -> the mean losses of each text."""
+
+    def run(group: pa.Table) -> pa.Table:
+        rows = sorted(group.to_pylist(), key=lambda r: r["segment"])  # the texts are segment -1
+        table = _opened(rows[0]["target"])
+        keys, size = _keys(table.column(2).to_pylist())
+        key, at = np.unique(keys, return_inverse=True)
+        n = np.bincount(np.searchsorted([r["segment"] for r in rows], (key >> U(64 - rows[0]["bits"])).astype(np.int64)), minlength=len(rows))
+        owner, out = np.repeat(np.arange(len(size)), size), []
+        for column, total in zip(("target", "background"), tokens):
+            counts = np.concatenate([np.zeros(0, np.int64), *[_grown(r[column], int(m)) for r, m in zip(rows[1:], n[1:])]])
+            sums = np.bincount(owner, losses(counts[at], total, words), len(size)) if len(key) else np.zeros(len(size))
+            out.append(pa.array(sums / np.maximum(size, 1), pa.float64(), mask=size == 0))
+        return pa.Table.from_arrays([table.column(0), table.column(1), pa.array(size), *out], ["tk", "tl", "n_tokens", "loss_target", "loss_background"])
 
-    The background is every document, the target every document with a label of quality 1 that isn't toxic. The vocabulary
-    holds the WORDS most frequent words of all documents; all others are one class. Counts are summed by
-    Spark: word counts by word, bigram counts by segment of the fixed table.
-    """
-    spark = docs.sparkSession
-    flat, _ = enter(docs, doc_id=doc_id, text=text)
-    good, _ = enter(labels, label_id=label_id, quality=quality, toxic=toxic)
-    good = good.where("quality = 1 AND coalesce(toxic, 0) = 0").select(F.col("label_id").alias("doc_id")).distinct().withColumn("target", F.lit(True))
-    flat = flat.select("doc_id", F.col("text").cast("string").alias("text"))
-    counts = flat.select("text").mapInArrow(_word_counts, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    words = [r.word for r in counts.orderBy(F.desc("n"), "word").limit(WORDS).select("word").collect()]
-    vocabulary = spark.sparkContext.broadcast(words)
-    # merged at every size: labels are a third of the documents, so they outgrow any broadcast
-    told = flat.join(good.hint("merge"), "doc_id", "left").select("text", F.coalesce("target", F.lit(False)).alias("target"))
-    packed = told.mapInArrow(_pair_counts(vocabulary), "segment long, cells binary, target binary, background binary")
-    summed = packed.repartition(SEGMENTS, "segment").mapInArrow(_add_up, "segment long, target binary, background binary")
-    tables = np.zeros((2, -(-SIZE * SIZE // SEGMENTS), SEGMENTS), np.int64)
-    for row in summed.collect():  # SEGMENTS rows of a fixed size
-        tables[0, :, row.segment] = np.frombuffer(row.target, np.int64)
-        tables[1, :, row.segment] = np.frombuffer(row.background, np.int64)
-    models = spark.sparkContext.broadcast([losses(t) for t in tables.reshape(2, -1)[:, : SIZE * SIZE]])
-    return vocabulary, models
-
-
-def cross_entropy_difference(docs: DataFrame, labels: DataFrame, *, text: str = "text", **columns: str) -> DataFrame:
+    return run
+
+
+def cross_entropy_difference(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str = "text", label_id: str = "doc_id", quality: str = "quality", toxic: str = "toxic") -> DataFrame:
     """Adds n_tokens, loss_target and loss_background (mean loss a token, in nats) and score, target less background: lower is more like the target.
 
-    See ``fit`` for the models. Words are the runs of anything but ASCII blanks, A-Z lower-cased. Null and empty texts
+    The background model counts every document, the target model every document with a label of quality 1 that isn't toxic; both
+    keep every word and bigram that occurs, over the one vocabulary of all documents' words. Counts are tables by key (a
+    64-bit hash): batches of texts are packed, each tells its distinct keys and their counts to the segments of the key
+    space, as many as the input needs, and gets the sums back; a key is told once a batch, however common it is.
+
+    Words are the runs of anything but ASCII blanks, A-Z lower-cased. Null and empty texts
     have no tokens and null losses and score. Labels without a document, null labels and repeated ones change nothing;
     without any target document the target model is uniform. Repeated rows each come back, and count each in the models. Input columns named like
     an added column are replaced.
     """
-    vocabulary, models = fit(docs, labels, text=text, **columns)
-    flat, names = enter(docs, text=text)
-    own = [c for c in flat.columns if c.startswith("in_")]
-    ready = flat.select(F.col("text").cast("string").alias("text"), *own)
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in ready.schema.fields[1:]] + ["n_tokens long", "loss_target double", "loss_background double"])
-    done = ready.mapInArrow(_score(vocabulary, models), schema)
-    return leave(done, names, {n: F.col(n) for n in ("n_tokens", "loss_target", "loss_background")} | {"score": F.col("loss_target") - F.col("loss_background")})
+    flat, names = enter(docs, doc_id=doc_id, text=text)
+    good, _ = enter(labels, label_id=label_id, quality=quality, toxic=toxic)
+    good = good.where("quality = 1 AND coalesce(toxic, 0) = 0").select(F.col("label_id").alias("doc_id")).distinct()
+    flat = flat.withColumn("text", F.coalesce(F.col("text").cast("string"), F.lit("")))
+    flat = flat.withColumn("tk", F.xxhash64("text")).withColumn("tl", F.length("text"))
+    ready = flat.select("doc_id", "tk", "tl", "text")
+    size = ready.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    bits = max(4, (size // SEGMENT).bit_length())
+    bundles = keep(ready.mapInArrow(_bundles, f"batch long, ids array<{ready.schema['doc_id'].dataType.simpleString()}>, texts binary"))
+    # merged at every size: labels are a third of the documents, so they outgrow any broadcast
+    places = bundles.select("batch", F.posexplode("ids").alias("place", "doc_id")).join(good.hint("merge"), "doc_id", "left_semi")
+    places = places.groupBy("batch").agg(F.collect_list("place").alias("places"))
+    told = bundles.join(places.hint("merge"), "batch", "left").select("batch", "places", "texts").mapInArrow(_told(bits), TOLD)
+    counted = keep(told.groupBy("segment").applyInArrow(_counted, COUNTED))
+    total = counted.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n_target", "n_background", "n_words")]).first()
+    own = bundles.select("batch", F.lit(-1).alias("segment"), F.col("texts").alias("target"), F.lit(None).cast("binary").alias("background"))
+    both = own.unionByName(counted.select("batch", "segment", "target", "background")).withColumn("bits", F.lit(bits))
+    scored = both.groupBy("batch").applyInArrow(_scored((total.n_target, total.n_background), total.n_words), "tk long, tl int, n_tokens long, loss_target double, loss_background double")
+    added = ("n_tokens", "loss_target", "loss_background")
+    scored = scored.groupBy("tk", "tl").agg(*[F.min(c).alias(c) for c in added])
+    done = flat.join(scored.hint("merge"), ["tk", "tl"])
+    return leave(done, names, {n: F.col(n) for n in added} | {"score": F.col("loss_target") - F.col("loss_background")})

@@ -216,6 +216,28 @@ def test_lm_edges(spark):
         assert (r.score is None) == (r.n_tokens == 0) and r.n_tokens == len(brute.WORD.findall(r.text or ""))
 
 
+def test_lm_keeps_all_words(spark, monkeypatch):
+    from islet.llm import lm
+
+    monkeypatch.setattr(lm, "BATCH", 20_000)
+    rng = random.Random(6)
+    made = [(d, " ".join(f"W{min(int(rng.paretovariate(0.4)), 10**9)}" for _ in range(rng.randint(0, 300))), "s") for d in range(120)] + EDGE
+    good = {d for d in range(120) if d % 4 == 0} | {8}
+    labels = spark.createDataFrame([(d, 1, None) for d in good] + [(d, 0, 0) for d in range(120) if d % 4 == 1], "doc_id long, quality int, toxic int")
+    each = [[t.translate(brute.LOWER) for t in brute.WORD.findall(x or "")] for _, x, _ in made]
+    models = []
+    for of in ([w for (d, _, _), w in zip(made, each) if d in good], each):
+        models.append((Counter(b for w in of for b in zip(["", *w], w)), Counter(x for w in of for x in w), Counter(x for w in of for x in ["", *w][:-1])))
+    size = len(models[1][1])
+    assert size > 5000
+    want = Counter()
+    for (d, _, _), w in zip(made, each):
+        loss = [-np.mean([np.log((b[x, y] + 20 * (u[y] + 1) / (u.total() + size)) / (c[x] + 20)) for x, y in zip(["", *w], w)]) if w else None for b, u, c in models]
+        want[d, len(w), *[x if x is None else round(x, 6) for x in loss]] += 1
+    got = cross_entropy_difference(clash(spark.createDataFrame(made, SCHEMA)), labels).collect()
+    assert Counter((r.doc_id, r.n_tokens, *[x if x is None else round(x, 6) for x in (r.loss_target, r.loss_background)]) for r in got) == want
+
+
 def test_chat(spark):
     t = [(1, 0, "user", "hi"), (1, 1, "bot", "yo"), (2, 0, "user", "hi"), (3, 0, "user", "hi"), (3, 1, "bot", "yo"), (3, 1, "bot", "yo"), (3, 2, "user", None), (4, 0, "user", "hi"), (4, 1, "bot", "yo"), (4, 2, "user", ""), (5, 0, None, "x"), (6, 0, None, "x"), (None, 0, "user", "hi"), (7, None, "user", "hi"), (7, 1, "bot", "no")]
     df = clash(spark.createDataFrame(t, "conv_id long, turn long, role string, text string"))
