@@ -17,6 +17,7 @@ from islet.llm.textarrays import U, mix
 
 WALKS, BANDS, BITS = 4, 16, 4
 SEED = 3  # words
+PIECE = 32  # words at most; longer items are looked for by their pieces
 _PLAIN = ~np.array([c >= 128 or chr(c).isalnum() for c in range(256)])
 HITS = "array<struct<item_id:bigint,distance:int,item_words:int,first_word:int>>"
 
@@ -43,6 +44,18 @@ def allowed(length: int, part: float) -> int:
     return int(part * length + 1e-9)
 
 
+def pieces(length: int) -> list[tuple[int, int]]:
+    """(start, words) of even pieces of an item and, of longer ones, of those between their middles.
+
+    Walks fall out of step with every edit, so samples of a long item no longer meet; but of its pieces one at least has no more edits a word than
+    the whole.
+    """
+    n = -(-length // PIECE)
+    cuts = [i * length // n for i in range(n + 1)]
+    middles = [(a + b) // 2 for a, b in zip(cuts, cuts[1:])]
+    return [(a, b - a) for some in (cuts, middles) for a, b in zip(some, some[1:])]
+
+
 def sketch(w: np.ndarray, starts: np.ndarray, lengths: np.ndarray, stops: np.ndarray) -> np.ndarray:
     """LSH keys (windows, WALKS * BANDS) of the windows of ``lengths`` words from ``starts`` on, not beyond ``stops``.
 
@@ -95,24 +108,26 @@ class Items:
 
     def __init__(self, rows: list[tuple], part: float, least: int):
         kept = [(i, words(t or "")) for i, t in rows]
-        self.items = [(i, w) for i, w in kept if len(w) >= least]
-        self.part = part
-        # Within the allowed edits an item keeps a run of (words - edits) / (edits + 1) words: windows with no SEED-word run of
-        # an item's can't match it; items whose runs may be shorter are seeded by what is certain.
+        self.items = [(i, w) for i, w in kept if len(w)]
+        self.edits = [allowed(len(w), part) if len(w) >= least else 0 for _, w in self.items]
+        parts = [(at, a, w[a : a + n]) for at, (_, w) in enumerate(self.items) for a, n in pieces(len(w))]
+        self.whole, self.before = (np.array([x[i] for x in parts], np.int64) for i in (0, 1))
+        # Within the allowed edits a piece keeps a run of (words - edits) / (edits + 1) words: windows with no SEED-word run of
+        # a piece's can't match it; pieces whose runs may be shorter are seeded by what is certain.
         by = defaultdict(list)
-        for at, (_, w) in enumerate(self.items):
-            e = allowed(len(w), part)
+        for at, (item, _, w) in enumerate(parts):
+            e = min(allowed(len(w), part), self.edits[item])
             n = min(SEED, -(-(len(w) - e) // (e + 1)))
             g = grams(w, n)
             by[n].append((g, np.full(len(g), at), np.arange(len(g))))
         self.seeds = {}
-        for n, parts in by.items():
-            g, at, pos = (np.concatenate(x) for x in zip(*parts))
+        for n, seeds in by.items():
+            g, at, pos = (np.concatenate(x) for x in zip(*seeds))
             order = np.argsort(g, kind="stable")
             flags = np.zeros(1 << 20, bool)
             flags[(g & U((1 << 20) - 1)).astype(np.int64)] = True
             self.seeds[n] = (flags, g[order], at[order], pos[order])
-        flat, size = np.concatenate([*[w for _, w in self.items], np.zeros(1, U)]), np.array([len(w) for _, w in self.items], np.int64)
+        flat, size = np.concatenate([*[w for *_, w in parts], np.zeros(1, U)]), np.array([len(w) for *_, w in parts], np.int64)
         ends = np.cumsum(size)
         self.sizes, self.keys = size, sketch(flat, ends - size, size, ends)
 
@@ -120,7 +135,8 @@ class Items:
         """The hits of each text."""
         each = [words(t) for t in texts]
         w = np.concatenate([*each, np.zeros(1, U)])
-        ends = np.cumsum([len(x) for x in each])
+        sizes = np.array([len(x) for x in each], np.int64)
+        ends = np.cumsum(sizes)
         wanted = []
         for n, (flags, seeds, item, pos) in self.seeds.items():
             g = grams(w, n)
@@ -131,7 +147,7 @@ class Items:
             times = hi - lo
             k = np.repeat(lo, times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
             doc = np.repeat(doc, times)
-            begin = np.maximum(np.repeat(some, times) - pos[k], ends[doc] - [len(each[d]) for d in doc.tolist()])
+            begin = np.maximum(np.repeat(some, times) - pos[k], ends[doc] - sizes[doc])
             wanted.append(np.stack([doc, item[k], begin]))
         out = [[] for _ in texts]
         if not wanted:
@@ -140,12 +156,14 @@ class Items:
         if not len(doc):
             return out
         met = (sketch(w, start, self.sizes[item], ends[doc]) == self.keys[item]).any(1)
+        doc, item, start = doc[met], self.whole[item[met]], start[met] - self.before[item[met]]
+        doc, item, start = np.unique(np.stack([doc, item, np.maximum(start, ends[doc] - sizes[doc])]), axis=1)
         found: dict[tuple[int, int], tuple] = {}
         upto: dict[tuple[int, int], int] = {}
-        for d, k, s in zip(doc[met].tolist(), item[met].tolist(), start[met].tolist()):
+        for d, k, s in zip(doc.tolist(), item.tolist(), start.tolist()):
             x, begin = self.items[k][1], int(ends[d]) - len(each[d])
-            e, s = allowed(len(x), self.part), s - begin
-            if s > upto.get((d, k), -1):  # one look covers all starts up to e words on
+            e, s = self.edits[k], s - begin
+            if s > upto.get((d, k), -1) and found.get((d, k), (1,))[0]:  # one look covers all starts up to e words on
                 lo, upto[d, k] = max(0, s - e), s + e
                 least, first = distance(x.tolist(), each[d][lo : s + 2 * e + len(x)].tolist())
                 if least <= e and least < found.get((d, k), (e + 1,))[0]:
@@ -159,15 +177,16 @@ def find_items(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", ite
     """Adds ``hits``: the benchmark items that a document holds within ``max_edits`` edits a word of the item.
 
     Each hit has item_id, distance (least word edits to any part of the text), item_words and first_word. Words are
-    lower-cased runs of letters and digits. Windows of the item's size that share a seed run of words with it (no
-    match can lack one) are embedded by CGK random walks and must meet the item in one of WALKS * BANDS bit samples;
-    then the exact edit distance decides. The samples find a window at ``max_edits`` in well over nine cases of ten, and
-    every exact copy.
+    lower-cased runs of letters and digits. Items are looked for by overlapping pieces of up to PIECE words, one of which has
+    no more edits a word than the whole. Windows of a piece's size that share a seed run of words with it (no
+    match can lack one) are embedded by CGK random walks and must meet the piece in one of WALKS * BANDS bit samples;
+    then the exact edit distance of the whole item decides. The samples find an item at ``max_edits`` in over nine cases of
+    ten at every length (tested up to 400 words), and every exact copy.
 
     The benchmark goes to the executors in blocks of about ``block_bytes`` of text, each in a pass of its own, so what is
     broadcast never grows with it. Nothing is shuffled; every document row is judged alone.
 
-    Null or empty texts have no hits (an empty array). Items with a null text or under ``min_words`` words are never found.
+    Null or empty texts have no hits (an empty array). Of items under ``min_words`` words exact copies are found; items without words never are.
     Repeated rows and items each have their own hits. An input column called hits is replaced.
     """
     spark = docs.sparkSession

@@ -190,6 +190,31 @@ def test_decontaminate(spark):
         assert h.distance == edit_within(x, y)
 
 
+@pytest.mark.parametrize("size", [20, 100, 200, 400])
+def test_decontaminate_long_items(size):
+    from islet.llm.decontaminate import Items
+
+    rng = random.Random(size)
+    words = ["".join(rng.choices("abcdefghij", k=rng.randint(3, 7))) for _ in range(3000)]
+    items, texts = [(i, " ".join(rng.choices(words, k=size))) for i in range(60)], []
+    for i, t in items:
+        w = [[x] for x in t.split()]
+        for k in rng.sample(range(size), size // 5):
+            w[k] = [rng.choice(words)] if i % 2 else rng.choice(([], [rng.choice(words)], [*w[k], rng.choice(words)]))
+        texts.append(" ".join(rng.choices(words, k=30) + [y for x in w for y in x] + rng.choices(words, k=30)))
+    got = Items(items, 0.2, 5).find(texts)
+    assert sum(any(h["item_id"] == i for h in hits) for i, hits in enumerate(got)) >= 54
+    for i, hits in enumerate(got):
+        assert all(h["item_id"] == i and h["distance"] == edit_within(items[i][1].split(), texts[i].split()) for h in hits)
+
+
+def test_decontaminate_short_items(spark):
+    bench = spark.createDataFrame([(1, "Forty-two"), (2, "one two three four"), (3, "x"), (4, ""), (5, None)], "item_id long, text string")
+    made = [(1, "it is forty, two and forty two", "s"), (2, "One two three, four!", "s"), (3, "one two three 4 forty", "s"), (4, "a x b x", "s")]
+    got = {(r.doc_id, h.item_id, h.distance, h.first_word) for r in find_items(spark.createDataFrame(made, SCHEMA), bench).collect() for h in r.hits}
+    assert got == {(1, 1, 0, 2), (2, 2, 0, 0), (4, 3, 0, 1)}
+
+
 def edit_within(x, y):
     row = [0] * (len(y) + 1)
     for i, a in enumerate(x, 1):
