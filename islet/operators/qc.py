@@ -47,23 +47,25 @@ def qc_flags(metrics: DataFrame, *, mahal_thresh: float = 3.0, min_coverage_frac
 def median_imputed(counts: DataFrame, *, value: str = "frac_meth", sample: str = "sample", locus: str = "island_id") -> DataFrame:
     """(sample, locus, value, imputed) for every sample at every locus with a value; what is missing gets the locus's median.
 
-    The grid is every sample at every locus by definition: its rows come from each locus's own row and the sample list, which
-    goes along as one array, as samples are few against loci.
+    The grid is every sample at every locus by definition: the product of the tables of loci and of samples.
     """
     known = counts.where(F.col(value).isNotNull()).groupBy(locus, sample).agg(F.avg(value).alias("v"))
     middle = known.groupBy(locus).agg(F.percentile("v", 0.5).alias("middle"))
-    samples = [r[0] for r in counts.select(sample).distinct().collect()]
-    grid = middle.withColumn(sample, F.explode(F.array(*[F.lit(x).cast(counts.schema[sample].dataType) for x in samples])) if samples else F.lit(None))
+    grid = middle.crossJoin(counts.select(sample).distinct())
     both = grid.join(known, [locus, sample], "left")
     return both.select(sample, locus, F.coalesce("v", "middle").alias(value), F.col("v").isNull().alias("imputed"))
 
 
 def principal_components(imputed: DataFrame, *, value: str = "frac_meth", sample: str = "sample", locus: str = "island_id", k: int = 2) -> DataFrame:
-    """(sample, pc1, pc2, ...) of the samples over standardised loci (zero variance: unit scale), by the samples' Gram matrix.
+    """(sample, pc1, pc2, ...) of the samples over standardised loci (zero variance: unit scale), by the matrix of the smaller side.
 
-    Products of samples are summed by Spark, locus by locus; only the matrix of samples by samples reaches the driver, and a cohort's
-    samples are few. Signs are set so that the largest loading of each axis is positive. Under three samples: no rows.
+    Of up to as many samples as loci, products of samples are summed by Spark, locus by locus, and the matrix of samples by samples
+    reaches the driver; of more, products of loci, sample by sample, and the samples are projected by a join. So one of the sides must
+    be few. Signs are set so that the largest loading of each axis is positive. Under three samples: no rows.
     """
+    n_samples = imputed.select(sample).distinct().count()
+    if n_samples >= 3 and n_samples > imputed.select(locus).distinct().count():
+        return _components_by_loci(imputed, value, sample, locus, k)
     here = Window.partitionBy(locus)
     sd = F.stddev_pop(value).over(here)
     scaled = imputed.select(sample, locus, ((F.col(value) - F.avg(value).over(here)) / F.when(sd > 0, sd).otherwise(1.0)).alias("x"))
@@ -88,6 +90,28 @@ def principal_components(imputed: DataFrame, *, value: str = "frac_meth", sample
     return spark.createDataFrame([(n, *map(float, row)) for n, row in zip(names, coords)], schema)
 
 
+def _components_by_loci(imputed: DataFrame, value: str, sample: str, locus: str, k: int) -> DataFrame:
+    """``principal_components`` of more samples than loci: only what is as large as the loci, or their pairs, reaches the driver."""
+    spark, kind = imputed.sparkSession, imputed.schema[locus].dataType.simpleString()
+    loci = [tuple(r) for r in imputed.groupBy(locus).agg(F.avg(value), F.stddev_pop(value)).collect()]
+    scale = spark.createDataFrame([(i, *r) for i, r in enumerate(loci)], f"at int, of {kind}, mean double, sd double")
+    x = (F.col(value) - F.col("mean")) / F.when(F.col("sd") > 0, F.col("sd")).otherwise(1.0)
+    scaled = imputed.join(F.broadcast(scale), F.col(locus).eqNullSafe(F.col("of"))).select(F.col(sample).alias("s"), "at", x.alias("x"))
+    rows = scaled.groupBy("s").agg(F.collect_list(F.struct("at", "x")).alias("v"))
+    pairs = rows.select(F.explode("v").alias("a"), "v").select("a", F.explode("v").alias("b")).where("a.at <= b.at")
+    matrix = np.zeros((len(loci), len(loci)))
+    for r in pairs.groupBy(F.col("a.at").alias("i"), F.col("b.at").alias("j")).agg(F.sum(F.col("a.x") * F.col("b.x")).alias("g")).collect():
+        matrix[r.i, r.j] = matrix[r.j, r.i] = r.g
+    values, vectors = np.linalg.eigh(matrix)
+    axes = vectors[:, np.argsort(values)[::-1][:k]]
+    axes = np.pad(axes, ((0, 0), (0, k - axes.shape[1])))
+    names = [f"pc{i + 1}" for i in range(k)]
+    share = spark.createDataFrame([(i, *map(float, a)) for i, a in enumerate(axes)], ", ".join(["at int", *[f"{n} double" for n in names]]))
+    made = scaled.join(F.broadcast(share), "at").groupBy("s").agg(*[F.sum(F.col("x") * F.col(n)).alias(n) for n in names])
+    far = made.agg(*[F.max_by(n, F.abs(n)).alias(n) for n in names]).first()
+    return made.select(F.col("s").alias(sample), *[(F.col(n) * (-1.0 if far[n] < 0 else 1.0)).alias(n) for n in names])
+
+
 def mahalanobis(coords: DataFrame, x: str = "pc1", y: str = "pc2", *, out: str = "mahal_dist") -> DataFrame:
     """Distance of each point to the mean by the sample covariance; of a degenerate one, by each axis's own deviation; under three points, zero."""
     m = coords.agg(F.count("*").alias("n"), F.avg(x).alias("mx"), F.avg(y).alias("my"), F.var_samp(x).alias("vx"), F.var_samp(y).alias("vy"), F.covar_samp(x, y).alias("c")).first()

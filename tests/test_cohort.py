@@ -127,3 +127,24 @@ def test_embedding_and_flags(spark):
 
 def test_sanitized(spark):
     assert spark.range(1).select(sanitized(F.lit("chr1:10-20__x"))).first()[0] == "chr1_10-20_x"
+
+
+def test_components_of_many_samples(spark, monkeypatch):
+    import numpy as np
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    values = np.random.default_rng(3).random((60, 4)) * [1, 3, 2, 1] + np.arange(60)[:, None] * [0.02, 0.1, 0, 0]
+    values[:, 3] = 0.5
+    rows = [(f"s{i}", f"l{j}", "all", float(v)) for i, row in enumerate(values) for j, v in enumerate(row)]
+    table = spark.createDataFrame(rows, "sample string, island_id string, haplotype string, frac_meth double").cache()
+    most, collect = [], DataFrame.collect
+    monkeypatch.setattr(DataFrame, "collect", lambda self: most.append(got := collect(self)) or got)
+    made = qc.principal_components(qc.median_imputed(table))
+    assert max(map(len, most), default=0) <= 10
+    got = {r.sample: (r.pc1, r.pc2) for r in collect(made)}
+    sd = values.std(0)
+    x = (values - values.mean(0)) / np.where(sd > 1e-9, sd, 1)
+    u, d, _ = np.linalg.svd(x, full_matrices=False)
+    want = u[:, :2] * d[:2]
+    want *= np.where(want[np.abs(want).argmax(0), range(2)] < 0, -1, 1)
+    assert np.allclose([got[f"s{i}"] for i in range(60)], want, atol=1e-8)
