@@ -15,11 +15,13 @@ from islet.llm.textarrays import _LOWER, U, mix, word_bounds, word_hashes
 
 DIRICHLET = 20.0
 BATCH = 4 << 20  # bytes of text whose n-grams are asked for together
-SEGMENT = 16 << 20  # bytes of text whose n-grams a range of hashes holds on average
+SEGMENT = 8 << 20  # bytes of text whose n-grams a range of hashes holds on average
 START = U(0x2545F4914F6CDD1D)  # stands before the first word
-BIGRAM, WORD, CONTEXT = range(3)  # the last two bits of a key
-TOLD = "batch long, segment int, n int, keys binary, target binary, background binary"
-COUNTED = "batch long, segment int, target binary, background binary, n_target long, n_background long, n_words long"
+BIGRAM, WORD, TEXTS = range(3)  # the last two bits of a key
+SIDES = ("target", "background")
+SUMS = (*SIDES, "target_ends", "background_ends")  # how often a key occurs, and how often its word ends a text
+TOLD = "batch long, segment int, n int, keys binary, " + ", ".join(f"{c} binary" for c in SUMS)
+COUNTED = "batch long, segment int, " + ", ".join(f"{c} binary" for c in SUMS) + ", n_target long, n_background long, n_words long"
 
 
 def _hashes(text: str) -> np.ndarray:
@@ -28,14 +30,16 @@ def _hashes(text: str) -> np.ndarray:
 
 
 def _keys(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of the bigrams, words and contexts of all tokens, one kind after the other, and the tokens of each text."""
+    """Keys of the bigrams and the words of all tokens, one kind after the other, then the one of the texts with tokens; and the tokens of each text."""
     each = [_hashes(t) for t in texts]
     size = np.array([len(h) for h in each], np.int64)
     word = np.concatenate([np.zeros(0, U), *each])
+    if not len(word):
+        return word, size
     before = np.roll(word, 1)
     before[(np.cumsum(size) - size)[size > 0]] = START
     of = lambda x, kind: (x & ~U(3)) | U(kind)
-    return np.concatenate([of(mix(mix(before) * U(3) + word), BIGRAM), of(mix(word + U(1)), WORD), of(mix(before + U(2)), CONTEXT)]), size
+    return np.concatenate([of(mix(mix(before) * U(3) + word), BIGRAM), of(mix(word + U(1)), WORD), of(mix(np.array([START])), TEXTS)]), size
 
 
 def _shrunk(x: np.ndarray) -> bytes:
@@ -106,12 +110,15 @@ def _told(bits: int):
                 target = np.zeros(len(size))
                 target[places or []] = 1
                 key, at = np.unique(keys, return_inverse=True)
-                counts = [np.bincount(at, np.tile(np.repeat(target, size), 3)).astype(np.int64), np.bincount(at)]
+                each = (target, np.ones(len(size)))
+                counts = [np.bincount(at, np.concatenate([np.tile(np.repeat(w, size), 2), [w[size > 0].sum()]])).astype(np.int64) for w in each]
+                last = at[size.sum() + np.cumsum(size)[size > 0] - 1]  # the places of the texts' last words
+                counts += [np.bincount(last, w[size > 0], len(key)).astype(np.int64) for w in each]
                 segment = (key >> U(64 - bits)).astype(np.int64)
                 cuts = [*np.flatnonzero(np.diff(segment, prepend=-1)).tolist(), len(key)]
                 out = [(batch, int(segment[i]), j - i, _packed(key[i:j]), *[_shrunk(c[i:j]) for c in counts]) for i, j in zip(cuts, cuts[1:])]
-                kinds = (pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
-                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate(kinds)], ["batch", "segment", "n", "keys", "target", "background"])
+                kinds = (pa.int64(), pa.int32(), pa.int32(), *[pa.binary()] * 5)
+                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate(kinds)], ["batch", "segment", "n", "keys", *SUMS])
 
     return run
 
@@ -125,12 +132,17 @@ def _counted(group: pa.Table) -> pa.Table:
     back = [pa.array([_shrunk(s[at[e - m : e]]) for e, m in zip(ends, n)], pa.binary()) for s in sums]
     words = (key & U(3)) == WORD
     once = [pa.array([int(x), *[0] * (len(n) - 1)], pa.int64()) for x in (sums[0][words].sum(), sums[1][words].sum(), words.sum())]
-    return pa.Table.from_arrays([pa.array(batch, pa.int64()), pa.array(segment, pa.int32()), *back, *once], ["batch", "segment", "target", "background", "n_target", "n_background", "n_words"])
+    return pa.Table.from_arrays([pa.array(batch, pa.int64()), pa.array(segment, pa.int32()), *back, *once], ["batch", "segment", *SUMS, "n_target", "n_background", "n_words"])
 
 
-def losses(counts: np.ndarray, tokens: int, words: int) -> np.ndarray:
-    """Of each token, by a model's counts of bigrams, words and contexts: Dirichlet-smoothed bigrams over add-one unigrams."""
-    bigram, word, context = counts.reshape(3, -1)
+def losses(counts: np.ndarray, ends: np.ndarray, size: np.ndarray, tokens: int, words: int) -> np.ndarray:
+    """Of each token, by a model's counts of the keys: Dirichlet-smoothed bigrams over add-one unigrams.
+
+    A word is a context as often as it occurs but doesn't end a text.
+    """
+    bigram, word = counts[:-1].reshape(2, -1)
+    context = np.roll(word - ends[len(word) : -1], 1)
+    context[(np.cumsum(size) - size)[size > 0]] = counts[-1]
     return -np.log((bigram + DIRICHLET * (word + 1) / (tokens + words)) / (context + DIRICHLET))
 
 
@@ -144,9 +156,9 @@ def _scored(tokens: tuple[int, int], words: int):
         key, at = np.unique(keys, return_inverse=True)
         n = np.bincount(np.searchsorted([r["segment"] for r in rows], (key >> U(64 - rows[0]["bits"])).astype(np.int64)), minlength=len(rows))
         owner, out = np.repeat(np.arange(len(size)), size), []
-        for column, total in zip(("target", "background"), tokens):
-            counts = np.concatenate([np.zeros(0, np.int64), *[_grown(r[column], int(m)) for r, m in zip(rows[1:], n[1:])]])
-            sums = np.bincount(owner, losses(counts[at], total, words), len(size)) if len(key) else np.zeros(len(size))
+        for side, total in zip(SIDES, tokens):
+            counts, ends = (np.concatenate([np.zeros(0, np.int64), *[_grown(r[c], int(m)) for r, m in zip(rows[1:], n[1:])]]) for c in (side, f"{side}_ends"))
+            sums = np.bincount(owner, losses(counts[at], ends[at], size, total, words), len(size)) if len(key) else np.zeros(len(size))
             out.append(pa.array(sums / np.maximum(size, 1), pa.float64(), mask=size == 0))
         return pa.Table.from_arrays([table.column(0), table.column(1), pa.array(size), *out], ["tk", "tl", "n_tokens", "loss_target", "loss_background"])
 
@@ -181,8 +193,8 @@ def cross_entropy_difference(docs: DataFrame, labels: DataFrame, *, doc_id: str
     told = bundles.join(places.hint("merge"), "batch", "left").select("batch", "places", "texts").mapInArrow(_told(bits), TOLD)
     counted = keep(told.groupBy("segment").applyInArrow(_counted, COUNTED))
     total = counted.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n_target", "n_background", "n_words")]).first()
-    own = bundles.select("batch", F.lit(-1).alias("segment"), F.col("texts").alias("target"), F.lit(None).cast("binary").alias("background"))
-    both = own.unionByName(counted.select("batch", "segment", "target", "background")).withColumn("bits", F.lit(bits))
+    own = bundles.select("batch", F.lit(-1).alias("segment"), F.col("texts").alias("target"), *[F.lit(None).cast("binary").alias(c) for c in SUMS[1:]])
+    both = own.unionByName(counted.select("batch", "segment", *SUMS)).withColumn("bits", F.lit(bits))
     scored = both.groupBy("batch").applyInArrow(_scored((total.n_target, total.n_background), total.n_words), "tk long, tl int, n_tokens long, loss_target double, loss_background double")
     added = ("n_tokens", "loss_target", "loss_background")
     scored = scored.groupBy("tk", "tl").agg(*[F.min(c).alias(c) for c in added])
