@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from islet.llm.common import GAP, WORD, enter, leave
+from islet.llm.common import GAP, WORD, enter, keep, leave
 
 LINE_GAP = r"[\x20\x09\x0B-\x0D]+"
 
@@ -36,14 +36,14 @@ transform(array(sort_array(transform(lines, x -> struct(xxhash64(x) AS h, length
     transform(f, (j, k) -> struct(s[j].h AS h, s[j].w * (IF(k + 1 < size(f), f[least(k + 1, size(f) - 1)], size(s)) - j) AS w)))[0])[0]"""
 
 
-def line_frequency_rules(docs: DataFrame, *, text: str = "text", host: str = "source", max_docs: int = 100, max_removed: float = 0.5) -> DataFrame:
+def line_frequency_rules(docs: DataFrame, *, text: str = "text", host: str = "source", max_share: float = 0.01, min_docs: int = 5, copies_count: bool = False, max_removed: float = 0.5) -> DataFrame:
     """Judges every document by simple text rules and by how much of it is boilerplate of its host.
 
     Lines are normalised (case, inner and outer blanks), hashed, and counted over the distinct
     documents of their host; documents with the same text count as one, so copies and repeated
-    rows don't make their own lines frequent. A line found in more than ``max_docs`` documents of
-    the host is removed; a document that loses over ``max_removed`` of its words is depleted and
-    rejected.
+    rows don't make their own lines frequent (with ``copies_count`` every row counts). A line found in more than
+    ``max_share`` of the host's documents that have lines, and in more than ``min_docs``, is removed; a document that
+    loses over ``max_removed`` of its words is depleted and rejected.
 
     Adds n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, n_removed_words,
     clean_text (the text without the removed lines) and kept.
@@ -52,7 +52,7 @@ def line_frequency_rules(docs: DataFrame, *, text: str = "text", host: str = "so
     Repeated rows each come back, with equal verdicts. Input columns named like an added column
     are replaced by it; an empty table gives an empty table.
 
-    Shuffles carry hashes and counts of lines, never texts: lines to (host, line, document), then
+    Shuffles carry hashes and counts of lines, never texts: lines to (host, line, document), which is written once, then
     counts to (host, line), both pre-aggregated; joins on hot lines are inner or left joins that AQE
     can split.
     """
@@ -63,14 +63,19 @@ def line_frequency_rules(docs: DataFrame, *, text: str = "text", host: str = "so
     base = base.withColumn("hk", F.coalesce(F.concat(F.lit("="), "host"), F.lit("-")))
 
     normal = F.split(F.lower(F.regexp_replace("text", LINE_GAP, " ")), "\n")
-    lines = (
+    # line hash null: the document itself, so that a host's documents are counted like a line of all of them
+    itself = F.array(F.struct(F.lit(None).cast("long").alias("h"), F.lit(0).alias("w")))
+    lines = keep(
         base.withColumn("lines", F.filter(F.transform(normal, lambda x: F.trim(x)), lambda x: x != ""))
-        .select("hk", "tk", "tl", F.explode(F.expr(_COUNTED)).alias("line"))
+        .where(F.size("lines") > 0)
+        .select("hk", "tk", "tl", F.explode(F.concat(F.expr(_COUNTED), itself)).alias("line"))
         # of equal texts one is enough: the map side drops most, this grouping the rest
         .groupBy("hk", F.col("line.h").alias("lh"), "tk", "tl")
-        .agg(F.max("line.w").alias("w"))
+        .agg(F.max("line.w").alias("w"), F.count("*").alias("copies"))
     )
-    frequent = lines.groupBy("hk", "lh").agg(F.count("*").alias("docs")).where(F.col("docs") > max_docs).select("hk", "lh")
+    counted = lines.groupBy("hk", "lh").agg(F.sum("copies" if copies_count else F.lit(1)).alias("docs")).where(F.col("lh").isNull() | (F.col("docs") > min_docs))
+    hosts = counted.where("lh IS NULL").select("hk", F.col("docs").alias("all"))
+    frequent = counted.where("lh IS NOT NULL").join(hosts, "hk").where(F.col("docs") > F.lit(max_share) * F.col("all")).select("hk", "lh")
     hit = lines.join(frequent, ["hk", "lh"]).groupBy("hk", "tk", "tl").agg(F.sum("w").cast("long").alias("lost"), F.collect_set("lh").alias("bad"))
 
     met = (

@@ -8,14 +8,16 @@ WORD = re.compile(r"[^\x20\x09-\x0D]+")
 GAP = r"[\x20\x09\x0B-\x0D]+"
 
 
-def quality(rows, max_docs=100, max_removed=0.5):
+def quality(rows, max_share=0.01, min_docs=5, max_removed=0.5, copies_count=False):
     """rows: (doc_id, text, host). -> list of tuples in the query's column order."""
     norm = lambda l: re.sub(GAP, " ", l).lower().strip(" ")
-    seen = defaultdict(set)
-    for _, t, h in rows:
+    seen, host = defaultdict(set), defaultdict(set)
+    for k, (_, t, h) in enumerate(rows):
         for l in (t or "").split("\n"):
             if norm(l):
-                seen[h, norm(l)].add(t)
+                seen[h, norm(l)].add(k if copies_count else t)
+                host[h].add(k if copies_count else t)
+    often = lambda h, l: len(seen[h, l]) > max(min_docs, max_share * len(host[h]))
     out = []
     for i, t, h in rows:
         t = t or ""
@@ -28,7 +30,7 @@ def quality(rows, max_docs=100, max_removed=0.5):
             if c[x] > 1:
                 rep.update(range(k, k + 8))
         bad = len(w) < 20 or 100 * len(rep) > 30 * len(w)
-        lost = sum(len(WORD.findall(x)) for x in t.split("\n") if norm(x) and len(seen[h, norm(x)]) > max_docs)
+        lost = sum(len(WORD.findall(x)) for x in t.split("\n") if norm(x) and often(h, norm(x)))
         out.append((i, len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", t)), len(lines) - len(set(lines)), len(rep), bad, not bad and not lost > max_removed * len(w), lost))
     return out
 

@@ -48,15 +48,23 @@ def clash(df):
 
 
 def test_quality(docs, rows):
-    for df in (docs, clash(docs)):
-        out = line_frequency_rules(df, max_docs=3).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_removed_words")
-        assert bag(out.collect()) == bag(brute.quality(rows, 3))
+    for df, how in ((docs, {"min_docs": 3}), (clash(docs), {}), (docs, {"max_share": 0.2, "min_docs": 1}), (docs, {"min_docs": 1, "copies_count": True})):
+        out = line_frequency_rules(df, **how).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_removed_words")
+        assert bag(out.collect()) == bag(brute.quality(rows, **how))
+
+
+def test_quality_acts_on_the_table(spark):
+    """The registered query's own limit removes lines of a table and rejects some documents for it."""
+    out = QUERIES["op10_quality_rules"](spark, "/root/testdata/sf0.01").collect()
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "source").collect()
+    assert bag(out) == Counter((i, n, c, s, d, r, b, k, lost) for i, n, c, s, d, r, b, k, lost in brute.quality([tuple(r) for r in docs]))
+    assert sum(r.n_removed_words > 0 for r in out) > 20
 
 
 def test_quality_removes_lines(spark):
     body = [f"alpha{i} beta gamma delta{i} epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma tau upsilon phi" for i in range(12)]
     made = [(i, f"{b}\n  Read   MORE now", "h") for i, b in enumerate(body)] + [(99, "read more now\n" * 8 + body[0][:40], "h"), (98, "Read more now", "other")]
-    got = {r.doc_id: r for r in line_frequency_rules(spark.createDataFrame(made, SCHEMA), max_docs=5).collect()}
+    got = {r.doc_id: r for r in line_frequency_rules(spark.createDataFrame(made, SCHEMA)).collect()}
     assert got[0].clean_text == body[0] and got[0].kept and got[0].n_removed_words == 3
     assert not got[99].kept and got[98].n_removed_words == 0
 
