@@ -62,5 +62,12 @@ def keep(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def join_salted(many: DataFrame, one: DataFrame, keys: list[str], how: str, salts: int = 16) -> DataFrame:
+    """Joins ``many`` to at most one row a key of ``one``, small against it; the rows of a hot key are dealt over ``salts`` tasks."""
+    salt = F.pmod(F.monotonically_increasing_id(), F.lit(salts))
+    spread = one.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
+    return many.withColumn("salt", salt).join(spread, [*keys, "salt"], how).drop("salt")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

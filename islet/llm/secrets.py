@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from islet.llm.common import enter, leave
+from islet.llm.common import enter, join_salted, keep, leave
 
 #: kind -> (pattern, its capturing group that must be long enough, least length). Fixed values of the query contract.
 BASE = {
@@ -15,7 +15,7 @@ BASE = {
 }
 #: Parts too weak to report alone: kind -> (pattern, role it plays in a credential).
 WEAK = {
-    "access_id": (r"(?<![A-Za-z0-9_])(?:A[A-Z]IA[A-Z0-9]{8,15}|(?:[uU]ser(?:name)?|[lL]ogin|client_id|access_key_id)\x20*[:=]\x20*[A-Za-z0-9@._-]{3,64})", "id"),
+    "access_id": (r"(?<![A-Za-z0-9_])(?:A[A-Z]IA[A-Z0-9]{8,15}|(?:[uU]ser(?:name)?|[lL]ogin|client_id|access_key_id)\x20*[:=]\x20*[A-Za-z0-9@._-]{3,64})|(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", "id"),
     "secret_part": (r"(?<![A-Za-z0-9+/])(?=[A-Za-z+/]{0,39}[0-9])(?=[a-z0-9+/]{0,39}[A-Z])[A-Za-z0-9+/]{40}(?![A-Za-z0-9+/])|(?<![0-9a-z])(?=[a-f]{0,15}[0-9])(?=[0-9]{0,15}[a-f])[0-9a-f]{16,23}(?![0-9a-z])", "secret"),
     "endpoint": (r"(?:https?|ftp|s3|jdbc:[a-z]+|postgres|mysql|mongodb|redis|amqp)://[A-Za-z0-9][A-Za-z0-9.-]*(?::[0-9]{1,5})?", "endpoint"),
 }
@@ -52,8 +52,8 @@ def joined(found: Column) -> Column:
 def link_credentials(docs: DataFrame, *, text: str = "text", scope: int = 300) -> DataFrame:
     """Finds secrets in every whole text, and weak parts of credentials where complementary parts co-occur.
 
-    Strong kinds (assign, access, hex) are always reported. Weak kinds - an access identifier, a
-    secret-looking run, an endpoint - are reported only when, within ``scope`` code points of text
+    Strong kinds (assign, access, hex) are always reported. Weak kinds - an access identifier (a login, a short key id, an
+    e-mail address), a secret-looking run, an endpoint - are reported only when, within ``scope`` code points of text
     between them, the document also holds a complementary part: identifiers need a secret, secrets
     an identifier or an endpoint, endpoints a secret. Weak parts inside a strong span are that span.
     Complements are found by an interval join on (text, scope-wide bin): a part is in every bin that it
@@ -68,19 +68,17 @@ def link_credentials(docs: DataFrame, *, text: str = "text", scope: int = 300) -
     flat, names = enter(docs, text=text)
     flat = flat.withColumn("text", F.coalesce(F.col("text").cast("string"), F.lit("")))
     flat = flat.withColumn("tk", F.xxhash64("text")).withColumn("tl", F.length("text"))
-    made = flat
-    for kind, (pattern, group, least) in BASE.items():
-        made = made.withColumn(f"s_{kind}", spans(F.col("text"), kind, pattern, group, least))
-    for kind, (pattern, _) in WEAK.items():
-        made = made.withColumn(f"s_{kind}", spans(F.col("text"), kind, pattern))
-    made = made.withColumn("base_spans", F.sort_array(F.concat(*[F.col(f"s_{k}") for k in BASE]))).withColumn("weak", F.concat(*[F.col(f"s_{k}") for k in WEAK]))
+    base = F.sort_array(F.concat(*[spans(F.col("text"), k, *how) for k, how in BASE.items()]))
+    weak = F.concat(*[spans(F.col("text"), k, pattern) for k, (pattern, _) in WEAK.items()])
     parts = (
-        made.where(F.size("weak") > 0)
+        flat.select("tk", "tl", weak.alias("weak"), base.alias("base_spans"))
+        .where(F.size("weak") > 0)
         .where(F.size("weak") + F.size("base_spans") > 1)
         .select("tk", "tl", F.explode(F.concat("base_spans", "weak")).alias("p"))
         .select("tk", "tl", "p.s", "p.k", "p.e")
         .distinct()
     )
+    parts = keep(parts)
     role = F.get(F.array(*[F.lit(ROLE[k]) for k in KINDS]), F.col("k"))
     first, last = F.floor(F.col("s") / scope), F.floor(F.col("e") / scope)
     parts = parts.withColumn("role", role)
@@ -97,7 +95,7 @@ def link_credentials(docs: DataFrame, *, text: str = "text", scope: int = 300) -
         .groupBy("tk", "tl")
         .agg(F.collect_set(F.struct("s", "k", "e")).alias("more"))
     )
-    done = made.join(linked, ["tk", "tl"], "left")
+    done = join_salted(flat.withColumn("base_spans", base), linked, ["tk", "tl"], "left")
     every = F.sort_array(F.concat("base_spans", F.coalesce("more", F.from_json(F.lit("[]"), "array<struct<s:int,k:int,e:int>>"))))
     done = done.withColumn("all_spans", every)
     cut = F.aggregate(

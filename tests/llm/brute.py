@@ -48,25 +48,38 @@ def base_secrets(text):
     return sorted(got)
 
 
-def linked_secrets(text, scope=300):
-    from islet.llm.secrets import BASE, KINDS, ROLE, WEAK
+WEAK_KINDS = ("assign", "access", "hex", "access_id", "secret_part", "endpoint")
+
+
+def weak_parts(text):
+    """-> (start, kind order, end) of login names, short key ids and mail addresses; secret-looking runs; endpoints."""
+    got = [(m.start(), 3, m.end()) for m in re.finditer(r"(?<![A-Za-z0-9_])A[A-Z]IA[A-Z0-9]{8,15}|(?<![A-Za-z0-9_])(?:[Uu]ser|[Uu]sername|[Ll]ogin|client_id|access_key_id) *[=:] *[-\w.@]{3,64}|(?<![-\w.%+])[-\w.%+]+@[-A-Za-z0-9]+(?:\.[-A-Za-z0-9]+)+", text, re.A) if "_" not in m[0] or "=" in m[0] or ":" in m[0] or "@" in m[0]]
+    for m in re.finditer(r"[A-Za-z0-9+/]+", text):
+        r = m[0]
+        if len(r) == 40 and re.search(r"[0-9]", r) and re.search(r"[A-Z]", r):
+            got.append((m.start(), 4, m.end()))
+    for m in re.finditer(r"(?<![0-9a-z])[0-9a-f]{16,23}(?![0-9a-z])", text):
+        if re.search(r"[0-9]", m[0]) and re.search(r"[a-f]", m[0]):
+            got.append((m.start(), 4, m.end()))
+    got += [(m.start(), 5, m.end()) for m in re.finditer(r"(?:https?|ftp|s3|jdbc:[a-z]+|postgres|mysql|mongodb|redis|amqp)://[A-Za-z0-9][-A-Za-z0-9.]*(?::[0-9]{1,5})?", text)]
+    return sorted(got)
+
 
+def linked_secrets(text, scope=300):
     text, base = text or "", base_secrets(text)
-    weak = [(m.start(), KINDS.index(k), m.end()) for k, (p, _) in WEAK.items() for m in re.finditer(p, text)]
-    out = list(base)
+    role = {0: "secret", 1: "id", 2: "secret", 3: "id", 4: "secret", 5: "endpoint"}
+    weak, out = weak_parts(text), list(base)
     for s, k, e in weak:
         if any(a < e and b > s for a, _, b in base):
             continue
-        mates = {"secret": ("id", "endpoint"), "id": ("secret",), "endpoint": ("secret",)}[ROLE[KINDS[k]]]
-        if any(ROLE[KINDS[j]] in mates and a < e + scope and b + scope > s for a, j, b in [*base, *weak]):
+        mates = {"secret": ("id", "endpoint"), "id": ("secret",), "endpoint": ("secret",)}[role[k]]
+        if any(role[j] in mates and a < e + scope and b + scope > s for a, j, b in [*base, *weak]):
             out.append((s, k, e))
     return sorted(out)
 
 
 def span_text(spans):
-    from islet.llm.secrets import KINDS
-
-    return ",".join(f"{KINDS[k]}:{s}:{e}" for s, k, e in spans)
+    return ",".join(f"{WEAK_KINDS[k]}:{s}:{e}" for s, k, e in spans)
 
 
 def sha(x):

@@ -70,7 +70,7 @@ def test_quality_removes_lines(spark):
 
 
 def test_secrets(spark, docs, rows):
-    made = [(100, f"id AKIAABCDEFGH and {'aB3' * 13}x done", "s"), (101, "AKIAABCDEFGH alone", "s"), (102, "password=token: abcdefghi \"secret\" : 'Abc123'", "s"), (103, "password: token: abcdefghi", "s"), (104, "ſecret=abcdefgh Token=ab toKen=abcdefgh" + "f" * 30, "s"), (105, "https://db.example.org/x " + "0123456789abcdef" + " " * 400 + "fedcba9876543210", "s")]
+    made = [(100, f"id AKIAABCDEFGH and {'aB3' * 13}x done", "s"), (101, "AKIAABCDEFGH alone", "s"), (102, "password=token: abcdefghi \"secret\" : 'Abc123'", "s"), (103, "password: token: abcdefghi", "s"), (104, "ſecret=abcdefgh Token=ab toKen=abcdefgh" + "f" * 30, "s"), (106, "write to a.b@mail.example.org about token=abc123def", "s"), (107, "write to a.b@mail.example.org", "s"), (105, "https://db.example.org/x " + "0123456789abcdef" + " " * 400 + "fedcba9876543210", "s")]
     df = clash(docs.union(spark.createDataFrame(made, SCHEMA)))
     texts = rows + made
     got = Counter((r.doc_id, tuple(map(tuple, r.base_spans)), tuple(map(tuple, r.all_spans))) for r in link_credentials(df).collect())
@@ -80,6 +80,17 @@ def test_secrets(spark, docs, rows):
     assert "[SECRET]" in out[100].redacted and "AKIA" not in out[100].redacted and out[101].redacted == made[1][1]
 
 
+def test_secrets_act_on_the_table(spark):
+    out = QUERIES["op7_secret_scans"](spark, "/root/testdata/sf0.01").collect()
+    docs = dict(tuple(r) for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").collect())
+    for r in out:
+        base = brute.base_secrets(docs[r.doc_id])
+        assert (r.n_assign, r.n_access, r.n_hex) == tuple(sum(k == j for _, k, _ in base) for j in range(3))
+        assert r.base_sha256 == brute.sha(brute.span_text(base)) and r.spans == brute.span_text(brute.linked_secrets(docs[r.doc_id]))
+    more = QUERIES["op7_secret_scans"](spark, "/root/testdata/sf0.1").where("spans RLIKE 'access_id|secret_part|endpoint'").count()
+    assert more > 0
+
+
 def test_secrets_long_mates(spark):
     made = []
     for size in (300, 600, 700, 5000):
