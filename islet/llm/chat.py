@@ -2,14 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from islet.llm.common import enter
+from islet.llm.common import enter, keep
 
 
-def _turn_hash(before: Column, turn: Column) -> Column:
-    return F.struct(F.xxhash64(before["a"], turn["role"], turn["text"]).alias("a"), F.xxhash64(before["b"], turn["text"], F.lit("|"), turn["role"]).alias("b"))
+def prefixes(turns: DataFrame) -> DataFrame:
+    """(conv_id, n_turns, h, more): every prefix of every conversation with its rolling hash, and whether the conversation goes on.
+
+    A prefix's hash is the one before it xor the hash of the turn with its place, twice 64 bits, so it rolls on in one pass over
+    the sorted turns, however long a conversation is.
+    """
+    order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
+    upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    turn = F.struct("turn", "role", "text")
+    new = turns.withColumn("new", ~F.lag(turn).over(order).eqNullSafe(turn)).where("new").withColumn("n_turns", F.row_number().over(order).cast("long"))
+    told = lambda c: F.coalesce(F.concat(F.lit("="), c), F.lit("-"))
+    one = lambda seed: F.xxhash64(F.lit(seed), "n_turns", told(F.col("role")), told(F.col("text")))
+    rolled = new.withColumn("h", F.struct(*[F.bit_xor(one(seed)).over(upto).alias(seed) for seed in ("a", "b")]))
+    return rolled.select("conv_id", "n_turns", "h", F.lead("n_turns").over(order).isNotNull().alias("more"))
 
 
 def collapse_snapshots(turns: DataFrame, *, conv_id: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text", start: str = "<|{role}|>\n", end: str = "<|end|>\n") -> DataFrame:
@@ -23,20 +35,15 @@ def collapse_snapshots(turns: DataFrame, *, conv_id: str = "conv_id", turn: str
     differ from empty ones but render as empty. Turns with a null conv_id belong to no conversation and are left out.
     Any other column is ignored; an empty table gives an empty table.
 
-    What is hot is met pre-aggregated: equal conversations are one row before the anti-join, and a prefix that many
+    Hashes are made over sorted turns in time linear in them; only conversations that stay are put together. What is hot is met pre-aggregated: equal conversations are one row before the anti-join, and a prefix that many
     conversations begin with is one row of its other side.
     """
     flat, _ = enter(turns, conv_id=conv_id, turn=turn, role=role, text=text)
     flat = flat.select("conv_id", "turn", F.col("role").cast("string").alias("role"), F.col("text").cast("string").alias("text")).where("conv_id IS NOT NULL")
-    convs = flat.groupBy("conv_id").agg(F.array_sort(F.array_distinct(F.collect_list(F.struct("turn", "role", "text")))).alias("all"))
-    # array_sort puts nulls last at the top level only; inside structs nulls come first
-    begin = F.array(F.struct(F.lit(0).cast("long").alias("a"), F.lit(1).cast("long").alias("b")))
-    prefixes = F.aggregate("all", begin, lambda acc, x: F.concat(acc, F.array(_turn_hash(F.element_at(acc, -1), x))))
-    convs = convs.withColumn("n_turns", F.size("all").cast("long")).withColumn("prefixes", F.slice(prefixes, 2, F.size("all")))
-    whole = convs.select("conv_id", "n_turns", F.element_at("prefixes", -1).alias("h"))
-    one = whole.groupBy("n_turns", "h").agg(F.min("conv_id").alias("conv_id"))
-    shorter = convs.where("n_turns > 1").select(F.posexplode(F.slice("prefixes", 1, F.size("prefixes") - 1)).alias("i", "h")).select((F.col("i") + 1).cast("long").alias("n_turns"), "h").distinct()
-    kept = one.join(shorter, ["n_turns", "h"], "left_anti").select("conv_id")
+    rolled = keep(prefixes(flat))
+    one = rolled.where("NOT more").groupBy("n_turns", "h").agg(F.min("conv_id").alias("conv_id"))
+    kept = one.join(rolled.where("more").select("n_turns", "h").distinct(), ["n_turns", "h"], "left_anti").select("conv_id")
+    convs = flat.join(kept, "conv_id").groupBy("conv_id").agg(F.array_sort(F.array_distinct(F.collect_list(F.struct("turn", "role", "text")))).alias("all"))
     before, _, after = start.partition("{role}")
     one_turn = lambda x: F.concat(F.lit(before), F.coalesce(x["role"], F.lit("")), F.lit(after), F.coalesce(x["text"], F.lit("")), F.lit("\n"), F.lit(end))
-    return convs.join(kept, "conv_id").select("conv_id", "n_turns", F.array_join(F.transform("all", one_turn), "").alias("rendered"))
+    return convs.select("conv_id", F.size("all").cast("long").alias("n_turns"), F.array_join(F.transform("all", one_turn), "").alias("rendered"))

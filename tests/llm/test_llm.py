@@ -289,6 +289,15 @@ def test_chat(spark):
     assert got == {3: (3, "<|user|>\nhi\n<|end|>\n<|bot|>\nyo\n<|end|>\n<|user|>\n\n<|end|>\n"), 4: (3, "<|user|>\nhi\n<|end|>\n<|bot|>\nyo\n<|end|>\n<|user|>\n\n<|end|>\n"), 5: (1, "<||>\nx\n<|end|>\n"), 7: (2, "<|user|>\nhi\n<|end|>\n<|bot|>\nno\n<|end|>\n")}
 
 
+def test_chat_long_conversations(spark):
+    rng = random.Random(8)
+    long = [(k, rng.choice(("user", "bot")), rng.choice(("yes", "no", "", None, "why"))) for k in range(3000)]
+    convs = {i: long[:n] for i, n in enumerate((3000, 2999, 1, 1500, 3000, 1500))} | {9: [*long[:1499], (1499, "bot", "other")], 10: long[1:40], 11: [(k + 1, r, t) for k, r, t in long[:7]]}
+    table = spark.createDataFrame([(i, *t) for i, c in convs.items() for t in c], "conv_id long, turn long, role string, text string")
+    got = {r.conv_id: r.n_turns for r in collapse_snapshots(table).collect()}
+    assert got == {0: 3000, 9: 1500, 10: 39}
+
+
 def test_urls(spark):
     made = [(1, "http://a.COM/en/7"), (2, "https://www.example.com/en/77?x"), (3, "http://example.net/de/8#q"), (4, "http://x.example.net/de/9"), (5, "http://org/es/"), (6, "http://notcom/en/1"), (7, None), (8, "no scheme"), (9, "ftp://H?x/en/"), (10, "a://b://c/d"), (None, "http://ücom.com/en/ÄÖ"), (4, "http://x.example.net/de/9"), (12, "http://q.example.net/de/99999"), (13, "http://e.com/en/123x")]
     got = Counter((r.page_id, r.host, r.path, r.rule) for r in filter_urls(clash(spark.createDataFrame(made, "page_id long, url string")), URL_RULES).collect())
