@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from islet.llm.common import enter, keep, leave
 
 ORDER = 4  # characters of context, at most
+HELD = 5  # of the ruled URLs one in so many calibrates the threshold and trains nothing
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -53,19 +54,22 @@ def gram_ratios(grams: DataFrame) -> DataFrame:
 
 
 def calibrated(scored: DataFrame) -> float | None:
-    """The score that parts (label ok or not, score) with the least balanced error, of all hundredths; null without both labels."""
+    """The score that parts (label ok or not, score) with the least balanced error; null without both labels.
+
+    Scores go by hundredths; of thresholds with equal error the middle of the gap between two scores that occur.
+    """
     bins = scored.where("label IS NOT NULL").groupBy(F.round("score", 2).alias("bin")).agg(F.count(F.when(F.col("label"), 1)).alias("ok"), F.count(F.when(~F.col("label"), 1)).alias("bad"))
     # scores are logs of ratios a character: within +-40, so some thousand bins at most
     rows = sorted(bins.collect(), key=lambda r: r.bin)
     ok, bad = sum(r.ok for r in rows), sum(r.bad for r in rows)
     if not ok or not bad:
         return None
-    best, at, lost, kept = 2.0, 0.0, 0, bad
-    for r in rows:  # block what is below r.bin
+    best, at, lost, kept, below = 2.0, 0.0, 0, bad, rows[0].bin - 0.01
+    for r in rows:  # block what is below the middle of the last bin and this one
         error = lost / ok + kept / bad
         if error < best:
-            best, at = error, r.bin - 0.005
-        lost, kept = lost + r.ok, kept - r.bad
+            best, at = error, (below + r.bin) / 2
+        lost, kept, below = lost + r.ok, kept - r.bad, r.bin
     return at
 
 
@@ -75,7 +79,8 @@ def filter_urls(pages: DataFrame, rules: list[tuple[str, str]], *, url: str = "u
     The longest fitting rule decides; a rule fits its host and all subdomains where the path starts with its path. URLs
     that no rule fits are judged by their score, the length-normalised log-likelihood ratio of two character models
     of host and path, one of the URLs that rules allow and one of those that they block: below the calibrated
-    threshold they are blocked. Where rules allow none or block none there is no ratio, and the rest is allowed.
+    threshold they are blocked. One in HELD of the ruled names, by a hash of the name, trains neither model; these calibrate the
+    threshold. Where the held-out names aren't of both kinds there is no threshold, and the rest is allowed.
 
     Null URLs and those without ``://`` have an empty host and path, no score, and are allowed. Repeated rows each come
     back and count each in the models. Input columns named like an added column are replaced; an empty table gives an empty table.
@@ -89,9 +94,11 @@ def filter_urls(pages: DataFrame, rules: list[tuple[str, str]], *, url: str = "u
     padded = F.concat(F.lit("\x01" * ORDER), "name", F.lit("\x02"))
     cut = F.transform(F.sequence(F.lit(1), F.length("name") + 1), lambda i: F.substring(padded, i, F.lit(ORDER + 1)))
     places = names_of.select("name", "ruled", "n", F.explode(cut).alias("gram"))
-    grams = keep(places.groupBy("gram").agg(F.sum(F.when(F.col("ruled") == "allow", F.col("n")).otherwise(0)).alias("ok"), F.sum(F.when(F.col("ruled") == "block", F.col("n")).otherwise(0)).alias("bad")))
+    held = F.pmod(F.xxhash64("name"), F.lit(HELD)) == 0
+    count = lambda says: F.sum(F.when((F.col("ruled") == says) & ~held, F.col("n")).otherwise(0))
+    grams = keep(places.groupBy("gram").agg(count("allow").alias("ok"), count("block").alias("bad")))
     scores = keep(places.join(gram_ratios(grams), "gram").groupBy("name", "ruled").agg(F.round(F.avg("ratio"), 9).alias("score")))
-    threshold = calibrated(scores.select((F.col("ruled") == "allow").alias("label"), "score"))
+    threshold = calibrated(scores.where(held).select((F.col("ruled") == "allow").alias("label"), "score"))
     by_name = scores.groupBy("name").agg(F.first("score").alias("score"))
     done = flat.join(by_name, "name", "left")
     guess = F.lit("allow") if threshold is None else F.when(F.col("score") < F.lit(threshold), "block").otherwise("allow")

@@ -330,17 +330,44 @@ def brute_ratio(ok, bad, name, order=4):
     return np.mean([log(a(x[i - order : i], x[i])) - log(b(x[i - order : i], x[i])) for i in range(order, len(x))])
 
 
+def brute_threshold(scored):
+    """The middle of the first gap of scores, by hundredths, with the least sum of the error rates."""
+    bins = sorted({round(x, 2) for x, _ in scored})
+    good, bad = ([round(x, 2) for x, ok in scored if ok is is_ok] for is_ok in (True, False))
+    if not good or not bad:
+        return None
+    cuts = [(a + b) / 2 for a, b in zip([bins[0] - 0.01, *bins], bins)]
+    return min(cuts, key=lambda c: (sum(x < c for x in good) / len(good) + sum(x >= c for x in bad) / len(bad), c))
+
+
+def test_url_threshold_on_held_out_names(spark):
+    """Rules tell languages apart by folder; pages that no rule fits are judged alike, and fresh ruled pages nearly always right."""
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choices("abcdefghijklmnop", k=rng.randint(3, 9)))
+    make = lambda good: f"http://{word()}.example.org/{rng.choice(('docs', 'guide', 'wiki') if good else ('win', 'casino', 'bonus'))}/{word()}/{word()}"
+    rules = [("example.org/docs", "allow"), ("example.org/wiki", "allow"), ("example.org/casino", "block"), ("example.org/win", "block"), ("example.org/guide", "allow"), ("example.org/bonus", "block")]
+    ruled = [(i, make(i % 2 == 0)) for i in range(600)]
+    fresh = [(1000 + i, make(i % 2 == 0).replace("example.org", "other.net")) for i in range(200)]
+    odd = [(2000, ""), (2001, None), (2002, "http://" + "x" * 3000 + "/" + "y/" * 5000), (2003, "http://"), (2004, "://?#")]
+    got = {r.page_id: r for r in filter_urls(spark.createDataFrame(ruled + fresh + odd, "page_id long, url string"), rules).collect()}
+    assert sum(got[1000 + i].verdict == ("allow" if i % 2 == 0 else "block") for i in range(200)) > 180
+    assert got[2002].path == "/" + "y/" * 5000 and got[2002].score is not None and all(got[i].verdict == "allow" and got[i].host == "" for i in (2000, 2001, 2003, 2004))
+
+
 def test_url_model(spark):
     pages = spark.read.parquet(f"{SF}/pages.parquet").select("page_id", "url")
     out = filter_urls(pages, URL_RULES).collect()
+    held = {r.n for r in spark.createDataFrame([(r.host + r.path,) for r in out], "n string").where("pmod(xxhash64(n), 5) = 0").collect()}
     ruled = {True: [], False: []}
     for r in out:
-        if r.rule:
+        if r.rule and r.host + r.path not in held:
             ruled[r.verdict == "allow"].append(r.host + r.path)
     assert ruled[True] and ruled[False]
     for r in out:
         assert r.score == pytest.approx(brute_ratio(ruled[True], ruled[False], r.host + r.path), abs=1e-8)
     free = [r for r in out if not r.rule]
+    cut = brute_threshold([(r.score, r.verdict == "allow") for r in out if r.rule and r.host + r.path in held])
+    assert all(r.verdict == ("allow" if cut is None or r.score >= cut else "block") for r in free)
     assert max([r.score for r in free if r.verdict == "block"], default=-99) < min([r.score for r in free if r.verdict == "allow"], default=99)
 
 
