@@ -76,7 +76,8 @@ def line_frequency_rules(docs: DataFrame, *, text: str = "text", host: str = "so
     counted = lines.groupBy("hk", "lh").agg(F.sum("copies" if copies_count else F.lit(1)).alias("docs")).where(F.col("lh").isNull() | (F.col("docs") > min_docs))
     hosts = counted.where("lh IS NULL").select("hk", F.col("docs").alias("all"))
     frequent = counted.where("lh IS NOT NULL").join(hosts, "hk").where(F.col("docs") > F.lit(max_share) * F.col("all")).select("hk", "lh")
-    hit = lines.join(frequent, ["hk", "lh"]).groupBy("hk", "tk", "tl").agg(F.sum("w").cast("long").alias("lost"), F.collect_set("lh").alias("bad"))
+    # written, so that the join below has a shuffle of its own, which adaptive execution can split where a text has many copies
+    hit = keep(lines.join(frequent, ["hk", "lh"]).groupBy("hk", "tk", "tl").agg(F.sum("w").cast("long").alias("lost"), F.collect_set("lh").alias("bad")))
 
     met = (
         base.withColumn("m", F.expr(_METRICS))
