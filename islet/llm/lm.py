@@ -197,6 +197,7 @@ def cross_entropy_difference(docs: DataFrame, labels: DataFrame, *, doc_id: str
     both = own.unionByName(counted.select("batch", "segment", *SUMS)).withColumn("bits", F.lit(bits))
     scored = both.groupBy("batch").applyInArrow(_scored((total.n_target, total.n_background), total.n_words), "tk long, tl int, n_tokens long, loss_target double, loss_background double")
     added = ("n_tokens", "loss_target", "loss_background")
-    scored = scored.groupBy("tk", "tl").agg(*[F.min(c).alias(c) for c in added])
+    # written, so that the join below has a shuffle of its own, which adaptive execution can split where a text has many copies
+    scored = keep(scored.groupBy("tk", "tl").agg(*[F.min(c).alias(c) for c in added]))
     done = flat.join(scored.hint("merge"), ["tk", "tl"])
     return leave(done, names, {n: F.col(n) for n in added} | {"score": F.col("loss_target") - F.col("loss_background")})
