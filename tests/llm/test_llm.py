@@ -209,22 +209,37 @@ def test_decontaminate(spark):
         assert h.distance == edit_within(x, y)
 
 
-@pytest.mark.parametrize("size", [20, 100, 200, 400])
-def test_decontaminate_long_items(size):
+@pytest.mark.parametrize("kind", ["replace", "insert", "delete", "mixed"])
+@pytest.mark.parametrize("size", [5, 8, 12, 16, 20, 30, 40, 60, 100, 200, 400])
+def test_decontaminate_recall(size, kind):
+    """At exactly the allowed edits at least nine items of ten are found, whatever their length and the kind of edit."""
     from islet.llm.decontaminate import Items
 
-    rng = random.Random(size)
+    rng = random.Random(f"{size} {kind}")
     words = ["".join(rng.choices("abcdefghij", k=rng.randint(3, 7))) for _ in range(3000)]
-    items, texts = [(i, " ".join(rng.choices(words, k=size))) for i in range(60)], []
-    for i, t in items:
+    items, texts = [(i, " ".join(rng.choices(words, k=size))) for i in range(100 if size < 100 else 40)], []
+    edits = {"replace": lambda x: [rng.choice(words)], "insert": lambda x: [x, rng.choice(words)], "delete": lambda x: []}
+    for _, t in items:
         w = [[x] for x in t.split()]
         for k in rng.sample(range(size), size // 5):
-            w[k] = [rng.choice(words)] if i % 2 else rng.choice(([], [rng.choice(words)], [*w[k], rng.choice(words)]))
+            w[k] = edits[rng.choice(list(edits)) if kind == "mixed" else kind](*w[k])
         texts.append(" ".join(rng.choices(words, k=30) + [y for x in w for y in x] + rng.choices(words, k=30)))
     got = Items(items, 0.2, 5).find(texts)
-    assert sum(any(h["item_id"] == i for h in hits) for i, hits in enumerate(got)) >= 54
-    for i, hits in enumerate(got):
-        assert all(h["item_id"] == i and h["distance"] == edit_within(items[i][1].split(), texts[i].split()) for h in hits)
+    assert sum(any(h["item_id"] == i for h in hits) for i, hits in enumerate(got)) >= 0.9 * len(items)
+    if size > 12:
+        for i, hits in enumerate(got):
+            assert all(h["item_id"] == i and h["distance"] == edit_within(items[i][1].split(), texts[i].split()) for h in hits)
+
+
+def test_decontaminate_repeats(spark):
+    """Repeated documents and items each count; other types are cast; very long texts are searched whole."""
+    item = "alpha beta gamma delta epsilon zeta eta theta"
+    bench = spark.createDataFrame([(1, item), (1, item), (2, "12345")], "item_id long, text string")
+    made = [(1, f"{LONG} {item}", "s"), (1, f"{LONG} {item}", "s"), (2, "none", "s")]
+    got = find_items(spark.createDataFrame(made, SCHEMA), bench, block_bytes=20).collect()
+    assert sorted((r.doc_id, [(h.item_id, h.distance, h.first_word) for h in r.hits]) for r in got) == [(1, [(1, 0, 30_000)] * 2)] * 2 + [(2, [])]
+    number = find_items(spark.range(12344, 12347), bench, text="id").collect()
+    assert {r.id: len(r.hits) for r in number} == {12344: 0, 12345: 1, 12346: 0}
 
 
 def test_decontaminate_short_items(spark):
