@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,48 +10,75 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from islet.llm.bundles import bundles, opened
 from islet.llm.common import enter, keep, leave
 from islet.llm.textarrays import U, mix, powers
 
 DEPTH = 50  # bytes
 GRAM = 24  # bytes of an anchor
+BATCH = 4 << 20  # bytes of text that are looked at together
+OFTEN = 32  # batches; of anchors in as many, windows are asked for one by one
 _PICKS = DEPTH - GRAM + 1
 _BASE = 0x2545F4914F6CDD1D
 _INV = pow(_BASE, -1, 1 << 64)
 _CHUNK = 1 << 19
 _POS = U((1 << 20) - 1)
+ALONE, AGAIN, COMMON = range(3)  # what is answered for a hash: in one document, in several, in OFTEN batches or more
+ROWS = "batch long, level int, part int, data binary, places array<int>"
+BUNDLE, CHOSEN, ANCHORS, WINDOWS = range(4)  # levels of ROWS
 
 
-def anchors(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def string_hashes(data: np.ndarray, size: int) -> np.ndarray:
+    """A 64-bit hash of each string of ``size`` bytes."""
+    sums = np.zeros(len(data) + 1, U)
+    np.cumsum((data.astype(U) + U(1)) * powers(_BASE, len(data)), out=sums[1:])
+    return mix((sums[size:] - sums[:-size]) * powers(_INV, len(sums) - size))
+
+
+def anchors(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The runs of windows of DEPTH bytes by the anchor they choose: (44-bit anchor hash, first window, windows).
 
-    A window's anchor is its GRAM-byte string of least hash, the leftmost of equals: equal windows have equal
-    anchors, wherever they stand, and neighbouring windows mostly share one.
+    ``data`` are documents one after the other, which end at ``ends``; no window crosses an end. A window's anchor is its
+    GRAM-byte string of least hash, the leftmost of equals: equal windows have equal anchors, wherever they stand, and
+    neighbouring windows mostly share one.
     """
-    hashes, firsts, counts = [], [], []
-    for at in range(0, max(0, len(data) - DEPTH + 1), _CHUNK):
-        piece = data[at : at + _CHUNK + DEPTH - 1]
-        sums = np.zeros(len(piece) + 1, U)
-        np.cumsum((piece.astype(U) + U(1)) * powers(_BASE, len(piece)), out=sums[1:])
-        gram = mix((sums[GRAM:] - sums[:-GRAM]) * powers(_INV, len(sums) - GRAM))
+    edge = np.zeros(len(data) + 1, np.int32)
+    np.add.at(edge, np.maximum(ends - DEPTH + 1, 0), 1)
+    np.add.at(edge, ends, -1)
+    whole = np.cumsum(edge)[: max(0, len(data) - DEPTH + 1)] == 0
+    hashes, firsts, counts = [np.zeros(0, U)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for at in range(0, len(whole), _CHUNK):
+        gram = string_hashes(data[at : at + _CHUNK + DEPTH - 1], GRAM)
         least = (gram & ~_POS) | np.arange(len(gram), dtype=U)
         span = 1
         while 2 * span <= _PICKS:
             least = np.minimum(least[:-span], least[span:])
             span *= 2
         least = np.minimum(least[: len(least) - (_PICKS - span)], least[_PICKS - span :])
-        turn = np.flatnonzero(np.diff(least)) + 1
-        first = np.concatenate([[0], turn])
-        hashes.append(least[first] >> U(20))
-        firsts.append(first + at)
-        counts.append(np.diff(np.append(first, len(least))))
-    if not hashes:
-        return np.zeros(0, U), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        ok = whole[at : at + _CHUNK]
+        first = np.flatnonzero(np.concatenate([[True], (least[1:] != least[:-1]) | (ok[1:] != ok[:-1])]))
+        n = np.diff(np.append(first, len(least)))
+        some = ok[first]
+        hashes.append(least[first[some]] >> U(20))
+        firsts.append(first[some] + at)
+        counts.append(n[some])
     return np.concatenate(hashes), np.concatenate(firsts), np.concatenate(counts)
 
 
-def _bytes(text: str) -> np.ndarray:
-    return np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
+def _spread(first: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """first, first + 1, ... of each run of n, and which run it is of."""
+    owner = np.repeat(np.arange(len(n)), n)
+    return first[owner] + np.arange(len(owner)) - (np.cumsum(n) - n)[owner], owner
+
+
+def _window_hashes(data: np.ndarray, windows: np.ndarray) -> np.ndarray:
+    """44-bit hashes of the windows that start at ``windows``, which are sorted."""
+    out = [np.zeros(0, U)]
+    for at in range(0, len(data), _CHUNK):
+        here = windows[np.searchsorted(windows, at) : np.searchsorted(windows, at + _CHUNK)]
+        if len(here):
+            out.append(string_hashes(data[at : at + _CHUNK + DEPTH - 1], DEPTH)[here - at] >> U(20))
+    return np.concatenate(out)
 
 
 def _part(hashes: np.ndarray, parts: int) -> np.ndarray:
@@ -67,142 +93,87 @@ def _split(keys: np.ndarray) -> Iterator[tuple[int, slice]]:
             yield int(keys[a]), slice(int(a), int(b))
 
 
-def _grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[list[list]]:
-    """The rows of each value of the first column; they come sorted by it."""
-    rows, at = [], None
-    for batch in (b.slice(i, 64) for b in batches for i in range(0, b.num_rows, 64)):
-        for row in zip(*[c.to_pylist() for c in batch.columns]):
-            if rows and (row[0] != at or at < 0 and len(rows) >= 64):  # part -1 needs no whole view
-                yield rows
-                rows = []
-            at = row[0]
-            rows.append(row)
-    if rows:
-        yield rows
-
-
-def _gather(parts: int):
-    """(row, text) -> (part, low hashes, which document of the list, documents): an anchor of one batch is sent once.
-
-    Anchors that several documents of the batch have are sent with no document, for other batches to see, and the
-    documents get them back at once, in part -1.
-    """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (b.slice(i, 5000) for b in batches for i in range(0, b.num_rows, 5000)):
-            texts = dict(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
-            rows = np.fromiter(texts, np.int64, len(texts))
-            each = [np.unique(anchors(_bytes(t))[0]) for t in texts.values()]
-            h, doc = np.concatenate([*each, np.zeros(0, U)]), np.repeat(np.arange(len(each)), [len(x) for x in each])
-            order = np.argsort(h, kind="stable")
-            h, doc = h[order], doc[order]
-            new = np.concatenate([[True], h[1:] != h[:-1]]) if len(h) else np.zeros(0, bool)
-            n = np.diff(np.append(np.flatnonzero(new), len(h)))
-            many = np.repeat(n > 1, n)
-            known = np.lexsort((h[many], doc[many]))
-            kd, kh = doc[many][known], h[many][known]
-            out = [(-1, kh[s].tobytes(), b"", rows[d : d + 1].tobytes()) for d, s in _split(kd)]
-            sent, who = h[new], np.where(n > 1, -1, doc[new])
-            for p, s in _split(_part(sent, parts)):
-                used, at = np.unique(who[s], return_inverse=True)
-                out.append((p, (sent[s] & U(0xFFFFFFFF)).astype(np.uint32).tobytes(), at.astype(np.uint32 if len(used) > 65535 else np.uint16).tobytes(), np.where(used < 0, -1, rows[used]).tobytes() + (used < 0).tobytes()))
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate((pa.int64(), pa.binary(), pa.binary(), pa.binary()))], ["part", "low", "which", "docs"])
+class Batch:
+    """The chosen texts of a batch one after the other, their anchors, and the answers that it got."""
+
+    def __init__(self, group: pa.Table):
+        rows = sorted(group.to_pylist(), key=lambda r: (r["level"], r["part"]))
+        self.batch = rows[0]["batch"]
+        table = opened(rows[0]["data"]) if rows[0]["level"] == BUNDLE else None
+        places = next((r["places"] for r in rows if r["level"] == CHOSEN), [])
+        self.answers = {level: np.concatenate([np.zeros(0, np.uint8), *[np.frombuffer(pa.decompress(r["data"][4:], int.from_bytes(r["data"][:4], "little"), "zstd"), np.uint8) for r in rows if r["level"] == level]]) for level in (ANCHORS, WINDOWS)}
+        self.row = self.d = self.ends = np.zeros(0, np.int64)
+        self.data = np.zeros(0, np.uint8)
+        if places:
+            table = table.take(pa.array(sorted(places), pa.int64())).combine_chunks()
+            self.row, self.d = (table.column(i).to_numpy() for i in (0, 1))
+            text = table.column(2).chunk(0).cast(pa.large_binary())
+            off = np.frombuffer(text.buffers()[1], np.int64)[text.offset : text.offset + len(text) + 1]
+            self.data, self.ends = np.frombuffer(text.buffers()[2], np.uint8)[off[0] : off[-1]], off[1:] - off[0]
+        self.hash, self.first, self.n = anchors(self.data, self.ends)
+
+    def doc(self, at: np.ndarray) -> np.ndarray:
+        return np.searchsorted(self.ends, at, "right")
+
+    def common(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The windows around common anchors, whose run each is of, and their hashes."""
+        status = self.answers[ANCHORS][np.unique(self.hash, return_inverse=True)[1]] if len(self.hash) else np.zeros(0, np.uint8)
+        some = np.flatnonzero(status == COMMON)
+        windows, owner = _spread(self.first[some], self.n[some])
+        return windows, some[owner], _window_hashes(self.data, windows)
+
+
+def _asked(parts: int, level: int):
+    """A batch -> per part of the hash space: the hashes that it asks for in order (low 32 bits), and which of them several of its documents have."""
+
+    def run(group: pa.Table) -> pa.Table:
+        batch = Batch(group)
+        if level == ANCHORS:
+            h, doc = batch.hash, batch.doc(batch.first)
+        else:
+            windows, _, h = batch.common()
+            doc = batch.doc(windows)
+        order = np.argsort(h, kind="stable")  # documents stay in order
+        h, doc = h[order], doc[order]
+        new = np.concatenate([[True], h[1:] != h[:-1]])[: len(h)]
+        many = np.zeros(int(new.sum()), bool)
+        many[(np.cumsum(new) - 1)[1:][~new[1:] & (doc[1:] != doc[:-1])]] = True
+        key = h[new]
+        out = [(p, (key[s] & U(0xFFFFFFFF)).astype(np.uint32).tobytes(), np.packbits(many[s]).tobytes()) for p, s in _split(_part(key, parts))]
+        columns = [pa.array([r[i] for r in out], t) for i, t in enumerate((pa.int32(), pa.binary(), pa.binary()))]
+        return pa.Table.from_arrays([pa.array([batch.batch] * len(out), pa.int64()), *columns], ["batch", "part", "low", "many"])
 
     return run
 
 
-def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of a part: the anchors that documents of several batches have, as (row, part, low hashes)."""
-    for rows in _grouped(batches):
-        part = rows[0][0]
-        if part < 0:
-            out = [(np.frombuffer(r[3], np.int64)[0], -1, r[1]) for r in rows]
-        else:
-            low, doc, none = [], [], []
-            for _, lo, which, docs in rows:
-                lo = np.frombuffer(lo, np.uint32)
-                at = np.frombuffer(which, np.uint16 if 2 * len(lo) == len(which) else np.uint32)
-                n = len(docs) // 9
-                low.append(lo)
-                doc.append(np.frombuffer(docs[: 8 * n], np.int64)[at])
-                none.append(np.frombuffer(docs[8 * n :], bool)[at])
-            low, doc, none = map(np.concatenate, (low, doc, none))
-            order = np.lexsort((doc, low))
-            low, doc, none = low[order], doc[order], none[order]
-            same = (low[1:] == low[:-1]) & ((doc[1:] != doc[:-1]) | none[1:] | none[:-1])
-            start = np.concatenate([[True], low[1:] != low[:-1]])
-            group = np.cumsum(start) - 1
-            several = np.zeros(group[-1] + 1, bool)
-            several[group[1:][same]] = True
-            some = several[group] & ~none
-            low, doc = low[some], doc[some]
-            order = np.argsort(doc, kind="stable")
-            low, doc = low[order], doc[order]
-            out = [(d, part, low[s].tobytes()) for d, s in _split(doc)]
-        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.binary()))], ["row", "part", "low"])
-
-
-def _windows(parts: int, pieces: int):
-    """(row, d, text, found) -> per part the runs of windows around repeated anchors, each distinct run of a batch once.
-
-    Of equal runs the one of the smallest document is sent; the others are removed already: they come as part -1.
-    """
+def _answered(level: int):
+    """All that is asked of one part -> for each batch, in the order of what it asked: ALONE, AGAIN or COMMON."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # some documents at a time bound what a task holds
-        for batch in (b.slice(i, 2000) for b in batches for i in range(0, b.num_rows, 2000)):
-            seen: dict[tuple[int, bytes], tuple] = {}
-            gone = []
-            for row, d, text, found in zip(*[c.to_pylist() for c in batch.columns]):
-                data = _bytes(text)
-                whole = data.tobytes()
-                h, first, n = anchors(data)
-                part = _part(h, parts)
-                ok = np.zeros(len(h), bool)
-                by = {}
-                for x in found:
-                    by.setdefault(x["part"], []).append(x["low"])
-                if -1 in by:
-                    ok |= np.isin(h, np.frombuffer(b"".join(by.pop(-1)), U))
-                if by:
-                    want = np.concatenate([(U(p) << U(32)) | np.frombuffer(b"".join(v), np.uint32) for p, v in by.items()])
-                    ok |= np.isin((part.astype(U) << U(32)) | (h & U(0xFFFFFFFF)), want)
-                for x, a, k in zip(h[ok].tolist(), first[ok].tolist(), n[ok].tolist()):
-                    key = (x, whole[a : a + k + DEPTH - 1])
-                    old = seen.get(key)
-                    if old is None:
-                        seen[key] = (d, row, a)
-                    elif old[0] < d:
-                        gone.append((row, a, a + len(key[1])))
-                    elif old[0] > d:
-                        gone.append((old[1], old[2], old[2] + len(key[1])))
-                        seen[key] = (d, row, a)
-                    elif (old[1], old[2]) != (row, a):  # no smaller document so far: both may be removed yet
-                        seen[x, key[1], row, a] = (d, row, a)
-            keys, vals = list(seen), list(seen.values())
-            h = np.fromiter((k[0] for k in keys), U, len(keys))
-            part = _part(h, pieces)
-            order = np.argsort(part, kind="stable")
-            val = np.array(vals, np.int64).reshape(-1, 3)
-            size = np.fromiter((len(k[1]) for k in keys), np.int64, len(keys))
-            out = [(p, h[order[s]].tobytes(), val[order[s]].tobytes(), size[order[s]].astype(np.uint16).tobytes(), b"".join(keys[i][1] for i in order[s])) for p, s in _split(part[order])]
-            if gone:
-                out.append((-1, b"", np.array(gone, np.int64).tobytes(), b"", b""))
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate((pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.binary()))], ["part", "hash", "vals", "size", "data"])
+    def run(group: pa.Table) -> pa.Table:
+        batch, part, low, many = [c.to_pylist() for c in group.columns]
+        n = np.array([len(x) // 4 for x in low])
+        key, at, times = np.unique(np.frombuffer(b"".join(low), np.uint32), return_inverse=True, return_counts=True)
+        several = np.zeros(len(key), bool)
+        several[at[np.concatenate([np.unpackbits(np.frombuffer(m, np.uint8), count=k) for m, k in zip(many, n)]).astype(bool)]] = True
+        status = np.where(times >= OFTEN, COMMON, np.where((times > 1) | several, AGAIN, ALONE)).astype(np.uint8)[at]
+        data = [int(k).to_bytes(4, "little") + pa.compress(status[e - k : e].tobytes(), "zstd", asbytes=True) for e, k in zip(np.cumsum(n), n)]
+        return pa.Table.from_arrays([pa.array(batch, pa.int64()), pa.array([level] * len(n), pa.int32()), pa.array(part, pa.int32()), pa.array(data, pa.binary()), pa.nulls(len(n), pa.list_(pa.int32()))], ["batch", "level", "part", "data", "places"])
 
     return run
 
 
-def radix_groups(data: bytes, at: np.ndarray) -> np.ndarray:
-    """Group numbers of the DEPTH-byte strings at ``at``: most-significant digits of 8 bytes first; a group of one is done and gets -1."""
-    buffer = np.frombuffer(data + b"\0" * 8, np.uint8)
-    digits = np.ndarray((len(data) + 1,), ">u8", buffer, 0, (1,))
+def radix_groups(data: np.ndarray, at: np.ndarray, size: np.ndarray, *lead: np.ndarray) -> np.ndarray:
+    """Group numbers of the strings of ``size`` bytes at ``at`` that are equal to another; -1 for what is alone.
+
+    Most-significant digits first: ``lead`` (what equal strings have equal), the size, then 8 bytes at a time; strings
+    alone in their group after a digit are done.
+    """
+    digits = np.ndarray((len(data) + 1,), ">u8", np.concatenate([data, np.zeros(8, np.uint8)]), 0, (1,))
     out = np.full(len(at), -1, np.int64)
     live, group = np.arange(len(at)), np.zeros(len(at), np.int64)
-    for depth in range(0, DEPTH, 8):
-        digit = digits[at[live] + depth].astype(U)
-        if DEPTH - depth < 8:
-            digit >>= U(8 * (8 - DEPTH + depth))
+
+    def parted(digit: np.ndarray) -> None:
+        nonlocal live, group
         order = np.lexsort((digit, group))
         live, group, digit = live[order], group[order], digit[order]
         new = np.ones(len(live), bool)
@@ -210,53 +181,117 @@ def radix_groups(data: bytes, at: np.ndarray) -> np.ndarray:
         group = np.cumsum(new) - 1
         some = np.bincount(group, minlength=1)[group] > 1 if len(group) else new
         live, group = live[some], group[some]
+
+    for first in (*lead, size):
+        parted(first[live])
+    for depth in range(0, int(size.max(initial=0)), 8):
+        left = np.clip(size[live] - depth, 0, 8)
+        digit = digits[np.minimum(at[live] + depth, len(data))].astype(U) >> (U(8) * (8 - left).astype(U)) % U(64)
+        digit[left == 0] = 0
+        parted(digit)
     out[live] = group
     return out
 
 
-def _radix(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of a part's runs of windows: the removed byte ranges (row, s, e)."""
+def _runs(pieces: int):
+    """A batch -> the runs of windows around anchors that others have, by piece of the hash space; a piece of -1 is removed already.
+
+    Of runs that the batch's own sort finds equal, those of the smallest document go on; the others are removed. Of runs around a common
+    anchor only the windows that others have are left.
+    """
+
+    def run(group: pa.Table) -> pa.Table:
+        b = Batch(group)
+        status = b.answers[ANCHORS][np.unique(b.hash, return_inverse=True)[1]] if len(b.hash) else np.zeros(0, np.uint8)
+        windows, owner, h = b.common()
+        if len(windows):
+            alive = b.answers[WINDOWS][np.unique(h, return_inverse=True)[1]] != ALONE
+            windows, owner = windows[alive], owner[alive]
+        new = np.concatenate([[True], (np.diff(windows) != 1) | (np.diff(owner) != 0)])[: len(windows)]
+        plain = status == AGAIN
+        hashes = np.concatenate([b.hash[plain], b.hash[owner[new]]])
+        at = np.concatenate([b.first[plain], windows[new]])
+        size = np.concatenate([b.n[plain], np.diff(np.append(np.flatnonzero(new), len(windows)))]) + DEPTH - 1
+        doc = b.doc(at)
+        start = at - np.append(0, b.ends)[doc]
+        equal = radix_groups(b.data, at, size, hashes)
+        low = np.full(equal.max(initial=-1) + 1, np.iinfo(np.int64).max)
+        some = equal >= 0
+        np.minimum.at(low, equal[some], b.d[doc[some]])
+        lost = np.zeros(len(at), bool)
+        lost[some] = b.d[doc[some]] > low[equal[some]]
+        out = []
+        if lost.any():
+            out.append((-1, b"", b"", b.row[doc[lost]].tobytes(), start[lost].astype(np.int32).tobytes(), size[lost].astype(np.uint16).tobytes(), b""))
+        order = np.flatnonzero(~lost)
+        part = _part(hashes[order], pieces)
+        by = np.argsort(part, kind="stable")
+        order = order[by]
+        for p, s in _split(part[by]):
+            o = order[s]
+            text = b.data[_spread(at[o], size[o])[0]].tobytes()
+            out.append((p, (hashes[o] & U(0xFFFFFFFF)).astype(np.uint32).tobytes(), b.d[doc[o]].tobytes(), b.row[doc[o]].tobytes(), start[o].astype(np.int32).tobytes(), size[o].astype(np.uint16).tobytes(), text))
+        return pa.Table.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate((pa.int64(), *[pa.binary()] * 6))], RUNS)
+
+    return run
+
+
+RUNS = ["piece", "hash", "d", "row", "start", "size", "data"]
+
+
+def _grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[list[list]]:
+    """The rows of each value of the first column; they come sorted by it."""
+    rows, at = [], None
+    for batch in (b.slice(i, 64) for b in batches for i in range(0, b.num_rows, 64)):
+        for row in zip(*[c.to_pylist() for c in batch.columns]):
+            if rows and (row[0] != at or at < 0):  # what is removed already needs no whole view
+                yield rows
+                rows = []
+            at = row[0]
+            rows.append(row)
+    if rows:
+        yield rows
+
+
+def _removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of a piece's runs of windows: the removed byte ranges (row, s, e)."""
     for rows in _grouped(batches):
+        h, d, row, start, size = (np.concatenate([np.frombuffer(r[i], t) for r in rows]) for i, t in ((1, np.uint32), (2, np.int64), (3, np.int64), (4, np.int32), (5, np.uint16)))
+        start, size = start.astype(np.int64), size.astype(np.int64)
         if rows[0][0] < 0:
-            got = np.concatenate([np.frombuffer(r[2], np.int64).reshape(-1, 3) for r in rows])
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in got.T], ["row", "s", "e"])
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (row, start, start + size)], ["row", "s", "e"])
             continue
-        h = np.concatenate([np.frombuffer(r[1], U) for r in rows])
-        val = np.concatenate([np.frombuffer(r[2], np.int64).reshape(-1, 3) for r in rows])
-        size = np.concatenate([np.frombuffer(r[3], np.uint16) for r in rows]).astype(np.int64)
-        data = b"".join(r[4] for r in rows)
-        ends = np.cumsum(size)
-        seen: dict[bytes, int] = {}
-        of = np.fromiter((seen.setdefault(data[a:b], len(seen)) for a, b in zip((ends - size).tolist(), ends.tolist())), np.int64, len(size))
-        one = np.unique(of, return_index=True)[1]  # the place of each distinct run
+        data = np.frombuffer(b"".join(r[6] for r in rows), np.uint8)
+        at = np.cumsum(size) - size
+        equal = radix_groups(data, at, size, h)
+        alone = np.flatnonzero(equal < 0)
+        equal[alone] = equal.max(initial=-1) + 1 + np.arange(len(alone))
+        one, of = np.unique(equal, return_index=True, return_inverse=True)[1:]  # the place of each distinct run
         low = np.full(len(one), np.iinfo(np.int64).max)
-        np.minimum.at(low, of, val[:, 0])
+        np.minimum.at(low, of, d)
         # distinct runs of one anchor may share windows; those with an anchor of their own can't
         _, anchor, times = np.unique(h[one], return_inverse=True, return_counts=True)
         mixed = np.flatnonzero(times[anchor] > 1)
         n = size[one] - DEPTH + 1
-        base = np.zeros(len(one) + 1, np.int64)
-        base[1:] = np.cumsum(n)
+        base = np.cumsum(n) - n
         least = np.repeat(low, n)
         if len(mixed):
-            within = np.arange(n[mixed].sum()) - np.repeat(np.cumsum(n[mixed]) - n[mixed], n[mixed])
-            window = np.repeat(base[mixed], n[mixed]) + within
-            group = radix_groups(data, np.repeat((ends - size)[one[mixed]], n[mixed]) + within)
+            window, owner = _spread(base[mixed], n[mixed])
+            places = _spread(at[one[mixed]], n[mixed])[0]
+            group = radix_groups(data, places, np.full(len(places), DEPTH), h[one[mixed]][owner])
             some = group >= 0
             if some.any():
                 best = np.full(group.max() + 1, np.iinfo(np.int64).max)
                 np.minimum.at(best, group[some], least[window[some]])
                 least[window[some]] = best[group[some]]
-        k = n[of]
-        within = np.arange(k.sum()) - np.repeat(np.cumsum(k) - k, k)
-        owner = np.repeat(np.arange(len(of)), k)
-        hit = val[owner, 0] > least[base[of[owner]] + within]
-        edge = np.diff(np.concatenate([[0], hit.astype(np.int8), [0]]))
+        window, owner = _spread(base[of], n[of])
+        hit = d[owner] > least[window]
+        within = window - base[of][owner]
         # a run of hits ends where its owner does
-        first = np.flatnonzero(hit & ((edge[:-1] == 1) | (within == 0)))
-        last = np.flatnonzero(hit & ((edge[1:] == -1) | (within == np.repeat(k, k) - 1)))
+        first = np.flatnonzero(hit & ~(np.concatenate([[False], hit[:-1]]) & (within > 0)))
+        last = np.flatnonzero(hit & ~(np.concatenate([hit[1:], [False]]) & (within < n[of][owner] - 1)))
         o = owner[first]
-        yield pa.RecordBatch.from_arrays([pa.array(val[o, 1]), pa.array(val[o, 2] + within[first]), pa.array(val[o, 2] + within[last] + DEPTH)], ["row", "s", "e"])
+        yield pa.RecordBatch.from_arrays([pa.array(row[o]), pa.array(start[o] + within[first]), pa.array(start[o] + within[last] + DEPTH)], ["row", "s", "e"])
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -290,15 +325,18 @@ def remove_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text
     Texts are whole and taken as UTF-8 bytes; matches never cross documents; strings are judged on the input.
     Adds n_bytes, n_removed, n_spans (maximal removed runs) and kept (the remaining bytes, binary).
 
-    1. Of equal texts the smallest id stands for all; later ones lose everything.
-    2. Each window of 50 bytes names an anchor inside it; anchors are gathered by hash, and only those in several
-       texts go on. They travel as packed arrays, one entry per anchor and batch, however many documents have it.
-    3. Runs of windows around those anchors are gathered by anchor; a depth-limited radix sort by
-       most-significant 8-byte digits orders the suffixes that start in them, dropping what is alone at each
+    1. Of equal texts the smallest id stands for all; later ones lose everything. Texts are packed in batches of BATCH bytes.
+    2. Each window of 50 bytes names an anchor inside it. A batch asks for each of its anchors once, however many documents
+       have it, and is told whether others have it too. Where an anchor is in OFTEN batches or more, the batch asks on for each of the
+       windows around it, so that what is alone at that depth never meets the anchor's many others.
+    3. Runs of windows that are left go by their anchor to the pieces of the hash space, after a depth-limited radix
+       sort of the batch by most-significant digits has removed what its own smaller documents hold. In each piece the same
+       sort orders the runs, and then the suffixes that start in runs of one anchor, dropping what is alone at each
        digit; after 50 bytes equal groups are exactly the repeated windows, and all but the group's smallest
        document lose theirs.
 
-    Null text is empty. A null doc_id counts as larger than any other, so such rows only lose bytes. Rows of one
+    So an anchor in fewer than OFTEN batches brings at most their bytes to a task, and a common one a batch's distinct repeated windows once
+    a batch. Null text is empty. A null doc_id counts as larger than any other, so such rows only lose bytes. Rows of one
     doc_id never take bytes from each other; repeated rows come back each, with equal results. Texts are told apart by 64-bit
     hashes with their lengths, windows by their bytes. Input columns named like an added column are replaced.
     """
@@ -306,20 +344,24 @@ def remove_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text
     flat = flat.withColumn("text", F.coalesce(F.col("text").cast("string"), F.lit(""))).withColumn("d", F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)))
     flat = flat.withColumn("row", F.xxhash64("text", F.length("text"))).withColumn("n_bytes", F.octet_length("text").cast("long"))
     total = flat.agg(F.sum("n_bytes")).first()[0] or 0
-    # parts of some million anchors; runs of windows are fewer but larger
-    parts, pieces = 16 + total // (32 << 20), 64 + total // (2 << 20)
-    least = flat.groupBy("row").agg(F.min("d").alias("least"))
-    texts = flat.where(F.col("n_bytes") >= DEPTH).select("row", "d", "text")
-    sent = texts.select("row", "text").mapInArrow(_gather(parts), "part long, low binary, which binary, docs binary")
-    # what is known already is dealt out by document, the rest by part
-    salt = F.when(F.col("part") < 0, F.xxhash64("docs")).otherwise(F.lit(0))
-    found = sent.withColumn("salt", salt).repartition(parts, "part", "salt").sortWithinPartitions("part").drop("salt").mapInArrow(_repeated, "row long, part long, low binary")
-    found = keep(found.groupBy("row").agg(F.collect_list(F.struct("part", "low")).alias("found")).join(least, "row"))
-    runs = texts.join(found, "row").where("d = least").select("row", "d", "text", "found").mapInArrow(_windows(parts, pieces), "part long, hash binary, vals binary, size binary, data binary")
-    salt = F.when(F.col("part") < 0, F.xxhash64("vals")).otherwise(F.lit(0))
-    gone = runs.withColumn("salt", salt).repartition(pieces, "part", "salt").sortWithinPartitions("part").drop("salt").mapInArrow(_radix, "row long, s long, e long")
-    gone = keep(gone.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("s", "e"))).alias("spans")))
-    told = flat.join(least.join(gone, "row", "left"), "row").withColumn("later", (F.col("d") > F.col("least")) & (F.col("n_bytes") >= DEPTH))
+    parts, pieces = 8 + total // (8 << 20), 64 + total // (2 << 20)
+    packed = bundles(flat.where(F.col("n_bytes") >= DEPTH).select(F.struct("row", "d").alias("id"), "row", "d", "text"), BATCH)
+    each = packed.select("batch", F.posexplode("ids").alias("place", "id")).select("batch", "place", "id.row", "id.d")
+    least = keep(each.groupBy("row").agg(F.min(F.struct("d", "batch", "place")).alias("best")))
+    chosen = least.groupBy("best.batch").agg(F.collect_list("best.place").alias("places"))
+    nothing = F.lit(None).cast("array<int>")
+    known = packed.select("batch", F.lit(BUNDLE).alias("level"), F.lit(0).alias("part"), F.col("texts").alias("data"), nothing.alias("places"))
+    known = known.union(keep(chosen.select("batch", F.lit(CHOSEN), F.lit(0), F.lit(None).cast("binary"), "places")))
+    for level in (ANCHORS, WINDOWS):
+        asked = known.groupBy("batch").applyInArrow(_asked(parts, level), "batch long, part int, low binary, many binary")
+        known = known.union(keep(asked.groupBy("part").applyInArrow(_answered(level), ROWS)))
+    runs = known.groupBy("batch").applyInArrow(_runs(pieces), "piece long, hash binary, d binary, row binary, start binary, size binary, data binary")
+    salt = F.when(F.col("piece") < 0, F.xxhash64("row")).otherwise(F.lit(0))  # what is removed already is dealt out
+    gone = runs.withColumn("salt", salt).repartition(pieces, "piece", "salt").sortWithinPartitions("piece").drop("salt").mapInArrow(_removed, "row long, s long, e long")
+    gone = gone.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("s", "e"))).alias("spans"))
+    # written, so that the join below has a shuffle of its own, which adaptive execution can split where a text has many copies
+    told = keep(least.select("row", F.col("best.d").alias("least")).join(gone, "row", "left"))
+    told = flat.join(told, "row", "left").withColumn("later", F.coalesce(F.col("d") > F.col("least"), F.lit(False)))
     own = [c for c in flat.columns if c.startswith("in_")]
     schema = T.StructType([*flat.select(*own).schema.fields, *[T.StructField(n, T.LongType()) for n in ("n_bytes", "n_removed", "n_spans")], T.StructField("kept", T.BinaryType())])
     done = told.select(*own, "text", "later", "spans").mapInArrow(_cut, schema)

@@ -174,11 +174,30 @@ def test_radix_groups():
     rng = random.Random(2)
     data = "".join(rng.choices("ab", k=300)) * 2 + "c" * 80
     at = np.arange(len(data) - 49)
-    groups = radix_groups(data.encode(), at)
-    by = defaultdict(list)
-    for i in at.tolist():
-        by[data[i : i + 50]].append(i)
-    assert {tuple(np.flatnonzero(groups == g)) for g in set(groups[groups >= 0].tolist())} == {tuple(v) for v in by.values() if len(v) > 1}
+    for size in (np.full(len(at), 50), np.array([rng.choice((50, 51, 60)) for _ in at])):
+        size = np.minimum(size, len(data) - at)
+        groups = radix_groups(np.frombuffer(data.encode(), np.uint8), at, size)
+        by = defaultdict(list)
+        for i, n in zip(at.tolist(), size.tolist()):
+            by[data[i : i + n]].append(i)
+        assert {tuple(np.flatnonzero(groups == g)) for g in set(groups[groups >= 0].tolist())} == {tuple(v) for v in by.values() if len(v) > 1}
+
+
+def test_suffixes_common_passages(spark, monkeypatch):
+    """Passages in most batches, whose edges differ in every document, and near copies, with batches so small that anchors are common."""
+    from islet.llm import suffixes
+
+    monkeypatch.setattr(suffixes, "BATCH", 3000)
+    monkeypatch.setattr(suffixes, "OFTEN", 4)
+    rng = random.Random(12)
+    noise = lambda n: "".join(rng.choices("abcdefgh ", k=n))
+    passages, copy = [noise(n) for n in (50, 73, 130)], noise(700)
+    made = []
+    for i in range(150):
+        near = copy[: (at := rng.randrange(700))] + rng.choice(("", "x", "yz")) + copy[at:]
+        made.append((rng.randrange(100), noise(rng.randint(0, 80)) + rng.choice([*passages, near]) + rng.choice("abc") + noise(rng.randint(0, 80))))
+    out = remove_repeats(spark.createDataFrame(made, "doc_id long, text string")).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256)).collect()
+    assert bag(out) == bag(brute.suffixes(made))
 
 
 def test_decontaminate(spark):
