@@ -34,6 +34,14 @@ def two_sided_p(z: Column) -> Column:
     return F.when(z.isNotNull(), F.least(F.lit(1.0), t * F.exp(-x * x + poly)))
 
 
+def same_rows(a: str, b: str, keys) -> Column:
+    """Null-safe equality of the keys of two aliased tables: null keys are keys like any other."""
+    out = F.lit(True)
+    for k in keys:
+        out = out & F.col(f"{a}.`{k}`").eqNullSafe(F.col(f"{b}.`{k}`"))
+    return out
+
+
 def flag(c: Column) -> Column:
     """A condition as a flag: null is false."""
     return F.coalesce(c, F.lit(False))

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from islet.functions.numeric import flag, null_if_nan, ratio, rounded, two_sided_p
+from islet.functions.numeric import flag, null_if_nan, ratio, rounded, same_rows, two_sided_p
 
 LOCUS = ("island_id", "haplotype")
 
@@ -24,26 +24,37 @@ def _moments(value: Column) -> tuple[Column, Column, Column]:
 def locus_stats(counts: DataFrame, *, keys: Sequence[str] = LOCUS, sample: str = "sample", value: str = "frac_meth", min_samples: int = 5, attributes: Sequence[str] = ()) -> DataFrame:
     """Samples, mean, standard deviation, exact quartiles, extremes and IQR per locus and group.
 
-    With fewer than ``min_samples`` samples all but the extremes are null. Null keys are groups like any other.
+    With fewer than ``min_samples`` samples all but the extremes are null. Null keys are groups like any other. ``attributes``
+    describe the keys and come along; a key with two different sets of them fails the job, as its rows would be torn apart.
     """
     x = null_if_nan(F.col(value))
     n, mean, var = _moments(x)
-    made = counts.groupBy(*keys, *attributes).agg(
+    described = F.struct(*attributes) if attributes else F.lit(None)
+    made = counts.groupBy(*keys).agg(
+        F.min(described).alias("_least"), F.max(described).alias("_most"),
         F.count_distinct(sample).alias("cohort_n_samples"), mean.alias("mean"), F.sqrt(var).alias("std"), F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q"), F.min(x).alias("cohort_min"), F.max(x).alias("cohort_max")
     )
+    one = F.when(F.col("_least").eqNullSafe(F.col("_most")), F.col("_least")).otherwise(F.raise_error(F.concat(F.lit("several attributes of one locus: "), F.to_json("_least"), F.lit(" "), F.to_json("_most")))) if attributes else None
+    made = made.withColumn("_one", one) if attributes else made
     enough = lambda c: F.when(F.col("cohort_n_samples") >= min_samples, c)
     q = [F.get("q", F.lit(i)) for i in range(3)]
     return made.select(
-        *keys, *attributes, "cohort_n_samples", enough(F.col("mean")).alias("cohort_mean"), enough(F.col("std")).alias("cohort_std"), enough(q[1]).alias("cohort_median"),
+        *keys, *[F.col(f"_one.{a}").alias(a) for a in attributes], "cohort_n_samples", enough(F.col("mean")).alias("cohort_mean"), enough(F.col("std")).alias("cohort_std"), enough(q[1]).alias("cohort_median"),
         enough(q[0]).alias("cohort_q25"), enough(q[2]).alias("cohort_q75"), "cohort_min", "cohort_max", enough(q[2] - q[0]).alias("cohort_IQR"),
     )
 
 
+def _described(counts: DataFrame, groups: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Each row with its group's values: by a join, so that a group of a third of all rows can still be split."""
+    more = [f"b.`{c}`" for c in groups.columns if c not in keys]
+    return counts.alias("a").join(groups.alias("b"), same_rows("a", "b", keys), "left").select("a.*", *more)
+
+
 def score_standard(counts: DataFrame, stats: DataFrame, *, keys: Sequence[str] = LOCUS, value: str = "frac_meth") -> DataFrame:
     """z against the whole cohort, to four places; null where the deviation is zero or unknown."""
     kept = stats.select(*keys, *[c for c in stats.columns if c.startswith("cohort_") and c not in ("cohort_min", "cohort_max")])
     z = ratio(F.col(value) - F.col("cohort_mean"), F.nullif(F.col("cohort_std"), F.lit(0.0)))
-    return counts.join(kept, list(keys), "left").withColumn("z_score", rounded(z, 4))
+    return _described(counts, kept, keys).withColumn("z_score", rounded(z, 4))
 
 
 def score_leave_one_out(counts: DataFrame, *, keys: Sequence[str] = LOCUS, sample: str = "sample", value: str = "frac_meth", min_samples: int = 5, compat: bool = False) -> DataFrame:
@@ -56,7 +67,7 @@ def score_leave_one_out(counts: DataFrame, *, keys: Sequence[str] = LOCUS, sampl
     n, mean, var = _moments(x)
     group = counts.groupBy(*keys).agg(F.count_distinct(sample).alias("cohort_n_samples"), n.alias("n"), mean.alias("mu"), var.alias("s2"), F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q"))
     enough = F.col("cohort_n_samples") >= min_samples
-    joined = counts.join(group, list(keys), "left")
+    joined = _described(counts, group, keys)
     n, mu, s2 = F.col("n"), F.col("mu"), F.col("s2")
     others = F.when(enough & (n > 1), ratio(n * mu - x, n - 1))
     off = (x - others) * (x - others) if compat else (x - mu) * (x - others)
@@ -74,29 +85,26 @@ def score_leave_one_out(counts: DataFrame, *, keys: Sequence[str] = LOCUS, sampl
 def bh_fdr(df: DataFrame, *, p: str = "p_value", group: str = "haplotype", out: str = "p_adj", bins: int = 4096) -> DataFrame:
     """Benjamini-Hochberg adjusted p-values within each group; null p stays null and doesn't count.
 
-    Few large groups would leave few tasks, so each group is cut into ``bins`` by p: ranks are the rank in the bin plus what
-    lies in lower bins, and the running minimum is the one in the bin and the least of the bins above. Windows over bins see one
-    row a bin; the others see one bin.
+    Equal p of a group are one row with a count, so ties weigh nothing. Few large groups would leave few tasks, so each is
+    cut into ``bins`` by p: ranks are the rank in the bin plus what lies in lower bins, and the running minimum is the one in the
+    bin and the least of the bins above. Windows over bins see one row a bin; the others see one bin.
     """
-    # null p: a bin of its own, as neither its rank nor its minimum is used
-    told = df.withColumn("_bin", F.coalesce(F.floor(F.col(p) * bins), F.lit(-1)))
-    known = told.where(F.col(p).isNotNull())
-    sizes = known.groupBy(group, "_bin").agg(F.count("*").alias("_n"))
-    along = Window.partitionBy(group).orderBy("_bin")
-    sizes = sizes.withColumn("_below", F.sum("_n").over(along) - F.col("_n")).withColumn("_m", F.sum("_n").over(Window.partitionBy(group)))
-    # null groups are a group, so joins compare groups null-safely
-    here = Window.partitionBy(group, "_bin")
-    a, b = told.alias("a"), sizes.alias("b")
-    rows = a.join(b, F.col(f"a.{group}").eqNullSafe(F.col(f"b.{group}")) & (F.col("a._bin") == F.col("b._bin")), "left").select("a.*", "b._below", "b._m")
-    rank = F.col("_below") + F.count(F.lit(1)).over(here.orderBy(p).rangeBetween(Window.unboundedPreceding, Window.currentRow))
-    rows = rows.withColumn("_adj", F.when(F.col(p).isNotNull(), F.col(p) * F.col("_m") / rank))
-    rows = rows.withColumn("_own", F.min("_adj").over(here.orderBy(F.desc(p)).rangeBetween(Window.unboundedPreceding, Window.currentRow)))
-    least = rows.where(F.col(p).isNotNull()).groupBy(group, "_bin").agg(F.min("_adj").alias("_low"))
-    least = least.withColumn("_above", F.min("_low").over(Window.partitionBy(group).orderBy(F.desc("_bin")).rowsBetween(Window.unboundedPreceding, -1))).drop("_low")
-    a, b = rows.alias("a"), least.alias("b")
-    done = a.join(b, F.col(f"a.{group}").eqNullSafe(F.col(f"b.{group}")) & (F.col("a._bin") == F.col("b._bin")), "left").select("a.*", "b._above")
-    adjusted = F.when(F.col(p).isNotNull(), F.least(F.lit(1.0), F.col("_own"), F.col("_above")))
-    return done.withColumn(out, adjusted).drop("_bin", "_below", "_m", "_adj", "_own", "_above")
+    told = df.where(F.col(p).isNotNull()).groupBy(F.col(group).alias("g"), F.col(p).alias("p")).agg(F.count("*").alias("n"))
+    told = told.withColumn("bin", F.floor(F.col("p") * bins))
+    along = Window.partitionBy("g").orderBy("bin")
+    sizes = told.groupBy("g", "bin").agg(F.sum("n").alias("in_bin"))
+    sizes = sizes.withColumn("below", F.sum("in_bin").over(along) - F.col("in_bin")).withColumn("m", F.sum("in_bin").over(Window.partitionBy("g")))
+    rows = told.alias("a").join(sizes.alias("b"), same_rows("a", "b", ["g", "bin"])).select("a.*", "b.below", "b.m")
+    here = Window.partitionBy("g", "bin")
+    rank = F.col("below") + F.sum("n").over(here.orderBy("p"))
+    rows = rows.withColumn("adj", F.col("p") * F.col("m") / rank)
+    rows = rows.withColumn("own", F.min("adj").over(here.orderBy(F.desc("p"))))
+    least = rows.groupBy("g", "bin").agg(F.min("adj").alias("low"))
+    least = least.withColumn("above", F.min("low").over(Window.partitionBy("g").orderBy(F.desc("bin")).rowsBetween(Window.unboundedPreceding, -1)))
+    rows = rows.alias("a").join(least.alias("b"), same_rows("a", "b", ["g", "bin"])).select("a.g", "a.p", F.least(F.lit(1.0), "a.own", "b.above").alias("_adjusted"))
+    # an equality on p and a null-safe one on the group: rows of null p meet nothing
+    met = F.col(f"a.`{p}`").eqNullSafe(F.col("b.p")) & F.col(f"a.`{group}`").eqNullSafe(F.col("b.g"))
+    return df.alias("a").join(rows.alias("b"), met, "left").select("a.*", F.col("b._adjusted").alias(out))
 
 
 def bh_row_order(df: DataFrame, *, p: str = "p_value", group: str = "haplotype", order: Sequence[str], out: str = "p_adj") -> DataFrame:

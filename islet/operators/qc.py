@@ -15,7 +15,7 @@ def sample_metrics(counts: DataFrame) -> DataFrame:
     All loci are those of any row. Samples without rolled-up rows have no metrics; a sample without loci of a haplotype has null
     for it.
     """
-    every = counts.agg(F.count_distinct("island_id").alias("n")).first()["n"]
+    every = counts.agg(F.count_distinct("island_id")).scalar()
     of = lambda hap, c: F.when(F.col("haplotype") == hap, F.col(c))
     whole = F.round(of("all", "frac_meth") * 1e4).cast("long")
     n, s, q = F.count(whole), F.sum(whole), F.sum(whole * whole)
@@ -30,17 +30,20 @@ def sample_metrics(counts: DataFrame) -> DataFrame:
         F.nullif(F.count_distinct(of("hap1", "island_id")), F.lit(0)).alias("n_hap1_loci"),
         F.nullif(F.count_distinct(of("hap2", "island_id")), F.lit(0)).alias("n_hap2_loci"),
     )
-    made = made.where("n_loci_covered > 0").withColumn("n_loci_total", F.lit(every).cast("long"))
+    made = made.where("n_loci_covered > 0").withColumn("n_loci_total", every.cast("long"))
     return made.withColumn("coverage_frac", rounded(ratio(F.col("n_loci_covered"), F.col("n_loci_total")), 4))
 
 
 def qc_flags(metrics: DataFrame, *, mahal_thresh: float = 3.0, min_coverage_frac: float = 0.5, meth_lo: float = 0.1, meth_hi: float = 0.9) -> DataFrame:
-    """Adds flag_embedding, flag_coverage, flag_meth, qc_outlier and qc_reasons; unknown values raise no flag."""
+    """Adds flag_embedding, flag_coverage, flag_meth, qc_outlier and qc_reasons; unknown values raise no flag.
+
+    The reasons' words are fixed values.
+    """
     far = flag(rounded(F.col("mahal_dist"), 3) > mahal_thresh) if "mahal_dist" in metrics.columns else F.lit(False)
     made = metrics.withColumn("flag_embedding", far).withColumn("flag_coverage", flag(F.col("coverage_frac") < min_coverage_frac))
     made = made.withColumn("flag_meth", flag((F.col("mean_meth") < meth_lo) | (F.col("mean_meth") > meth_hi)))
     made = made.withColumn("qc_outlier", F.col("flag_embedding") | F.col("flag_coverage") | F.col("flag_meth"))
-    reasons = [F.when(F.col(f"flag_{k}"), F.lit(text)) for k, text in (("embedding", "embedding_outlier"), ("coverage", "low_coverage"), ("meth", "extreme_meth"))]
+    reasons = [F.when(F.col(f"flag_{k}"), F.lit(text)) for k, text in (("embedding", "embedding_outlier"), ("coverage", "low_coverage"), ("meth", "atypical_methylation"))]
     return made.withColumn("qc_reasons", F.concat_ws(" ", *reasons))
 
 
@@ -56,6 +59,16 @@ def median_imputed(counts: DataFrame, *, value: str = "frac_meth", sample: str =
     return both.select(sample, locus, F.coalesce("v", "middle").alias(value), F.col("v").isNull().alias("imputed"))
 
 
+def axis_shares(imputed: DataFrame, *, value: str = "frac_meth", sample: str = "sample", locus: str = "island_id", k: int = 2) -> DataFrame:
+    """(axis, share): what part of the variance of the standardised loci the first axes carry: of each axis, its coordinates' squares."""
+    axes = principal_components(imputed, value=value, sample=sample, locus=locus, k=k)
+    spread = imputed.groupBy(locus).agg(F.stddev_pop(value).alias("sd"), F.count("*").alias("n"))
+    total = spread.agg(F.sum(F.when(F.col("sd") > 0, F.col("n")).otherwise(0)).cast("double")).scalar()
+    names = [f"pc{i + 1}" for i in range(k)]
+    sums = axes.agg(*[F.sum(F.col(n) * F.col(n)).alias(n) for n in names])
+    return sums.select(F.explode(F.array(*[F.struct(F.lit(n).alias("axis"), F.col(n).alias("s")) for n in names])).alias("a")).select("a.axis", ratio(F.col("a.s"), total).alias("share"))
+
+
 def principal_components(imputed: DataFrame, *, value: str = "frac_meth", sample: str = "sample", locus: str = "island_id", k: int = 2) -> DataFrame:
     """(sample, pc1, pc2, ...) of the samples over standardised loci (zero variance: unit scale), by the matrix of the smaller side.
 

@@ -344,7 +344,7 @@ ORACLE = {
     "excluded_samples": f"WITH {DEEP} SELECT {KEYS}, n_reads, frac_meth FROM deep WHERE sample NOT IN (SELECT s_suppkey FROM supplier WHERE s_acctbal < 0)",
     "exclusion_audit": f"WITH {DEEP} SELECT s_suppkey AS sample, s_suppkey IN (SELECT sample FROM deep) AS found FROM supplier WHERE s_acctbal < 0",
     "sample_qc_metrics": f"WITH {METRICS} SELECT * FROM metrics",
-    "qc_flags": f"WITH {METRICS} SELECT sample, coverage_frac, mean_meth, fc AS flag_coverage, fm AS flag_meth, fc OR fm AS qc_outlier, concat_ws(' ', CASE WHEN fc THEN 'low_coverage' END, CASE WHEN fm THEN 'extreme_meth' END) AS qc_reasons FROM (SELECT *, coalesce(coverage_frac < 0.99, false) AS fc, coalesce(mean_meth < 0.45 OR mean_meth > 0.6, false) AS fm FROM metrics)",
+    "qc_flags": f"WITH {METRICS} SELECT sample, coverage_frac, mean_meth, fc AS flag_coverage, fm AS flag_meth, fc OR fm AS qc_outlier, concat_ws(' ', CASE WHEN fc THEN 'low_coverage' END, CASE WHEN fm THEN 'atypical_methylation' END) AS qc_reasons FROM (SELECT *, coalesce(coverage_frac < 0.99, false) AS fc, coalesce(mean_meth < 0.45 OR mean_meth > 0.6, false) AS fm FROM metrics)",
     "hap_delta_by_locus": f"WITH {RENAMED} SELECT island_id, {s8('mean_delta', 'median_delta')}, {ROUND.format(f'sqrt({VAR})')} AS std_delta, n_samples, mean_delta >= 0.5 AS large FROM (SELECT *, s / n / 1e4 AS mean_delta FROM (SELECT island_id, count(f) AS n, CAST(sum(f) AS DOUBLE) AS s, CAST(sum(f * f) AS DOUBLE) AS q, quantile_cont(x, 0.5) AS median_delta, count(DISTINCT sample) AS n_samples FROM (SELECT *, CAST(round(x * 1e4) AS BIGINT) AS f FROM (SELECT *, floor(abs(delta) * 1e4 + 0.5e0) / 1e4 AS x FROM sides)) GROUP BY island_id))",
     "hap_scatter": f"WITH {RENAMED} SELECT sample, island_id, {s8('hap1', 'hap2', 'delta')} FROM sides",
     "genome_positions": f'WITH c(chrom, ord, o) AS (VALUES {_chrom_rows}) SELECT chrom, p_partkey, "start", "end", ord, o + ("start" + "end") // 2 AS x_pos FROM (SELECT p_partkey, \'chr\' || (p_partkey % 22 + 1) AS chrom, p_partkey * 1000 AS "start", p_partkey * 1000 + p_size * 10 AS "end" FROM part) JOIN c USING (chrom)',

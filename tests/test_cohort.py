@@ -122,7 +122,7 @@ def test_embedding_and_flags(spark):
     assert np.abs([pcs[f"s{i}"] for i in range(6)]) == pytest.approx(np.abs(u[:, :2] * s[:2]), abs=1e-6)
     metrics = spark.createDataFrame([("a", 3.2, 0.4, 0.95), ("b", None, None, 0.5)], "sample string, mahal_dist double, coverage_frac double, mean_meth double")
     flags = {r.sample: r for r in qc.qc_flags(metrics).collect()}
-    assert flags["a"].qc_reasons == "embedding_outlier low_coverage extreme_meth" and not flags["b"].qc_outlier and flags["b"].qc_reasons == ""
+    assert flags["a"].qc_reasons == "embedding_outlier low_coverage atypical_methylation" and not flags["b"].qc_outlier and flags["b"].qc_reasons == ""
 
 
 def test_sanitized(spark):
@@ -148,3 +148,27 @@ def test_components_of_many_samples(spark, monkeypatch):
     want = u[:, :2] * d[:2]
     want *= np.where(want[np.abs(want).argmax(0), range(2)] < 0, -1, 1)
     assert np.allclose([got[f"s{i}"] for i in range(60)], want, atol=1e-8)
+
+
+def test_null_keys_are_scored(spark):
+    df = table(spark, {(None, "all"): X, ("a", None): X, ("a", "all"): X[::-1]})
+    for scored in (cohort.score_standard(df, cohort.locus_stats(df)), cohort.score_leave_one_out(df)):
+        rows = scored.collect()
+        assert len(rows) == 15 and all(r.z_score is not None and r.cohort_n_samples == 5 for r in rows)
+        by = {(r.island_id, r.haplotype, r.frac_meth): r.z_score for r in rows}
+        assert all(by[None, "all", x] == by["a", None, x] == by["a", "all", x] for x in X)
+
+
+def test_two_names_of_a_locus_fail(spark):
+    from islet.plans.runs import cohort_run
+    from islet.sources.tables import COUNTS
+
+    row = lambda i, name: (f"s{i}", "a", name, "chr1", 1, 9, 20, "all", 30, 30, 3 * i, 30 - 3 * i, i / 10)
+    one = spark.createDataFrame([row(i, "x") for i in range(8)], COUNTS)
+    stats, scored = cohort_run(one)
+    assert stats.count() == 1 and stats.first().island_name == "x" and scored.count() == 8
+    two = spark.createDataFrame([row(i, "xy"[i % 2]) for i in range(8)], COUNTS)
+    with pytest.raises(Exception, match="several attributes"):
+        cohort_run(two)[0].collect()
+    nameless = spark.createDataFrame([row(i, None) for i in range(8)], COUNTS)
+    assert all(r.z_score is not None for r in cohort_run(nameless)[1].collect())
