@@ -7,16 +7,20 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from islet.functions.numeric import flag, neg_log10, rounded
-from islet.operators.intervals import binned_rank
+from islet.functions.numeric import flag, neg_log10, normal_density, rounded
+from islet.operators.intervals import binned_rank, genome_positions
+from islet.operators.xci import kde
 
 
 def outliers_per_locus(flagged: DataFrame, *, group: str = "haplotype") -> DataFrame:
     """Outlying samples and mean z per locus, over rolled-up rows (over all rows where there are none), with the marker size."""
     rows = flagged.where("outlier")
-    if not rows.where(F.col(group) == "all").isEmpty():
-        rows = rows.where(F.col(group) == "all")
-    made = rows.groupBy("island_id").agg(F.count_distinct("sample").alias("n_outliers"), rounded(F.avg("z_score"), 4).alias("mean_z"))
+    rolled = rows.agg(F.coalesce(F.max(F.col(group) == "all"), F.lit(False))).scalar()
+    rows = rows.where(~rolled | (F.col(group) == "all"))
+    # z has four places: whole ten-thousandths add up the same in any order
+    whole = F.round(F.col("z_score") * 1e4).cast("long")
+    mean = F.try_divide(F.sum(whole).cast("double"), F.count(whole).cast("double"))
+    made = rows.groupBy("island_id").agg(F.count_distinct("sample").alias("n_outliers"), (rounded(mean, 0) / 1e4).alias("mean_z"))
     return made.withColumn("size", rounded(F.greatest(F.lit(4.0), F.least(F.lit(18.0), 4 + 3 * F.log1p("n_outliers"))), 4))
 
 
@@ -94,7 +98,10 @@ def sample_manhattan(flagged: DataFrame, *, haplotype: str = "all", column: str
 
 def sample_summary(flagged: DataFrame) -> DataFrame:
     """Mean value, loci and outlying loci of each sample."""
-    return flagged.groupBy("sample").agg(rounded(F.avg("frac_meth"), 6).alias("mean_meth"), F.count_distinct("island_id").alias("n_loci"), F.count_distinct(F.when(F.col("outlier"), F.col("island_id"))).alias("n_outliers"))
+    # fractions have four places: whole ten-thousandths add up the same in any order
+    whole = F.round(F.col("frac_meth") * 1e4).cast("long")
+    mean = F.try_divide(F.sum(whole).cast("double"), F.count(whole).cast("double"))
+    return flagged.groupBy("sample").agg((rounded(mean, 2) / 1e4).alias("mean_meth"), F.count_distinct("island_id").alias("n_loci"), F.count_distinct(F.when(F.col("outlier"), F.col("island_id"))).alias("n_outliers"))
 
 
 def box_summary(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
@@ -114,3 +121,114 @@ def histogram(df: DataFrame, value: str, *, low: float, high: float, bins: int)
 def embedding_table(coords: DataFrame, summary: DataFrame) -> DataFrame:
     """Coordinates with each sample's summary; samples without one have no outliers."""
     return coords.join(summary, "sample", "left").withColumn("n_outliers", F.coalesce("n_outliers", F.lit(0)))
+
+
+POSITION = ("island_name", "chrom", "island_start", "island_end")
+
+
+def first_per_locus(df: DataFrame, columns: Sequence[str] = POSITION, *, locus: str = "island_id") -> DataFrame:
+    """One row a locus with the least set of the columns that it has, by an aggregate that needs no sort."""
+    return df.groupBy(locus).agg(F.min(F.struct(*columns)).alias("one")).select(locus, *[F.col(f"one.{c}").alias(c) for c in columns])
+
+
+def on_genome(df: DataFrame, chroms: DataFrame) -> DataFrame:
+    """Adds ord and x_pos by the island's middle; rows of chromosomes that aren't listed go."""
+    return genome_positions(df, chroms, start="island_start", end="island_end")
+
+
+def loci_in_order(df: DataFrame, chroms: DataFrame) -> DataFrame:
+    """Each locus once, with ord: sort by ord, island_id."""
+    return first_per_locus(df).join(chroms.select("chrom", "ord"), "chrom")
+
+
+def manhattan(flagged: DataFrame, chroms: DataFrame) -> DataFrame:
+    """``outliers_per_locus`` on the genome axis."""
+    return on_genome(outliers_per_locus(flagged).join(first_per_locus(flagged), "island_id"), chroms)
+
+
+def manhattan_by_haplotype(flagged: DataFrame, chroms: DataFrame, *, most: int = 10_000, z_order: Sequence[str] = ("sample", "island_id")) -> DataFrame:
+    """The ``most`` outliers of largest |z| of each haplotype on the genome axis, with the parity of their chromosome."""
+    rows = top_per_group(flagged.where("outlier"), ["haplotype"], [F.abs("z_score").desc_nulls_last(), *[F.col(c) for c in z_order]], most)
+    return on_genome(rows, chroms).withColumn("odd_chrom", F.col("ord") % 2 == 1)
+
+
+def haplotypic_delta_manhattan(side_by_side: DataFrame, loci: DataFrame, chroms: DataFrame) -> DataFrame:
+    """``haplotypic_delta`` on the genome axis, with the marker size."""
+    rows = on_genome(haplotypic_delta(side_by_side).join(first_per_locus(loci), "island_id"), chroms)
+    return rows.withColumn("size", rounded(F.greatest(F.lit(3.0), F.least(F.lit(14.0), 3 + 14 * F.col("mean_delta"))), 4))
+
+
+def sample_manhattan_points(flagged: DataFrame, chroms: DataFrame, *, z_thresh: float = 2.5, top_labels: int = 3, haplotype: str = "all") -> DataFrame:
+    """``sample_manhattan`` on the genome axis: marker size, and a label for the largest |z| of each sample and chromosome over the threshold.
+
+    A label is the locus's name, or id without one, of at most 18 characters.
+    """
+    rows = on_genome(sample_manhattan(flagged, haplotype=haplotype), chroms)
+    beyond = F.abs("z_score") - z_thresh
+    size = F.when(beyond >= 0, F.greatest(F.lit(6.0), F.least(F.lit(14.0), 6 + 1.5 * beyond))).otherwise(4.5)
+    rank = F.row_number().over(Window.partitionBy("sample", "chrom").orderBy(F.abs("z_score").desc(), "island_id"))
+    name = F.coalesce(F.nullif(F.trim("island_name"), F.lit("")), F.col("island_id"))
+    short = F.when(F.length(name) > 18, F.concat(F.substring(name, 1, 17), F.lit("…"))).otherwise(name)
+    return rows.withColumn("size", rounded(size, 4)).withColumn("label", F.when((beyond >= 0) & (rank <= top_labels), short))
+
+
+def smallest_p(flagged: DataFrame, *, k: int = 10) -> DataFrame:
+    """The k smallest raw p of each haplotype."""
+    rows = flagged.where("p_value IS NOT NULL")
+    return top_per_group(rows, ["haplotype"], [F.col("p_value"), F.abs("z_score").desc(), F.col("sample"), F.col("island_id")], k)
+
+
+def locus_distributions(stats: DataFrame, *, bins: dict[str, tuple[float, float, int]]) -> DataFrame:
+    """(panel, bin, n): histograms of island size, sites and cohort mean over rolled-up loci; ``bins``: panel -> (low, high, bins)."""
+    rows = stats.where("haplotype = 'all'").withColumn("island_size", F.col("island_end") - F.col("island_start"))
+    made = None
+    for panel, (low, high, n) in bins.items():
+        one = histogram(rows, panel, low=low, high=high, bins=n).select(F.lit(panel).alias("panel"), "bin", "n")
+        made = one if made is None else made.unionByName(one)
+    return made
+
+
+def qc_records(coords: DataFrame, qc: DataFrame, *, x: str = "pc1", y: str = "pc2") -> DataFrame:
+    """One record a sample of the embedding: its place, its metrics (zero where it has none), reasons and whether it is suggested for exclusion."""
+    numbers = ("mean_meth", "coverage_frac", "mean_reads", "mahal_dist")
+    told = coords.select("sample", F.col(x).alias("x"), F.col(y).alias("y")).join(qc, "sample", "left")
+    return told.select("sample", "x", "y", *[F.coalesce(F.col(c), F.lit(0.0)).alias(c) for c in numbers], F.coalesce("qc_reasons", F.lit("")).alias("qc_reasons"), flag(F.col("qc_outlier")).alias("auto_exclude"))
+
+
+def qc_bars(qc: DataFrame, panels: Sequence[str] = ("coverage_frac", "mean_meth", "mean_reads")) -> DataFrame:
+    """(panel, sample, value, outlier): one bar a sample and metric."""
+    each = F.explode(F.array(*[F.struct(F.lit(p).alias("panel"), F.col(p).cast("double").alias("value")) for p in panels]))
+    return qc.select("sample", flag(F.col("qc_outlier")).alias("outlier"), each.alias("one")).select("one.panel", "sample", "one.value", "outlier")
+
+
+def haplotype_percentages(hemi: DataFrame) -> DataFrame:
+    """(series, pct): percentages of each haplotype, and of both together."""
+    sides = [F.struct(F.lit(s).alias("series"), (F.col(f"meth_frac_{h}") * 100).alias("pct")) for h in ("hap1", "hap2") for s in (h, "combined")]
+    return hemi.select(F.explode(F.array(*sides)).alias("one")).select("one.*").where("pct IS NOT NULL")
+
+
+def xci_scatter(hemi: DataFrame) -> DataFrame:
+    """(island_id, hap1_pct, hap2_pct, abs_delta) of the kept islands."""
+    return hemi.select("island_id", (F.col("meth_frac_hap1") * 100).alias("hap1_pct"), (F.col("meth_frac_hap2") * 100).alias("hap2_pct"), F.abs(F.col("meth_frac_hap1") - F.col("meth_frac_hap2")).alias("abs_delta"))
+
+
+def xci_distribution(hemi: DataFrame, *, points: int = 500) -> DataFrame:
+    """(series, i, x, density): kernel densities of the three series of percentages."""
+    pct, made = haplotype_percentages(hemi), None
+    for series in ("hap1", "hap2", "combined"):
+        one = kde(pct.where(F.col("series") == series), points=points).select(F.lit(series).alias("series"), "i", "x", "density")
+        made = one if made is None else made.unionByName(one)
+    return made
+
+
+def xci_histogram(hemi: DataFrame, *, bins: int = 50) -> DataFrame:
+    """(series, bin, n): counts of the three series of percentages in even bins of 0 to 100."""
+    pct = haplotype_percentages(hemi).where(F.col("pct").between(0, 100))
+    at = F.least(F.floor(F.col("pct") / (100 / bins)) + 1, F.lit(bins)).cast("long")
+    return pct.groupBy("series", at.alias("bin")).agg(F.count("*").alias("n"))
+
+
+def normal_overlay(grid: DataFrame, fit: dict, *, x: str = "x", n: float = 1.0, width: float = 1.0) -> DataFrame:
+    """(x, component, density): the two weighted normal curves of a mixture fit over a grid, scaled to ``n`` values in bins of ``width``."""
+    curves = [F.struct(F.lit(s).alias("component"), (n * width * fit[f"weight_{s}"] * normal_density(F.col(x), F.lit(fit[f"mean_{s}"]), F.lit(fit[f"sd_{s}"]))).alias("density")) for s in ("low", "high")]
+    return grid.select(x, F.explode(F.array(*curves)).alias("one")).select(x, "one.*")

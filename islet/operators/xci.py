@@ -49,36 +49,56 @@ def hemi_methylated(islands: DataFrame, *, min_reads: int = 8, low: float = 0.40
     return islands.where(clear("hap1") & clear("hap2") & F.col("meth_frac_combined").between(low, high))
 
 
+#: Colours and names of the track. Fixed values.
+GREY, BLUE, RED, FULL_DELTA = (210, 210, 210), (10, 80, 200), (200, 50, 10), 0.5
+STATUS_RGB = {"no_data": "200,200,200", "low_cov": "170,170,170", "unmethylated": "140,190,230", "methylated": "230,160,100"}
+PAR_RGB = "128,128,128"
+
+
 def delta_rgb(delta: Column) -> Column:
-    """``r,g,b`` from grey at 0 to blue (hap1 more) or red (hap2 more) at a difference of 0.5 and more; parts truncated."""
-    t = F.least(F.abs(delta) / 0.5, F.lit(1.0))
-    to = lambda up, down: F.when(delta >= 0, up).otherwise(down)
-    part = lambda end: (210 + t * (end - 210) + 1e-9).cast("int").cast("string")
-    return F.concat_ws(",", part(to(10, 200)), part(to(80, 50)), part(to(200, 10)))
+    """``r,g,b`` from GREY at 0 to BLUE (hap1 more) or RED (hap2 more) at a difference of FULL_DELTA and more; parts truncated."""
+    t = F.least(F.abs(delta) / FULL_DELTA, F.lit(1.0))
+    part = lambda i: F.when(delta >= 0, GREY[i] + t * (BLUE[i] - GREY[i])).otherwise(GREY[i] + t * (RED[i] - GREY[i]))
+    return F.concat_ws(",", *[(part(i) + 1e-9).cast("int").cast("string") for i in range(3)])
+
+
+def percent(part: Column) -> Column:
+    """``27%``: whole percents, ties to even."""
+    return F.concat(F.bround(part * 100, 0).cast("int").cast("string"), F.lit("%"))
 
 
 def island_status(islands: DataFrame, *, min_reads: int = 8, low: float = 0.40, high: float = 0.60) -> DataFrame:
-    """Adds status, score and rgb of each island's row in a browser track; islands without reads have null counts."""
-    clear = lambda h: F.coalesce(F.col(f"n_meth_{h}") + F.col(f"n_unmeth_{h}"), F.lit(0))
-    part = F.col("meth_frac_combined")
-    none = part.isNull() & (clear("hap1") + clear("hap2") == 0)
+    """Adds status, label (the status with its numbers), score and rgb of each island's row in a browser track; islands without clear reads have no data."""
+    clear = lambda h: F.coalesce(F.col(f"n_meth_{h}") + F.col(f"n_unmeth_{h}"), F.lit(0)).cast("long")
+    part, delta = F.col("meth_frac_combined"), F.col("delta_meth")
     few = (clear("hap1") < min_reads) | (clear("hap2") < min_reads)
-    status = F.when(none, "no_data").when(few, "low_cov").when(part < low, "unmethylated").when(part > high, "methylated").otherwise("delta")
+    status = F.when(part.isNull(), "no_data").when(few, "low_cov").when(part < low, "unmethylated").when(part > high, "methylated").otherwise("delta")
     told = islands.withColumn("status", status)
-    by_delta = F.col("status") == "delta"
-    score = F.when(by_delta, F.least((F.abs("delta_meth") * 1000 + 1e-9).cast("int"), F.lit(1000))).otherwise(0)
-    fixed = F.create_map(*[F.lit(x) for pair in {"no_data": "220,220,220", "low_cov": "180,180,180", "unmethylated": "100,160,220", "methylated": "220,120,60"}.items() for x in pair])
-    return told.withColumn("score", score).withColumn("rgb", F.when(by_delta, delta_rgb(F.col("delta_meth"))).otherwise(F.try_element_at(fixed, F.col("status"))))
+    is_a = lambda s: F.col("status") == s
+    signed = F.concat(F.when(delta < 0, "-").otherwise("+"), F.format_string("%.2f", rounded(F.abs(delta), 2)))
+    said = {
+        "low_cov": F.concat(F.lit("low_cov(h1="), clear("hap1").cast("string"), F.lit(",h2="), clear("hap2").cast("string"), F.lit(")")),
+        "unmethylated": F.concat(F.lit("unmethylated(comb="), percent(part), F.lit(")")),
+        "methylated": F.concat(F.lit("methylated(comb="), percent(part), F.lit(")")),
+        "delta": F.concat(F.lit("d="), signed, F.lit("(h1="), percent(F.col("meth_frac_hap1")), F.lit(",h2="), percent(F.col("meth_frac_hap2")), F.lit(")")),
+    }
+    label, rgb = F.lit("no_data"), delta_rgb(delta)
+    for name, text in said.items():
+        label = F.when(is_a(name), text).otherwise(label)
+    for name, colour in STATUS_RGB.items():
+        rgb = F.when(is_a(name), colour).otherwise(rgb)
+    score = F.when(is_a("delta"), F.least((F.abs(delta) * 1000 + 1e-9).cast("int"), F.lit(1000))).otherwise(0)
+    return told.withColumn("label", label).withColumn("score", score).withColumn("rgb", rgb)
 
 
 def bed9(islands: DataFrame, par: DataFrame | None = None) -> DataFrame:
     """(start, is_par, line) of a nine-column track, pseudoautosomal islands marked; sort by start, is_par descending to write."""
     line = lambda chrom, start, end, name, score, rgb: F.concat_ws("\t", chrom, start.cast("string"), end.cast("string"), name, score.cast("string"), F.lit("."), start.cast("string"), end.cast("string"), rgb)
     col = F.col
-    rows = islands.select(col("island_start").alias("start"), F.lit(False).alias("is_par"), line(col("island_chrom"), col("island_start"), col("island_end"), F.concat_ws("|", "island_id", "status"), col("score"), col("rgb")).alias("line"))
+    rows = islands.select(col("island_start").alias("start"), F.lit(False).alias("is_par"), line(col("island_chrom"), col("island_start"), col("island_end"), F.concat_ws("|", "island_id", "label"), col("score"), col("rgb")).alias("line"))
     if par is None:
         return rows
-    inside = par.select(col("start"), F.lit(True).alias("is_par"), line(col("chrom"), col("start"), col("end"), F.concat_ws("|", "name", F.lit("PAR")), F.lit(0), F.lit("150,150,150")).alias("line"))
+    inside = par.select(col("start"), F.lit(True).alias("is_par"), line(col("chrom"), col("start"), col("end"), F.concat_ws("|", "name", F.lit("PAR")), F.lit(0), F.lit(PAR_RGB)).alias("line"))
     return rows.unionByName(inside)
 
 
@@ -128,17 +148,18 @@ def bias_pedigree(islands: DataFrame) -> DataFrame:
 
 
 def kde(values: DataFrame, *, value: str = "pct", low: float = 0.0, high: float = 100.0, points: int = 500) -> DataFrame:
-    """(x, density): Gaussian kernels with Scott's bandwidth on an even grid; no rows under two values or without spread.
+    """(i, x, density): Gaussian kernels with Scott's bandwidth on an even grid; no rows under two values or without spread.
 
-    Each value meets the fixed grid in its own row; densities are summed by grid point, pre-aggregated.
+    Equal values are one row with a count before they meet the fixed grid; densities are summed by grid point, pre-aggregated.
     """
     m = values.agg(F.count(value).alias("n"), F.stddev_samp(value).alias("sd")).first()
     grid = [low + (high - low) * i / (points - 1) for i in range(points)]
     if m.n < 2 or not m.sd:
         return values.sparkSession.createDataFrame([], "i int, x double, density double")
     width = m.sd * m.n ** (-1 / 5)
-    told = values.where(F.col(value).isNotNull()).select(F.col(value).cast("double").alias("v"), F.posexplode(F.array(*map(F.lit, grid))).alias("i", "x"))
-    return told.groupBy("i", "x").agg((F.sum(F.exp(-0.5 * F.pow((F.col("x") - F.col("v")) / F.lit(width), 2))) / F.lit(m.n * width * (2 * 3.141592653589793) ** 0.5)).alias("density"))
+    told = values.where(F.col(value).isNotNull()).groupBy(F.col(value).cast("double").alias("v")).agg(F.count("*").alias("n"))
+    told = told.select("v", "n", F.posexplode(F.array(*map(F.lit, grid))).alias("i", "x"))
+    return told.groupBy("i", "x").agg((F.sum(F.col("n") * F.exp(-0.5 * F.pow((F.col("x") - F.col("v")) / F.lit(width), 2))) / F.lit(m.n * width * (2 * 3.141592653589793) ** 0.5)).alias("density"))
 
 
 def summary_json(row: DataFrame) -> DataFrame:

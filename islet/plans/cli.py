@@ -1,12 +1,15 @@
-"""``python -m islet.plans.cli cohort|qc|count|xci``: the runs from files to files."""
+"""``python -m islet.plans.cli count|qc|cohort|views|xci``: the runs from files to files."""
 
 from __future__ import annotations
 
 import argparse
+import glob
 import json
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from islet.operators import views, xci
 from islet.operators.cohort import sorted_outliers
 from islet.plans import runs
 from islet.sources import tables
@@ -27,15 +30,28 @@ def parser() -> argparse.ArgumentParser:
     run("count", "bam_glob", "cpg_tsv", prob_cutoff=0.5, max_bams=1 << 30)
     run("qc", "counts", mahal_thresh=3.0, min_coverage_frac=0.5, meth_lo=0.1, meth_hi=0.9)
     run("cohort", "counts", exclude_samples=None, min_reads=15, min_reads_hap=8, min_cpg=10, min_samples=5, z_thresh=2.5, leave_one_out=False)
-    run("xci", "bam_glob", "cpg_islands", min_cpg=10, meth_frac_thr=0.75, meth_prob_thr=128, min_reads_per_hap=8, hemi_low=0.40, hemi_high=0.60, phasing_mode="read_backed")
+    run("views", "stats", locus_stats=None, outliers=None, top_loci=100, z_thresh=2.5, manhattan_hap="all", top_labels=3, no_per_sample=False, no_per_loci=False)
+    run("xci", "bam_glob", "cpg_islands", prefix="sample", min_cpg=10, meth_frac_thr=0.75, meth_prob_thr=128, min_reads_per_hap=8, hemi_low=0.40, hemi_high=0.60, phasing_mode="read_backed")
     return top
 
 
-def bam(spark: SparkSession, path: str, most: int = 1 << 30):
+def bam(spark: SparkSession, path: str, most: int = 1 << 30, **options):
     from islet.sources.bam import BamSource
 
     spark.dataSource.register(BamSource)
-    return spark.read.format("islet_bam").option("path", path).option("max_files", most).load()
+    return spark.read.format("islet_bam").options(path=path, max_files=most, **options).load()
+
+
+def count(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
+    """Counts of all samples; those of a sample are kept in the output folder by the parameters they depend on."""
+    from islet.sources.bam import sample_of
+
+    files = sorted(glob.glob(a.bam_glob))[: a.max_bams]
+    if not files:
+        raise ValueError(f"no alignment files: {a.bam_glob}")
+    islands = tables.read_island_tsv(spark, a.cpg_tsv)
+    make = lambda samples: runs.count_reads(bam(spark, a.bam_glob, a.max_bams, samples="\t".join(samples)), islands, prob_cutoff=a.prob_cutoff)
+    return tables.cached_counts(spark, f"{a.outdir}/cache", {"prob_cutoff": a.prob_cutoff, "cpg_tsv": a.cpg_tsv}, [sample_of(f) for f in files], make, force=a.force)
 
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> None:
@@ -43,24 +59,38 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     spark = spark or SparkSession.builder.appName("islet").getOrCreate()
     save = lambda df, name: tables.write_tsv(df, f"{a.outdir}/{name}", force=a.force)
     if a.run == "count":
-        save(runs.count_reads(bam(spark, a.bam_glob, a.max_bams), tables.read_island_tsv(spark, a.cpg_tsv), prob_cutoff=a.prob_cutoff), "all_samples_counts")
+        save(count(spark, a), "all_samples_counts")
     elif a.run == "qc":
-        flags = runs.qc_run(tables.read_counts(spark, a.counts), mahal_thresh=a.mahal_thresh, min_coverage_frac=a.min_coverage_frac, meth_lo=a.meth_lo, meth_hi=a.meth_hi)
+        table = tables.read_counts(spark, a.counts)
+        coords = runs.embedding(table)
+        flags = runs.qc_run(table, coords, mahal_thresh=a.mahal_thresh, min_coverage_frac=a.min_coverage_frac, meth_lo=a.meth_lo, meth_hi=a.meth_hi)
         save(flags, "sample_qc_metrics")
-        tables.write_exclude_list(flags, f"{a.outdir}/samples_exclude", force=a.force)
+        save(views.qc_records(coords, flags), "qc_records")
+        save(views.qc_bars(flags), "qc_bars")
+        tables.write_exclude_list(flags, f"{a.outdir}/samples_exclude", source=a.counts, force=a.force)
     elif a.run == "cohort":
         out = tables.read_exclude_list(spark, a.exclude_samples) if a.exclude_samples else None
         stats, scored = runs.cohort_run(tables.read_counts(spark, a.counts), out, min_reads=a.min_reads, min_reads_hap=a.min_reads_hap, min_cpg=a.min_cpg, min_samples=a.min_samples, z_thresh=a.z_thresh, leave_one_out=a.leave_one_out)
         save(stats, "cohort_locus_stats")
         save(scored, "all_samples_stats")
         save(sorted_outliers(scored), "outliers")
+    elif a.run == "views":
+        made = runs.view_tables(*tables.read_scored(spark, a.stats, a.locus_stats, a.outliers), z_thresh=a.z_thresh, top_loci=a.top_loci, top_labels=a.top_labels, manhattan_hap=a.manhattan_hap, per_sample=not a.no_per_sample, per_loci=not a.no_per_loci)
+        for name, df in made.items():
+            save(df, name)
     else:
-        got = runs.xci_run(bam(spark, a.bam_glob), tables.read_island_bed(spark, a.cpg_islands), min_cpg=a.min_cpg, meth_frac_thr=a.meth_frac_thr, meth_prob_thr=a.meth_prob_thr, min_reads=a.min_reads_per_hap, low=a.hemi_low, high=a.hemi_high)
-        save(got["per_read"], "per_read")
-        save(got["per_island"], "per_island")
-        tables.write_bed9(got["track"], f"{a.outdir}/track", force=a.force)
-        summary = spark.createDataFrame([(json.dumps(runs.xci_summary(got["hemi"], phasing_mode=a.phasing_mode)),)], "value string")
-        summary.write.mode("overwrite" if a.force else "ignore").text(f"{a.outdir}/summary")
+        params = {k: getattr(a, k) for k in ("min_cpg", "meth_frac_thr", "meth_prob_thr", "min_reads_per_hap", "hemi_low", "hemi_high")}
+        contigs = bam(spark, a.bam_glob, table="contigs")
+        sample, got = contigs.agg(F.min("sample")).first()[0], None
+        if xci.sex_of(contigs.where(F.col("sample") == sample)).where("sex = 'M'").isEmpty():
+            got = runs.xci_run(bam(spark, a.bam_glob, samples=sample, region="chrX"), tables.read_island_bed(spark, a.cpg_islands), min_cpg=a.min_cpg, meth_frac_thr=a.meth_frac_thr, meth_prob_thr=a.meth_prob_thr, min_reads=a.min_reads_per_hap, low=a.hemi_low, high=a.hemi_high)
+            for name in ("per_read", "per_island"):
+                save(got[name], name)
+            tables.write_bed9(got["track"], f"{a.outdir}/track", prefix=a.prefix, force=a.force)
+            for name, made in (("scatter", views.xci_scatter), ("distribution", views.xci_distribution), ("histogram", views.xci_histogram)):
+                save(made(got["hemi"]), f"xci_{name}")
+        summary = runs.xci_summary(sample, a.bam_glob, contigs, got, phasing_mode=a.phasing_mode, **params)
+        spark.createDataFrame([(json.dumps(summary, ensure_ascii=False),)], "value string").write.mode("overwrite" if a.force else "ignore").text(f"{a.outdir}/summary")
 
 
 if __name__ == "__main__":

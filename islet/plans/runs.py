@@ -1,11 +1,12 @@
-"""The two runs: counts to cohort outliers, and reads to inactivation bias."""
+"""The runs: reads to counts, counts to quality metrics and to cohort outliers, scored rows to plot tables, reads to inactivation bias."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from islet.operators import cohort, counts, intervals, qc, xci
+from islet.functions.numeric import rounded
+from islet.operators import cohort, counts, intervals, qc, views, xci
 from islet.sources import tables
 
 
@@ -32,11 +33,15 @@ def cohort_run(table: DataFrame, excluded: DataFrame | None = None, *, min_reads
     return stats, tables.in_order(cohort.add_pvalues_and_flags(scored, z_thresh=z_thresh))
 
 
-def qc_run(table: DataFrame, *, mahal_thresh: float = 3.0, min_coverage_frac: float = 0.5, meth_lo: float = 0.1, meth_hi: float = 0.9) -> DataFrame:
+def embedding(table: DataFrame) -> DataFrame:
+    """Principal components of the samples of a counts table, by their rolled-up rows; sex chromosomes are left out."""
+    return qc.principal_components(qc.median_imputed(counts.without_chromosomes(table).where("haplotype = 'all'")))
+
+
+def qc_run(table: DataFrame, coords: DataFrame | None = None, *, mahal_thresh: float = 3.0, min_coverage_frac: float = 0.5, meth_lo: float = 0.1, meth_hi: float = 0.9) -> DataFrame:
     """Sample metrics with the embedding distance and the flags; sex chromosomes are left out."""
-    rows = counts.without_chromosomes(table)
-    far = qc.mahalanobis(qc.principal_components(qc.median_imputed(rows.where("haplotype = 'all'"))))
-    metrics = qc.sample_metrics(rows).join(far.select("sample", "mahal_dist"), "sample", "left")
+    far = qc.mahalanobis(embedding(table) if coords is None else coords).select("sample", rounded(F.col("mahal_dist"), 3).alias("mahal_dist"))
+    metrics = qc.sample_metrics(counts.without_chromosomes(table)).join(far, "sample", "left")
     return qc.qc_flags(metrics, mahal_thresh=mahal_thresh, min_coverage_frac=min_coverage_frac, meth_lo=meth_lo, meth_hi=meth_hi)
 
 
@@ -53,15 +58,53 @@ def xci_run(reads: DataFrame, islands: DataFrame, *, min_cpg: int = 10, meth_fra
     per_island = xci.per_island(per_read, ("sample", *xci.ISLAND))
     every = outside.select(F.col("name").alias("island_id"), F.col("chrom").alias("island_chrom"), F.col("start").alias("island_start"), F.col("end").alias("island_end"))
     track = xci.bed9(xci.island_status(every.join(per_island, list(xci.ISLAND), "left"), min_reads=min_reads, low=low, high=high), par)
-    return {"per_read": per_read, "per_island": per_island, "track": track, "hemi": xci.hemi_methylated(per_island, min_reads=min_reads, low=low, high=high)}
+    return {"islands": every, "per_read": per_read, "per_island": per_island, "track": track, "hemi": xci.hemi_methylated(per_island, min_reads=min_reads, low=low, high=high)}
+
 
+def xci_summary(sample: str, source: str, contigs: DataFrame, got: dict[str, DataFrame] | None, *, phasing_mode: str = "read_backed", **params) -> dict:
+    """The summary of one sample: its sex by contigs, and unless it is male, what was kept and the bias by mode.
 
-def xci_summary(hemi: DataFrame, *, phasing_mode: str = "read_backed") -> dict:
-    """Medians and means of the haplotypes' percentages over the kept islands, and the bias by mode."""
-    pct = hemi.select(F.explode(F.array(*[(F.col(f"meth_frac_{h}") * 100).alias("x") for h in ("hap1", "hap2")])).alias("pct"))
-    row = hemi.agg(F.count("*").alias("n"), *[f(F.col(f"meth_frac_{h}") * 100).alias(f"meth_frac_{h}_{k}") for h in ("hap1", "hap2") for k, f in (("median", F.median), ("mean", F.avg))]).first()
-    out = {"n_islands": row.n} | {c: row[c] for c in row.asDict() if c != "n"} | {"phasing_mode": phasing_mode}
+    Medians and means are percentages, biases are parts. For a male ``got`` (the tables of ``xci_run``) isn't looked at; ``params`` are
+    the run's parameters, which are told as they are. Unknown numbers are null.
+    """
+    known = lambda x, places: None if x is None else round(float(x), places)
+    sex = xci.sex_of(contigs.where(F.col("sample") == sample)).first()
+    head = {"sample": sample, "bam": source, "inferred_sex": sex.sex if sex else "unknown", "sex_check_n_chrx_sampled": sex.x_reads if sex else 0, "sex_check_n_chry_sampled": sex.y_reads if sex else 0, "sex_check_chry_frac": known(sex.y_ratio, 3) if sex else None}
+    tail = {"params": params}
+    if head["inferred_sex"] == "M":
+        return head | {"phasing_mode": phasing_mode} | tail
+    hemi, islands = got["hemi"].where(F.col("sample") == sample), got["per_island"].where(F.col("sample") == sample)
+    enough = [F.col(f"n_meth_{h}") + F.col(f"n_unmeth_{h}") >= params.get("min_reads_per_hap", 8) for h in ("hap1", "hap2")]
+    sides = hemi.agg(F.count("*").alias("n"), *[f(F.col(f"meth_frac_{h}") * 100).alias(f"meth_frac_{h}_{k}") for k, f in (("median", F.median), ("mean", F.avg)) for h in ("hap1", "hap2")]).first()
+    body = {"n_islands_nonPAR": got["islands"].count(), "n_reads_retained": got["per_read"].where(F.col("sample") == sample).count(), "n_islands_sufficient_coverage": islands.where(enough[0] & enough[1]).count(), "n_islands_hemi_methylated": sides.n}
+    body |= {c: known(sides[c], 4) for c in sides.asDict() if c != "n"} | {"phasing_mode": phasing_mode}
     if phasing_mode == "pedigree":
-        return out | xci.bias_pedigree(hemi).first().asDict()
-    fit = xci.gaussian_mixture(pct)
-    return out | {"xci_bias": xci.bias_read_backed(fit) if fit else None}
+        return head | body | {k: known(v, 4) for k, v in xci.bias_pedigree(hemi).first().asDict().items()} | tail
+    fit = xci.gaussian_mixture(views.haplotype_percentages(hemi).where("series = 'combined'"))
+    bias = {"xci_bias": xci.bias_read_backed(fit), "gmm_peak_low": fit["mean_low"], "gmm_peak_high": fit["mean_high"]} if fit else {"xci_bias": None, "gmm_peak_low": None, "gmm_peak_high": None}
+    return head | body | {k: known(v, 4 if k == "xci_bias" else 2) for k, v in bias.items()} | tail
+
+
+def view_tables(flagged: DataFrame, stats: DataFrame | None = None, outliers: DataFrame | None = None, *, z_thresh: float = 2.5, top_loci: int = 100, top_labels: int = 3, manhattan_hap: str = "all", per_sample: bool = True, per_loci: bool = True) -> dict[str, DataFrame]:
+    """The tables behind the plots by name, of scored rows (and, where given, locus statistics and outliers); sex chromosomes are left out.
+
+    Per-sample and per-locus tables hold all samples and loci in one pass, with their key as a column.
+    """
+    chroms = intervals.chrom_table(flagged.sparkSession)
+    flagged = counts.without_chromosomes(flagged)
+    outliers = counts.without_chromosomes(outliers) if outliers is not None else flagged.where("outlier")
+    sides = views.haplotypes_side_by_side(flagged)
+    made = {
+        "manhattan_outlier_count": views.manhattan(outliers, chroms), "outlier_scatter": views.deviating(flagged, z_thresh=z_thresh), "heatmap_outliers": views.heatmap(flagged, most=top_loci),
+        "methylation_embedding": views.embedding_table(qc.principal_components(qc.median_imputed(flagged.where("haplotype = 'all'"))), views.sample_summary(flagged)),
+        "manhattan_by_haplotype": views.manhattan_by_haplotype(outliers, chroms), "haplotypic_delta_manhattan": views.haplotypic_delta_manhattan(sides, flagged, chroms),
+    }
+    if stats is not None:
+        stats = counts.without_chromosomes(stats)
+        made["locus_methylation_ordered"] = views.ordered_loci(stats.where("haplotype = 'all'"), chroms)
+        made["locus_distributions"] = views.locus_distributions(stats, bins={"island_size": (0.0, 5000.0, 50), "island_cpgNum": (0.0, 400.0, 40), "cohort_mean": (0.0, 1.0, 50)})
+    if per_sample:
+        made |= {"sample_volcano": views.volcano(flagged), "sample_hap1_vs_hap2": sides, "sample_manhattan": views.sample_manhattan_points(flagged, chroms, z_thresh=z_thresh, top_labels=top_labels, haplotype=manhattan_hap)}
+    if per_loci:
+        made |= {"loci": views.loci_in_order(flagged, chroms), "locus_boxes": views.box_summary(flagged, ["island_id", "haplotype"], "frac_meth")}
+    return made

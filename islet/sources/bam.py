@@ -1,17 +1,28 @@
-"""A Spark data source for aligned reads with base modifications: one input partition a file, rows as in READ_CALLS."""
+"""A Spark data source for aligned reads with base modifications, rows as in READ_CALLS, and for the contig counts of their indexes.
+
+With a ``.bai`` index beside a file, its reads are dealt over many input partitions (by the index's linear offsets), and with a region
+only the partitions that can overlap it are read; without one, a file is one partition.
+"""
 
 from __future__ import annotations
 
 import glob
 import gzip
+import os
 import struct
+import warnings
+import zlib
 from collections.abc import Iterator
+from typing import NamedTuple
 
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from islet.sources.tables import READ_CALLS
 
 _BASES = "=ACMGRSVTWYHKDBN"
+CONTIGS = "sample string, contig string, mapped long"
+SPLIT = 16 << 20  # compressed bytes of a partition of an indexed file
+_COUNTS_BIN = 37450  # the index's bin that holds counts instead of places. Fixed value of the format.
 _TYPES = {"A": "c", "c": "b", "C": "B", "s": "h", "S": "H", "i": "i", "I": "I", "f": "f"}
 
 
@@ -64,66 +75,228 @@ def methylated_cytosines(sequence: str, reverse: bool, mm: str, ml: tuple) -> di
     return out
 
 
-def records(path: str) -> Iterator[tuple]:
-    """The file's reads, without their sample."""
-    with gzip.open(path) as f:
-        if f.read(4) != b"BAM\1":
-            raise ValueError(f"not an alignment file: {path}")
-        f.read(struct.unpack("<i", f.read(4))[0])
-        contigs = []
-        for _ in range(struct.unpack("<i", f.read(4))[0]):
-            name = f.read(struct.unpack("<i", f.read(4))[0])[:-1].decode()
-            contigs.append(name)
-            f.read(4)
-        while head := f.read(4):
-            block = f.read(struct.unpack("<i", head)[0])
-            ref, pos, n_name, _, _, n_cigar, flag, n_seq = struct.unpack_from("<iiBBHHHi", block)
-            at = 32
-            name = block[at : at + n_name - 1].decode()
-            at += n_name
-            cigar = [(c & 15, c >> 4) for c in struct.unpack_from(f"<{n_cigar}I", block, at)]
-            at += 4 * n_cigar
-            packed = block[at : at + (n_seq + 1) // 2]
-            sequence = "".join(_BASES[b >> 4] + _BASES[b & 15] for b in packed)[:n_seq]
-            more = tags(block[at + len(packed) + n_seq :])
-            calls = []
-            mm, ml = more.get("MM", more.get("Mm")), more.get("ML", more.get("Ml"))
-            if mm and ml and not flag & 4:
-                places = reference_positions(pos, cigar)
-                found = methylated_cytosines(sequence, bool(flag & 16), mm, ml)
-                calls = [{"rpos": places[q], "prob": p} for q, p in sorted(found.items()) if q in places]
-            end = pos + sum(n for op, n in cigar if op in (0, 2, 3, 7, 8))
-            yield name, contigs[ref] if ref >= 0 else None, pos, end, bool(flag & 4), bool(flag & 256), bool(flag & 2048), bool(flag & 1024), more.get("HP"), calls
+class Blocks:
+    """Decompressed bytes of a blocked file from a virtual offset on (block's place << 16 | place in the block)."""
+
+    def __init__(self, path: str, offset: int = 0):
+        self.file = open(path, "rb")
+        self.data, self.at, self.block, self.next = b"", 0, 0, offset >> 16
+        self._load()
+        self.at = offset & 0xFFFF
+
+    def _load(self) -> bool:
+        self.file.seek(self.next)
+        head = self.file.read(12)
+        if len(head) < 12:
+            return False
+        extra = self.file.read(struct.unpack_from("<H", head, 10)[0])
+        at = 0
+        while extra[at : at + 2] != b"BC":
+            at += 4 + struct.unpack_from("<H", extra, at + 2)[0]
+        size = struct.unpack_from("<H", extra, at + 4)[0] + 1
+        body = self.file.read(size - 12 - len(extra))
+        self.block, self.next, self.at = self.next, self.next + size, 0
+        self.data = zlib.decompress(body[:-8], -15)
+        return True
+
+    def offset(self) -> int:
+        while self.at >= len(self.data) and self._load():
+            pass
+        return self.block << 16 | self.at
+
+    def read(self, n: int) -> bytes:
+        out = []
+        while n:
+            if self.at >= len(self.data) and not self._load():
+                break
+            piece = self.data[self.at : self.at + n]
+            self.at += len(piece)
+            n -= len(piece)
+            out.append(piece)
+        return b"".join(out)
+
+
+def contig_names(f) -> list[str]:
+    if f.read(4) != b"BAM\1":
+        raise ValueError("not an alignment file")
+    number = lambda: struct.unpack("<i", f.read(4))[0]
+    f.read(number())
+    out = []
+    for _ in range(number()):
+        out.append(f.read(number())[:-1].decode())
+        f.read(4)
+    return out
+
+
+class Contig(NamedTuple):
+    """What an index tells of a contig: its reads' first and last virtual offset, the offset of each 16 kb window's first read, and mapped reads."""
+
+    first: int
+    last: int
+    windows: tuple[int, ...]
+    mapped: int
+
+
+def read_index(path: str) -> list[Contig]:
+    with open(path, "rb") as f:
+        data = f.read()
+    if data[:4] != b"BAI\1":
+        raise ValueError(f"not an index: {path}")
+    at, out = 4, []
+
+    def take(form: str) -> tuple:
+        nonlocal at
+        got = struct.unpack_from(form, data, at)
+        at += struct.calcsize(form)
+        return got
+
+    for _ in range(take("<i")[0]):
+        spans, mapped = [], 0
+        for _ in range(take("<i")[0]):
+            number, n = take("<Ii")
+            chunks = take(f"<{2 * n}Q")
+            if number == _COUNTS_BIN:
+                mapped = chunks[2]
+            else:
+                spans += zip(chunks[::2], chunks[1::2])
+        windows = take(f"<{take('<i')[0]}Q")
+        out.append(Contig(min((a for a, _ in spans), default=0), max((b for _, b in spans), default=0), windows, mapped))
+    return out
+
+
+def index_of(path: str) -> str | None:
+    """The index beside a file, under either usual name; a warning where there is none."""
+    for name in (f"{path}.bai", f"{path.removesuffix('.bam')}.bai"):
+        if os.path.isfile(name):
+            return name
+    warnings.warn(f"no index beside {path}: it is read whole, by one task", stacklevel=2)
+    return None
+
+
+def record(block: bytes, contigs: list[str]) -> tuple:
+    """A read, without its sample."""
+    ref, pos, n_name, _, _, n_cigar, flag, n_seq = struct.unpack_from("<iiBBHHHi", block)
+    at = 32
+    name = block[at : at + n_name - 1].decode()
+    at += n_name
+    cigar = [(c & 15, c >> 4) for c in struct.unpack_from(f"<{n_cigar}I", block, at)]
+    at += 4 * n_cigar
+    packed = block[at : at + (n_seq + 1) // 2]
+    sequence = "".join(_BASES[b >> 4] + _BASES[b & 15] for b in packed)[:n_seq]
+    more = tags(block[at + len(packed) + n_seq :])
+    calls = []
+    mm, ml = more.get("MM", more.get("Mm")), more.get("ML", more.get("Ml"))
+    if mm and ml and not flag & 4:
+        places = reference_positions(pos, cigar)
+        found = methylated_cytosines(sequence, bool(flag & 16), mm, ml)
+        calls = [{"rpos": places[q], "prob": p} for q, p in sorted(found.items()) if q in places]
+    end = pos + sum(n for op, n in cigar if op in (0, 2, 3, 7, 8))
+    return name, contigs[ref] if ref >= 0 else None, pos, end, bool(flag & 4), bool(flag & 256), bool(flag & 2048), bool(flag & 1024), more.get("HP"), calls
+
+
+def records(path: str, start: int | None = None, stop: int | None = None) -> Iterator[tuple]:
+    """The file's reads, or those that begin at virtual offsets from ``start`` up to ``stop``."""
+    if start is None:
+        with gzip.open(path) as f:
+            contigs = contig_names(f)
+            while head := f.read(4):
+                yield record(f.read(struct.unpack("<i", head)[0]), contigs)
+        return
+    contigs = contig_names(Blocks(path))
+    f = Blocks(path, start)
+    while (stop is None or f.offset() < stop) and len(head := f.read(4)) == 4:
+        yield record(f.read(struct.unpack("<i", head)[0]), contigs)
+
+
+def region_of(text: str | None) -> tuple[str, int, int] | None:
+    """``contig`` or ``contig:start-end``, from 0, end exclusive."""
+    if not text:
+        return None
+    contig, _, span = text.partition(":")
+    start, _, end = span.replace(",", "").partition("-")
+    return contig, int(start or 0), int(end or 1 << 60)
 
 
 class Part(InputPartition):
-    def __init__(self, path: str):
+    def __init__(self, path: str, start: int | None = None, stop: int | None = None):
         super().__init__(path)
-        self.path = path
+        self.path, self.start, self.stop = path, start, stop
+
+
+def parts(path: str, region: tuple[str, int, int] | None) -> list[Part]:
+    """A file's partitions: with an index, of about SPLIT compressed bytes, and only those that may overlap the region."""
+    index = index_of(path)
+    if index is None:
+        return [Part(path)]
+    names, contigs, out, end = contig_names(Blocks(path)), read_index(index), [], 0
+    for name, contig in zip(names, contigs):
+        if not contig.last:
+            continue
+        end = max(end, contig.last)
+        if region and name != region[0]:
+            continue
+        # a window's offset is that of the first read that overlaps it, so reads of later windows begin no earlier
+        first = max([contig.first, *contig.windows[: (region[1] >> 14) + 1][-1:]]) if region else contig.first
+        cuts = [first]
+        for w in contig.windows:
+            if (w >> 16) - (cuts[-1] >> 16) >= SPLIT:
+                cuts.append(w)
+        out += [Part(path, a, b) for a, b in zip(cuts, [*cuts[1:], contig.last])]
+    return out if region else [*out, Part(path, end or first_read(path), None)]
+
+
+def first_read(path: str) -> int:
+    """The offset of the first read."""
+    f = Blocks(path)
+    contig_names(f)
+    return f.offset()
 
 
 class BamReader(DataSourceReader):
     def __init__(self, options):
         self.paths = sorted(glob.glob(options["path"]))[: int(options.get("max_files", 1 << 30))]
+        if not self.paths:
+            raise ValueError(f"no alignment files: {options['path']}")
+        some = options.get("samples")
+        self.paths = [p for p in self.paths if some is None or sample_of(p) in some.split("\t")]
+        self.contigs, self.region = options.get("table", "reads") == "contigs", region_of(options.get("region"))
 
     def partitions(self):
-        return [Part(p) for p in self.paths]
+        return [Part(p) for p in self.paths] if self.contigs else [part for p in self.paths for part in parts(p, self.region)]
 
     def read(self, partition):
-        sample = partition.path.rsplit("/", 1)[-1].split(".")[0]
-        for name, *rest in records(partition.path):
-            yield (sample, name, *rest)
+        if partition is None:  # no partitions
+            return
+        sample = sample_of(partition.path)
+        if self.contigs:
+            index = index_of(partition.path)
+            if index is None:
+                raise ValueError(f"contig counts need an index beside {partition.path}")
+            for name, contig in zip(contig_names(Blocks(partition.path)), read_index(index)):
+                yield sample, name, contig.mapped
+            return
+        for row in records(partition.path, partition.start, partition.stop):
+            if self.region is None or (row[1] == self.region[0] and row[2] < self.region[2] and row[3] > self.region[1]):
+                yield (sample, *row)
+
+
+def sample_of(path: str) -> str:
+    return os.path.basename(path).split(".")[0]
 
 
 class BamSource(DataSource):
-    """``spark.dataSource.register(BamSource)``, then ``spark.read.format("islet_bam").option("path", "dir/*.bam").load()``."""
+    """``spark.dataSource.register(BamSource)``, then ``spark.read.format("islet_bam").option("path", "dir/*.bam").load()``.
+
+    Options: path (a glob), max_files (the first so many by name), samples (tab-joined), region (``chrX`` or ``chrX:0-1000``), and
+    table: ``reads``, or ``contigs`` for each contig's mapped reads by the index, without reading the file.
+    """
 
     @classmethod
     def name(cls) -> str:
         return "islet_bam"
 
     def schema(self):
-        return READ_CALLS
+        return CONTIGS if self.options.get("table") == "contigs" else READ_CALLS
 
     def reader(self, schema):
         return BamReader(self.options)

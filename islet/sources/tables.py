@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import hashlib
+import json
+from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,6 +14,7 @@ from islet.operators.counts import require_columns
 
 COUNTS = "sample string, island_id string, island_name string, chrom string, island_start long, island_end long, island_cpgNum long, haplotype string, n_reads long, n_cpg_total long, n_cpg_meth long, n_cpg_unmeth long, frac_meth double"
 STATS_ORDER = "sample island_id island_name chrom island_start island_end island_cpgNum haplotype n_reads n_cpg_total n_cpg_meth n_cpg_unmeth frac_meth cohort_n_samples cohort_mean cohort_std cohort_median cohort_q25 cohort_q75 cohort_IQR z_score p_value p_adj IQR_outlier Z_outlier outlier".split()
+SCORED = f"{COUNTS}, cohort_n_samples long, cohort_mean double, cohort_std double, cohort_median double, cohort_q25 double, cohort_q75 double, cohort_min double, cohort_max double, cohort_IQR double, z_score double, p_value double, p_adj double, IQR_outlier boolean, Z_outlier boolean, outlier boolean"
 READ_CALLS = "sample string, read_id string, chrom string, ref_start long, ref_end long, is_unmapped boolean, is_secondary boolean, is_supplementary boolean, is_duplicate boolean, hp int, calls array<struct<rpos: long, prob: int>>"
 
 
@@ -38,9 +42,60 @@ def read_island_bed(spark: SparkSession, path: str, chrom: str | None = "chrX")
     return bed.where(F.col("chrom") == chrom) if chrom else bed
 
 
+def present(spark: SparkSession, paths: Sequence[str]) -> list[str]:
+    """Those of the paths that exist and aren't empty."""
+    out = []
+    for p in paths:
+        try:
+            if not spark.read.text(p).limit(1).isEmpty():
+                out.append(p)
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+    return out
+
+
+def _typed(raw: DataFrame, kinds: str) -> DataFrame:
+    """Text columns by their kinds, in any order; other columns stay text. Blank and pandas' missing values are null, booleans are read strictly."""
+    kind = dict(k.split(" ") for k in kinds.split(", "))
+    told = lambda c: F.nullif(F.nullif(F.trim(c), F.lit("")), F.lit("nan"))
+    read = lambda c: F.when(F.lower(told(c)) == "true", True).when(F.lower(told(c)) == "false", False) if kind[c] == "boolean" else told(c).try_cast(kind[c])
+    return raw.select(*[read(c).alias(c) if c in kind else F.col(c) for c in raw.columns])
+
+
 def read_counts(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """Counts of one or more files; missing values as pandas writes them are null."""
-    return spark.read.csv(paths if isinstance(paths, str) else list(paths), sep="\t", header=True, schema=COUNTS, nullValue="", enforceSchema=False)
+    """Counts of one or more files, by their header's names; files that are absent or empty are skipped, unless all are; missing columns raise."""
+    some = present(spark, [paths] if isinstance(paths, str) else list(paths))
+    if not some:
+        raise ValueError(f"no counts in {paths}")
+    raw = spark.read.csv(some, sep="\t", header=True)
+    return _typed(require_columns(raw, [k.split(" ")[0] for k in COUNTS.split(", ")]), COUNTS)
+
+
+def read_scored(spark: SparkSession, stats: str, locus_stats: str | None = None, outliers: str | None = None) -> tuple[DataFrame, DataFrame | None, DataFrame | None]:
+    """(scored rows, locus statistics, outliers) of a cohort run's folder or files: the last two by default beside the first, and None where absent."""
+    beside = lambda name: f"{stats.rstrip('/').rsplit('/', 1)[0]}/{name}"
+    rows = _typed(require_columns(spark.read.csv(stats, sep="\t", header=True), STATS_ORDER), SCORED)
+    more = [present(spark, [given] if given else [beside(name), beside(f"{name}.tsv")]) for given, name in ((locus_stats, "cohort_locus_stats"), (outliers, "outliers"))]
+    return rows, *[_typed(spark.read.csv(p[0], sep="\t", header=True), SCORED) if p else None for p in more]
+
+
+def cached_counts(spark: SparkSession, path: str, params: dict, samples: Sequence[str], make: Callable[[list[str]], DataFrame], *, force: bool = False) -> DataFrame:
+    """Counts of the samples from a folder that is keyed by the parameters; only samples that it lacks (all, with ``force``) are made and added."""
+    folder = f"{path.rstrip('/')}/counts-{hashlib.sha256(json.dumps(params, sort_keys=True).encode()).hexdigest()[:16]}"
+    try:
+        have = {r.sample for r in spark.read.schema(COUNTS).parquet(folder).select("sample").distinct().collect()}
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        have = set()
+    wanted = [s for s in samples if force or s not in have]
+    if wanted:
+        made = make(wanted)
+        # dynamic: only the partitions of these samples are replaced
+        made.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("sample").parquet(folder)
+    kept = spark.read.schema(COUNTS).parquet(folder)
+    return kept.where(F.col("sample").isin(*samples)).select(*[k.split(" ")[0] for k in COUNTS.split(", ")])
 
 
 def exclude_names(lines: DataFrame, value: str = "value") -> DataFrame:
@@ -63,13 +118,29 @@ def write_tsv(df: DataFrame, path: str, *, force: bool = False) -> None:
     df.write.mode("overwrite" if force else "ignore").csv(path, sep="\t", header=True)
 
 
-def write_exclude_list(flags: DataFrame, path: str, *, force: bool = False) -> None:
-    """Suggested samples with their reasons, the others as comments, by name."""
+def exclude_lines(flags: DataFrame, source: str = "") -> DataFrame:
+    """(ord, value) of an exclusion file to edit: a head of comments, suggested samples with their reasons, then the others as comments."""
+    n = flags.agg(F.count("*").alias("all"), F.count(F.when(F.col("qc_outlier"), 1)).alias("out"))
+    head = ["# Samples to exclude: one exact name a line; what follows a # is a comment.", "# Suggested samples stand as they are; uncomment or add others."]
+    told = [*[F.lit(x) for x in head], F.lit(f"# Source: {source}"), F.concat(F.lit("# Samples: "), F.col("all").cast("string")), F.concat(F.lit("# Suggested: "), F.col("out").cast("string"))]
+    top = n.select(F.posexplode(F.array(*told)).alias("i", "value")).select(F.lit(0).alias("part"), F.format_string("%04d", "i").alias("key"), "value")
+    none = n.where("out = 0").select(F.lit(1).alias("part"), F.lit("").alias("key"), F.lit("# (none)").alias("value"))
     line = F.when(F.col("qc_outlier"), F.concat("sample", F.lit("  # "), "qc_reasons")).otherwise(F.concat(F.lit("# "), "sample"))
-    flags.orderBy(~F.col("qc_outlier"), "sample").select(line.alias("value")).coalesce(1).write.mode("overwrite" if force else "ignore").text(path)
+    rows = flags.select(F.when(F.col("qc_outlier"), 2).otherwise(3).alias("part"), F.col("sample").cast("string").alias("key"), line.alias("value"))
+    return top.union(none).union(rows).select(F.struct("part", "key").alias("ord"), "value")
+
+
+def write_exclude_list(flags: DataFrame, path: str, *, source: str = "", force: bool = False) -> None:
+    """``exclude_lines`` as one file, names in order."""
+    exclude_lines(flags, source).orderBy("ord").select("value").coalesce(1).write.mode("overwrite" if force else "ignore").text(path)
+
+
+def track_head(prefix: str, chrom: str = "chrX") -> str:
+    """The first line of a track. Fixed text."""
+    return f'track name="{prefix}_{chrom}_XCI" description="CpG island methylation bias {chrom} \u2014 {prefix}" itemRgb="On"'
 
 
-def write_bed9(rows: DataFrame, path: str, *, title: str = "islands", force: bool = False) -> None:
+def write_bed9(rows: DataFrame, path: str, *, prefix: str = "sample", force: bool = False) -> None:
     """A track of one file: its header, then rows by start, pseudoautosomal ones first."""
-    head = rows.sparkSession.createDataFrame([(-1, True, f'track name="{title}" itemRgb="On"')], "start long, is_par boolean, line string")
+    head = rows.sparkSession.createDataFrame([(-1, True, track_head(prefix))], "start long, is_par boolean, line string")
     head.unionByName(rows).orderBy("start", F.desc("is_par")).select("line").coalesce(1).write.mode("overwrite" if force else "ignore").text(path)

@@ -6,7 +6,7 @@ import struct
 
 import numpy as np
 import pytest
-from islet.operators import intervals, views, xci
+from islet.operators import intervals, qc, views, xci
 from islet.plans import cli, runs
 from islet.sources import bam, tables
 from islet.streaming.incremental import append_counts, counts_stream
@@ -120,6 +120,90 @@ def test_alignments(spark, tmp_path):
         list(bam.records(str(tmp_path / "bad")))
 
 
+def blocked(data):
+    """One block of a blocked file."""
+    import zlib
+
+    squeezed = zlib.compressobj(wbits=-15)
+    body = squeezed.compress(data) + squeezed.flush()
+    return struct.pack("<BBBBIBBHBBHH", 31, 139, 8, 4, 0, 0, 255, 6, 66, 67, 2, len(body) + 25) + body + struct.pack("<II", zlib.crc32(data), len(data))
+
+
+def write_indexed(path, contigs, reads):
+    """contigs: names; reads: (contig number, position, bytes) in order, then unplaced ones. A block every few reads."""
+    head = b"BAM\1" + struct.pack("<ii", 0, len(contigs)) + b"".join(struct.pack("<i", len(c) + 1) + c.encode() + b"\0" + struct.pack("<i", 1 << 20) for c in contigs)
+    out, places = blocked(head), []
+    for k in range(0, len(reads), 3):
+        at = 0
+        for _, _, data in reads[k : k + 3]:
+            places.append(len(out) << 16 | at)
+            at += len(data)
+        out += blocked(b"".join(d for *_, d in reads[k : k + 3]))
+    end = len(out) << 16
+    path.write_bytes(out + blocked(b""))
+    index = b"BAI\1" + struct.pack("<i", len(contigs))
+    for c in range(len(contigs)):
+        mine = [i for i, r in enumerate(reads) if r[0] == c]
+        if not mine:
+            index += struct.pack("<ii", 0, 0)
+            continue
+        last = places[mine[-1] + 1] if mine[-1] + 1 < len(reads) else end
+        index += struct.pack("<iIiQQ", 2, 0, 1, places[mine[0]], last) + struct.pack("<IiQQQQ", 37450, 2, places[mine[0]], last, len(mine), 0)
+        windows = (reads[mine[-1]][1] >> 14) + 1
+        first = [next(places[i] for i in mine if reads[i][1] + 50 > w << 14) for w in range(windows)]
+        index += struct.pack(f"<i{windows}Q", windows, *first)
+    (path.parent / (path.name + ".bai")).write_bytes(index)
+
+
+def test_indexed_alignments(spark, tmp_path, monkeypatch):
+    placed = sorted((c, int(p)) for c in (0, 2) for p in np.random.default_rng(c).integers(0, 90_000, 40))
+    at = 36 - 32  # the contig's number follows the record's size
+    reads = []
+    for i, (c, p) in enumerate(placed):
+        data = aligned(f"r{i}", 0, p, [(50, "M")], "A" * 50)
+        reads.append((c, p, data[:at] + struct.pack("<i", c) + data[at + 4 :]))
+    none = aligned("u", 4, -1, [], "ACGT")
+    reads.append((-1, -1, none[:at] + struct.pack("<i", -1) + none[at + 4 :]))
+    write_indexed(tmp_path / "s.bam", ["chr1", "chr2", "chrX"], reads)
+    monkeypatch.setattr(bam, "SPLIT", 200)
+    assert len(bam.parts(str(tmp_path / "s.bam"), None)) > 6
+    whole = [(r[0], r[1], r[2]) for p in bam.parts(str(tmp_path / "s.bam"), None) for r in bam.records(p.path, p.start, p.stop)]
+    assert sorted(whole, key=str) == sorted([(f"r{i}", ("chr1", None, "chrX")[c], p) for i, (c, p) in enumerate(placed)] + [("u", None, -1)], key=str)
+    path = str(tmp_path / "*.bam")
+    assert cli.bam(spark, path).count() == 81 and cli.bam(spark, path).where("is_unmapped").count() == 1
+    assert {r.contig: r.mapped for r in cli.bam(spark, path, table="contigs").collect()} == {"chr1": 40, "chr2": 0, "chrX": 40}
+    for span in ((0, 1 << 60), (20_000, 50_000), (40_000, 40_001), (89_999, 10**6)):
+        got = {r.read_id for r in cli.bam(spark, path, region=f"chrX:{span[0]}-{span[1]}").collect()}
+        assert got == {f"r{i}" for i, (c, p) in enumerate(placed) if c == 2 and p < span[1] and p + 50 > span[0]}
+    assert cli.bam(spark, path, region="chr2").count() == 0
+    with pytest.warns(UserWarning, match="no index"):
+        bam.parts(str(tmp_path / "other.bam"), None)
+    with pytest.raises(Exception, match="no alignment files"):
+        cli.bam(spark, str(tmp_path / "none*.bam")).count()
+
+
+def test_view_tables(spark):
+    rng = np.random.default_rng(3)
+    rows = []
+    for s in range(12):
+        for i in range(6):
+            for hap in ("hap1", "hap2", "all"):
+                m = 90 if (s, i) == (3, 2) else int(rng.integers(20, 40))
+                rows.append((f"s{s}", f"i{i}", None if i == 1 else f"a name of locus {i} that is long", f"chr{i + 1}" if i < 5 else "chrX", i * 100, i * 100 + 50, 20, hap, 30, 100, m, 100 - m, m / 100))
+    stats, scored = runs.cohort_run(spark.createDataFrame(rows, tables.COUNTS))
+    made = runs.view_tables(scored, stats)
+    top = made["manhattan_outlier_count"].where("island_id = 'i2'").first()
+    assert (top.n_outliers, top.chrom, top.x_pos) == (1, "chr3", 491149951 + 225)
+    label = made["sample_manhattan"].where("sample = 's3' AND island_id = 'i2'").first()
+    assert label.label == "a name of locus 2…" and label.size > 6 and made["sample_manhattan"].where("chrom = 'chrX'").count() == 0
+    assert made["sample_manhattan"].where("label IS NOT NULL").count() == made["sample_manhattan"].where("abs(z_score) >= 2.5").count()
+    assert [r.island_id for r in made["loci"].orderBy("ord", "island_id").collect()] == [f"i{i}" for i in range(5)]
+    assert made["manhattan_by_haplotype"].where("island_id = 'i2'").count() == 3
+    assert made["methylation_embedding"].count() == 12
+    shares = {r.axis: r.share for r in qc.axis_shares(qc.median_imputed(scored.where("haplotype = 'all'"))).collect()}
+    assert 1 > shares["pc1"] >= shares["pc2"] > 0
+
+
 def reads_table(spark, n=400):
     rng = np.random.default_rng(5)
     rows = []
@@ -138,9 +222,16 @@ def test_xci_run(spark, tmp_path):
     assert got["hemi"].count() == 1
     tables.write_bed9(got["track"], str(tmp_path / "track"))
     lines = [x for f in (tmp_path / "track").glob("part-*") for x in f.read_text().splitlines()]
-    assert lines[0].startswith("track") and [x.split("\t")[3] for x in lines[1:]] == ["P|PAR", "A|delta", "B|no_data"]
-    summary = runs.xci_summary(got["hemi"], phasing_mode="pedigree")
-    assert summary["xci_bias_hap1"] > 0.9 and summary["n_islands"] == 1
+    assert lines[0] == 'track name="sample_chrX_XCI" description="CpG island methylation bias chrX \u2014 sample" itemRgb="On"' and [x.split("\t")[3] for x in lines[1:]] == ["P|PAR", f"A|d=+{row.delta_meth:.2f}(h1={row.meth_frac_hap1:.0%},h2={row.meth_frac_hap2:.0%})", "B|no_data"]
+    contigs = spark.createDataFrame([("s", "chrX", 900), ("s", "chrY", 10), ("m", "chrX", 100), ("m", "chrY", 90)], "sample string, contig string, mapped long")
+    summary = runs.xci_summary("s", "s.bam", contigs, got, phasing_mode="pedigree", min_reads_per_hap=8)
+    assert summary["xci_bias_hap1"] > 0.9 and (summary["inferred_sex"], summary["sex_check_chry_frac"]) == ("F", 0.011)
+    assert (summary["n_islands_nonPAR"], summary["n_reads_retained"], summary["n_islands_sufficient_coverage"], summary["n_islands_hemi_methylated"]) == (2, 392, 1, 1)
+    assert summary["meth_frac_hap1_median"] > 90 and summary["params"] == {"min_reads_per_hap": 8}
+    backed = runs.xci_summary("s", "s.bam", contigs, got)
+    assert {"xci_bias", "gmm_peak_low", "gmm_peak_high"} <= set(backed) and backed["xci_bias"] is None
+    male = runs.xci_summary("m", "m.bam", contigs, None)
+    assert male == {"sample": "m", "bam": "m.bam", "inferred_sex": "M", "sex_check_n_chrx_sampled": 100, "sex_check_n_chry_sampled": 90, "sex_check_chry_frac": 0.474, "phasing_mode": "read_backed", "params": {}}
 
 
 def test_cohort_files(spark, tmp_path):
@@ -160,7 +251,33 @@ def test_cohort_files(spark, tmp_path):
     assert stats.count() == 8 and scored.where("z_score IS NULL").count() == 0 and not math.isnan(scored.first().z_score)
     cli.main(["qc", "--counts", str(tmp_path / "counts.tsv"), "--outdir", str(tmp_path / "q")], spark)
     text = [x for f in (tmp_path / "q/samples_exclude").glob("part-*") for x in f.read_text().splitlines()]
-    assert len(text) == 7
+    assert [x for x in text if not x.startswith("#")] == [] and "# (none)" in text and text[-7:] == [f"# s{i}" for i in range(7)]
+    assert spark.read.csv(str(tmp_path / "q/qc_records"), sep="\t", header=True).count() == 7
+    cli.main(["views", "--stats", str(tmp_path / "o/all_samples_stats"), "--outdir", str(tmp_path / "v")], spark)
+    views_made = {p.name for p in (tmp_path / "v").iterdir()}
+    assert {"manhattan_outlier_count", "locus_distributions", "sample_manhattan", "loci", "locus_boxes", "methylation_embedding"} <= views_made
+    assert spark.read.csv(str(tmp_path / "v/loci"), sep="\t", header=True).count() == 4
+    rows, stats_back, out_back = tables.read_scored(spark, str(tmp_path / "o/all_samples_stats"))
+    assert stats_back.count() == 8 and out_back is not None and dict(rows.dtypes)["outlier"] == "boolean" and rows.where("outlier IS NULL").count() == 0
+    (tmp_path / "empty.tsv").write_text("")
+    assert tables.read_counts(spark, [str(tmp_path / "counts.tsv"), str(tmp_path / "empty.tsv"), str(tmp_path / "absent.tsv")]).count() == 56
+    (tmp_path / "bad.tsv").write_text("sample\tisland_id\ns\ti\n")
+    with pytest.raises(ValueError, match="haplotype"):
+        tables.read_counts(spark, str(tmp_path / "bad.tsv"))
+
+
+def test_counts_cache(spark, tmp_path):
+    made = []
+
+    def make(samples):
+        made.append(samples)
+        row = lambda s: (s, "i", None, "chr1", 1, 2, 3, "all", 1, 2, 1, 1, 0.5)
+        return spark.createDataFrame([row(s) for s in samples], tables.COUNTS)
+
+    get = lambda samples, cut=0.5, **how: sorted(r.sample for r in tables.cached_counts(spark, str(tmp_path), {"cut": cut}, samples, make, **how).collect())
+    assert get(["a", "b"]) == ["a", "b"] and get(["a", "b", "c"]) == ["a", "b", "c"] and get(["b"]) == ["b"]
+    assert get(["a"], 0.7) == ["a"] and get(["b"], force=True) == ["b"] and get(["a", "b", "c"]) == ["a", "b", "c"]
+    assert made == [["a", "b"], ["c"], ["a"], ["b"]]
 
 
 def test_stream(spark, tmp_path):
