@@ -232,3 +232,18 @@ def normal_overlay(grid: DataFrame, fit: dict, *, x: str = "x", n: float = 1.0,
     """(x, component, density): the two weighted normal curves of a mixture fit over a grid, scaled to ``n`` values in bins of ``width``."""
     curves = [F.struct(F.lit(s).alias("component"), (n * width * fit[f"weight_{s}"] * normal_density(F.col(x), F.lit(fit[f"mean_{s}"]), F.lit(fit[f"sd_{s}"]))).alias("density")) for s in ("low", "high")]
     return grid.select(x, F.explode(F.array(*curves)).alias("one")).select(x, "one.*")
+
+
+def wide(df: DataFrame, row: str, column: str, value: str, columns: Sequence[str]) -> DataFrame:
+    """For export: one row a ``row``, the mean value under each of the given ``columns``; columns without any value are left out by not being given."""
+    return df.groupBy(row).pivot(column, list(columns)).agg(F.avg(value))
+
+
+def headline(stats: DataFrame) -> DataFrame:
+    """One row: loci, and the median of their samples, truncated."""
+    return stats.agg(F.count_distinct("island_id").alias("n_loci"), F.median("cohort_n_samples").cast("long").alias("median_samples"))
+
+
+def genome_sorted(df: DataFrame) -> DataFrame:
+    """Rows with ``ord`` in the order of the genome."""
+    return df.orderBy("ord", "island_start", "island_id")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -67,7 +69,7 @@ def xci_summary(sample: str, source: str, contigs: DataFrame, got: dict[str, Dat
     Medians and means are percentages, biases are parts. For a male ``got`` (the tables of ``xci_run``) isn't looked at; ``params`` are
     the run's parameters, which are told as they are. Unknown numbers are null.
     """
-    known = lambda x, places: None if x is None else round(float(x), places)
+    known = lambda x, places: None if x is None else math.floor(float(x) * 10.0**places + 0.5) / 10.0**places
     sex = xci.sex_of(contigs.where(F.col("sample") == sample)).first()
     head = {"sample": sample, "bam": source, "inferred_sex": sex.sex if sex else "unknown", "sex_check_n_chrx_sampled": sex.x_reads if sex else 0, "sex_check_n_chry_sampled": sex.y_reads if sex else 0, "sex_check_chry_frac": known(sex.y_ratio, 3) if sex else None}
     tail = {"params": params}
@@ -75,7 +77,11 @@ def xci_summary(sample: str, source: str, contigs: DataFrame, got: dict[str, Dat
         return head | {"phasing_mode": phasing_mode} | tail
     hemi, islands = got["hemi"].where(F.col("sample") == sample), got["per_island"].where(F.col("sample") == sample)
     enough = [F.col(f"n_meth_{h}") + F.col(f"n_unmeth_{h}") >= params.get("min_reads_per_hap", 8) for h in ("hap1", "hap2")]
-    sides = hemi.agg(F.count("*").alias("n"), *[f(F.col(f"meth_frac_{h}") * 100).alias(f"meth_frac_{h}_{k}") for k, f in (("median", F.median), ("mean", F.avg)) for h in ("hap1", "hap2")]).first()
+    # parts have four places: whole ten-thousandths add up the same in any order
+    whole = {h: F.round(F.col(f"meth_frac_{h}") * 1e4).cast("long") for h in ("hap1", "hap2")}
+    middles = [F.median(F.col(f"meth_frac_{h}") * 100).alias(f"meth_frac_{h}_median") for h in whole]
+    means = [(F.try_divide(F.sum(x).cast("double"), F.count(x).cast("double")) / 100).alias(f"meth_frac_{h}_mean") for h, x in whole.items()]
+    sides = hemi.agg(F.count("*").alias("n"), *middles, *means).first()
     body = {"n_islands_nonPAR": got["islands"].count(), "n_reads_retained": got["per_read"].where(F.col("sample") == sample).count(), "n_islands_sufficient_coverage": islands.where(enough[0] & enough[1]).count(), "n_islands_hemi_methylated": sides.n}
     body |= {c: known(sides[c], 4) for c in sides.asDict() if c != "n"} | {"phasing_mode": phasing_mode}
     if phasing_mode == "pedigree":

@@ -94,7 +94,7 @@ def cohort_zscores(spark, d):
 
 
 def cohort_loo_zscores(spark, d):
-    return cohort.score_leave_one_out(_deep(spark, d)).select(*KEY, "frac_meth", "cohort_mean", r8("cohort_std"))
+    return cohort.score_leave_one_out(_deep(spark, d)).select(*KEY, "frac_meth", "cohort_mean", *map(r8, ("cohort_std", "cohort_median", "cohort_q25", "cohort_q75", "cohort_IQR")), "z_score")
 
 
 def pvalues_bh(spark, d):
@@ -153,7 +153,7 @@ def genome_positions(spark, d):
 
 
 def manhattan_outlier_count(spark, d):
-    return views.outliers_per_locus(_flagged(spark, d)).select("island_id", "n_outliers", "size")
+    return views.outliers_per_locus(_flagged(spark, d))
 
 
 def outlier_scatter_topk(spark, d):
@@ -241,7 +241,7 @@ def hemi_methylated(spark, d):
 
 
 def igv_status_rgb(spark, d):
-    return xci.island_status(_islands(spark, d), min_reads=5, low=0.3, high=0.7).select("island_id", "status", F.col("score").cast("long").alias("score"), "rgb")
+    return xci.island_status(_islands(spark, d), min_reads=5, low=0.3, high=0.7).select("island_id", "status", "label", F.col("score").cast("long").alias("score"), "rgb")
 
 
 def bed9_lines(spark, d):
@@ -259,7 +259,7 @@ def kde_grid(spark, d):
 
 def gmm_fit(spark, d):
     fit = xci.gaussian_mixture(_t(spark, d, "part").select((F.col("p_size") * 2.0).alias("pct")), rounds=60)
-    return spark.createDataFrame([(k, float(v)) for k, v in sorted((fit or {}).items())], "name string, value double")
+    return spark.createDataFrame([(k, float(v)) for k, v in sorted((fit or {}).items())], "name string, value double").select("name", r8("value"))
 
 
 def median_impute(spark, d):
@@ -293,7 +293,7 @@ def json_summary(spark, d):
 
 
 def sample_summary(spark, d):
-    return views.sample_summary(_flagged(spark, d)).select("sample", "n_loci", "n_outliers")
+    return views.sample_summary(_flagged(spark, d))
 
 
 #: Islands of the read tables, as SQL.
@@ -312,12 +312,6 @@ def _island_sql() -> str:
  SELECT CAST(label AS VARCHAR) AS island_id, 'chrX' AS island_chrom, CAST(label AS BIGINT) * 1000 AS island_start, CAST(label AS BIGINT) * 1000 + 300 AS island_end, {", ".join(aggs)} FROM reads GROUP BY ALL)))"""
 
 
-STATUS = """, status AS (SELECT *, CASE WHEN meth_frac_combined IS NULL AND n_informative_total = 0 THEN 'no_data' WHEN n_meth_hap1 + n_unmeth_hap1 < 5 OR n_meth_hap2 + n_unmeth_hap2 < 5 THEN 'low_cov'
- WHEN meth_frac_combined < 0.3 THEN 'unmethylated' WHEN meth_frac_combined > 0.7 THEN 'methylated' ELSE 'delta' END AS status, least(abs(delta_meth) / 0.5e0, 1e0) AS t FROM islands)
-, track AS (SELECT *, CASE WHEN status = 'delta' THEN least(CAST(floor(abs(delta_meth) * 1000 + 1e-9) AS BIGINT), 1000) ELSE 0 END AS score,
- CASE status WHEN 'no_data' THEN '220,220,220' WHEN 'low_cov' THEN '180,180,180' WHEN 'unmethylated' THEN '100,160,220' WHEN 'methylated' THEN '220,120,60' ELSE concat_ws(',',
-  CAST(CAST(floor(210 + t * (CASE WHEN delta_meth >= 0 THEN 10 ELSE 200 END - 210) + 1e-9) AS BIGINT) AS VARCHAR), CAST(CAST(floor(210 + t * (CASE WHEN delta_meth >= 0 THEN 80 ELSE 50 END - 210) + 1e-9) AS BIGINT) AS VARCHAR),
-  CAST(CAST(floor(210 + t * (CASE WHEN delta_meth >= 0 THEN 200 ELSE 10 END - 210) + 1e-9) AS BIGINT) AS VARCHAR)) END AS rgb FROM status)"""
 RENAMED = COUNTS + """, named AS (SELECT * REPLACE (CASE haplotype WHEN 'A' THEN 'hap1' WHEN 'R' THEN 'hap2' WHEN 'N' THEN 'unphased' ELSE haplotype END AS haplotype) FROM counts)
 , sides AS (SELECT *, hap1 - hap2 AS delta FROM (SELECT sample, island_id, avg(frac_meth) FILTER (haplotype = 'hap1') AS hap1, avg(frac_meth) FILTER (haplotype = 'hap2') AS hap2 FROM named GROUP BY ALL) WHERE hap1 IS NOT NULL AND hap2 IS NOT NULL)"""
 R4 = "floor({0} * 1e4 + 0.5e0) / 1e4"
@@ -337,7 +331,7 @@ ORACLE = {
     "duplicate_key_audit": "SELECT count(*) AS repeated_keys, CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS extra_rows FROM (SELECT count(*) AS n FROM lineitem GROUP BY l_orderkey, l_linenumber) WHERE n > 1",
     "cohort_locus_stats": f"WITH {STATS} SELECT island_id, haplotype, cohort_n_samples, {s8(*STAT_COLS)} FROM stats",
     "cohort_zscores": f"WITH {SCORED} SELECT {KEYS}, frac_meth, z_score FROM scored",
-    "cohort_loo_zscores": f"WITH {DEEP}, m AS (SELECT *, s / n / 1e4 AS mu, {VAR} AS s2 FROM ({MOMENTS})), loo AS (SELECT *, CASE WHEN ns >= 5 AND n > 1 THEN (n * mu - frac_meth) / (n - 1) END AS others FROM deep LEFT JOIN m USING (island_id, haplotype)) SELECT {KEYS}, frac_meth, floor(others * 1e6 + 0.5e0) / 1e6 AS cohort_mean, {ROUND.format(f'sqrt(CASE WHEN ns >= 5 AND n > 2 THEN {LOO_VAR} END)')} AS cohort_std FROM loo",
+    "cohort_loo_zscores": f"WITH {DEEP}, m AS (SELECT *, s / n / 1e4 AS mu, {VAR} AS s2 FROM ({MOMENTS})), loo AS (SELECT *, CASE WHEN ns >= 5 AND n > 1 THEN (n * mu - frac_meth) / (n - 1) END AS others FROM deep LEFT JOIN m USING (island_id, haplotype)), told AS (SELECT *, floor(others * 1e6 + 0.5e0) / 1e6 AS cohort_mean, sqrt(CASE WHEN ns >= 5 AND n > 2 THEN {LOO_VAR} END) AS sd FROM loo) SELECT {KEYS}, frac_meth, cohort_mean, {ROUND.format('sd')} AS cohort_std, {', '.join(f'{ROUND.format(f"CASE WHEN ns >= 5 THEN {c} END")} AS cohort_{k}' for k, c in (('median', 'q50'), ('q25', 'q25'), ('q75', 'q75'), ('IQR', 'q75 - q25')))}, floor((frac_meth - cohort_mean) / CASE WHEN sd > 1e-9 THEN sd END * 1e4 + 0.5e0) / 1e4 AS z_score FROM told",
     "pvalues_bh": f"WITH {PVALUES} SELECT {KEYS}, z_score, {s8('p_value', 'p_adj')} FROM flagged",
     "cohort_outliers": f'WITH {PVALUES} SELECT {KEYS}, n_reads, frac_meth, cohort_n_samples, {s8("cohort_mean", "cohort_std")}, z_score, {s8("p_value", "p_adj")}, "IQR_outlier", "Z_outlier", outlier FROM flagged WHERE outlier',
     "cohort_flagged": f'WITH {PVALUES} SELECT {KEYS}, frac_meth, z_score, {s8("p_adj")}, "IQR_outlier", "Z_outlier", outlier FROM flagged',
@@ -348,7 +342,7 @@ ORACLE = {
     "hap_delta_by_locus": f"WITH {RENAMED} SELECT island_id, {s8('mean_delta', 'median_delta')}, {ROUND.format(f'sqrt({VAR})')} AS std_delta, n_samples, mean_delta >= 0.5 AS large FROM (SELECT *, s / n / 1e4 AS mean_delta FROM (SELECT island_id, count(f) AS n, CAST(sum(f) AS DOUBLE) AS s, CAST(sum(f * f) AS DOUBLE) AS q, quantile_cont(x, 0.5) AS median_delta, count(DISTINCT sample) AS n_samples FROM (SELECT *, CAST(round(x * 1e4) AS BIGINT) AS f FROM (SELECT *, floor(abs(delta) * 1e4 + 0.5e0) / 1e4 AS x FROM sides)) GROUP BY island_id))",
     "hap_scatter": f"WITH {RENAMED} SELECT sample, island_id, {s8('hap1', 'hap2', 'delta')} FROM sides",
     "genome_positions": f'WITH c(chrom, ord, o) AS (VALUES {_chrom_rows}) SELECT chrom, p_partkey, "start", "end", ord, o + ("start" + "end") // 2 AS x_pos FROM (SELECT p_partkey, \'chr\' || (p_partkey % 22 + 1) AS chrom, p_partkey * 1000 AS "start", p_partkey * 1000 + p_size * 10 AS "end" FROM part) JOIN c USING (chrom)',
-    "manhattan_outlier_count": f"WITH {PVALUES} SELECT island_id, n_outliers, floor(greatest(4e0, least(18e0, 4 + 3 * ln(1 + n_outliers))) * 1e4 + 0.5e0) / 1e4 AS size FROM (SELECT island_id, count(DISTINCT sample) AS n_outliers FROM flagged WHERE outlier AND (haplotype = 'all' OR NOT EXISTS (SELECT 1 FROM flagged WHERE outlier AND haplotype = 'all')) GROUP BY island_id)",
+    "manhattan_outlier_count": f"WITH {PVALUES} SELECT island_id, n_outliers, mean_z, floor(greatest(4e0, least(18e0, 4 + 3 * ln(1 + n_outliers))) * 1e4 + 0.5e0) / 1e4 AS size FROM (SELECT island_id, count(DISTINCT sample) AS n_outliers, floor(CAST(sum(CAST(round(z_score * 1e4) AS BIGINT)) AS DOUBLE) / CAST(count(z_score) AS DOUBLE) + 0.5e0) / 1e4 AS mean_z FROM flagged WHERE outlier AND (haplotype = 'all' OR NOT EXISTS (SELECT 1 FROM flagged WHERE outlier AND haplotype = 'all')) GROUP BY island_id)",
     "outlier_scatter_topk": f"WITH {PVALUES} SELECT {KEYS}, frac_meth, {s8('cohort_mean')}, z_score, outlier FROM flagged WHERE z_score IS NOT NULL AND cohort_mean IS NOT NULL AND (outlier OR abs(z_score) >= 2.5) ORDER BY abs(z_score) DESC, sample, island_id, haplotype LIMIT 100",
     "topk_per_group": f"WITH {PVALUES} SELECT {KEYS}, z_score, rank FROM (SELECT *, row_number() OVER (PARTITION BY haplotype ORDER BY abs(z_score) DESC, sample, island_id) AS rank FROM flagged WHERE z_score IS NOT NULL) WHERE rank <= 10",
     "heatmap_long": f"WITH {PVALUES}, top AS (SELECT island_id FROM flagged WHERE haplotype = 'all' GROUP BY island_id ORDER BY count(DISTINCT sample) FILTER (outlier) DESC, island_id LIMIT 10) SELECT island_id, sample, {s8('z')}, floor(row_mean * 1e6 + 0.5e0) / 1e6 AS row_mean FROM (SELECT *, avg(z) OVER (PARTITION BY island_id) AS row_mean FROM (SELECT island_id, sample, avg(z_score) AS z FROM flagged WHERE haplotype = 'all' AND z_score IS NOT NULL AND island_id IN (FROM top) GROUP BY ALL))",
@@ -364,15 +358,12 @@ ORACLE = {
     "read_classification": f"WITH {CALLS} SELECT vec_id, n_total, n_meth, classification FROM reads",
     "island_conditional_agg": f"WITH {_island_sql()} SELECT * FROM islands",
     "hemi_methylated": f"WITH {_island_sql()} SELECT island_id, meth_frac_combined FROM islands WHERE n_meth_hap1 + n_unmeth_hap1 >= 5 AND n_meth_hap2 + n_unmeth_hap2 >= 5 AND meth_frac_combined BETWEEN 0.3 AND 0.7",
-    "igv_status_rgb": f"WITH {_island_sql()}{STATUS} SELECT island_id, status, score, rgb FROM track",
-    "bed9_lines": f"WITH {_island_sql()}{STATUS} SELECT island_start AS start, concat_ws(chr(9), island_chrom, CAST(island_start AS VARCHAR), CAST(island_end AS VARCHAR), island_id || '|' || status, CAST(score AS VARCHAR), '.', CAST(island_start AS VARCHAR), CAST(island_end AS VARCHAR), rgb) AS line FROM track",
     "sex_ratio": "SELECT sample, x_reads, y_reads, floor(y_reads / (x_reads + y_reads) * 1e8 + 0.5e0) / 1e8 AS y_ratio, CASE WHEN y_reads / (x_reads + y_reads) > 0.2e0 THEN 'M' ELSE 'F' END AS sex FROM (SELECT user_id % 50 AS sample, count(*) FILTER (event_type <> 'click') AS x_reads, count(*) FILTER (event_type = 'click') AS y_reads FROM events GROUP BY 1)",
     "kde_grid": "WITH v AS (SELECT p_size * 2e0 AS v FROM part), m AS (SELECT count(*) AS n, stddev_samp(v) * power(count(*), -1e0 / 5) AS w FROM v) SELECT CAST(i AS INTEGER) AS i, floor(i * 1e0 * 1e6 + 0.5e0) / 1e6 AS x, floor(sum(exp(-0.5e0 * power((i - v) / w, 2))) / (min(n) * min(w) * sqrt(2 * pi())) * 1e8 + 0.5e0) / 1e8 AS density FROM v, m, range(101) g(i) GROUP BY i",
     "median_impute": f"WITH {DEEP}, known AS (SELECT sample, island_id, avg(frac_meth) AS v FROM deep WHERE haplotype <> 'all' GROUP BY ALL), mid AS (SELECT island_id, quantile_cont(v, 0.5) AS m FROM known GROUP BY ALL) SELECT sample, island_id, {ROUND.format('coalesce(v, m)')} AS frac_meth, v IS NULL AS imputed FROM mid CROSS JOIN (SELECT DISTINCT sample FROM known) LEFT JOIN known USING (sample, island_id)",
     "mahalanobis_of_points": "SELECT p_partkey, floor(sqrt(greatest((dx * dx * vy - 2e0 * dx * dy * c + dy * dy * vx) / (vx * vy - c * c), 0e0)) * 1e6 + 0.5e0) / 1e6 AS mahal_dist FROM (SELECT p_partkey, p_size - mx AS dx, p_retailprice - my AS dy, vx, vy, c FROM part, (SELECT avg(p_size) AS mx, avg(p_retailprice) AS my, var_samp(p_size) AS vx, var_samp(p_retailprice) AS vy, covar_samp(p_size, p_retailprice) AS c FROM part))",
     "exclude_text_parse": "SELECT count(*) AS n, CAST(sum(length(sample)) AS BIGINT) AS chars FROM (SELECT DISTINCT trim(split_part(value, '#', 1), ' \t\r\n\f\v') AS sample FROM (SELECT unnest(string_split(text, chr(10))) AS value FROM documents)) WHERE sample <> ''",
     "sanitize_names": "SELECT page_id, substring(regexp_replace(regexp_replace(regexp_replace(url, '[^A-Za-z0-9._-]', '_', 'g'), '_+', '_', 'g'), '^_+|_+$', '', 'g'), 1, 80) AS name FROM pages",
-    "sample_summary": f"WITH {PVALUES} SELECT sample, count(DISTINCT island_id) AS n_loci, count(DISTINCT island_id) FILTER (outlier) AS n_outliers FROM flagged GROUP BY sample",
 }
 
 QUERIES = {

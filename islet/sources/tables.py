@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import hashlib
 import json
+import tempfile
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
@@ -18,6 +20,12 @@ SCORED = f"{COUNTS}, cohort_n_samples long, cohort_mean double, cohort_std doubl
 READ_CALLS = "sample string, read_id string, chrom string, ref_start long, ref_end long, is_unmapped boolean, is_secondary boolean, is_supplementary boolean, is_duplicate boolean, hp int, calls array<struct<rpos: long, prob: int>>"
 
 
+def scratch(spark: SparkSession) -> str:
+    """A new path in the folder that the cluster shares; in one of our own only where none is set."""
+    shared = spark.conf.get("spark.checkpoint.dir", "") or tempfile.mkdtemp(prefix="islet-")
+    return f"{shared.rstrip('/')}/islet-{uuid.uuid4().hex}"
+
+
 def island_id(chrom: Column, start: Column, end: Column) -> Column:
     return F.concat(chrom, F.lit(":"), start.cast("string"), F.lit("-"), end.cast("string"))
 
