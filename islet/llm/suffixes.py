@@ -16,7 +16,7 @@ from islet.llm.textarrays import U, mix, powers
 
 DEPTH = 50  # bytes
 GRAM = 24  # bytes of an anchor
-BATCH = 4 << 20  # bytes of text that are looked at together
+BATCH = 3 << 20  # bytes of text that are looked at together
 OFTEN = 32  # batches; of anchors in as many, windows are asked for one by one
 _PICKS = DEPTH - GRAM + 1
 _BASE = 0x2545F4914F6CDD1D
@@ -253,8 +253,41 @@ def _grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[list[list]]:
         yield rows
 
 
+def _lost(h: np.ndarray, d: np.ndarray, size: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of whole anchors' runs of windows, which lie in ``data`` one after the other: (run, from, to) of the windows that a smaller document has."""
+    at = np.cumsum(size) - size
+    equal = radix_groups(data, at, size, h)
+    alone = np.flatnonzero(equal < 0)
+    equal[alone] = equal.max(initial=-1) + 1 + np.arange(len(alone))
+    one, of = np.unique(equal, return_index=True, return_inverse=True)[1:]  # the place of each distinct run
+    low = np.full(len(one), np.iinfo(np.int64).max)
+    np.minimum.at(low, of, d)
+    # distinct runs of one anchor may share windows; those with an anchor of their own can't
+    _, anchor, times = np.unique(h[one], return_inverse=True, return_counts=True)
+    mixed = np.flatnonzero(times[anchor] > 1)
+    n = size[one] - DEPTH + 1
+    base = np.cumsum(n) - n
+    least = np.repeat(low, n)
+    if len(mixed):
+        window, owner = _spread(base[mixed], n[mixed])
+        places = _spread(at[one[mixed]], n[mixed])[0]
+        group = radix_groups(data, places, np.full(len(places), DEPTH), h[one[mixed]][owner])
+        some = group >= 0
+        if some.any():
+            best = np.full(group.max() + 1, np.iinfo(np.int64).max)
+            np.minimum.at(best, group[some], least[window[some]])
+            least[window[some]] = best[group[some]]
+    window, owner = _spread(base[of], n[of])
+    hit = d[owner] > least[window]
+    within = window - base[of][owner]
+    # a run of hits ends where its owner does
+    first = np.flatnonzero(hit & ~(np.concatenate([[False], hit[:-1]]) & (within > 0)))
+    last = np.flatnonzero(hit & ~(np.concatenate([hit[1:], [False]]) & (within < n[of][owner] - 1)))
+    return owner[first], within[first], within[last]
+
+
 def _removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of a piece's runs of windows: the removed byte ranges (row, s, e)."""
+    """Of a piece's runs of windows: the removed byte ranges (row, s, e). Whole anchors at a time, some CHUNK bytes of them."""
     for rows in _grouped(batches):
         h, d, row, start, size = (np.concatenate([np.frombuffer(r[i], t) for r in rows]) for i, t in ((1, np.uint32), (2, np.int64), (3, np.int64), (4, np.int32), (5, np.uint16)))
         start, size = start.astype(np.int64), size.astype(np.int64)
@@ -262,36 +295,18 @@ def _removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in (row, start, start + size)], ["row", "s", "e"])
             continue
         data = np.frombuffer(b"".join(r[6] for r in rows), np.uint8)
-        at = np.cumsum(size) - size
-        equal = radix_groups(data, at, size, h)
-        alone = np.flatnonzero(equal < 0)
-        equal[alone] = equal.max(initial=-1) + 1 + np.arange(len(alone))
-        one, of = np.unique(equal, return_index=True, return_inverse=True)[1:]  # the place of each distinct run
-        low = np.full(len(one), np.iinfo(np.int64).max)
-        np.minimum.at(low, of, d)
-        # distinct runs of one anchor may share windows; those with an anchor of their own can't
-        _, anchor, times = np.unique(h[one], return_inverse=True, return_counts=True)
-        mixed = np.flatnonzero(times[anchor] > 1)
-        n = size[one] - DEPTH + 1
-        base = np.cumsum(n) - n
-        least = np.repeat(low, n)
-        if len(mixed):
-            window, owner = _spread(base[mixed], n[mixed])
-            places = _spread(at[one[mixed]], n[mixed])[0]
-            group = radix_groups(data, places, np.full(len(places), DEPTH), h[one[mixed]][owner])
-            some = group >= 0
-            if some.any():
-                best = np.full(group.max() + 1, np.iinfo(np.int64).max)
-                np.minimum.at(best, group[some], least[window[some]])
-                least[window[some]] = best[group[some]]
-        window, owner = _spread(base[of], n[of])
-        hit = d[owner] > least[window]
-        within = window - base[of][owner]
-        # a run of hits ends where its owner does
-        first = np.flatnonzero(hit & ~(np.concatenate([[False], hit[:-1]]) & (within > 0)))
-        last = np.flatnonzero(hit & ~(np.concatenate([hit[1:], [False]]) & (within < n[of][owner] - 1)))
-        o = owner[first]
-        yield pa.RecordBatch.from_arrays([pa.array(row[o]), pa.array(start[o] + within[first]), pa.array(start[o] + within[last] + DEPTH)], ["row", "s", "e"])
+        del rows
+        at, order = np.cumsum(size) - size, np.argsort(h, kind="stable")
+        ends = np.cumsum(size[order])
+        last = np.append(np.flatnonzero(np.diff(h[order])) + 1, len(h))  # each anchor's end in the order
+        begin = 0
+        while begin < len(h):
+            upto = int(last[np.searchsorted(last, np.searchsorted(ends, (ends[begin - 1] if begin else 0) + _CHUNK) + 1).clip(max=len(last) - 1)])
+            o = order[begin:upto]
+            run, a, b = _lost(h[o], d[o], size[o], data[_spread(at[o], size[o])[0]])
+            o = o[run]
+            yield pa.RecordBatch.from_arrays([pa.array(row[o]), pa.array(start[o] + a), pa.array(start[o] + b + DEPTH)], ["row", "s", "e"])
+            begin = upto
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -344,7 +359,7 @@ def remove_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text
     flat = flat.withColumn("text", F.coalesce(F.col("text").cast("string"), F.lit(""))).withColumn("d", F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)))
     flat = flat.withColumn("row", F.xxhash64("text", F.length("text"))).withColumn("n_bytes", F.octet_length("text").cast("long"))
     total = flat.agg(F.sum("n_bytes")).first()[0] or 0
-    parts, pieces = 8 + total // (8 << 20), 64 + total // (2 << 20)
+    parts, pieces = 8 + total // (16 << 20), 64 + total // (2 << 20)
     packed = bundles(flat.where(F.col("n_bytes") >= DEPTH).select(F.struct("row", "d").alias("id"), "row", "d", "text"), BATCH)
     each = packed.select("batch", F.posexplode("ids").alias("place", "id")).select("batch", "place", "id.row", "id.d")
     least = keep(each.groupBy("row").agg(F.min(F.struct("d", "batch", "place")).alias("best")))

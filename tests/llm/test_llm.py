@@ -189,6 +189,7 @@ def test_suffixes_common_passages(spark, monkeypatch):
 
     monkeypatch.setattr(suffixes, "BATCH", 3000)
     monkeypatch.setattr(suffixes, "OFTEN", 4)
+    monkeypatch.setattr(suffixes, "_CHUNK", 1000)
     rng = random.Random(12)
     noise = lambda n: "".join(rng.choices("abcdefgh ", k=n))
     passages, copy = [noise(n) for n in (50, 73, 130)], noise(700)
