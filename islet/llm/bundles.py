@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from islet.llm.common import keep
+from islet.llm.common import keep, keep_bucketed
 
 
 def _packed(size: int):
@@ -49,10 +49,14 @@ def _packed(size: int):
     return run
 
 
-def bundles(df: DataFrame, size: int) -> DataFrame:
-    """(id, ..., text) -> (batch, ids, texts), written once: what ``opened`` gives back is the columns after the id."""
+def bundles(df: DataFrame, size: int, buckets: int = 0) -> DataFrame:
+    """(id, ..., text) -> (batch, ids, texts), written once: what ``opened`` gives back is the columns after the id.
+
+    With ``buckets`` the table is bucketed by batch, so what is cogrouped with it by batch comes to it and texts never move again.
+    """
     kind = df.schema[0].dataType.simpleString()
-    return keep(df.mapInArrow(_packed(size), f"batch long, ids array<{kind}>, texts binary"))
+    made = df.mapInArrow(_packed(size), f"batch long, ids array<{kind}>, texts binary")
+    return keep_bucketed(made, "batch", buckets) if buckets else keep(made)
 
 
 def opened(texts: bytes) -> pa.Table:

@@ -62,6 +62,15 @@ def keep(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def keep_bucketed(df: DataFrame, key: str, buckets: int) -> DataFrame:
+    """``keep``, bucketed by a key: later work by that key needs no shuffle of this side. The table's files stay in the shared folder."""
+    spark = df.sparkSession
+    name = f"islet_{uuid.uuid4().hex}"
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}"
+    df.write.bucketBy(buckets, key).option("path", path).saveAsTable(name)
+    return spark.table(name)
+
+
 def join_salted(many: DataFrame, one: DataFrame, keys: list[str], how: str, salts: int = 16) -> DataFrame:
     """Joins ``many`` to at most one row a key of ``one``, small against it; the rows of a hot key are dealt over ``salts`` tasks."""
     salt = F.pmod(F.monotonically_increasing_id(), F.lit(salts))

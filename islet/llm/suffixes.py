@@ -25,7 +25,7 @@ _CHUNK = 1 << 19
 _POS = U((1 << 20) - 1)
 ALONE, AGAIN, COMMON = range(3)  # what is answered for a hash: in one document, in several, in OFTEN batches or more
 ROWS = "batch long, level int, part int, data binary, places array<int>"
-BUNDLE, CHOSEN, ANCHORS, WINDOWS = range(4)  # levels of ROWS
+CHOSEN, ANCHORS, WINDOWS = range(3)  # levels of ROWS
 
 
 def string_hashes(data: np.ndarray, size: int) -> np.ndarray:
@@ -96,16 +96,16 @@ def _split(keys: np.ndarray) -> Iterator[tuple[int, slice]]:
 class Batch:
     """The chosen texts of a batch one after the other, their anchors, and the answers that it got."""
 
-    def __init__(self, group: pa.Table):
-        rows = sorted(group.to_pylist(), key=lambda r: (r["level"], r["part"]))
-        self.batch = rows[0]["batch"]
-        table = opened(rows[0]["data"]) if rows[0]["level"] == BUNDLE else None
+    def __init__(self, bundle: pa.Table, told: pa.Table):
+        rows = sorted(told.to_pylist(), key=lambda r: (r["level"], r["part"]))
+        self.batch = bundle.column("batch")[0].as_py() if len(bundle) else None
         places = next((r["places"] for r in rows if r["level"] == CHOSEN), [])
-        self.answers = {level: np.concatenate([np.zeros(0, np.uint8), *[np.frombuffer(pa.decompress(r["data"][4:], int.from_bytes(r["data"][:4], "little"), "zstd"), np.uint8) for r in rows if r["level"] == level]]) for level in (ANCHORS, WINDOWS)}
+        open_up = lambda data: np.frombuffer(pa.decompress(data[4:], int.from_bytes(data[:4], "little"), "zstd"), np.uint8)
+        self.answers = {level: np.concatenate([np.zeros(0, np.uint8), *[open_up(r["data"]) for r in rows if r["level"] == level]]) for level in (ANCHORS, WINDOWS)}
         self.row = self.d = self.ends = np.zeros(0, np.int64)
         self.data = np.zeros(0, np.uint8)
         if places:
-            table = table.take(pa.array(sorted(places), pa.int64())).combine_chunks()
+            table = opened(bundle.column("texts")[0].as_py()).take(pa.array(sorted(places), pa.int64())).combine_chunks()
             self.row, self.d = (table.column(i).to_numpy() for i in (0, 1))
             text = table.column(2).chunk(0).cast(pa.large_binary())
             off = np.frombuffer(text.buffers()[1], np.int64)[text.offset : text.offset + len(text) + 1]
@@ -126,8 +126,8 @@ class Batch:
 def _asked(parts: int, level: int):
     """A batch -> per part of the hash space: the hashes that it asks for in order (low 32 bits), and which of them several of its documents have."""
 
-    def run(group: pa.Table) -> pa.Table:
-        batch = Batch(group)
+    def run(bundle: pa.Table, told: pa.Table) -> pa.Table:
+        batch = Batch(bundle, told)
         if level == ANCHORS:
             h, doc = batch.hash, batch.doc(batch.first)
         else:
@@ -200,8 +200,8 @@ def _runs(pieces: int):
     anchor only the windows that others have are left.
     """
 
-    def run(group: pa.Table) -> pa.Table:
-        b = Batch(group)
+    def run(bundle: pa.Table, told: pa.Table) -> pa.Table:
+        b = Batch(bundle, told)
         status = b.answers[ANCHORS][np.unique(b.hash, return_inverse=True)[1]] if len(b.hash) else np.zeros(0, np.uint8)
         windows, owner, h = b.common()
         if len(windows):
@@ -360,17 +360,16 @@ def remove_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text
     flat = flat.withColumn("row", F.xxhash64("text", F.length("text"))).withColumn("n_bytes", F.octet_length("text").cast("long"))
     total = flat.agg(F.sum("n_bytes")).first()[0] or 0
     parts, pieces = 8 + total // (16 << 20), 64 + total // (2 << 20)
-    packed = bundles(flat.where(F.col("n_bytes") >= DEPTH).select(F.struct("row", "d").alias("id"), "row", "d", "text"), BATCH)
+    packed = bundles(flat.where(F.col("n_bytes") >= DEPTH).select(F.struct("row", "d").alias("id"), "row", "d", "text"), BATCH, 16 + total // (32 << 20))
     each = packed.select("batch", F.posexplode("ids").alias("place", "id")).select("batch", "place", "id.row", "id.d")
     least = keep(each.groupBy("row").agg(F.min(F.struct("d", "batch", "place")).alias("best")))
     chosen = least.groupBy("best.batch").agg(F.collect_list("best.place").alias("places"))
-    nothing = F.lit(None).cast("array<int>")
-    known = packed.select("batch", F.lit(BUNDLE).alias("level"), F.lit(0).alias("part"), F.col("texts").alias("data"), nothing.alias("places"))
-    known = known.union(keep(chosen.select("batch", F.lit(CHOSEN), F.lit(0), F.lit(None).cast("binary"), "places")))
+    told = keep(chosen.select("batch", F.lit(CHOSEN).alias("level"), F.lit(0).alias("part"), F.lit(None).cast("binary").alias("data"), "places"))
+    by_batch = lambda what, schema: packed.select("batch", "texts").groupBy("batch").cogroup(told.groupBy("batch")).applyInArrow(what, schema)
     for level in (ANCHORS, WINDOWS):
-        asked = known.groupBy("batch").applyInArrow(_asked(parts, level), "batch long, part int, low binary, many binary")
-        known = known.union(keep(asked.groupBy("part").applyInArrow(_answered(level), ROWS)))
-    runs = known.groupBy("batch").applyInArrow(_runs(pieces), "piece long, hash binary, d binary, row binary, start binary, size binary, data binary")
+        asked = by_batch(_asked(parts, level), "batch long, part int, low binary, many binary")
+        told = told.union(keep(asked.groupBy("part").applyInArrow(_answered(level), ROWS)))
+    runs = by_batch(_runs(pieces), "piece long, hash binary, d binary, row binary, start binary, size binary, data binary")
     salt = F.when(F.col("piece") < 0, F.xxhash64("row")).otherwise(F.lit(0))  # what is removed already is dealt out
     gone = runs.withColumn("salt", salt).repartition(pieces, "piece", "salt").sortWithinPartitions("piece").drop("salt").mapInArrow(_removed, "row long, s long, e long")
     gone = gone.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("s", "e"))).alias("spans"))
