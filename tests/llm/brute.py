@@ -142,3 +142,26 @@ def suffixes(rows, depth=50):
         runs = sum(1 for i, x in enumerate(gone) if x and (i == 0 or not gone[i - 1]))
         out.append((d, len(b), sum(gone), runs, sha(bytes(x for x, g in zip(b, gone) if not g))))
     return out
+
+
+def luhn(text):
+    d = [int(c) for c in text if c.isdigit()][::-1]
+    return sum(x if i % 2 == 0 else 2 * x - 9 * (x > 4) for i, x in enumerate(d)) % 10 == 0
+
+
+def personal(text):
+    """(start, end, kind) of mail addresses, internet addresses, telephone, security and card numbers of the kinds that the tables hold."""
+    text, got = text or "", []
+    for kind, p in (
+        ("email", r"(?<![\w.%+-])[\w.%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"),
+        ("ip", r"(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?!\d|\.\d)"),
+        ("ssn", r"(?<![\d-])\d{3}-\d\d-\d{4}(?![\d-])"),
+        ("phone", r"(?<![\w+])\+\d{1,3} \(\d{3}\) \d{3}-\d{4}(?!\d)"),
+        ("card", r"(?<!\d)\d{13,19}(?!\d)"),
+    ):
+        for m in re.finditer(p, text, re.A):
+            if kind == "ip" and any(int(x) > 255 for x in m[0].split(".")) or kind == "card" and not luhn(m[0]):
+                continue
+            if not any(a < m.end() and b > m.start() for a, b, _ in got):
+                got.append((m.start(), m.end(), kind))
+    return sorted(got)
