@@ -360,8 +360,10 @@ def jaccard_join(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text")
     id; a component of nulls only has a null id. Input columns named like an added column are replaced.
     """
     flat, names, member = _components(docs, doc_id, text)
-    member = member.join(flat.groupBy("row").agg(F.min("doc_id").alias("least")), "row")
-    known = member.join(member.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("row", "n_shingles", "component_id")
+    # each side is written, so that the joins have shuffles of their own, which adaptive execution can split at a large component or a text of many copies
+    member = keep(member.join(flat.groupBy("row").agg(F.min("doc_id").alias("least")), "row"))
+    roots = keep(member.groupBy("root").agg(F.min("least").alias("component_id")))
+    known = keep(member.join(roots, "root").select("row", "n_shingles", "component_id"))
     done = flat.join(known, "row", "left")
     empty = F.col("n_shingles").isNull()
     return leave(done, names, {"n_shingles": F.coalesce("n_shingles", F.lit(0).cast("long")), "component_id": F.when(empty, F.col("doc_id")).otherwise(F.col("component_id"))})
