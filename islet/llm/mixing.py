@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,25 +26,28 @@ def tempered_targets(cells: DataFrame, axis: str, power: float) -> DataFrame:
 
 
 def rake(cells: DataFrame, targets: dict[str, DataFrame], *, rounds: int = 60, tolerance: float = 1e-5) -> DataFrame:
-    """Adds ``w``, the cells' shares of weight fitted to the marginals, which start as their shares of tokens.
+    """Adds ``w``, the cells' shares of weight fitted to the marginals, which start as their shares of tokens, and ``off``, how far from 1 the last scale of a cell was.
 
     Each round scales the weights to one axis after another, by sums per value and a join; a value without a target, or
-    a target without cells, has no weight. Ends when every marginal is within ``tolerance`` of its target, or after ``rounds``. The
+    a target without cells, has no weight. Ends when every marginal is within ``tolerance`` of its target; after ``rounds`` without that, as when targets
+    contradict the cells that there are, it warns of what was reached. The
     cells stay a table, so their number doesn't matter; every round is written to the shared checkpoint folder.
     """
     wanted = {a: t.select(F.col(a), F.col("share")) for a, t in targets.items()}
     now = cells.withColumn("w", F.col("tokens").cast("double"))
+    worst = None
     for _ in range(rounds):
-        off = F.lit(0.0)
+        now, off = now.drop("off"), F.lit(0.0)
         for axis, target in wanted.items():
             have = now.groupBy(axis).agg(F.sum("w").alias("have")).join(target, axis, "left").select(axis, F.when(F.col("have") > 0, F.coalesce("share", F.lit(0.0)) / F.col("have")).otherwise(0.0).alias("scale"))
             now = now.join(have, axis).withColumn("w", F.col("w") * F.col("scale")).withColumn(f"off_{axis}", F.abs(F.col("scale") - 1)).drop("scale")
             off = F.greatest(off, F.when(F.col("w") > 0, F.col(f"off_{axis}")).otherwise(0.0))
         now = keep(now.withColumn("off", off).drop(*[f"off_{a}" for a in wanted]))
         worst = now.agg(F.max("off")).first()[0]
-        now = now.drop("off")
         if worst is None or worst < tolerance:
             break
+    else:
+        warnings.warn(f"raking ended {worst:.2g} off its targets after {rounds} rounds", stacklevel=2)
     return now
 
 
