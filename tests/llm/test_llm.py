@@ -582,7 +582,8 @@ def test_pipeline(spark, tmp_path):
     near = [(5000 + i, t, "en", f"src{i % 3}", len(t)) for i, t in enumerate(near_texts(11, 2, 12))]
     lines = [(6000 + i, f"Shared   heading of all\n{' '.join(f'w{i}x{k}' for k in range(30))}", "en", "srcx", 0) for i in range(9)]
     leaks = [(6100 + i, " ".join(f"z{i}y{k}" for k in range(25)) + f" {r.text}", "de", "src1", 0) for i, r in enumerate(spark.read.parquet(f"{SF}/benchmark.parquet").limit(5).collect())]
-    made = docs.union(spark.createDataFrame(near + lines + leaks, docs.schema))
+    secret = [(6200 + i, " ".join(f"q{i}v{k}" for k in range(30)) + f' token = "{i}abcdef{i}" for a.b@mail.example.org', "fr", "src2", 0) for i in range(3)]
+    made = docs.union(spark.createDataFrame(near + lines + leaks + secret, docs.schema))
     seen, stages = [tuple(r) for r in made.collect()], dict(corpus_pipeline.STAGES)
     run = lambda name, rows: stages[name](spark, spark.createDataFrame(rows, docs.schema), SF)
 
