@@ -21,7 +21,7 @@ OFTEN = 32  # batches; of anchors in as many, windows are asked for one by one
 _PICKS = DEPTH - GRAM + 1
 _BASE = 0x2545F4914F6CDD1D
 _INV = pow(_BASE, -1, 1 << 64)
-_CHUNK = 1 << 19
+_CHUNK = 1 << 18
 _POS = U((1 << 20) - 1)
 ALONE, AGAIN, COMMON = range(3)  # what is answered for a hash: in one document, in several, in OFTEN batches or more
 ROWS = "batch long, level int, part int, data binary, places array<int>"
@@ -42,12 +42,8 @@ def anchors(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     GRAM-byte string of least hash, the leftmost of equals: equal windows have equal anchors, wherever they stand, and
     neighbouring windows mostly share one.
     """
-    edge = np.zeros(len(data) + 1, np.int32)
-    np.add.at(edge, np.maximum(ends - DEPTH + 1, 0), 1)
-    np.add.at(edge, ends, -1)
-    whole = np.cumsum(edge)[: max(0, len(data) - DEPTH + 1)] == 0
     hashes, firsts, counts = [np.zeros(0, U)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-    for at in range(0, len(whole), _CHUNK):
+    for at in range(0, max(0, len(data) - DEPTH + 1), _CHUNK):
         gram = string_hashes(data[at : at + _CHUNK + DEPTH - 1], GRAM)
         least = (gram & ~_POS) | np.arange(len(gram), dtype=U)
         span = 1
@@ -55,11 +51,17 @@ def anchors(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray,
             least = np.minimum(least[:-span], least[span:])
             span *= 2
         least = np.minimum(least[: len(least) - (_PICKS - span)], least[_PICKS - span :])
-        ok = whole[at : at + _CHUNK]
+        # windows that cross an end begin up to DEPTH - 1 bytes before it
+        near = ends[np.searchsorted(ends, at, "right") : np.searchsorted(ends, at + len(least) + DEPTH, "left")] - at
+        edge = np.zeros(len(least) + 1, np.int32)
+        np.add.at(edge, np.clip(near - DEPTH + 1, 0, len(least)), 1)
+        np.add.at(edge, np.minimum(near, len(least)), -1)
+        ok = np.cumsum(edge[:-1]) == 0
         first = np.flatnonzero(np.concatenate([[True], (least[1:] != least[:-1]) | (ok[1:] != ok[:-1])]))
         n = np.diff(np.append(first, len(least)))
         some = ok[first]
-        hashes.append(least[first[some]] >> U(20))
+        # least hashes are small ones: mixed again, they are even over the hash space
+        hashes.append(mix(least[first[some]] & ~_POS) >> U(20))
         firsts.append(first[some] + at)
         counts.append(n[some])
     return np.concatenate(hashes), np.concatenate(firsts), np.concatenate(counts)
@@ -309,29 +311,33 @@ def _removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             begin = upto
 
 
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _cut(text_column: str):
     """(input columns, text, whether an earlier text is equal, sorted spans) -> (input columns, n_bytes, n_removed, n_spans, kept)."""
-    for batch in batches:
-        out = []
-        for text, later, found in zip(batch.column("text").to_pylist(), batch.column("later").to_pylist(), batch.column("spans")):
-            data = text.encode("utf-8", "surrogatepass")
-            if later:
-                out.append((len(data), len(data), 1, b""))
-            elif not found.is_valid:
-                out.append((len(data), 0, 0, data))
-            else:
-                s, e = (np.asarray(found.values.field(i)) for i in (0, 1))
-                top = np.maximum.accumulate(e)
-                new = np.concatenate([[True], s[1:] > top[:-1]])
-                s, e = s[new], np.append(top[np.flatnonzero(new)[1:] - 1], top[-1])
-                at, kept = 0, []
-                for a, b in zip(s.tolist(), e.tolist()):
-                    kept.append(data[at:a])
-                    at = b
-                out.append((len(data), int((e - s).sum()), len(s), b"".join([*kept, data[at:]])))
-        more = [pa.array([r[i] for r in out], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.int64(), pa.binary()))]
-        own = [i for i, n in enumerate(batch.schema.names) if n.startswith("in_")]
-        yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in own], *more], [*[batch.schema.names[i] for i in own], "n_bytes", "n_removed", "n_spans", "kept"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (b.slice(i, 256) for b in batches for i in range(0, b.num_rows, 256)):
+            out = []
+            for text, later, found in zip(batch.column(text_column).to_pylist(), batch.column("later").to_pylist(), batch.column("spans")):
+                data = (text or "").encode("utf-8", "surrogatepass")
+                if later:
+                    out.append((len(data), len(data), 1, b""))
+                elif not found.is_valid:
+                    out.append((len(data), 0, 0, data))
+                else:
+                    s, e = (np.asarray(found.values.field(i)) for i in (0, 1))
+                    top = np.maximum.accumulate(e)
+                    new = np.concatenate([[True], s[1:] > top[:-1]])
+                    s, e = s[new], np.append(top[np.flatnonzero(new)[1:] - 1], top[-1])
+                    at, kept = 0, []
+                    for a, b in zip(s.tolist(), e.tolist()):
+                        kept.append(data[at:a])
+                        at = b
+                    out.append((len(data), int((e - s).sum()), len(s), b"".join([*kept, data[at:]])))
+            more = [pa.array([r[i] for r in out], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.int64(), pa.binary()))]
+            own = [i for i, n in enumerate(batch.schema.names) if n.startswith("in_")]
+            yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in own], *more], [*[batch.schema.names[i] for i in own], "n_bytes", "n_removed", "n_spans", "kept"])
+
+    return run
 
 
 def remove_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -359,7 +365,7 @@ def remove_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text
     flat = flat.withColumn("text", F.coalesce(F.col("text").cast("string"), F.lit(""))).withColumn("d", F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)))
     flat = flat.withColumn("row", F.xxhash64("text", F.length("text"))).withColumn("n_bytes", F.octet_length("text").cast("long"))
     total = flat.agg(F.sum("n_bytes")).first()[0] or 0
-    parts, pieces = 8 + total // (16 << 20), 64 + total // (2 << 20)
+    parts, pieces = 8 + total // (8 << 20), 64 + total // (2 << 20)
     packed = bundles(flat.where(F.col("n_bytes") >= DEPTH).select(F.struct("row", "d").alias("id"), "row", "d", "text"), BATCH, 16 + total // (32 << 20))
     each = packed.select("batch", F.posexplode("ids").alias("place", "id")).select("batch", "place", "id.row", "id.d")
     least = keep(each.groupBy("row").agg(F.min(F.struct("d", "batch", "place")).alias("best")))
@@ -375,8 +381,10 @@ def remove_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text
     gone = gone.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("s", "e"))).alias("spans"))
     # written, so that the join below has a shuffle of its own, which adaptive execution can split where a text has many copies
     told = keep(least.select("row", F.col("best.d").alias("least")).join(gone, "row", "left"))
-    told = flat.join(told, "row", "left").withColumn("later", F.coalesce(F.col("d") > F.col("least"), F.lit(False)))
     own = [c for c in flat.columns if c.startswith("in_")]
+    # a text travels once: under its own column, where that is text
+    place = f"in_{names.index(text)}" if text in names and flat.schema[f"in_{names.index(text)}"].dataType == T.StringType() else "text"
+    told = flat.select(*own, *(["text"] if place == "text" else []), "row", "d").join(told, "row", "left").withColumn("later", F.coalesce(F.col("d") > F.col("least"), F.lit(False)))
     schema = T.StructType([*flat.select(*own).schema.fields, *[T.StructField(n, T.LongType()) for n in ("n_bytes", "n_removed", "n_spans")], T.StructField("kept", T.BinaryType())])
-    done = told.select(*own, "text", "later", "spans").mapInArrow(_cut, schema)
+    done = told.select(*own, *(["text"] if place == "text" else []), "later", "spans").mapInArrow(_cut(place), schema)
     return leave(done, names, {n: F.col(n) for n in ("n_bytes", "n_removed", "n_spans", "kept")})
