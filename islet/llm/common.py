@@ -46,9 +46,11 @@ def words(text: Column) -> Column:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder; a folder of our own only where none is set, as in tests."""
+    """The cluster's shared folder; a folder of our own only where none is set and one machine does all, as in tests."""
     got = spark.conf.get("spark.checkpoint.dir", "") or ""
     if not got:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         got = tempfile.mkdtemp(prefix="spark-ckpt-")
         spark.conf.set("spark.checkpoint.dir", got)
     return got
