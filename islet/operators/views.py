@@ -24,9 +24,14 @@ def outliers_per_locus(flagged: DataFrame, *, group: str = "haplotype") -> DataF
     return made.withColumn("size", rounded(F.greatest(F.lit(4.0), F.least(F.lit(18.0), 4 + 3 * F.log1p("n_outliers"))), 4))
 
 
-def color_limit(df: DataFrame, column: str, *, q: float = 0.99, floor: float = 1.0) -> DataFrame:
+def _quantile(x: Column, q: Column | float, accuracy: int | None) -> Column:
+    """Exact, which keeps the counts of a group's distinct values; with ``accuracy`` within 1 / accuracy of the rank, in bounded memory."""
+    return F.percentile(x, q) if accuracy is None else F.percentile_approx(x, q, accuracy)
+
+
+def color_limit(df: DataFrame, column: str, *, q: float = 0.99, floor: float = 1.0, accuracy: int | None = None) -> DataFrame:
     """One row: the ``q`` quantile of |column|, at least ``floor``."""
-    return df.agg(F.greatest(F.coalesce(F.percentile(F.abs(column), q), F.lit(floor)), F.lit(floor)).alias("cmax"))
+    return df.agg(F.greatest(F.coalesce(_quantile(F.abs(column), q, accuracy), F.lit(floor)), F.lit(floor)).alias("cmax"))
 
 
 def spread_limit(df: DataFrame, column: str = "z_score", *, times: float = 3.0, floor: float = 2.5) -> DataFrame:
@@ -104,10 +109,10 @@ def sample_summary(flagged: DataFrame) -> DataFrame:
     return flagged.groupBy("sample").agg((rounded(mean, 2) / 1e4).alias("mean_meth"), F.count_distinct("island_id").alias("n_loci"), F.count_distinct(F.when(F.col("outlier"), F.col("island_id"))).alias("n_outliers"))
 
 
-def box_summary(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    """Five numbers of a value per key."""
+def box_summary(df: DataFrame, keys: Sequence[str], value: str, *, accuracy: int | None = None) -> DataFrame:
+    """Five numbers of a value per key; see ``_quantile`` for values with very many distinct ones."""
     names = ("low", "q25", "median", "q75", "high")
-    made = df.groupBy(*keys).agg(F.percentile(value, F.array(*map(F.lit, (0.0, 0.25, 0.5, 0.75, 1.0)))).alias("q"), F.count(value).alias("n"))
+    made = df.groupBy(*keys).agg(_quantile(F.col(value), F.array(*map(F.lit, (0.0, 0.25, 0.5, 0.75, 1.0))), accuracy).alias("q"), F.count(value).alias("n"))
     return made.select(*keys, "n", *[F.get("q", F.lit(i)).alias(n) for i, n in enumerate(names)])
 
 

@@ -21,8 +21,12 @@ READ_CALLS = "sample string, read_id string, chrom string, ref_start long, ref_e
 
 
 def scratch(spark: SparkSession) -> str:
-    """A new path in the folder that the cluster shares; in one of our own only where none is set."""
-    shared = spark.conf.get("spark.checkpoint.dir", "") or tempfile.mkdtemp(prefix="islet-")
+    """A new path in the folder that the cluster shares; in one of our own only where none is set and one machine does all."""
+    shared = spark.conf.get("spark.checkpoint.dir", "") or ""
+    if not shared:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        shared = tempfile.mkdtemp(prefix="islet-")
     return f"{shared.rstrip('/')}/islet-{uuid.uuid4().hex}"
 
 

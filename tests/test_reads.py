@@ -71,6 +71,8 @@ def test_mixture(spark):
 def test_histogram_and_limits(spark):
     df = spark.createDataFrame([(v,) for v in (0.0, 9.99, 10.0, 100.0, 101.0, None)], "v double")
     assert {r.bin: r.n for r in views.histogram(df, "v", low=0.0, high=100.0, bins=10).collect()} == {1: 2, 2: 1, 10: 1}
+    near = views.box_summary(df.selectExpr("1 AS k", "v"), ["k"], "v", accuracy=1000).first()
+    assert (near.n, near.low, near.median, near.high) == (5, 0.0, 10.0, 101.0)
     assert views.color_limit(df.limit(0), "v").first().cmax == 1.0 and views.spread_limit(df.limit(1), "v").first().cmax == 3.0
 
 
