@@ -49,4 +49,47 @@ m AS (SELECT doc_id, len(w) AS n_words, length(array_to_string(w, '')) AS word_c
   coalesce(rep.n, 0) AS n_repeat_words, CAST(coalesce(lost.n, 0) AS BIGINT) AS n_removed_words FROM d LEFT JOIN rep USING (r) LEFT JOIN lost USING (r))
 SELECT *, NOT base_failed AND NOT n_removed_words > 0.5 * n_words AS kept FROM (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM m)"""
 
-ORACLE = {"op4_chat_formatting": CHAT, "op5_ngram_jaccard_join": JACCARD, "op8_suffix_array_dedup": SUFFIXES, "op10_quality_rules": QUALITY}
+#: CRC-32 of a text's UTF-8 bytes, byte by byte over a table that a recursion makes.
+CRC_TABLE = """
+WITH RECURSIVE bit(i, k, c) AS (SELECT i, 0, i FROM range(256) t(i) UNION ALL SELECT i, k + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM bit WHERE k < 8),
+crc AS (SELECT list(c ORDER BY i) AS tab FROM bit WHERE k = 8)"""
+CRC = "xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(length(hex(encode({0}))) // 2), lambda i: ('0x' || substring(hex(encode({0})), 2 * i + 1, 2))::BIGINT)), lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1])))"
+
+VARIANTS = CRC_TABLE + rf""",
+run AS (SELECT coalesce(doc_id::VARCHAR, '') || ':' || w AS k, w, count(*) AS times FROM (SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{{C0}}-\x{{FF}}]+')) AS w FROM documents) GROUP BY doc_id, w),
+hashed AS (SELECT w, times, {CRC.format("k")} AS h FROM run, crc),
+typed AS (SELECT CASE WHEN h % 97 = 0 THEN substring(w, 1, (h % length(w))::INT) || substring(w, (h % length(w))::INT + 2) ELSE w END AS word, times FROM hashed),
+v AS (SELECT word, CAST(sum(times) AS BIGINT) AS n FROM typed WHERE length(word) >= 5 GROUP BY word HAVING sum(times) >= 3),
+cut AS (SELECT word, n, i, substring(word, 1, i::INT - 1) AS a, substring(word, i::INT + 1) AS b FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM v)),
+near AS (SELECT x.word, y.word AS near, y.n FROM cut x JOIN cut y ON x.a = y.a AND x.b = y.b AND x.i = y.i AND x.word <> y.word
+ UNION SELECT c.word, v.word, v.n FROM cut c JOIN v ON v.word = c.a || c.b UNION SELECT v.word, c.word, c.n FROM cut c JOIN v ON v.word = c.a || c.b),
+best AS (SELECT word, count(*) AS n_near, max(n) AS m, min(near) FILTER (n = top) AS near FROM (SELECT *, max(n) OVER (PARTITION BY word) AS top FROM near) GROUP BY word),
+form AS (SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN m >= 2 * v.n THEN near END AS form, CASE WHEN m >= 2 * v.n THEN m END AS form_n FROM v LEFT JOIN best USING (word)),
+step(word, root, form) AS (SELECT word, word, form FROM form UNION ALL SELECT s.word, f.word, f.form FROM step s JOIN form f ON f.word = s.form)
+SELECT f.word, f.n, f.n_near, f.form, f.form_n, s.root FROM form f JOIN step s ON s.word = f.word AND s.form IS NULL"""
+
+#: One row of costs, audits and lines by place (nothing yet, behind a system turn, a user's, an assistant's) moves from the last row to the first.
+REPAIR = CRC_TABLE + rf""",
+h AS (SELECT *, coalesce(role, ' ') AS r0, coalesce(text, ' ') AS t0, {CRC.format("(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '))")} % 20 AS k FROM conversations, crc),
+dmg AS (SELECT conv_id, turn, CASE WHEN k = 4 THEN 'user' ELSE r0 END AS role, CASE k WHEN 1 THEN '' WHEN 2 THEN regexp_replace(t0, '[.!?]', '', 'g') ELSE t0 END AS text, unnest(range(CASE k WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS c FROM h),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM dmg),
+x AS (SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again, regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*\z', 1) AS tail, lag(role[1]) OVER (PARTITION BY conv_id ORDER BY i) || role[1] AS pair FROM o),
+f AS (SELECT *, CASE WHEN tail = '' THEN 'b' WHEN again THEN 'd' WHEN tail NOT IN ('.', '!', '?') THEN 't' ELSE '' END AS fault, CASE role[1] WHEN 's' THEN 2 WHEN 'u' THEN 3 WHEN 'a' THEN 4 ELSE 0 END AS own FROM x),
+moves AS (SELECT [{{'p': 1, 'q': 2, 'm': 0}}, {{'p': 1, 'q': 3, 'm': 0}}, {{'p': 1, 'q': 4, 'm': 1}}, {{'p': 2, 'q': 3, 'm': 0}}, {{'p': 2, 'q': 4, 'm': 1}}, {{'p': 3, 'q': 4, 'm': 0}}, {{'p': 3, 'q': 3, 'm': 1}}, {{'p': 4, 'q': 3, 'm': 0}}, {{'p': 4, 'q': 4, 'm': 1}}] AS ways),
+v(conv_id, i, best) AS (
+ SELECT conv_id, max(i), [{{'cost': 0, 'audit': '', 'said': []::VARCHAR[]}}, {{'cost': 6, 'audit': 'II', 'said': ['user:', 'assistant:']}}, {{'cost': 3, 'audit': 'I', 'said': ['assistant:']}}, {{'cost': 0, 'audit': '', 'said': []::VARCHAR[]}}] FROM f GROUP BY conv_id
+ UNION ALL
+ SELECT v.conv_id, v.i - 1, list_transform([1, 2, 3, 4], lambda p: list_min(list_concat(
+   [{{'cost': best[p].cost + 4, 'audit': 'D' || best[p].audit, 'said': best[p].said}}],
+   list_transform(list_filter(ways, lambda w: w.p = p AND fault NOT IN ('b', 'd') AND (w.q = own OR w.q > 2)), lambda w: {{
+    'cost': best[w.q].cost + 3 * w.m + CASE WHEN w.q = own THEN 0 ELSE 3 END + CASE WHEN fault = 't' THEN 3 ELSE 0 END,
+    'audit': repeat('I', w.m) || CASE WHEN w.q = own THEN 'K' ELSE 'R' END || best[w.q].audit,
+    'said': list_concat(CASE WHEN w.m = 0 THEN []::VARCHAR[] WHEN w.q = 3 THEN ['assistant:'] ELSE ['user:'] END, [CASE WHEN w.q = own THEN role WHEN w.q = 3 THEN 'user' ELSE 'assistant' END || ':' || text], best[w.q].said)}}))))
+ FROM v JOIN f ON f.conv_id IS NOT DISTINCT FROM v.conv_id AND f.i = v.i, moves WHERE v.i > 0),
+n AS (SELECT conv_id, CAST(coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS BIGINT) AS gaps, count(*) FILTER (fault = 'b') AS blank, count(*) FILTER (fault = 'd') AS duplicate, count(*) FILTER (fault = 't') AS truncated,
+  count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal FROM f GROUP BY conv_id)
+SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+ CAST(coalesce(best[1].cost, 0) AS BIGINT) AS cost, coalesce(best[1].audit, '') AS audit, sha256(coalesce(array_to_string(best[1].said, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN n ON n.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN v ON v.conv_id IS NOT DISTINCT FROM c.conv_id AND v.i = 0"""
+
+ORACLE = {"op4_chat_formatting": CHAT, "op5_ngram_jaccard_join": JACCARD, "op8_suffix_array_dedup": SUFFIXES, "op10_quality_rules": QUALITY, "op11_conversation_repair": REPAIR, "op12_spelling_variants": VARIANTS}
