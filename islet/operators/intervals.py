@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from islet.functions.storage import keep
+
 #: Chromosome sizes of GRCh38 in genome order. Fixed values.
 CHROM_SIZES = [
     ("chr1", 248956422), ("chr2", 242193529), ("chr3", 198295559), ("chr4", 190214555), ("chr5", 181538259), ("chr6", 170805979),
@@ -71,3 +73,16 @@ def binned_rank(df: DataFrame, value: str, tie: str, *, out: str = "rank", bins:
     both = a.join(b, F.col("a._bin").eqNullSafe(F.col("b._bin"))).select("a.*", "b._below")
     here = Window.partitionBy("_bin").orderBy(F.col(value).asc_nulls_last(), tie)
     return both.withColumn(out, F.col("_below") + F.row_number().over(here) - 1).drop("_bin", "_below")
+
+
+def ranked(df: DataFrame, order: Sequence[Column | str], *, out: str = "rank") -> DataFrame:
+    """Adds each row's place from 0 in the whole table's order, which must break all ties; a task sees one range of it.
+
+    Rows are dealt into ranges of the order and written so, which fixes the ranges; a range's first place is the size of those before.
+    """
+    dealt = keep(df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()))
+    sizes = dealt.groupBy("_range").agg(F.count("*").alias("_n"))
+    # one row a range
+    before = sizes.withColumn("_before", F.sum("_n").over(Window.orderBy("_range")) - F.col("_n")).drop("_n")
+    here = Window.partitionBy("_range").orderBy(*order)
+    return dealt.join(before, "_range").withColumn(out, F.col("_before") + F.row_number().over(here) - 1).drop("_range", "_before")

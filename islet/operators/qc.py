@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from islet.functions.numeric import flag, ratio, rounded
+from islet.functions.storage import keep
 
 
 def sample_metrics(counts: DataFrame) -> DataFrame:
@@ -59,9 +63,12 @@ def median_imputed(counts: DataFrame, *, value: str = "frac_meth", sample: str =
     return both.select(sample, locus, F.coalesce("v", "middle").alias(value), F.col("v").isNull().alias("imputed"))
 
 
-def axis_shares(imputed: DataFrame, *, value: str = "frac_meth", sample: str = "sample", locus: str = "island_id", k: int = 2) -> DataFrame:
-    """(axis, share): what part of the variance of the standardised loci the first axes carry: of each axis, its coordinates' squares."""
-    axes = principal_components(imputed, value=value, sample=sample, locus=locus, k=k)
+def axis_shares(imputed: DataFrame, *, value: str = "frac_meth", sample: str = "sample", locus: str = "island_id", k: int = 2, axes: DataFrame | None = None) -> DataFrame:
+    """(axis, share): what part of the variance of the standardised loci the first axes carry: of each axis, its coordinates' squares.
+
+    ``axes``: the principal components, where they are known already.
+    """
+    axes = principal_components(imputed, value=value, sample=sample, locus=locus, k=k) if axes is None else axes
     spread = imputed.groupBy(locus).agg(F.stddev_pop(value).alias("sd"), F.count("*").alias("n"))
     total = spread.agg(F.sum(F.when(F.col("sd") > 0, F.col("n")).otherwise(0)).cast("double")).scalar()
     names = [f"pc{i + 1}" for i in range(k)]
@@ -69,60 +76,75 @@ def axis_shares(imputed: DataFrame, *, value: str = "frac_meth", sample: str = "
     return sums.select(F.explode(F.array(*[F.struct(F.lit(n).alias("axis"), F.col(n).alias("s")) for n in names])).alias("a")).select("a.axis", ratio(F.col("a.s"), total).alias("share"))
 
 
-def principal_components(imputed: DataFrame, *, value: str = "frac_meth", sample: str = "sample", locus: str = "island_id", k: int = 2) -> DataFrame:
-    """(sample, pc1, pc2, ...) of the samples over standardised loci (zero variance: unit scale), by the matrix of the smaller side.
+def _times(cells: DataFrame, by: str, over: str, vectors: DataFrame, width: int) -> DataFrame:
+    """(by, y): the product of a matrix in cells (by, over, x) with a thin one in rows (over, y array): a join and sums, pre-aggregated."""
+    met = cells.join(vectors, over)
+    sums = [F.sum(F.col("x") * F.get("y", F.lit(j))).alias(f"_{j}") for j in range(width)]
+    return met.groupBy(by).agg(*sums).select(by, F.array(*[f"_{j}" for j in range(width)]).alias("y"))
 
-    Of up to as many samples as loci, products of samples are summed by Spark, locus by locus, and the matrix of samples by samples
-    reaches the driver; of more, products of loci, sample by sample, and the samples are projected by a join. So one of the sides must
-    be few. Signs are set so that the largest loading of each axis is positive. Under three samples: no rows.
-    """
-    n_samples = imputed.select(sample).distinct().count()
-    if n_samples >= 3 and n_samples > imputed.select(locus).distinct().count():
-        return _components_by_loci(imputed, value, sample, locus, k)
-    here = Window.partitionBy(locus)
-    sd = F.stddev_pop(value).over(here)
-    scaled = imputed.select(sample, locus, ((F.col(value) - F.avg(value).over(here)) / F.when(sd > 0, sd).otherwise(1.0)).alias("x"))
-    # a locus is one row with its samples' values: products never leave it
-    rows = scaled.groupBy(locus).agg(F.collect_list(F.struct(F.col(sample).alias("s"), "x")).alias("v"))
-    pairs = rows.select(F.explode("v").alias("a"), "v").select("a", F.explode("v").alias("b")).where("a.s <= b.s")
-    cells = pairs.groupBy(F.col("a.s").alias("i"), F.col("b.s").alias("j")).agg(F.sum(F.col("a.x") * F.col("b.x")).alias("g")).collect()
-    names = sorted({r.i for r in cells})
-    spark = imputed.sparkSession
-    schema = ", ".join([f"{sample} {imputed.schema[sample].dataType.simpleString()}", *[f"pc{i + 1} double" for i in range(k)]])
-    if len(names) < 3:
-        return spark.createDataFrame([], schema)
-    at = {n: i for i, n in enumerate(names)}
-    gram = np.zeros((len(names), len(names)))
+
+def _inner(vectors: DataFrame, width: int) -> np.ndarray:
+    """The products of a thin matrix's columns with each other: summed within tasks, so that a task sends one small matrix."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((width, width))
+        for b in batches:
+            y = b.column("y").flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+            total += y.T @ y
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(width * width)), pa.array(total.ravel())], names=["at", "g"])
+
+    cells = vectors.select("y").mapInArrow(work, "at long, g double").groupBy("at").agg(F.sum("g").alias("g")).collect()
+    out = np.zeros(width * width)
     for r in cells:
-        gram[at[r.i], at[r.j]] = gram[at[r.j], at[r.i]] = r.g
-    values, vectors = np.linalg.eigh(gram)
-    best = np.argsort(values)[::-1][:k]
-    coords = vectors[:, best] * np.sqrt(np.maximum(values[best], 0))
-    coords *= np.where(coords[np.abs(coords).argmax(0), range(coords.shape[1])] < 0, -1, 1)
-    coords = np.pad(coords, ((0, 0), (0, k - coords.shape[1])))
-    return spark.createDataFrame([(n, *map(float, row)) for n, row in zip(names, coords)], schema)
-
-
-def _components_by_loci(imputed: DataFrame, value: str, sample: str, locus: str, k: int) -> DataFrame:
-    """``principal_components`` of more samples than loci: only what is as large as the loci, or their pairs, reaches the driver."""
-    spark, kind = imputed.sparkSession, imputed.schema[locus].dataType.simpleString()
-    loci = [tuple(r) for r in imputed.groupBy(locus).agg(F.avg(value), F.stddev_pop(value)).collect()]
-    scale = spark.createDataFrame([(i, *r) for i, r in enumerate(loci)], f"at int, of {kind}, mean double, sd double")
-    x = (F.col(value) - F.col("mean")) / F.when(F.col("sd") > 0, F.col("sd")).otherwise(1.0)
-    scaled = imputed.join(F.broadcast(scale), F.col(locus).eqNullSafe(F.col("of"))).select(F.col(sample).alias("s"), "at", x.alias("x"))
-    rows = scaled.groupBy("s").agg(F.collect_list(F.struct("at", "x")).alias("v"))
-    pairs = rows.select(F.explode("v").alias("a"), "v").select("a", F.explode("v").alias("b")).where("a.at <= b.at")
-    matrix = np.zeros((len(loci), len(loci)))
-    for r in pairs.groupBy(F.col("a.at").alias("i"), F.col("b.at").alias("j")).agg(F.sum(F.col("a.x") * F.col("b.x")).alias("g")).collect():
-        matrix[r.i, r.j] = matrix[r.j, r.i] = r.g
-    values, vectors = np.linalg.eigh(matrix)
-    axes = vectors[:, np.argsort(values)[::-1][:k]]
-    axes = np.pad(axes, ((0, 0), (0, k - axes.shape[1])))
-    names = [f"pc{i + 1}" for i in range(k)]
-    share = spark.createDataFrame([(i, *map(float, a)) for i, a in enumerate(axes)], ", ".join(["at int", *[f"{n} double" for n in names]]))
-    made = scaled.join(F.broadcast(share), "at").groupBy("s").agg(*[F.sum(F.col("x") * F.col(n)).alias(n) for n in names])
-    far = made.agg(*[F.max_by(n, F.abs(n)).alias(n) for n in names]).first()
-    return made.select(F.col("s").alias(sample), *[(F.col(n) * (-1.0 if far[n] < 0 else 1.0)).alias(n) for n in names])
+        out[r.at] = r.g
+    return out.reshape(width, width)
+
+
+def _turned(vectors: DataFrame, by: str, turn: np.ndarray) -> DataFrame:
+    """Each row of a thin matrix times a small one."""
+    column = lambda j: F.aggregate(F.zip_with("y", F.array(*map(F.lit, turn[:, j].tolist())), lambda a, b: a * b), F.lit(0.0), lambda s, a: s + a)
+    return vectors.select(by, F.array(*[column(j) for j in range(turn.shape[1])]).alias("y"))
+
+
+def _orthonormal(vectors: DataFrame, by: str, width: int) -> DataFrame:
+    """The same span with orthonormal columns; directions that carry nothing become zero."""
+    values, axes = np.linalg.eigh(_inner(vectors, width))
+    good = values > values.max(initial=0.0) * 1e-13
+    return _turned(vectors, by, axes * np.where(good, 1 / np.sqrt(np.where(good, values, 1.0)), 0.0))
+
+
+def principal_components(imputed: DataFrame, *, value: str = "frac_meth", sample: str = "sample", locus: str = "island_id", k: int = 2, more: int = 24, rounds: int = 30, tolerance: float = 1e-10) -> DataFrame:
+    """(sample, pc1, pc2, ...) of the samples over standardised loci (zero variance: unit scale), by a randomised range finder.
+
+    The matrix stays a table of cells. It is multiplied with k + ``more`` random signs a locus, and then by turns with its transpose and
+    itself, until the leading eigenvalues move by less than ``tolerance`` of themselves (after ``rounds`` rounds at the latest): each
+    product is a join and a pre-aggregated sum. Only products of the thin matrices' columns, k + ``more`` squared numbers, reach
+    the driver, so samples and loci may both be many; where one of them is no more than k + ``more``, the first round is exact.
+    Signs are set so that the largest coordinate of each axis is positive. Under three samples: no rows. Null samples or loci don't count.
+    """
+    spark, kind = imputed.sparkSession, imputed.schema[sample].dataType.simpleString()
+    names, width = [f"pc{i + 1}" for i in range(k)], k + more
+    cells = imputed.select(F.col(sample).alias("s"), F.col(locus).alias("l"), F.col(value).cast("double").alias("v")).where("s IS NOT NULL AND l IS NOT NULL")
+    scale = cells.groupBy("l").agg(F.avg("v").alias("mean"), F.stddev_pop("v").alias("sd"))
+    x = (F.col("v") - F.col("mean")) / F.when(F.col("sd") > 0, F.col("sd")).otherwise(1.0)
+    cells = keep(cells.join(scale, "l").select("s", "l", x.alias("x")))
+    if cells.select("s").distinct().limit(3).count() < 3:
+        return spark.createDataFrame([], ", ".join([f"{sample} {kind}", *[f"{n} double" for n in names]]))
+    sign = lambda j: F.when(F.xxhash64("l", F.lit(j)) % 2 == 0, 1.0).otherwise(-1.0)
+    loci = cells.select("l").distinct().select("l", F.array(*[sign(j) for j in range(width)]).alias("y"))
+    before = None
+    for _ in range(rounds):
+        left = keep(_orthonormal(keep(_times(cells, "s", "l", loci, width)), "s", width))
+        right = keep(_times(cells, "l", "s", left, width))
+        values, axes = np.linalg.eigh(_inner(right, width))
+        top = np.maximum(values[::-1][:k], 0)
+        if before is not None and np.all(np.abs(top - before) <= tolerance * max(top[0], 1e-300)):
+            break
+        before, loci = top, keep(_orthonormal(right, "l", width))
+    turn = axes[:, ::-1][:, :k] * np.sqrt(top)
+    coords = _turned(left, "s", turn).select("s", *[F.get("y", F.lit(i)).alias(n) for i, n in enumerate(names)])
+    far = coords.agg(*[F.max_by(n, F.abs(n)).alias(n) for n in names]).first()
+    return coords.select(F.col("s").alias(sample), *[(F.col(n) * (-1.0 if far[n] < 0 else 1.0)).alias(n) for n in names])
 
 
 def mahalanobis(coords: DataFrame, x: str = "pc1", y: str = "pc2", *, out: str = "mahal_dist") -> DataFrame:

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from islet.functions.numeric import normal_density, ratio, rounded
+from islet.functions.numeric import normal_density, ratio, rounded, same_rows
+from islet.functions.storage import keep
 
 ISLAND = ("island_id", "island_chrom", "island_start", "island_end")
 HAPLOTYPES = {"hap1": 1, "hap2": 2, "unphased": 0}
@@ -91,14 +93,14 @@ def island_status(islands: DataFrame, *, min_reads: int = 8, low: float = 0.40,
     return told.withColumn("label", label).withColumn("score", score).withColumn("rgb", rgb)
 
 
-def bed9(islands: DataFrame, par: DataFrame | None = None) -> DataFrame:
-    """(start, is_par, line) of a nine-column track, pseudoautosomal islands marked; sort by start, is_par descending to write."""
+def bed9(islands: DataFrame, par: DataFrame | None = None, keys: Sequence[str] = ()) -> DataFrame:
+    """(keys, start, is_par, line) of a nine-column track, pseudoautosomal islands marked; sort by start, is_par descending to write."""
     line = lambda chrom, start, end, name, score, rgb: F.concat_ws("\t", chrom, start.cast("string"), end.cast("string"), name, score.cast("string"), F.lit("."), start.cast("string"), end.cast("string"), rgb)
     col = F.col
-    rows = islands.select(col("island_start").alias("start"), F.lit(False).alias("is_par"), line(col("island_chrom"), col("island_start"), col("island_end"), F.concat_ws("|", "island_id", "label"), col("score"), col("rgb")).alias("line"))
+    rows = islands.select(*keys, col("island_start").alias("start"), F.lit(False).alias("is_par"), line(col("island_chrom"), col("island_start"), col("island_end"), F.concat_ws("|", "island_id", "label"), col("score"), col("rgb")).alias("line"))
     if par is None:
         return rows
-    inside = par.select(col("start"), F.lit(True).alias("is_par"), line(col("chrom"), col("start"), col("end"), F.concat_ws("|", "name", F.lit("PAR")), F.lit(0), F.lit(PAR_RGB)).alias("line"))
+    inside = par.select(*keys, col("start"), F.lit(True).alias("is_par"), line(col("chrom"), col("start"), col("end"), F.concat_ws("|", "name", F.lit("PAR")), F.lit(0), F.lit(PAR_RGB)).alias("line"))
     return rows.unionByName(inside)
 
 
@@ -137,6 +139,44 @@ def gaussian_mixture(values: DataFrame, *, value: str = "pct", means: tuple[floa
     return {f"{name}_{side}": x[k] for side, k in (("low", low), ("high", high)) for name, x in (("weight", w), ("mean", mu), ("sd", [v**0.5 for v in var]))}
 
 
+def gaussian_mixtures(values: DataFrame, keys: Sequence[str], *, value: str = "pct", means: tuple[float, float] = (25.0, 75.0), rounds: int = 300, tolerance: float = 1e-3, floor: float = 1e-6, least: int = 10) -> DataFrame:
+    """``gaussian_mixture`` of every group at once: (keys, n, weight_low, mean_low, sd_low, weight_high, mean_high, sd_high, rounds).
+
+    The fits are a table of one row a group. A round joins it to the values (equal ones of a group are one row with a count) and takes
+    one grouped pass; groups whose mean log-likelihood stands still leave, so later rounds see the others alone. Groups under
+    ``least`` values have no row. Null keys are a group.
+    """
+    names = [f"k{i}" for i in range(len(keys))]
+    told = values.where(F.col(value).isNotNull()).groupBy(*[F.col(k).alias(n) for k, n in zip(keys, names)], F.col(value).cast("double").alias("x")).agg(F.count("*").alias("c"))
+    told = keep(told)
+    w = F.col("c").cast("double")
+    n, s, q = F.sum("c"), F.sum(w * F.col("x")), F.sum(w * F.col("x") * F.col("x"))
+    start = told.groupBy(*names).agg(n.alias("n"), F.greatest(q / n - (s / n) * (s / n), F.lit(floor)).alias("v")).where(F.col("n") >= least)
+    fits = keep(start.select(*names, "n", F.lit(0.5).alias("w0"), F.lit(0.5).alias("w1"), F.lit(float(means[0])).alias("m0"), F.lit(float(means[1])).alias("m1"), F.col("v").alias("v0"), F.col("v").alias("v1"), F.lit(None).cast("double").alias("l"), F.lit(False).alias("done"), F.lit(0).alias("rounds")))
+    made, columns = None, fits.columns
+    for i in range(rounds):
+        x = F.col("x")
+        d = [F.col(f"w{k}") * normal_density(x, F.col(f"m{k}"), F.sqrt(f"v{k}")) for k in (0, 1)]
+        both = told.alias("a").join(fits.alias("b"), same_rows("a", "b", names)).select("b.*", "x", "c").withColumn("d0", d[0]).withColumn("d", F.col("d0") + d[1])
+        both = both.withColumn("r", F.coalesce(F.try_divide("d0", "d"), (F.abs(x - F.col("m0")) < F.abs(x - F.col("m1"))).cast("double")) * w)
+        sums = {"n0": F.col("r"), "a0": F.col("r") * x, "b0": F.col("r") * x * x, "n1": w - F.col("r"), "a1": (w - F.col("r")) * x, "b1": (w - F.col("r")) * x * x}
+        got = both.groupBy(*names).agg(F.first("n").alias("n"), F.first("l").alias("was"), *[F.sum(e).alias(c) for c, e in sums.items()], (F.sum(w * F.log(F.greatest("d", F.lit(1e-300)))) / F.first("n")).alias("l"))
+        part = lambda k: F.greatest(f"n{k}", F.lit(1e-10))
+        fresh = [(F.col(f"n{k}") / F.col("n")).alias(f"w{k}") for k in (0, 1)] + [(F.col(f"a{k}") / part(k)).alias(f"m{k}") for k in (0, 1)]
+        fresh += [(F.greatest(F.col(f"b{k}") / part(k) - (F.col(f"a{k}") / part(k)) * (F.col(f"a{k}") / part(k)), F.lit(0.0)) + floor).alias(f"v{k}") for k in (0, 1)]
+        still = F.coalesce(F.abs(F.col("l") - F.col("was")) < tolerance, F.lit(False)) | F.lit(i == rounds - 1)
+        now = keep(got.select(*names, "n", *fresh, "l", still.alias("done"), F.lit(i + 1).alias("rounds")).select(columns))
+        over = now.where("done")
+        made = over if made is None else made.unionByName(over)
+        fits = now.where("NOT done")
+        if fits.isEmpty():
+            break
+    first = F.col("m0") <= F.col("m1")
+    sides = [(side, F.when(first, F.struct(*[F.col(f"{c}{a}").alias(c) for c in "wmv"])).otherwise(F.struct(*[F.col(f"{c}{b}").alias(c) for c in "wmv"]))) for side, a, b in (("low", 0, 1), ("high", 1, 0))]
+    out = [F.col(k).alias(name) for k, name in zip(names, keys)]
+    return made.select(*out, "n", *[e for side, s in sides for e in (s["w"].alias(f"weight_{side}"), s["m"].alias(f"mean_{side}"), F.sqrt(s["v"]).alias(f"sd_{side}"))], "rounds")
+
+
 def bias_read_backed(fit: dict) -> float:
     """Inactivation bias from two components of per-haplotype percentages."""
     return (fit["mean_low"] / 100 + 1 - fit["mean_high"] / 100) / 2
@@ -147,19 +187,37 @@ def bias_pedigree(islands: DataFrame) -> DataFrame:
     return islands.agg(*[F.percentile(f"meth_frac_{h}", 0.5).alias(f"xci_bias_{h}") for h in ("hap1", "hap2")])
 
 
-def kde(values: DataFrame, *, value: str = "pct", low: float = 0.0, high: float = 100.0, points: int = 500) -> DataFrame:
-    """(i, x, density): Gaussian kernels with Scott's bandwidth on an even grid; no rows under two values or without spread.
+def kde(values: DataFrame, *, value: str = "pct", low: float = 0.0, high: float = 100.0, points: int = 500, keys: Sequence[str] = (), order: int = 12) -> DataFrame:
+    """(keys, i, x, density): Gaussian kernels with Scott's bandwidth on an even grid; no rows of a group under two values or without spread.
 
-    Equal values are one row with a count before they meet the fixed grid; densities are summed by grid point, pre-aggregated.
+    Values never meet the grid: they are gathered in cells a quarter of a bandwidth wide, of each of which the first ``order`` moments about
+    its middle are kept, by one pre-aggregated pass. A kernel is a series in its value's distance to the middle, whose terms are
+    Hermite polynomials of the grid point's distance; with twelve terms it is exact to the last places. So the cells in reach of the
+    grid, at most its length over a quarter bandwidth, meet it instead: cells further away than 39 bandwidths add nothing and are left out.
     """
-    m = values.agg(F.count(value).alias("n"), F.stddev_samp(value).alias("sd")).first()
+    names = [f"k{j}" for j in range(len(keys))]
+    told = values.where(F.col(value).isNotNull()).select(*[F.col(k).alias(n) for k, n in zip(keys, names)], F.col(value).cast("double").alias("v"))
+    m = told.groupBy(*names).agg(F.count("v").alias("n"), F.stddev_samp("v").alias("sd")).where("n >= 2 AND sd > 0")
+    m = m.select(*names, "n", (F.col("sd") * F.pow(F.col("n").cast("double"), F.lit(-1 / 5))).alias("h"))
+    both = told.alias("a").join(m.alias("b"), same_rows("a", "b", names)).select("a.*", "b.n", "b.h")
+    near = both.where((F.col("v") > low - 39 * F.col("h")) & (F.col("v") < high + 39 * F.col("h")))
+    cell = F.floor((F.col("v") - low) / (F.col("h") / 4))
+    off = (F.col("v") - low) / F.col("h") - (F.col("cell") + 0.5) / 4
+    # moments over factorials: t**j / j!
+    term, moments = F.lit(1.0), []
+    for j in range(order):
+        term = term * off / j if j else term
+        moments.append(F.sum(term).alias(f"_{j}"))
+    cells = near.withColumn("cell", cell).groupBy(*names, "cell").agg(F.first("n").alias("n"), F.first("h").alias("h"), *moments)
     grid = [low + (high - low) * i / (points - 1) for i in range(points)]
-    if m.n < 2 or not m.sd:
-        return values.sparkSession.createDataFrame([], "i int, x double, density double")
-    width = m.sd * m.n ** (-1 / 5)
-    told = values.where(F.col(value).isNotNull()).groupBy(F.col(value).cast("double").alias("v")).agg(F.count("*").alias("n"))
-    told = told.select("v", "n", F.posexplode(F.array(*map(F.lit, grid))).alias("i", "x"))
-    return told.groupBy("i", "x").agg((F.sum(F.col("n") * F.exp(-0.5 * F.pow((F.col("x") - F.col("v")) / F.lit(width), 2))) / F.lit(m.n * width * (2 * 3.141592653589793) ** 0.5)).alias("density"))
+    met = cells.select("*", F.posexplode(F.array(*map(F.lit, grid))).alias("i", "x"))
+    met = met.withColumn("u", (F.col("x") - low) / F.col("h") - (F.col("cell") + 0.5) / 4)
+    u, total, before, now = F.col("u"), F.col("_0"), F.lit(1.0), F.col("u")
+    for j in range(1, order):
+        total = total + now * F.col(f"_{j}")
+        before, now = now, u * now - j * before
+    made = met.select(*names, "i", "x", "n", "h", (F.exp(-0.5 * u * u) * total).alias("t")).groupBy(*names, "i", "x").agg((F.sum("t") / (F.first("n") * F.first("h") * (2 * math.pi) ** 0.5)).alias("density"))
+    return made.select(*[F.col(n).alias(k) for n, k in zip(names, keys)], "i", "x", "density")
 
 
 def summary_json(row: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from islet.functions.numeric import rounded
+from islet.functions.storage import keep
 from islet.operators import cohort, counts, intervals, qc, views, xci
 from islet.sources import tables
 
@@ -59,7 +60,10 @@ def xci_run(reads: DataFrame, islands: DataFrame, *, min_cpg: int = 10, meth_fra
     )
     per_island = xci.per_island(per_read, ("sample", *xci.ISLAND))
     every = outside.select(F.col("name").alias("island_id"), F.col("chrom").alias("island_chrom"), F.col("start").alias("island_start"), F.col("end").alias("island_end"))
-    track = xci.bed9(xci.island_status(every.join(per_island, list(xci.ISLAND), "left"), min_reads=min_reads, low=low, high=high), par)
+    # a track has every island of every sample: that many rows by definition
+    samples = reads.select("sample").distinct()
+    told = every.crossJoin(samples).join(per_island, ["sample", *xci.ISLAND], "left")
+    track = xci.bed9(xci.island_status(told, min_reads=min_reads, low=low, high=high), par.crossJoin(samples), keys=["sample"])
     return {"islands": every, "per_read": per_read, "per_island": per_island, "track": track, "hemi": xci.hemi_methylated(per_island, min_reads=min_reads, low=low, high=high)}
 
 
@@ -91,6 +95,48 @@ def xci_summary(sample: str, source: str, contigs: DataFrame, got: dict[str, Dat
     return head | body | {k: known(v, 4 if k == "xci_bias" else 2) for k, v in bias.items()} | tail
 
 
+def xci_plots(hemi: DataFrame) -> dict[str, DataFrame]:
+    """The tables behind the inactivation plots of every sample: scatter, densities and histogram of the percentages, the mixture's fit
+    to both haplotypes' percentages together, and its curves over the last two."""
+    pct = views.haplotype_percentages(hemi, keys=["sample"])
+    fits = keep(xci.gaussian_mixtures(pct.where("series = 'combined'"), ["sample"]))
+    scatter = views.xci_scatter(hemi, keys=["sample"])
+    return {"scatter": scatter, "distribution": views.xci_distribution(hemi, keys=["sample"]), "histogram": views.xci_histogram(hemi, keys=["sample"]), "fits": fits, "overlays": views.mixture_overlays(fits, keys=["sample"])}
+
+
+def xci_summaries(contigs: DataFrame, got: dict[str, DataFrame], fits: DataFrame | None = None, *, source: str = "", phasing_mode: str = "read_backed", **params) -> DataFrame:
+    """(sample, inferred_sex, json): ``xci_summary`` of every sample of ``contigs``, in grouped passes over the tables of ``xci_run`` of all.
+
+    ``fits``: mixtures by sample, where they are known already. A male's summary ends with its sex.
+    """
+    known = lambda x, places: rounded(x, places)
+    told = xci.sex_of(contigs).select("sample", F.lit(source).alias("bam"), F.col("sex").alias("inferred_sex"), F.col("x_reads").alias("sex_check_n_chrx_sampled"), F.col("y_reads").alias("sex_check_n_chry_sampled"), known(F.col("y_ratio"), 3).alias("sex_check_chry_frac"))
+    clear = lambda h: F.col(f"n_meth_{h}") + F.col(f"n_unmeth_{h}") >= params.get("min_reads_per_hap", 8)
+    reads = got["per_read"].groupBy("sample").agg(F.count("*").alias("n_reads_retained"))
+    deep = got["per_island"].groupBy("sample").agg(F.count(F.when(clear("hap1") & clear("hap2"), 1)).alias("n_islands_sufficient_coverage"))
+    whole = {h: F.round(F.col(f"meth_frac_{h}") * 1e4).cast("long") for h in ("hap1", "hap2")}
+    middles = [known(F.median(F.col(f"meth_frac_{h}") * 100), 4).alias(f"meth_frac_{h}_median") for h in whole]
+    means = [known(F.try_divide(F.sum(x).cast("double"), F.count(x).cast("double")) / 100, 4).alias(f"meth_frac_{h}_mean") for h, x in whole.items()]
+    biases = [known(F.percentile(f"meth_frac_{h}", 0.5), 4).alias(f"xci_bias_{h}") for h in whole]
+    hemi = got["hemi"].groupBy("sample").agg(F.count("*").alias("n_islands_hemi_methylated"), *middles, *means, *biases)
+    for more in (reads, deep, hemi):
+        told = told.join(more, "sample", "left")
+    told = told.withColumn("n_islands_nonPAR", F.lit(got["islands"].count()))
+    if phasing_mode == "pedigree":
+        bias = ["xci_bias_hap1", "xci_bias_hap2"]
+    else:
+        fits = xci.gaussian_mixtures(views.haplotype_percentages(got["hemi"], keys=["sample"]).where("series = 'combined'"), ["sample"]) if fits is None else fits
+        low, high = F.col("mean_low"), F.col("mean_high")
+        fit = fits.select("sample", known((low / 100 + 1 - high / 100) / 2, 4).alias("xci_bias"), known(low, 2).alias("gmm_peak_low"), known(high, 2).alias("gmm_peak_high"))
+        told, bias = told.join(fit, "sample", "left"), ["xci_bias", "gmm_peak_low", "gmm_peak_high"]
+    zero = lambda c: F.coalesce(c, F.lit(0).cast("long")).alias(c)
+    head = ["sample", "bam", "inferred_sex", "sex_check_n_chrx_sampled", "sex_check_n_chry_sampled", "sex_check_chry_frac"]
+    body = ["n_islands_nonPAR", *map(zero, ("n_reads_retained", "n_islands_sufficient_coverage", "n_islands_hemi_methylated")), *[f"meth_frac_{h}_{x}" for x in ("median", "mean") for h in whole]]
+    mode, tail = F.lit(phasing_mode).alias("phasing_mode"), F.struct(*[F.lit(v).alias(k) for k, v in params.items()]).alias("params") if params else F.create_map().cast("map<string,string>").alias("params")
+    text = lambda *c: F.to_json(F.struct(*c), {"ignoreNullFields": "false"})
+    return told.select("sample", "inferred_sex", F.when(F.col("inferred_sex") == "M", text(*head, mode, tail)).otherwise(text(*head, *body, mode, *bias, tail)).alias("json"))
+
+
 def view_tables(flagged: DataFrame, stats: DataFrame | None = None, outliers: DataFrame | None = None, *, z_thresh: float = 2.5, top_loci: int = 100, top_labels: int = 3, manhattan_hap: str = "all", per_sample: bool = True, per_loci: bool = True) -> dict[str, DataFrame]:
     """The tables behind the plots by name, of scored rows (and, where given, locus statistics and outliers); sex chromosomes are left out.
 
@@ -100,17 +146,19 @@ def view_tables(flagged: DataFrame, stats: DataFrame | None = None, outliers: Da
     flagged = counts.without_chromosomes(flagged)
     outliers = counts.without_chromosomes(outliers) if outliers is not None else flagged.where("outlier")
     sides = views.haplotypes_side_by_side(flagged)
+    imputed = keep(qc.median_imputed(flagged.where("haplotype = 'all'")))
+    axes = qc.principal_components(imputed)
     made = {
         "manhattan_outlier_count": views.manhattan(outliers, chroms), "outlier_scatter": views.deviating(flagged, z_thresh=z_thresh), "heatmap_outliers": views.heatmap(flagged, most=top_loci),
-        "methylation_embedding": views.embedding_table(qc.principal_components(qc.median_imputed(flagged.where("haplotype = 'all'"))), views.sample_summary(flagged)),
+        "methylation_embedding": views.embedding_table(axes, views.sample_summary(flagged)), "embedding_shares": qc.axis_shares(imputed, axes=axes),
         "manhattan_by_haplotype": views.manhattan_by_haplotype(outliers, chroms), "haplotypic_delta_manhattan": views.haplotypic_delta_manhattan(sides, flagged, chroms),
     }
     if stats is not None:
         stats = counts.without_chromosomes(stats)
         made["locus_methylation_ordered"] = views.ordered_loci(stats.where("haplotype = 'all'"), chroms)
-        made["locus_distributions"] = views.locus_distributions(stats, bins={"island_size": (0.0, 5000.0, 50), "island_cpgNum": (0.0, 400.0, 40), "cohort_mean": (0.0, 1.0, 50)})
+        made["locus_distributions"] = views.locus_distributions(stats)
     if per_sample:
         made |= {"sample_volcano": views.volcano(flagged), "sample_hap1_vs_hap2": sides, "sample_manhattan": views.sample_manhattan_points(flagged, chroms, z_thresh=z_thresh, top_labels=top_labels, haplotype=manhattan_hap)}
     if per_loci:
-        made |= {"loci": views.loci_in_order(flagged, chroms), "locus_boxes": views.box_summary(flagged, ["island_id", "haplotype"], "frac_meth")}
+        made |= {"loci": views.loci_in_order(flagged, chroms), "locus_boxes": views.box_summary(flagged, ["island_id", "haplotype"], "frac_meth", few_values=True)}
     return made

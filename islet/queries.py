@@ -268,7 +268,8 @@ def median_impute(spark, d):
 
 def pca_mahalanobis(spark, d):
     few = _counts(spark, d).where("haplotype = 'all'")
-    return qc.mahalanobis(qc.principal_components(qc.median_imputed(few)))
+    far = qc.mahalanobis(qc.principal_components(qc.median_imputed(few)))
+    return far.select("sample", *[rounded(F.col(c), 6).alias(c) for c in ("pc1", "pc2", "mahal_dist")])
 
 
 def mahalanobis_of_points(spark, d):
@@ -325,6 +326,25 @@ SPANS = """reads AS (SELECT o_orderkey, o_orderpriority AS chrom, date_diff('day
 , islands AS (SELECT chrom, CAST(island AS INTEGER) AS island, island * 30 AS start, island * 30 + 30 AS "end" FROM (SELECT DISTINCT o_orderpriority AS chrom FROM orders), range(120) t(island))"""
 LOO_VAR = "greatest(0e0, ((n - 1) * s2 - (frac_meth - mu) * (frac_meth - others)) / (n - 2))"
 
+def _axis(of: str, n: int) -> str:
+    """The leading eigenvector and value of a symmetric matrix in one row: squared 40 times it is all its leading axis."""
+    times = lambda a, b: f"list_transform({a}, lambda r: list_transform({b}, lambda c: list_dot_product(r, c)))"
+    size = "sqrt(list_sum(list_transform({0}, lambda r: list_dot_product(r, r))))"
+    return f"""p{n}(i, m) AS (SELECT 0, g FROM {of} UNION ALL SELECT i + 1, list_transform(m2, lambda r: list_transform(r, lambda x: x / {size.format('m2')})) FROM (SELECT i, {times('m', 'm')} AS m2 FROM p{n} WHERE i < 40)),
+ l{n} AS (SELECT list_transform(r, lambda x: x / sqrt(list_dot_product(r, r))) AS v FROM (SELECT arg_max(r, list_dot_product(r, r)) AS r FROM (SELECT unnest(m) AS r FROM p{n} WHERE i = 40))),
+ v{n} AS (SELECT v, list_dot_product(v, list_transform(g, lambda r: list_dot_product(r, v))) AS e FROM l{n}, {of})"""
+
+
+#: Principal components of rolled-up rows, medians where a sample lacks a locus: pcs, and what the axes carry.
+COMPONENTS = f"""RECURSIVE {COUNTS}, known AS (SELECT sample, island_id, avg(frac_meth) AS v FROM counts WHERE haplotype = 'all' GROUP BY ALL), mid AS (SELECT island_id, quantile_cont(v, 0.5) AS m FROM known GROUP BY ALL),
+ full_grid AS (SELECT sample, island_id, coalesce(v, m) AS v FROM mid CROSS JOIN (SELECT DISTINCT sample FROM known) LEFT JOIN known USING (sample, island_id)),
+ x AS (SELECT sample, island_id, (v - avg(v) OVER w) / CASE WHEN stddev_pop(v) OVER w > 0 THEN stddev_pop(v) OVER w ELSE 1 END AS x FROM full_grid WINDOW w AS (PARTITION BY island_id)),
+ xs AS (SELECT sample, list(x ORDER BY island_id) AS x FROM x GROUP BY sample),
+ gram AS (SELECT list(r ORDER BY a) AS g FROM (SELECT a.island_id AS a, list(s ORDER BY b.island_id) AS r FROM (SELECT DISTINCT island_id FROM x) a, (SELECT DISTINCT island_id FROM x) b, LATERAL (SELECT sum(y.x * z.x) AS s FROM x y JOIN x z USING (sample) WHERE y.island_id = a.island_id AND z.island_id = b.island_id) GROUP BY 1)),
+ {_axis("gram", 1)}, rest AS (SELECT list_transform(g, lambda r, i: list_transform(r, lambda c, j: c - e * v[i] * v[j])) AS g FROM gram, v1), {_axis("rest", 2)},
+ raw AS (SELECT sample, list_dot_product(x, v1.v) AS a, list_dot_product(x, v2.v) AS b FROM xs, v1, v2),
+ pcs AS (SELECT sample, a * sign(arg_max(a, abs(a)) OVER ()) AS pc1, b * sign(arg_max(b, abs(b)) OVER ()) AS pc2 FROM raw)"""
+
 ORACLE = {
     "counts_rollup": f"WITH {COUNTS} SELECT * FROM counts",
     "depth_filtered_counts": f"WITH {DEEP} SELECT * FROM deep",
@@ -361,6 +381,8 @@ ORACLE = {
     "sex_ratio": "SELECT sample, x_reads, y_reads, floor(y_reads / (x_reads + y_reads) * 1e8 + 0.5e0) / 1e8 AS y_ratio, CASE WHEN y_reads / (x_reads + y_reads) > 0.2e0 THEN 'M' ELSE 'F' END AS sex FROM (SELECT user_id % 50 AS sample, count(*) FILTER (event_type <> 'click') AS x_reads, count(*) FILTER (event_type = 'click') AS y_reads FROM events GROUP BY 1)",
     "kde_grid": "WITH v AS (SELECT p_size * 2e0 AS v FROM part), m AS (SELECT count(*) AS n, stddev_samp(v) * power(count(*), -1e0 / 5) AS w FROM v) SELECT CAST(i AS INTEGER) AS i, floor(i * 1e0 * 1e6 + 0.5e0) / 1e6 AS x, floor(sum(exp(-0.5e0 * power((i - v) / w, 2))) / (min(n) * min(w) * sqrt(2 * pi())) * 1e8 + 0.5e0) / 1e8 AS density FROM v, m, range(101) g(i) GROUP BY i",
     "median_impute": f"WITH {DEEP}, known AS (SELECT sample, island_id, avg(frac_meth) AS v FROM deep WHERE haplotype <> 'all' GROUP BY ALL), mid AS (SELECT island_id, quantile_cont(v, 0.5) AS m FROM known GROUP BY ALL) SELECT sample, island_id, {ROUND.format('coalesce(v, m)')} AS frac_meth, v IS NULL AS imputed FROM mid CROSS JOIN (SELECT DISTINCT sample FROM known) LEFT JOIN known USING (sample, island_id)",
+    "pca_mahalanobis": f"""WITH {COMPONENTS}, m AS (SELECT avg(pc1) AS mx, avg(pc2) AS my, var_samp(pc1) AS vx, var_samp(pc2) AS vy, covar_samp(pc1, pc2) AS c FROM pcs)
+ SELECT sample, {', '.join(f"floor({x} * 1e6 + 0.5e0) / 1e6 AS {n}" for n, x in (("pc1", "pc1"), ("pc2", "pc2"), ("mahal_dist", "sqrt(greatest(((pc1 - mx) * (pc1 - mx) * vy - 2e0 * (pc1 - mx) * (pc2 - my) * c + (pc2 - my) * (pc2 - my) * vx) / (vx * vy - c * c), 0e0))")))} FROM pcs, m""",
     "mahalanobis_of_points": "SELECT p_partkey, floor(sqrt(greatest((dx * dx * vy - 2e0 * dx * dy * c + dy * dy * vx) / (vx * vy - c * c), 0e0)) * 1e6 + 0.5e0) / 1e6 AS mahal_dist FROM (SELECT p_partkey, p_size - mx AS dx, p_retailprice - my AS dy, vx, vy, c FROM part, (SELECT avg(p_size) AS mx, avg(p_retailprice) AS my, var_samp(p_size) AS vx, var_samp(p_retailprice) AS vy, covar_samp(p_size, p_retailprice) AS c FROM part))",
     "exclude_text_parse": "SELECT count(*) AS n, CAST(sum(length(sample)) AS BIGINT) AS chars FROM (SELECT DISTINCT trim(split_part(value, '#', 1), ' \t\r\n\f\v') AS sample FROM (SELECT unnest(string_split(text, chr(10))) AS value FROM documents)) WHERE sample <> ''",
     "sanitize_names": "SELECT page_id, substring(regexp_replace(regexp_replace(regexp_replace(url, '[^A-Za-z0-9._-]', '_', 'g'), '_+', '_', 'g'), '^_+|_+$', '', 'g'), 1, 80) AS name FROM pages",

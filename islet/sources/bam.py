@@ -1,28 +1,33 @@
 """A Spark data source for aligned reads with base modifications, rows as in READ_CALLS, and for the contig counts of their indexes.
 
-With a ``.bai`` index beside a file, its reads are dealt over many input partitions (by the index's linear offsets), and with a region
-only the partitions that can overlap it are read; without one, a file is one partition.
+With a ``.bai`` index beside a file, its reads are dealt over many input partitions. Regions (as an option, or as filters on
+chrom, ref_start and ref_end that Spark pushes down) are looked up in the index: only the chunks of the file that its bins and windows
+name for them are read, merged over all regions. Without an index a file is one partition, read whole.
 """
 
 from __future__ import annotations
 
+import fnmatch
 import glob
 import gzip
 import os
 import struct
 import warnings
 import zlib
-from collections.abc import Iterator
-from typing import NamedTuple
+from bisect import bisect_right
+from collections.abc import Iterable, Iterator, Sequence
+from typing import BinaryIO, NamedTuple
 
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, InputPartition, LessThan, LessThanOrEqual
 
 from islet.sources.tables import READ_CALLS
 
 _BASES = "=ACMGRSVTWYHKDBN"
 CONTIGS = "sample string, contig string, mapped long"
 SPLIT = 16 << 20  # compressed bytes of a partition of an indexed file
-_COUNTS_BIN = 37450  # the index's bin that holds counts instead of places. Fixed value of the format.
+#: Fixed values of the index format: the bin that holds counts instead of places, the bits of a window, and by level the first bin and the bits of its span.
+_COUNTS_BIN, _WINDOW, _LEVELS = 37450, 14, ((0, 29), (1, 26), (9, 23), (73, 20), (585, 17), (4681, 14))
+_FAR = 1 << 29  # the end of what the index can tell
 _TYPES = {"A": "c", "c": "b", "C": "B", "s": "h", "S": "H", "i": "i", "I": "I", "f": "f"}
 
 
@@ -75,15 +80,47 @@ def methylated_cytosines(sequence: str, reverse: bool, mm: str, ml: tuple) -> di
     return out
 
 
+def opened(path: str) -> BinaryIO:
+    """A local file, or one of a store that pyarrow knows by its scheme (file, hdfs, s3, gs)."""
+    if "://" not in path:
+        return open(path, "rb")
+    from pyarrow import fs
+
+    store, inside = fs.FileSystem.from_uri(path)
+    return store.open_input_file(inside)
+
+
+def listed(pattern: str) -> list[str]:
+    """Paths that match a glob, in order; of a store, the last part of the path may have wildcards."""
+    if "://" not in pattern:
+        return sorted(glob.glob(pattern))
+    from pyarrow import fs
+
+    folder, _, name = pattern.rpartition("/")
+    store, inside = fs.FileSystem.from_uri(folder)
+    found = store.get_file_info(fs.FileSelector(inside, allow_not_found=True))
+    return sorted(f"{folder}/{f.base_name}" for f in found if f.type == fs.FileType.File and fnmatch.fnmatch(f.base_name, name))
+
+
+def exists(path: str) -> bool:
+    return bool(listed(path)) if "://" in path else os.path.isfile(path)
+
+
 class Blocks:
-    """Decompressed bytes of a blocked file from a virtual offset on (block's place << 16 | place in the block)."""
+    """Decompressed bytes of a blocked file from a virtual offset on (block's place << 16 | place in the block); ``fetched`` counts the file's bytes read."""
 
     def __init__(self, path: str, offset: int = 0):
-        self.file = open(path, "rb")
+        self.file, self.fetched = opened(path), 0
+        self.seek(offset)
+
+    def seek(self, offset: int) -> None:
         self.data, self.at, self.block, self.next = b"", 0, 0, offset >> 16
         self._load()
         self.at = offset & 0xFFFF
 
+    def close(self) -> None:
+        self.file.close()
+
     def _load(self) -> bool:
         self.file.seek(self.next)
         head = self.file.read(12)
@@ -95,6 +132,7 @@ class Blocks:
             at += 4 + struct.unpack_from("<H", extra, at + 2)[0]
         size = struct.unpack_from("<H", extra, at + 4)[0] + 1
         body = self.file.read(size - 12 - len(extra))
+        self.fetched += size
         self.block, self.next, self.at = self.next, self.next + size, 0
         self.data = zlib.decompress(body[:-8], -15)
         return True
@@ -129,16 +167,45 @@ def contig_names(f) -> list[str]:
 
 
 class Contig(NamedTuple):
-    """What an index tells of a contig: its reads' first and last virtual offset, the offset of each 16 kb window's first read, and mapped reads."""
+    """What an index tells of a contig: the chunks (from, to: virtual offsets) of each bin, the offset of each window's first read, and mapped reads."""
 
-    first: int
-    last: int
+    bins: dict[int, list[tuple[int, int]]]
     windows: tuple[int, ...]
     mapped: int
 
+    def chunks(self, regions: Iterable[tuple[int, int]]) -> list[tuple[int, int]]:
+        """Chunks that may hold reads overlapping one of the regions, merged and in order.
+
+        A read lies in the smallest bin that holds it whole, so a region's reads are in the bins of each level that meet it; and a
+        read that overlaps a region begins no earlier in the file than the first read of the region's first window.
+        """
+        found = set()
+        for start, end in regions:
+            start, end = max(start, 0), min(end, _FAR)
+            if start >= end:
+                continue
+            window = start >> _WINDOW
+            least = self.windows[window] if window < len(self.windows) else 0
+            for first, bits in _LEVELS:
+                low, high = first + (start >> bits), first + ((end - 1) >> bits)
+                some = range(low, high + 1) if high - low < len(self.bins) else (b for b in self.bins if low <= b <= high)
+                found.update((max(a, least), b) for n in some for a, b in self.bins.get(n, ()) if b > least)
+        return merged(found)
+
+
+def merged(chunks: Iterable[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Chunks in order; those that overlap or meet in a block are one."""
+    out: list[tuple[int, int]] = []
+    for a, b in sorted(chunks):
+        if out and a >> 16 <= out[-1][1] >> 16:
+            out[-1] = (out[-1][0], max(out[-1][1], b))
+        else:
+            out.append((a, b))
+    return out
+
 
 def read_index(path: str) -> list[Contig]:
-    with open(path, "rb") as f:
+    with opened(path) as f:
         data = f.read()
     if data[:4] != b"BAI\1":
         raise ValueError(f"not an index: {path}")
@@ -151,23 +218,23 @@ def read_index(path: str) -> list[Contig]:
         return got
 
     for _ in range(take("<i")[0]):
-        spans, mapped = [], 0
+        bins, mapped = {}, 0
         for _ in range(take("<i")[0]):
             number, n = take("<Ii")
             chunks = take(f"<{2 * n}Q")
             if number == _COUNTS_BIN:
                 mapped = chunks[2]
             else:
-                spans += zip(chunks[::2], chunks[1::2])
+                bins[number] = list(zip(chunks[::2], chunks[1::2]))
         windows = take(f"<{take('<i')[0]}Q")
-        out.append(Contig(min((a for a, _ in spans), default=0), max((b for _, b in spans), default=0), windows, mapped))
+        out.append(Contig(bins, windows, mapped))
     return out
 
 
 def index_of(path: str) -> str | None:
     """The index beside a file, under either usual name; a warning where there is none."""
     for name in (f"{path}.bai", f"{path.removesuffix('.bam')}.bai"):
-        if os.path.isfile(name):
+        if exists(name):
             return name
     warnings.warn(f"no index beside {path}: it is read whole, by one task", stacklevel=2)
     return None
@@ -194,75 +261,125 @@ def record(block: bytes, contigs: list[str]) -> tuple:
     return name, contigs[ref] if ref >= 0 else None, pos, end, bool(flag & 4), bool(flag & 256), bool(flag & 2048), bool(flag & 1024), more.get("HP"), calls
 
 
-def records(path: str, start: int | None = None, stop: int | None = None) -> Iterator[tuple]:
-    """The file's reads, or those that begin at virtual offsets from ``start`` up to ``stop``."""
-    if start is None:
-        with gzip.open(path) as f:
+def records(path: str, chunks: Sequence[tuple[int, int | None]] | None = None) -> Iterator[tuple]:
+    """The file's reads, or those that begin in the chunks (from, to: virtual offsets; to the end without one)."""
+    if chunks is None:
+        with opened(path) as raw, gzip.open(raw) as f:
             contigs = contig_names(f)
             while head := f.read(4):
                 yield record(f.read(struct.unpack("<i", head)[0]), contigs)
         return
-    contigs = contig_names(Blocks(path))
-    f = Blocks(path, start)
-    while (stop is None or f.offset() < stop) and len(head := f.read(4)) == 4:
-        yield record(f.read(struct.unpack("<i", head)[0]), contigs)
-
-
-def region_of(text: str | None) -> tuple[str, int, int] | None:
-    """``contig`` or ``contig:start-end``, from 0, end exclusive."""
+    f = Blocks(path)
+    contigs = contig_names(f)
+    for start, stop in chunks:
+        f.seek(start)
+        while (stop is None or f.offset() < stop) and len(head := f.read(4)) == 4:
+            yield record(f.read(struct.unpack("<i", head)[0]), contigs)
+    f.close()
+
+
+class Regions:
+    """Spans by contig, merged and in order, so that a read is looked up in a few steps."""
+
+    def __init__(self, spans: Iterable[tuple[str, int, int]]):
+        self.by: dict[str, list[tuple[int, int]]] = {}
+        for contig, start, end in sorted(spans):
+            mine = self.by.setdefault(contig, [])
+            if mine and start <= mine[-1][1]:
+                mine[-1] = (mine[-1][0], max(end, mine[-1][1]))
+            elif start < end:
+                mine.append((start, end))
+        self.starts = {c: [a for a, _ in spans] for c, spans in self.by.items()}
+
+    def meet(self, contig: str | None, start: int, end: int) -> bool:
+        """Whether a read overlaps a span: then the last span that begins before its end reaches past its start."""
+        mine = self.by.get(contig)
+        at = bisect_right(self.starts[contig], end - 1) if mine else 0
+        return at > 0 and mine[at - 1][1] > start
+
+    def within(self, contig: str | None, start: int, end: int) -> Regions:
+        """What of the spans lies on a contig and overlaps the span."""
+        return Regions((c, max(a, start), min(b, end)) for c, spans in self.by.items() if contig in (None, c) for a, b in spans if a < end and b > start)
+
+
+def regions_of(text: str | None) -> Regions | None:
+    """``contig`` or ``contig:start-end``, from 0, end exclusive; several are joined by tabs."""
     if not text:
         return None
-    contig, _, span = text.partition(":")
-    start, _, end = span.replace(",", "").partition("-")
-    return contig, int(start or 0), int(end or 1 << 60)
+    out = []
+    for one in text.split("\t"):
+        contig, _, span = one.rpartition(":")
+        if not contig or not span.replace(",", "").replace("-", "").isdigit():
+            contig, span = one, ""
+        start, _, end = span.replace(",", "").partition("-")
+        out.append((contig, int(start or 0), int(end or 1 << 60)))
+    return Regions(out)
+
+
+def regions_text(spans: Iterable[tuple[str, int, int]], near: int = 1 << _WINDOW) -> str:
+    """Spans as an option's text. Those closer than the index can tell apart are one, so a genome has at most its length over ``near``."""
+    out: list[list] = []
+    for contig, start, end in sorted(spans):
+        if out and out[-1][0] == contig and start - out[-1][2] < near:
+            out[-1][2] = max(out[-1][2], end)
+        else:
+            out.append([contig, start, end])
+    return "\t".join(f"{c}:{a}-{b}" for c, a, b in out)
 
 
 class Part(InputPartition):
-    def __init__(self, path: str, start: int | None = None, stop: int | None = None):
+    """Chunks of a file, or the whole of it."""
+
+    def __init__(self, path: str, chunks: list[tuple[int, int | None]] | None = None):
         super().__init__(path)
-        self.path, self.start, self.stop = path, start, stop
+        self.path, self.chunks = path, chunks
 
 
-def parts(path: str, region: tuple[str, int, int] | None) -> list[Part]:
-    """A file's partitions: with an index, of about SPLIT compressed bytes, and only those that may overlap the region."""
+def split(chunks: Iterable[tuple[int, int]], windows: Sequence[int], size: int) -> list[list[tuple[int, int]]]:
+    """Chunks in groups of about ``size`` compressed bytes; a larger chunk is cut where a window's first read begins."""
+    cuts, out, held = sorted({w for w in windows if w}), [], []
+    for a, b in chunks:
+        for w in cuts[bisect_right(cuts, a) :]:
+            if w >= b:
+                break
+            if (w >> 16) - (a >> 16) >= size:
+                held.append((a, w))
+                out.append(held)
+                held, a = [], w
+        held.append((a, b))
+        if sum((y >> 16) - (x >> 16) for x, y in held) >= size:
+            out.append(held)
+            held = []
+    return [*out, held] if held else out
+
+
+def parts(path: str, regions: Regions | None) -> list[Part]:
+    """A file's partitions: with an index, of about SPLIT compressed bytes, and only the chunks that may overlap the regions."""
     index = index_of(path)
     if index is None:
         return [Part(path)]
-    names, contigs, out, end = contig_names(Blocks(path)), read_index(index), [], 0
+    head = Blocks(path)
+    names, contigs, out, end = contig_names(head), read_index(index), [], head.offset()
+    head.close()
     for name, contig in zip(names, contigs):
-        if not contig.last:
-            continue
-        end = max(end, contig.last)
-        if region and name != region[0]:
-            continue
-        # a window's offset is that of the first read that overlaps it, so reads of later windows begin no earlier
-        first = max([contig.first, *contig.windows[: (region[1] >> 14) + 1][-1:]]) if region else contig.first
-        cuts = [first]
-        for w in contig.windows:
-            if (w >> 16) - (cuts[-1] >> 16) >= SPLIT:
-                cuts.append(w)
-        out += [Part(path, a, b) for a, b in zip(cuts, [*cuts[1:], contig.last])]
-    return out if region else [*out, Part(path, end or first_read(path), None)]
-
-
-def first_read(path: str) -> int:
-    """The offset of the first read."""
-    f = Blocks(path)
-    contig_names(f)
-    return f.offset()
+        end = max([end, *(b for chunks in contig.bins.values() for _, b in chunks)])
+        spans = [(0, _FAR)] if regions is None else regions.by.get(name, [])
+        out += [Part(path, chunks) for chunks in split(contig.chunks(spans), contig.windows, SPLIT)]
+    return [*out, Part(path, [(end, None)])] if regions is None else out
 
 
 class BamReader(DataSourceReader):
     def __init__(self, options):
-        self.paths = sorted(glob.glob(options["path"]))[: int(options.get("max_files", 1 << 30))]
+        self.paths = listed(options["path"])[: int(options.get("max_files", 1 << 30))]
         if not self.paths:
             raise ValueError(f"no alignment files: {options['path']}")
-        some = options.get("samples")
-        self.paths = [p for p in self.paths if some is None or sample_of(p) in some.split("\t")]
-        self.contigs, self.region = options.get("table", "reads") == "contigs", region_of(options.get("region"))
+        if options.get("samples") is not None:
+            some = set(options["samples"].split("\t"))
+            self.paths = [p for p in self.paths if sample_of(p) in some]
+        self.contigs, self.regions = options.get("table", "reads") == "contigs", regions_of(options.get("region"))
 
     def partitions(self):
-        return [Part(p) for p in self.paths] if self.contigs else [part for p in self.paths for part in parts(p, self.region)]
+        return [Part(p) for p in self.paths] if self.contigs else [part for p in self.paths for part in parts(p, self.regions)]
 
     def read(self, partition):
         if partition is None:  # no partitions
@@ -275,11 +392,39 @@ class BamReader(DataSourceReader):
             for name, contig in zip(contig_names(Blocks(partition.path)), read_index(index)):
                 yield sample, name, contig.mapped
             return
-        for row in records(partition.path, partition.start, partition.stop):
-            if self.region is None or (row[1] == self.region[0] and row[2] < self.region[2] and row[3] > self.region[1]):
+        for row in records(partition.path, partition.chunks):
+            if self.regions is None or self.regions.meet(row[1], row[2], max(row[3], row[2] + 1)):
                 yield (sample, *row)
 
 
+class PushedReader(BamReader):
+    """A reader that Spark's filters narrow. Spark only takes one where ``spark.sql.python.filterPushdown.enabled`` is set.
+
+    Spark (4.1) keeps the narrowed reader with the loaded table, so each query must load its own: the region option has no such limit.
+    """
+
+    def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
+        """Samples, contigs and bounds of a read's places narrow what is read; Spark still applies all filters.
+
+        A read past ``ref_start < e`` and ``ref_end > s`` overlaps [s, e), or ends where it begins; those too have a base in the
+        span one wider on both sides. One on a contig alone narrows as well.
+        """
+        contig, low, high = None, 0, 1 << 60
+        for f in filters:
+            yield f
+            column = f.attribute[0] if len(getattr(f, "attribute", ())) == 1 else None
+            if isinstance(f, EqualTo) and column == "sample":
+                self.paths = [p for p in self.paths if sample_of(p) == f.value]
+            elif isinstance(f, EqualTo) and column == "chrom":
+                contig = f.value
+            elif isinstance(f, (LessThan, LessThanOrEqual)) and column == "ref_start":
+                high = min(high, f.value + 2)
+            elif isinstance(f, (GreaterThan, GreaterThanOrEqual)) and column == "ref_end":
+                low = max(low, f.value - 2)
+        if contig is not None and not self.contigs:
+            self.regions = self.regions.within(contig, low, high) if self.regions else Regions([(contig, low, high)])
+
+
 def sample_of(path: str) -> str:
     return os.path.basename(path).split(".")[0]
 
@@ -287,8 +432,10 @@ def sample_of(path: str) -> str:
 class BamSource(DataSource):
     """``spark.dataSource.register(BamSource)``, then ``spark.read.format("islet_bam").option("path", "dir/*.bam").load()``.
 
-    Options: path (a glob), max_files (the first so many by name), samples (tab-joined), region (``chrX`` or ``chrX:0-1000``), and
-    table: ``reads``, or ``contigs`` for each contig's mapped reads by the index, without reading the file.
+    Options: path (a glob; also of a store that pyarrow knows), max_files (the first so many by name), samples (tab-joined), region
+    (``chrX`` or ``chrX:0-1000``, tab-joined), and table: ``reads``, or ``contigs`` for each contig's mapped reads by the index, without
+    reading the file; pushdown, ``true`` where ``spark.sql.python.filterPushdown.enabled`` is set: filters on sample, chrom, ref_start and
+    ref_end then narrow what is read too. A table loaded so is for one query alone (see ``PushedReader``).
     """
 
     @classmethod
@@ -299,4 +446,4 @@ class BamSource(DataSource):
         return CONTIGS if self.options.get("table") == "contigs" else READ_CALLS
 
     def reader(self, schema):
-        return BamReader(self.options)
+        return (PushedReader if self.options.get("pushdown") == "true" else BamReader)(self.options)

@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-import hashlib
 import json
-import tempfile
+import time
 import uuid
 from collections.abc import Callable, Sequence
 
@@ -12,7 +11,9 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from islet.functions.storage import scratch  # noqa: F401
 from islet.operators.counts import require_columns
+from islet.operators.intervals import ranked
 
 COUNTS = "sample string, island_id string, island_name string, chrom string, island_start long, island_end long, island_cpgNum long, haplotype string, n_reads long, n_cpg_total long, n_cpg_meth long, n_cpg_unmeth long, frac_meth double"
 STATS_ORDER = "sample island_id island_name chrom island_start island_end island_cpgNum haplotype n_reads n_cpg_total n_cpg_meth n_cpg_unmeth frac_meth cohort_n_samples cohort_mean cohort_std cohort_median cohort_q25 cohort_q75 cohort_IQR z_score p_value p_adj IQR_outlier Z_outlier outlier".split()
@@ -20,16 +21,6 @@ SCORED = f"{COUNTS}, cohort_n_samples long, cohort_mean double, cohort_std doubl
 READ_CALLS = "sample string, read_id string, chrom string, ref_start long, ref_end long, is_unmapped boolean, is_secondary boolean, is_supplementary boolean, is_duplicate boolean, hp int, calls array<struct<rpos: long, prob: int>>"
 
 
-def scratch(spark: SparkSession) -> str:
-    """A new path in the folder that the cluster shares; in one of our own only where none is set and one machine does all."""
-    shared = spark.conf.get("spark.checkpoint.dir", "") or ""
-    if not shared:
-        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        shared = tempfile.mkdtemp(prefix="islet-")
-    return f"{shared.rstrip('/')}/islet-{uuid.uuid4().hex}"
-
-
 def island_id(chrom: Column, start: Column, end: Column) -> Column:
     return F.concat(chrom, F.lit(":"), start.cast("string"), F.lit("-"), end.cast("string"))
 
@@ -54,16 +45,56 @@ def read_island_bed(spark: SparkSession, path: str, chrom: str | None = "chrX")
     return bed.where(F.col("chrom") == chrom) if chrom else bed
 
 
-def present(spark: SparkSession, paths: Sequence[str]) -> list[str]:
-    """Those of the paths that exist and aren't empty."""
-    out = []
+def _globbed(paths: Sequence[str]) -> list[str]:
+    """Paths as globs that leave out what is absent: those of a folder are alternatives of one. Paths with wildcards stay as they are."""
+    by: dict[str, list[str]] = {}
+    out = [p for p in paths if any(c in p for c in "*?[{")]
     for p in paths:
-        try:
-            if not spark.read.text(p).limit(1).isEmpty():
-                out.append(p)
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":
-                raise
+        if p not in out:
+            folder, _, name = p.rstrip("/").rpartition("/")
+            by.setdefault(folder, []).append("".join(f"\\{c}" if c in ",\\}" else c for c in name))
+    return out + [(f"{folder}/" if folder else "") + (f"{{{','.join(names)}}}" if len(names) > 1 else names[0]) for folder, names in by.items()]
+
+
+def _text(spark: SparkSession, paths: Sequence[str]) -> DataFrame | None:
+    """The lines of the paths that exist, with file and id (lines of a file's part have rising ids); None where none does."""
+    globs = _globbed(paths)
+    for some in ([globs], [[g] for g in globs]):
+        made = []
+        for g in some:
+            try:
+                made.append(spark.read.text(g))
+            except AnalysisException as e:
+                if e.getCondition() != "PATH_NOT_FOUND":
+                    raise
+        if made:
+            out = made[0]
+            for m in made[1:]:
+                out = out.union(m)
+            return out.select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at")).withColumn("id", F.monotonically_increasing_id())
+    return None
+
+
+def headers(spark: SparkSession, paths: Sequence[str]) -> list[tuple[str, list[str]]]:
+    """(header, files) of all files of the paths that exist and aren't empty, by one job: a file's first line is the first one of its first part.
+
+    Only a line a file reaches the driver, which has the paths already.
+    """
+    lines = _text(spark, paths)
+    if lines is None:
+        return []
+    first = lines.where("at = 0").groupBy("file").agg(F.min_by("value", "id").alias("header"))
+    by = first.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files"))
+    return sorted((r.header, list(r.files)) for r in by.collect())
+
+
+def read_by_header(spark: SparkSession, paths: Sequence[str]) -> DataFrame | None:
+    """Tab-separated files as one table of text columns, by the names in their own headers: columns may stand in any order, and one that a
+    file lacks is null there. Absent and empty files are skipped; None where nothing is left. Files of one header are read together."""
+    out = None
+    for _, files in headers(spark, paths):
+        one = spark.read.csv(files, sep="\t", header=True)
+        out = one if out is None else out.unionByName(one, allowMissingColumns=True)
     return out
 
 
@@ -76,11 +107,10 @@ def _typed(raw: DataFrame, kinds: str) -> DataFrame:
 
 
 def read_counts(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """Counts of one or more files, by their header's names; files that are absent or empty are skipped, unless all are; missing columns raise."""
-    some = present(spark, [paths] if isinstance(paths, str) else list(paths))
-    if not some:
+    """Counts of one or more files, each by its own header's names; files that are absent or empty are skipped, unless all are; columns that no file has raise."""
+    raw = read_by_header(spark, [paths] if isinstance(paths, str) else list(paths))
+    if raw is None:
         raise ValueError(f"no counts in {paths}")
-    raw = spark.read.csv(some, sep="\t", header=True)
     return _typed(require_columns(raw, [k.split(" ")[0] for k in COUNTS.split(", ")]), COUNTS)
 
 
@@ -88,26 +118,59 @@ def read_scored(spark: SparkSession, stats: str, locus_stats: str | None = None,
     """(scored rows, locus statistics, outliers) of a cohort run's folder or files: the last two by default beside the first, and None where absent."""
     beside = lambda name: f"{stats.rstrip('/').rsplit('/', 1)[0]}/{name}"
     rows = _typed(require_columns(spark.read.csv(stats, sep="\t", header=True), STATS_ORDER), SCORED)
-    more = [present(spark, [given] if given else [beside(name), beside(f"{name}.tsv")]) for given, name in ((locus_stats, "cohort_locus_stats"), (outliers, "outliers"))]
-    return rows, *[_typed(spark.read.csv(p[0], sep="\t", header=True), SCORED) if p else None for p in more]
+    more = [read_by_header(spark, [given] if given else [beside(name), beside(f"{name}.tsv")]) for given, name in ((locus_stats, "cohort_locus_stats"), (outliers, "outliers"))]
+    return rows, *[_typed(m, SCORED) if m is not None else None for m in more]
+
+
+MANIFEST = "key string, sample string, folder string, rows long"
+
+
+def file_marks(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """(path, mark) of the files that exist: a mark tells size and time of change, from the listing alone."""
+    found = spark.read.format("binaryFile").load(_globbed(paths)).select("path", "length", "modificationTime")
+    return found.select("path", F.concat_ws(":", F.col("length").cast("string"), F.unix_micros("modificationTime").cast("string")).alias("mark"))
 
 
-def cached_counts(spark: SparkSession, path: str, params: dict, samples: Sequence[str], make: Callable[[list[str]], DataFrame], *, force: bool = False) -> DataFrame:
-    """Counts of the samples from a folder that is keyed by the parameters; only samples that it lacks (all, with ``force``) are made and added."""
-    folder = f"{path.rstrip('/')}/counts-{hashlib.sha256(json.dumps(params, sort_keys=True).encode()).hexdigest()[:16]}"
+def content_mark(df: DataFrame) -> str:
+    """A mark of a table's rows, in any order: their number and two sums of their hashes."""
+    h = F.xxhash64(*df.columns).cast("decimal(38,0)")
+    return ":".join(map(str, df.agg(F.count("*"), F.sum(h), F.sum(F.hash(*df.columns).cast("decimal(38,0)"))).first()))
+
+
+def stored_counts(inputs: DataFrame, path: str, params: dict, make: Callable[[list[str]], DataFrame], *, force: bool = False) -> DataFrame:
+    """Counts of the samples of ``inputs`` (sample, mark) from a store at ``path``; only what it lacks is made (all, with ``force``).
+
+    The key of a sample's counts is its mark and the parameters (give them a mark of every other input, such as the islands): a changed
+    file, parameter or annotation is made anew, and what an earlier one gave stays beside it. A manifest lists what is there, also
+    samples without any counts; an anti-join with it tells what to make. Counts are written to a folder of their own
+    before the manifest names them, so a run that ends early leaves nothing half done, and of two that wrote the same the last counts.
+    """
+    spark, shared = inputs.sparkSession, json.dumps(params, sort_keys=True)
+    wanted = inputs.select(F.col("sample").cast("string").alias("sample"), F.sha2(F.concat_ws("\n", F.lit(shared), F.col("sample").cast("string"), F.col("mark").cast("string")), 256).alias("key")).distinct()
+    have = lambda: spark.read.schema(MANIFEST).parquet(f"{path.rstrip('/')}/manifest/*")
     try:
-        have = {r.sample for r in spark.read.schema(COUNTS).parquet(folder).select("sample").distinct().collect()}
+        lacking = wanted if force else wanted.join(have(), "key", "left_anti")
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
-        have = set()
-    wanted = [s for s in samples if force or s not in have]
-    if wanted:
-        made = make(wanted)
-        # dynamic: only the partitions of these samples are replaced
-        made.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("sample").parquet(folder)
-    kept = spark.read.schema(COUNTS).parquet(folder)
-    return kept.where(F.col("sample").isin(*samples)).select(*[k.split(" ")[0] for k in COUNTS.split(", ")])
+        lacking = wanted
+    # names of files to read: as many as the reader lists on the driver anyway
+    names = sorted(r.sample for r in lacking.select("sample").distinct().collect())
+    if names:
+        run = uuid.uuid4().hex
+        folder = f"{path.rstrip('/')}/counts/{run}"
+        make(names).select(*[k.split(" ")[0] for k in COUNTS.split(", ")]).write.parquet(folder)
+        got = spark.read.schema(COUNTS).parquet(folder).groupBy("sample").agg(F.count("*").alias("rows"))
+        made = wanted.where(F.col("sample").isin(names)).join(got, "sample", "left").select("key", "sample", F.lit(run).alias("folder"), F.coalesce("rows", F.lit(0).cast("long")).alias("rows"))
+        made.coalesce(1).write.parquet(f"{path.rstrip('/')}/manifest/{time.time_ns():020d}-{run}")
+    elif wanted.isEmpty():
+        return spark.createDataFrame([], COUNTS)
+    # the last entry of a key counts
+    entries = have().withColumn("at", F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2))
+    last = entries.groupBy("key").agg(F.max_by(F.struct("sample", "folder", "rows"), "at").alias("x")).select("key", "x.*")
+    chosen = wanted.join(last.drop("sample"), "key").where("rows > 0").select("sample", "folder")
+    counts = spark.read.schema(COUNTS).parquet(f"{path.rstrip('/')}/counts/*").withColumn("folder", F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2))
+    return counts.join(chosen, ["sample", "folder"], "left_semi").select(*[k.split(" ")[0] for k in COUNTS.split(", ")])
 
 
 def exclude_names(lines: DataFrame, value: str = "value") -> DataFrame:
@@ -142,17 +205,32 @@ def exclude_lines(flags: DataFrame, source: str = "") -> DataFrame:
     return top.union(none).union(rows).select(F.struct("part", "key").alias("ord"), "value")
 
 
+def write_in_order(df: DataFrame, path: str, order: Sequence[Column | str], *, lines: str | None = None, force: bool = False) -> None:
+    """Writes a table by its order, which must break all ties: files follow each other by name, each a range of it, and each row tells its
+    place (``rank``, from 0). With ``lines``, only that column, as text."""
+    made = ranked(df, order).repartitionByRange("rank").sortWithinPartitions("rank")
+    to = (made.select(lines) if lines else made).write.mode("overwrite" if force else "ignore")
+    to.text(path) if lines else to.csv(path, sep="\t", header=True)
+
+
 def write_exclude_list(flags: DataFrame, path: str, *, source: str = "", force: bool = False) -> None:
-    """``exclude_lines`` as one file, names in order."""
-    exclude_lines(flags, source).orderBy("ord").select("value").coalesce(1).write.mode("overwrite" if force else "ignore").text(path)
+    """``exclude_lines`` in order, names too."""
+    told = exclude_lines(flags, source).select("ord.part", "ord.key", "value")
+    write_in_order(told, path, ["part", "key", "value"], lines="value", force=force)
 
 
-def track_head(prefix: str, chrom: str = "chrX") -> str:
+def track_head(prefix: Column, chrom: str = "chrX") -> Column:
     """The first line of a track. Fixed text."""
-    return f'track name="{prefix}_{chrom}_XCI" description="CpG island methylation bias {chrom} \u2014 {prefix}" itemRgb="On"'
+    return F.concat(F.lit('track name="'), prefix, F.lit(f'_{chrom}_XCI" description="CpG island methylation bias {chrom} \u2014 '), prefix, F.lit('" itemRgb="On"'))
+
 
+def write_bed9(rows: DataFrame, path: str, *, prefix: str | None = None, force: bool = False) -> None:
+    """A track of each sample in a folder of its own: its header, then rows by start, pseudoautosomal ones first.
 
-def write_bed9(rows: DataFrame, path: str, *, prefix: str = "sample", force: bool = False) -> None:
-    """A track of one file: its header, then rows by start, pseudoautosomal ones first."""
-    head = rows.sparkSession.createDataFrame([(-1, True, track_head(prefix))], "start long, is_par boolean, line string")
-    head.unionByName(rows).orderBy("start", F.desc("is_par")).select("line").coalesce(1).write.mode("overwrite" if force else "ignore").text(path)
+    A sample's rows, as many as islands, are one file; samples are dealt over the tasks. The header names ``prefix``, or the sample.
+    """
+    name = F.lit(prefix) if prefix else F.col("sample")
+    head = rows.select("sample").distinct().select("sample", F.lit(-1).cast("long").alias("start"), F.lit(True).alias("is_par"), track_head(name).alias("line"))
+    every = head.unionByName(rows.select("sample", "start", "is_par", "line"))
+    made = every.repartition("sample").sortWithinPartitions("sample", "start", F.desc("is_par"), "line").select("sample", "line")
+    made.write.mode("overwrite" if force else "ignore").partitionBy("sample").text(path)

@@ -6,11 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from islet.functions.numeric import rounded
-from islet.operators import cohort, counts, intervals, qc, views, xci
+from islet.operators import cohort, counts, intervals, qc, ranks, views, xci
 from islet.plans import runs
-from islet.queries import CALLS, COUNTS, KEY, KEYS, METRICS, PVALUES, R4, RENAMED, ROUND, STATS, _chrom_rows, _counts, _deep, _flagged, _island_sql, _islands, _reads, _renamed, _t, r8, s8
+from islet.queries import CALLS, COMPONENTS, COUNTS, KEY, KEYS, METRICS, PVALUES, R4, RENAMED, ROUND, STAT_COLS, STATS, _chrom_rows, _counts, _deep, _flagged, _island_sql, _islands, _reads, _renamed, _t, r8, s8
 from islet.queries import ORACLE as FIRST
 from islet.sources import tables
+from islet.streaming.incremental import CohortStates
 
 ATTRIBUTES = ("island_name", "chrom", "island_start", "island_end", "island_cpgNum")
 KEPT = dict(min_reads=5, low=0.3, high=0.7)
@@ -65,7 +66,30 @@ def _placed_stats(spark, d):
 
 
 def locus_distributions(spark, d):
-    return views.locus_distributions(_placed_stats(spark, d), bins={"island_size": (300.0, 330.0, 10), "island_cpgNum": (0.0, 26.0, 13), "cohort_mean": (0.0, 1.0, 50)})
+    return views.locus_distributions(_placed_stats(spark, d), bins={"island_size": (300.0, 330.0, 10), "island_cpgNum": (0.0, 26.0, 13), "cohort_mean": (0.0, 1.0, 50)}).select("panel", "bin", "n")
+
+
+def locus_distributions_whole(spark, d):
+    """Over each panel's own range: every rolled-up locus is in a bin of each."""
+    return views.locus_distributions(_placed_stats(spark, d)).select("panel", "bin", "n", r8("low"), r8("high"))
+
+
+def price_histogram(spark, d):
+    """Prices of each return flag over their own range."""
+    return views.histogram(_t(spark, d, "lineitem"), "l_extendedprice", bins=20, keys=["l_returnflag"]).select("l_returnflag", "bin", "n", rounded(F.col("low"), 4).alias("low"), rounded(F.col("high"), 4).alias("high"))
+
+
+def largest_orders(spark, d):
+    """The 2000 dearest orders of each priority: more than a window's group limit takes."""
+    top = ranks.first_per_group(_t(spark, d, "orders"), ["o_orderpriority"], F.col("o_totalprice"), ["o_orderkey"], 2000)
+    return top.select("o_orderpriority", "o_orderkey", F.col("rank").cast("long").alias("rank"))
+
+
+def price_quantiles(spark, d):
+    """Quantiles of prices by supplier's nation, narrowed in rounds down to intervals of a thousand rows."""
+    line = _t(spark, d, "lineitem").join(_t(spark, d, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
+    made = ranks.exact_quantiles(line, ["s_nationkey"], "l_extendedprice", (0.01, 0.5, 0.999), rows=1000)
+    return made.select("s_nationkey", "n", *[rounded(F.get("q", F.lit(i)), 4).alias(c) for i, c in enumerate(("q01", "q50", "q999"))])
 
 
 def stats_headline(spark, d):
@@ -73,7 +97,7 @@ def stats_headline(spark, d):
 
 
 def locus_boxes(spark, d):
-    made = views.box_summary(_deep(spark, d), ["island_id", "haplotype"], "frac_meth")
+    made = views.box_summary(_deep(spark, d), ["island_id", "haplotype"], "frac_meth", few_values=True)
     return made.select("island_id", "haplotype", "n", *[r8(c) for c in ("low", "q25", "median", "q75", "high")])
 
 
@@ -135,6 +159,58 @@ def normal_overlay(spark, d):
     return views.normal_overlay(grid, fit, n=100.0, width=2.0).select("x", "component", r8("density"))
 
 
+def _sizes(spark, d):
+    """Percentages by brand."""
+    return _t(spark, d, "part").select("p_brand", (F.col("p_size") * 2.0).alias("pct"))
+
+
+def gmm_by_brand(spark, d):
+    """Mixtures of all brands at once."""
+    return xci.gaussian_mixtures(_sizes(spark, d), ["p_brand"], rounds=40).select("p_brand", "n", *[rounded(F.col(f"{c}_{s}"), 6).alias(f"{c}_{s}") for s in ("low", "high") for c in ("weight", "mean", "sd")])
+
+
+def mixture_overlays(spark, d):
+    """The curves of each brand's mixture over its distribution and its histogram."""
+    made = views.mixture_overlays(xci.gaussian_mixtures(_sizes(spark, d), ["p_brand"], rounds=40), keys=["p_brand"], points=21)
+    return made.select("p_brand", "plot", "component", "i", rounded(F.col("y"), 6).alias("y"))
+
+
+def kde_by_brand(spark, d):
+    return xci.kde(_sizes(spark, d), keys=["p_brand"], points=101).select("p_brand", "i", rounded(F.col("density"), 8).alias("density"))
+
+
+def axis_shares(spark, d):
+    """What the first two axes carry of the variance."""
+    return qc.axis_shares(qc.median_imputed(_counts(spark, d).where("haplotype = 'all'"))).select("axis", rounded(F.col("share"), 8).alias("share"))
+
+
+def incremental_cohort(spark, d):
+    """Locus statistics that grew by three batches, the second of which came twice and the third with rows of the first; compacted between."""
+    states, deep = CohortStates(spark, tables.scratch(spark)), _deep(spark, d)
+    for number, part in enumerate((0, 1, 1, 2)):
+        states.add(deep.where((F.col("sample") % 3 == part) | ((part == 2) & (F.col("sample") % 6 == 0))), number)
+        if number == 2:
+            states.compact(number)
+    return states.stats().select("island_id", "haplotype", "cohort_n_samples", *map(r8, STAT_COLS))
+
+
+def outliers_in_order(spark, d):
+    """Outliers with their place: by locus, group and falling |z|."""
+    made = intervals.ranked(_flagged(spark, d).where("outlier"), ["island_id", "haplotype", F.abs("z_score").desc_nulls_last(), "sample"])
+    return made.select(*KEY, "z_score", F.col("rank").cast("long").alias("rank"))
+
+
+def loci_on_genome(spark, d):
+    """Loci with their place on the genome."""
+    made = intervals.ranked(views.loci_in_order(_placed(_counts(spark, d)), _chroms(spark)), ["ord", "island_start", "island_id"])
+    return made.select("island_id", "ord", "island_start", F.col("rank").cast("long").alias("rank"))
+
+
+def track_in_order(spark, d):
+    """The lines of a track with their place, as files hold them."""
+    return intervals.ranked(track_rows(spark, d), ["start", F.desc("is_par"), "line"]).select("line", F.col("rank").cast("long").alias("rank"))
+
+
 def read_flags(spark, d):
     """Reads left by the cohort run, which keeps duplicates, and by the inactivation run, which drops them."""
     flags = {"is_unmapped": 11, "is_secondary": 7, "is_supplementary": 5, "is_duplicate": 3}
@@ -204,13 +280,38 @@ def counts_files(spark, d):
     return back.withColumn("sample", F.col("sample").cast("long"))
 
 
+def counts_by_header(spark, d):
+    """Counts in files whose columns stand in three orders, one with a column more: each is read by its own header."""
+    names = [k.split(" ")[0] for k in tables.COUNTS.split(", ")]
+    table, path = _placed(_counts(spark, d)), tables.scratch(spark)
+    orders = (names, names[::-1], [*names[5:], "more", *names[:5]])
+    for part, order in enumerate(orders):
+        tables.write_tsv(table.where(F.col("sample") % 3 == part).withColumn("more", F.lit("x")).select(order), f"{path}/{part}")
+    back = tables.read_counts(spark, [f"{path}/{p}" for p in (*range(len(orders)), "absent")])
+    return back.select(F.col("sample").cast("long").alias("sample"), *names[1:], "more")
+
+
 def cached_counts(spark, d):
-    """Counts made in two goes, of which the second makes only what is new, and read from their cache."""
+    """Counts made in two goes, of which the second makes only what is new, and read from their store."""
     table = _placed(_counts(spark, d)).withColumn("sample", F.col("sample").cast("string"))
-    path, make = tables.scratch(spark), lambda samples: table.where(F.col("sample").isin(samples)).select(*[k.split(" ")[0] for k in tables.COUNTS.split(", ")])
-    names = sorted(r.s for r in _t(spark, d, "supplier").where("s_suppkey <= 8").select(F.col("s_suppkey").cast("string").alias("s")).collect())
-    tables.cached_counts(spark, path, {"cutoff": 0.5}, names[:3], make)
-    return tables.cached_counts(spark, path, {"cutoff": 0.5}, names, make)
+    path, make = tables.scratch(spark), lambda samples: table.where(F.col("sample").isin(samples))
+    every = _t(spark, d, "supplier").select(F.col("s_suppkey").cast("string").alias("sample"), F.lit("a").alias("mark"))
+    tables.stored_counts(every.where("sample % 2 = 0"), path, {"cutoff": 0.5}, make)
+    return tables.stored_counts(every, path, {"cutoff": 0.5}, make)
+
+
+def stored_counts(spark, d):
+    """Counts made in three goes and read from their store: of the last, one sample has a new mark, one has no counts, the others stay as they were made."""
+    table = _placed(_counts(spark, d)).withColumn("sample", F.col("sample").cast("string"))
+    path, names = tables.scratch(spark), [k.split(" ")[0] for k in tables.COUNTS.split(", ")]
+    # the n-th go counts n reads more, so that rows tell which made them
+    make = lambda n: lambda samples: table.where(F.col("sample").isin(samples)).withColumn("n_reads", F.col("n_reads") + n).select(names)
+    every = _t(spark, d, "supplier").select(F.col("s_suppkey").cast("string").alias("sample"))
+    first, empty = every.where("sample % 2 = 0").withColumn("mark", F.lit("a")), spark.createDataFrame([("none", "a")], "sample string, mark string")
+    tables.stored_counts(first.union(empty), path, {"cutoff": 0.5}, make(0))
+    tables.stored_counts(every.withColumn("mark", F.lit("a")).union(empty), path, {"cutoff": 0.5}, make(1))
+    last = every.withColumn("mark", F.when(F.col("sample") == "3", "b").otherwise("a"))
+    return tables.stored_counts(last.union(empty), path, {"cutoff": 0.5}, make(2))
 
 
 def scored_files(spark, d):
@@ -290,6 +391,23 @@ def _em(rounds: int) -> str:
     return f"WITH {', '.join(steps)} {' UNION ALL '.join(rows)}"
 
 
+def _em_by(key: str, x: str, table: str, rounds: int) -> str:
+    """The mixture fits of all groups, round by round, as CTEs; the last is ``fits``."""
+    density = lambda k: f"(w{k} * exp(-0.5e0 * ((x - m{k}) / sqrt(v{k})) * ((x - m{k}) / sqrt(v{k}))) / (sqrt(v{k}) * sqrt(2e0 * pi())))"
+    first = "greatest(sum(c * x * x) / sum(c) - power(sum(c * x) / sum(c), 2), 1e-6)"
+    steps = [f"v AS (SELECT {key}, {x} AS x, count(*) AS c FROM {table} GROUP BY ALL)", f"e0 AS (SELECT {key}, CAST(sum(c) AS BIGINT) AS n, 0.5e0 AS w0, 0.5e0 AS w1, 25e0 AS m0, 75e0 AS m1, {first} AS v0, {first} AS v1, CAST(NULL AS DOUBLE) AS l, false AS done FROM v GROUP BY 1 HAVING sum(c) >= 10)"]
+    for i in range(rounds):
+        told = f"SELECT {key}, c, x, d0 + d1 AS d, coalesce(d0 / nullif(d0 + d1, 0), CASE WHEN abs(x - m0) < abs(x - m1) THEN 1e0 ELSE 0e0 END) AS r FROM (SELECT *, {density(0)} AS d0, {density(1)} AS d1 FROM v JOIN e{i} USING ({key}))"
+        sums = f"SELECT {key}, sum(c * r) AS n0, sum(c * r * x) AS a0, sum(c * r * x * x) AS b0, sum(c * (1 - r)) AS n1, sum(c * (1 - r) * x) AS a1, sum(c * (1 - r) * x * x) AS b1, sum(c * ln(greatest(d, 1e-300))) / sum(c) AS l FROM ({told}) GROUP BY 1"
+        new = ", ".join(f"CASE WHEN done THEN e.w{k} ELSE s.n{k} / e.n END AS w{k}, CASE WHEN done THEN e.m{k} ELSE s.a{k} / greatest(s.n{k}, 1e-10) END AS m{k}, CASE WHEN done THEN e.v{k} ELSE greatest(s.b{k} / greatest(s.n{k}, 1e-10) - power(s.a{k} / greatest(s.n{k}, 1e-10), 2), 0e0) + 1e-6 END AS v{k}" for k in (0, 1))
+        steps.append(f"e{i + 1} AS MATERIALIZED (SELECT {key}, e.n, {new}, s.l, done OR coalesce(abs(s.l - e.l) < 1e-3, false) AS done FROM e{i} e JOIN ({sums}) s USING ({key}))")
+    pick = lambda c, side: f"CASE WHEN (m0 <= m1) = {'true' if side == 'low' else 'false'} THEN {c}0 ELSE {c}1 END"
+    columns = ", ".join(f"{'sqrt(' + pick('v', s) + ')' if c == 'sd' else pick(c[0], s)} AS {c}_{s}" for s in ("low", "high") for c in ("weight", "mean", "sd"))
+    return ", ".join([*steps, f"fits AS (SELECT {key}, n, {columns} FROM e{rounds})"])
+
+
+BRANDS = _em_by("p_brand", "p_size * 2e0", "part", 40)
+
 ORACLE = {
     "manhattan_positions": f"WITH {PLACED}, hit AS (SELECT * FROM placed WHERE outlier AND (haplotype = 'all' OR NOT EXISTS (SELECT 1 FROM placed WHERE outlier AND haplotype = 'all'))) SELECT island_id, chrom, ord, x_pos, n_outliers, mean_z, floor(greatest(4e0, least(18e0, 4 + 3 * ln(1 + n_outliers))) * 1e4 + 0.5e0) / 1e4 AS size FROM (SELECT island_id, min(chrom) AS chrom, min(ord) AS ord, min({X_POS}) AS x_pos, count(DISTINCT sample) AS n_outliers, floor({_mean('z_score')} + 0.5e0) / 1e4 AS mean_z FROM hit JOIN c USING (chrom) GROUP BY island_id)",
     "manhattan_by_haplotype": f"WITH {PLACED} SELECT {KEYS}, chrom, {X_POS} AS x_pos, z_score, ord % 2 = 1 AS odd_chrom FROM (SELECT *, row_number() OVER (PARTITION BY haplotype ORDER BY abs(z_score) DESC NULLS LAST, sample, island_id) AS rank FROM placed WHERE outlier) JOIN c USING (chrom) WHERE rank <= 20",
@@ -297,6 +415,10 @@ ORACLE = {
     "sample_manhattan_points": f"WITH {PLACED}, points AS (SELECT *, {X_POS} AS x_pos, row_number() OVER (PARTITION BY sample, chrom ORDER BY abs(z_score) DESC, island_id) AS rank, coalesce(island_name, island_id) AS name FROM placed JOIN c USING (chrom) WHERE haplotype = 'all' AND p_adj IS NOT NULL) SELECT {KEYS}, chrom, x_pos, z_score, floor(sign(z_score) * -log10(greatest(p_adj, 1e-300)) * 1e6 + 0.5e0) / 1e6 AS signed_logp, floor(CASE WHEN abs(z_score) - 2e0 >= 0 THEN greatest(6e0, least(14e0, 6 + 1.5e0 * (abs(z_score) - 2e0))) ELSE 4.5e0 END * 1e4 + 0.5e0) / 1e4 AS size, CASE WHEN abs(z_score) - 2e0 >= 0 AND rank <= 3 THEN CASE WHEN length(name) > 18 THEN substring(name, 1, 17) || '…' ELSE name END END AS label FROM points",
     "smallest_p": f"WITH {PVALUES} SELECT {KEYS}, z_score, {s8('p_value')}, rank FROM (SELECT *, row_number() OVER (PARTITION BY haplotype ORDER BY p_value, abs(z_score) DESC, sample, island_id) AS rank FROM flagged WHERE p_value IS NOT NULL) WHERE rank <= 10",
     "locus_distributions": f"WITH {PLACED_STATS}, v AS (SELECT unnest(['island_size', 'island_cpgNum', 'cohort_mean']) AS panel, unnest([CAST(island_end - island_start AS DOUBLE), CAST(\"island_cpgNum\" AS DOUBLE), cohort_mean]) AS x FROM ps WHERE haplotype = 'all'), r(panel, low, high, n) AS (VALUES ('island_size', 300e0, 330e0, 10), ('island_cpgNum', 0e0, 26e0, 13), ('cohort_mean', 0e0, 1e0, 50)) SELECT panel, CAST(least(floor((x - low) / ((high - low) / n)) + 1, n) AS BIGINT) AS bin, count(*) AS n FROM v JOIN r USING (panel) WHERE x BETWEEN low AND high GROUP BY 1, 2",
+    "locus_distributions_whole": f"WITH {PLACED_STATS}, v AS (SELECT unnest(['island_size', 'island_cpgNum', 'cohort_mean']) AS panel, unnest([50, 40, 50]) AS bins, unnest([CAST(island_end - island_start AS DOUBLE), CAST(\"island_cpgNum\" AS DOUBLE), cohort_mean]) AS x FROM ps WHERE haplotype = 'all'), e AS (SELECT panel, min(x) AS lo, max(x) AS hi, (max(x) - min(x)) / min(bins) AS w, min(bins) AS bins FROM v GROUP BY panel), b AS (SELECT panel, lo, hi, w, CAST(CASE WHEN w > 0 THEN least(floor((x - lo) / w) + 1, bins) ELSE 1 END AS BIGINT) AS bin FROM v JOIN e USING (panel) WHERE x IS NOT NULL) SELECT panel, bin, count(*) AS n, {ROUND.format('lo + (bin - 1) * w')} AS low, {ROUND.format('CASE WHEN w > 0 THEN lo + bin * w ELSE hi END')} AS high FROM b GROUP BY panel, bin, lo, hi, w",
+    "price_histogram": "WITH e AS (SELECT l_returnflag, min(l_extendedprice) AS lo, (max(l_extendedprice) - min(l_extendedprice)) / 20 AS w FROM lineitem GROUP BY 1) SELECT l_returnflag, bin, count(*) AS n, floor((lo + (bin - 1) * w) * 1e4 + 0.5e0) / 1e4 AS low, floor((lo + bin * w) * 1e4 + 0.5e0) / 1e4 AS high FROM (SELECT l_returnflag, lo, w, CAST(least(floor((l_extendedprice - lo) / w) + 1, 20) AS BIGINT) AS bin FROM lineitem JOIN e USING (l_returnflag)) GROUP BY l_returnflag, bin, lo, w",
+    "largest_orders": "SELECT o_orderpriority, o_orderkey, rank FROM (SELECT *, row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_totalprice DESC NULLS LAST, o_orderkey) AS rank FROM orders) WHERE rank <= 2000",
+    "price_quantiles": "SELECT s_nationkey, count(l_extendedprice) AS n, " + ", ".join(f"floor(quantile_cont(l_extendedprice, {q}) * 1e4 + 0.5e0) / 1e4 AS {n}" for q, n in ((0.01, "q01"), (0.5, "q50"), (0.999, "q999"))) + " FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY 1",
     "stats_headline": f"WITH {STATS} SELECT count(DISTINCT island_id) AS n_loci, CAST(floor(quantile_cont(cohort_n_samples, 0.5)) AS BIGINT) AS median_samples FROM stats",
     "locus_boxes": f"WITH {STATS} SELECT island_id, haplotype, count(frac_meth) AS n, " + ", ".join(f"{ROUND.format(f'quantile_cont(frac_meth, {q})')} AS {n}" for n, q in (("low", 0), ("q25", 0.25), ("median", 0.5), ("q75", 0.75), ("high", 1))) + " FROM deep GROUP BY island_id, haplotype",
     "first_per_locus": f"WITH {COUNTS} SELECT DISTINCT island_id, island_name, chrom, island_start, island_end FROM {_place('counts')}",
@@ -310,6 +432,13 @@ ORACLE = {
     "xci_distribution": f"WITH {HEMI}, m AS (SELECT series, count(*) AS n, stddev_samp(pct) * power(count(*), -1e0 / 5) AS w FROM pct GROUP BY series) SELECT series, CAST(i AS INTEGER) AS i, {ROUND.format('sum(exp(-0.5e0 * power((i * 2e0 - pct) / w, 2))) / (min(n) * min(w) * sqrt(2 * pi()))')} AS density FROM pct JOIN m USING (series), range(51) g(i) WHERE n > 1 AND w > 0 GROUP BY series, i",
     "xci_histogram": f"WITH {HEMI} SELECT series, CAST(least(floor(pct / 5e0) + 1, 20) AS BIGINT) AS bin, count(*) AS n FROM pct WHERE pct BETWEEN 0 AND 100 GROUP BY 1, 2",
     "normal_overlay": " UNION ALL ".join(f"SELECT x, '{s}' AS component, {ROUND.format(f'200e0 * {w} * exp(-0.5e0 * ((x - {m}) / {sd}) * ((x - {m}) / {sd})) / ({sd} * sqrt(2e0 * pi()))')} AS density FROM (SELECT DISTINCT CAST(p_size AS DOUBLE) AS x FROM part)" for s, w, m, sd in (("low", "0.4e0", "25e0", "10e0"), ("high", "0.6e0", "75e0", "12.5e0"))),
+    "gmm_by_brand": f"WITH {BRANDS} SELECT p_brand, n, " + ", ".join(f"floor({c}_{s} * 1e6 + 0.5e0) / 1e6 AS {c}_{s}" for s in ("low", "high") for c in ("weight", "mean", "sd")) + " FROM fits",
+    "mixture_overlays": f"WITH {BRANDS}, g AS (SELECT *, i * 5e0 AS x FROM fits, range(21) g(i)), " + "c AS (" + " UNION ALL ".join(f"SELECT p_brand, n, i, '{s}' AS component, weight_{s} * exp(-0.5e0 * ((x - mean_{s}) / sd_{s}) * ((x - mean_{s}) / sd_{s})) / (sd_{s} * sqrt(2e0 * pi())) AS y FROM g" for s in ("low", "high")) + ") SELECT p_brand, plot, component, CAST(i AS INTEGER) AS i, floor(y * CASE plot WHEN 'histogram' THEN n * 2e0 ELSE 1e0 END * 1e6 + 0.5e0) / 1e6 AS y FROM c, (VALUES ('distribution'), ('histogram')) p(plot)",
+    "kde_by_brand": "WITH v AS (SELECT p_brand, p_size * 2e0 AS v FROM part), m AS (SELECT p_brand, count(*) AS n, stddev_samp(v) * power(count(*), -1e0 / 5) AS w FROM v GROUP BY 1) SELECT p_brand, CAST(i AS INTEGER) AS i, floor(sum(exp(-0.5e0 * power((i - v) / w, 2))) / (min(n) * min(w) * sqrt(2 * pi())) * 1e8 + 0.5e0) / 1e8 AS density FROM v JOIN m USING (p_brand), range(101) g(i) WHERE n > 1 AND w > 0 GROUP BY 1, i",
+    "axis_shares": f"WITH {COMPONENTS}, t AS (SELECT count(*) AS total FROM (SELECT *, stddev_pop(v) OVER (PARTITION BY island_id) AS sd FROM full_grid) WHERE sd > 0) SELECT 'pc1' AS axis, floor(e / total * 1e8 + 0.5e0) / 1e8 AS share FROM v1, t UNION ALL SELECT 'pc2', floor(e / total * 1e8 + 0.5e0) / 1e8 FROM v2, t",
+    "incremental_cohort": f"WITH {STATS} SELECT island_id, haplotype, cohort_n_samples, {s8(*STAT_COLS)} FROM stats",
+    "outliers_in_order": f"WITH {PVALUES} SELECT {KEYS}, z_score, row_number() OVER (ORDER BY island_id, haplotype, abs(z_score) DESC NULLS LAST, sample) - 1 AS rank FROM flagged WHERE outlier",
+    "loci_on_genome": f"WITH {COUNTS}, {GENOME} SELECT *, row_number() OVER (ORDER BY ord, island_start, island_id) - 1 AS rank FROM (SELECT DISTINCT island_id, ord, island_start FROM {_place('counts')} JOIN c USING (chrom))",
     "read_flags": "SELECT dropped, count(*) AS n, CAST(sum(o_orderkey) AS BIGINT) AS keys FROM orders, (VALUES (false), (true)) v(dropped) WHERE o_orderkey % 11 <> 0 AND o_orderkey % 7 <> 0 AND o_orderkey % 5 <> 0 AND NOT (dropped AND o_orderkey % 3 = 0) GROUP BY dropped",
     "without_sex_chromosomes": f"WITH {COUNTS} SELECT chrom, count(*) AS n, CAST(sum(n_reads) AS BIGINT) AS reads FROM {_place('counts')} WHERE chrom NOT IN ('chrX', 'chrY') GROUP BY chrom",
     "merged_counts": f"WITH {COUNTS} SELECT * FROM counts WHERE haplotype <> 'all'",
@@ -323,7 +452,9 @@ ORACLE = {
  UNION ALL SELECT 'n_islands_nonPAR', count(*) FROM islands UNION ALL SELECT 'n_reads_retained', count(*) FROM reads UNION ALL SELECT 'n_islands_sufficient_coverage', count(*) FROM islands WHERE n_meth_hap1 + n_unmeth_hap1 >= 5 AND n_meth_hap2 + n_unmeth_hap2 >= 5 UNION ALL SELECT 'n_islands_hemi_methylated', count(*) FROM hemi
  UNION ALL SELECT unnest(['meth_frac_hap1_median', 'meth_frac_hap2_median', 'meth_frac_hap1_mean', 'meth_frac_hap2_mean', 'xci_bias_hap1', 'xci_bias_hap2']), unnest([{R4.format('quantile_cont(meth_frac_hap1 * 100, 0.5)')}, {R4.format('quantile_cont(meth_frac_hap2 * 100, 0.5)')}, {R4.format(_mean('meth_frac_hap1') + ' / 100')}, {R4.format(_mean('meth_frac_hap2') + ' / 100')}, {R4.format('quantile_cont(meth_frac_hap1, 0.5)')}, {R4.format('quantile_cont(meth_frac_hap2, 0.5)')}]) FROM hemi) WHERE value IS NOT NULL""",
     "counts_files": f"WITH {COUNTS} SELECT sample, island_id, island_name, chrom, island_start, island_end, \"island_cpgNum\", haplotype, n_reads, n_cpg_total, n_cpg_meth, n_cpg_unmeth, frac_meth FROM {_place('counts')}",
-    "cached_counts": f"WITH {COUNTS} SELECT CAST(sample AS VARCHAR) AS sample, island_id, island_name, chrom, island_start, island_end, \"island_cpgNum\", haplotype, n_reads, n_cpg_total, n_cpg_meth, n_cpg_unmeth, frac_meth FROM {_place('counts')} WHERE sample <= 8",
+    "counts_by_header": f"WITH {COUNTS} SELECT sample, island_id, island_name, chrom, island_start, island_end, \"island_cpgNum\", haplotype, n_reads, n_cpg_total, n_cpg_meth, n_cpg_unmeth, frac_meth, CASE WHEN sample % 3 = 2 THEN 'x' END AS more FROM {_place('counts')}",
+    "cached_counts": f"WITH {COUNTS} SELECT CAST(sample AS VARCHAR) AS sample, island_id, island_name, chrom, island_start, island_end, \"island_cpgNum\", haplotype, n_reads, n_cpg_total, n_cpg_meth, n_cpg_unmeth, frac_meth FROM {_place('counts')}",
+    "stored_counts": f"WITH {COUNTS} SELECT CAST(sample AS VARCHAR) AS sample, island_id, island_name, chrom, island_start, island_end, \"island_cpgNum\", haplotype, n_reads + CASE WHEN sample = 3 THEN 2 ELSE sample % 2 END AS n_reads, n_cpg_total, n_cpg_meth, n_cpg_unmeth, frac_meth FROM {_place('counts')}",
     "scored_files": f"WITH {PLACED}, ps AS {_place('stats')} SELECT 'scored' AS name, count(*) AS n, count(*) FILTER (island_name IS NULL) AS nameless FROM placed UNION ALL SELECT 'stats', count(*), count(*) FILTER (island_name IS NULL) FROM ps UNION ALL SELECT unnest(['outliers', 'flagged']), count(*), count(*) FILTER (island_name IS NULL) FROM placed WHERE outlier",
     "island_files": f"WITH {COUNTS}, l AS (SELECT DISTINCT chrom || ':' || island_start || '-' || island_end AS id, island_name AS name, \"island_cpgNum\" AS n FROM {_place('counts')}) SELECT 'tsv' AS kind, id AS island_id, name AS island_name, n AS \"island_cpgNum\" FROM l UNION ALL SELECT 'bed', id, coalesce(name, id), NULL FROM l",
     "exclusion_file": f"WITH {QC} SELECT 'line' AS kind, CASE WHEN qc_outlier THEN sample || '  # ' || qc_reasons ELSE '# ' || sample END AS value FROM qc UNION ALL SELECT 'name', CAST(sample AS VARCHAR) FROM qc WHERE qc_outlier UNION ALL SELECT 'line', unnest(['# Source: counts', '# Samples: ' || count(*), '# Suggested: ' || count(*) FILTER (qc_outlier)]) FROM qc UNION ALL SELECT 'line', '# (none)' FROM qc HAVING count(*) FILTER (qc_outlier) = 0",
@@ -335,11 +466,14 @@ ORACLE = {
     "bed9_lines": f"WITH {_island_sql()} SELECT island_start AS start, {bed_sql('island_chrom', 'island_start', 'island_end', chr(39).join(['island_id || ', '|', ' || label']), 'score', 'rgb')} AS line FROM ({status_sql('islands')})",
 }
 
+ORACLE["track_in_order"] = f"SELECT line, row_number() OVER (ORDER BY start, is_par DESC, line) - 1 AS rank FROM ({ORACLE['track_rows']})"
+
 QUERIES = {
     f.__name__: f
     for f in (
-        manhattan_positions, manhattan_by_haplotype, hap_delta_manhattan, sample_manhattan_points, smallest_p, locus_distributions, stats_headline, locus_boxes, first_per_locus, loci_in_order,
+        manhattan_positions, manhattan_by_haplotype, hap_delta_manhattan, sample_manhattan_points, smallest_p, locus_distributions, locus_distributions_whole, price_histogram, largest_orders, price_quantiles, stats_headline, locus_boxes, first_per_locus, loci_in_order,
         qc_records, qc_bars, embedding_samples, spread_limits, xci_scatter, haplotype_percentages, xci_distribution, xci_histogram, normal_overlay, read_flags, without_sex_chromosomes,
-        merged_counts, haplotype_labels, sides_of_named_loci, wide_fractions, deep_at_sites, track_rows, xci_summary_numbers, counts_files, cached_counts, scored_files, island_files, exclusion_file,
+        merged_counts, haplotype_labels, sides_of_named_loci, wide_fractions, deep_at_sites, track_rows, xci_summary_numbers, counts_files, counts_by_header, cached_counts, stored_counts, scored_files, island_files, exclusion_file,
+        gmm_by_brand, mixture_overlays, kde_by_brand, axis_shares, incremental_cohort, outliers_in_order, loci_on_genome, track_in_order,
     )
 }

@@ -1,15 +1,16 @@
 """Interval joins, read classes, island tables, sources, runs and streams."""
 
 import gzip
+import json
 import math
 import struct
 
 import numpy as np
 import pytest
-from islet.operators import intervals, qc, views, xci
+from islet.operators import cohort, intervals, qc, ranks, views, xci
 from islet.plans import cli, runs
 from islet.sources import bam, tables
-from islet.streaming.incremental import append_counts, counts_stream
+from islet.streaming.incremental import CohortStates, append_counts, counts_stream
 from pyspark.sql import functions as F
 
 
@@ -169,7 +170,7 @@ def test_indexed_alignments(spark, tmp_path, monkeypatch):
     write_indexed(tmp_path / "s.bam", ["chr1", "chr2", "chrX"], reads)
     monkeypatch.setattr(bam, "SPLIT", 200)
     assert len(bam.parts(str(tmp_path / "s.bam"), None)) > 6
-    whole = [(r[0], r[1], r[2]) for p in bam.parts(str(tmp_path / "s.bam"), None) for r in bam.records(p.path, p.start, p.stop)]
+    whole = [(r[0], r[1], r[2]) for p in bam.parts(str(tmp_path / "s.bam"), None) for r in bam.records(p.path, p.chunks)]
     assert sorted(whole, key=str) == sorted([(f"r{i}", ("chr1", None, "chrX")[c], p) for i, (c, p) in enumerate(placed)] + [("u", None, -1)], key=str)
     path = str(tmp_path / "*.bam")
     assert cli.bam(spark, path).count() == 81 and cli.bam(spark, path).where("is_unmapped").count() == 1
@@ -184,6 +185,131 @@ def test_indexed_alignments(spark, tmp_path, monkeypatch):
         cli.bam(spark, str(tmp_path / "none*.bam")).count()
 
 
+def binned_index(path, contigs, reads, width=50):
+    """An index with the smallest bin of each read, and chunks of each bin's runs of reads; the file is that of ``write_indexed``."""
+    write_indexed(path, contigs, reads)
+    f = bam.Blocks(str(path))
+    bam.contig_names(f)
+    places = []
+    for _, _, data in reads:
+        places.append(f.offset())
+        f.read(len(data))
+    places.append(f.offset())
+
+    def bin_of(a, b):
+        for first, bits in reversed(bam._LEVELS):
+            if a >> bits == b - 1 >> bits:
+                return first + (a >> bits)
+
+    index = b"BAI\1" + struct.pack("<i", len(contigs))
+    for c in range(len(contigs)):
+        bins, mine = {}, [i for i, r in enumerate(reads) if r[0] == c]
+        for i in mine:
+            bins.setdefault(bin_of(reads[i][1], reads[i][1] + width), []).append((places[i], places[i + 1]))
+        merged = {}
+        for b, spans in bins.items():
+            out = []
+            for x, y in spans:
+                if out and out[-1][1] == x:
+                    out[-1] = (out[-1][0], y)
+                else:
+                    out.append((x, y))
+            merged[b] = out
+        index += struct.pack("<i", len(merged) + 1)
+        for b, spans in merged.items():
+            index += struct.pack("<Ii", b, len(spans)) + b"".join(struct.pack("<QQ", *x) for x in spans)
+        index += struct.pack("<IiQQQQ", 37450, 2, 0, 0, len(mine), 0)
+        windows = (max((reads[i][1] + width - 1 for i in mine), default=-1) >> 14) + 1
+        first = [next((places[i] for i in mine if reads[i][1] + width > w << 14), 0) for w in range(windows)]
+        index += struct.pack(f"<i{windows}Q", windows, *first)
+    (path.parent / (path.name + ".bai")).write_bytes(index)
+
+
+def test_index_lookup(spark, tmp_path):
+    """Only chunks that can hold reads of the regions are read: bytes fall with the region, and no read is missed or told twice."""
+    rng, at = np.random.default_rng(4), 4
+    placed = sorted((int(c), int(p)) for c in range(2) for p in rng.integers(0, 8_000_000, 3000))
+    reads = []
+    for i, (c, p) in enumerate(placed):
+        data = aligned(f"r{i}", 0, p, [(50, "M")], "A" * 50)
+        reads.append((c, p, data[:at] + struct.pack("<i", c) + data[at + 4 :]))
+    binned_index(tmp_path / "s.bam", ["chr1", "chrX"], reads)
+    path, whole = str(tmp_path / "s.bam"), (tmp_path / "s.bam").stat().st_size
+
+    def fetched(parts):
+        total = 0
+        for p in parts:
+            for a, b in p.chunks:
+                f = bam.Blocks(path, a)
+                while b is not None and f.offset() < b:
+                    f.read(1)
+                    f.at = len(f.data)
+                total += f.fetched
+        return total
+
+    sizes = []
+    for spans in ([("chrX", 0, 1 << 40)], [("chrX", 1_000_000, 3_000_000)], [("chrX", 1_000_000, 1_010_000)], [("chrX", 7_999_990, 8_000_000)], [("chr1", k * 900_000, k * 900_000 + 100) for k in range(8)], [("chrM", 0, 9)]):
+        regions = bam.Regions(spans)
+        parts = bam.parts(path, regions)
+        got = [r[0] for p in parts for r in bam.records(path, p.chunks) if regions.meet(r[1], r[2], r[3])]
+        want = [f"r{i}" for i, (c, p) in enumerate(placed) if any(("chr1", "chrX")[c] == n and p < b and p + 50 > a for n, a, b in spans)]
+        assert sorted(got) == sorted(want)
+        sizes.append(fetched(parts))
+    assert sizes[0] < 0.6 * whole and sizes[1] < 0.3 * sizes[0] < whole and sizes[2] < 0.03 * whole and sizes[4] < 0.1 * whole and sizes[5] == 0
+    option = bam.regions_text([("chr1", 5, 9), ("chr1", 12_000, 12_100), ("chr1", 900_000, 900_100), ("chrX", 0, 7)])
+    assert option == "chr1:5-12100\tchr1:900000-900100\tchrX:0-7"
+    assert bam.regions_of("HLA:01:5-9\tchr7\t2").by == {"HLA:01": [(5, 9)], "chr7": [(0, 1 << 60)], "2": [(0, 1 << 60)]}
+    assert cli.bam(spark, path, region=option).count() == sum(1 for c, p in placed if any(c == k and p < b and p + 50 > a for k, a, b in ((0, 5, 12_100), (0, 900_000, 900_100), (1, 0, 7))))
+    assert cli.bam(spark, f"file://{tmp_path}/*.bam", region="chrX:1000000-1010000").count() == sum(c == 1 and p < 1_010_000 and p + 50 > 1_000_000 for c, p in placed)
+
+
+def test_filters_reach_the_index(spark, tmp_path, monkeypatch):
+    """Filters on a read's place narrow the chunks that a scan reads, and don't change what it gives."""
+    at, reads = 4, []
+    for i in range(400):
+        data = aligned(f"r{i}", 0, i * 20_000, [(50, "M")], "A" * 50)
+        reads.append((0, i * 20_000, data[:at] + struct.pack("<i", 0) + data[at + 4 :]))
+    binned_index(tmp_path / "s.bam", ["chrX"], reads)
+    binned_index(tmp_path / "t.bam", ["chrX"], reads)
+    reader = bam.PushedReader({"path": str(tmp_path / "*.bam")})
+    every = sum(b - a for p in reader.partitions() for a, b in p.chunks if b)
+    from pyspark.sql.datasource import EqualTo, GreaterThan, LessThan
+
+    kept = list(reader.pushFilters([EqualTo(("chrom",), "chrX"), LessThan(("ref_start",), 1_000_000), GreaterThan(("ref_end",), 900_000), EqualTo(("sample",), "t")]))
+    assert len(kept) == 4 and {p.path[-5:] for p in reader.partitions()} == {"t.bam"}
+    assert 0 < sum(b - a for p in reader.partitions() for a, b in p.chunks) < every / 10
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    try:
+        load = lambda: cli.bam(spark, str(tmp_path / "*.bam"), pushdown="true")
+        got = load().where("chrom = 'chrX' AND ref_start < 1000000 AND ref_end > 900000 AND sample = 't'")
+        assert sorted(r.ref_start for r in got.collect()) == [p for _, p, _ in reads if p < 1_000_000 and p + 50 > 900_000]
+        assert load().where("chrom = 'chr9'").count() == 0 and load().where("ref_start >= 0 OR chrom = 'x'").count() == 800
+    finally:
+        spark.conf.set("spark.sql.python.filterPushdown.enabled", "false")
+
+
+def test_count_from_files(spark, tmp_path):
+    """The command from alignment files to counts: only the islands' chunks are read, and a second run makes nothing."""
+    at, reads = 4, []
+    for i in range(60):
+        data = aligned(f"r{i}", 0, i * 50_000, [(60, "M")], "CG" * 30, "C+m,0,0,0;", (200, 10, 255), 1 + i % 2)
+        reads.append((0, i * 50_000, data[:at] + struct.pack("<i", 0) + data[at + 4 :]))
+    binned_index(tmp_path / "a.bam", ["chr1"], reads, width=60)
+    binned_index(tmp_path / "none.bam", ["chr1"], reads[1:2], width=60)
+    (tmp_path / "i.tsv").write_text("chrom\tchromStart\tchromEnd\tcpgNum\tname\nchr1\t0\t20\t5\tfirst\nchr1\t500010\t500050\t3\tten\nchr1\t70000\t70010\t3\tempty\n")
+    run = lambda out, *more: cli.main(["count", "--bam_glob", str(tmp_path / "*.bam"), "--cpg_tsv", str(tmp_path / "i.tsv"), "--outdir", str(tmp_path / "o"), *more], spark)
+    run("o")
+    rows = {(r.sample, r.island_name, r.haplotype): (r.n_reads, r.n_cpg_total, r.n_cpg_meth) for r in tables.read_counts(spark, str(tmp_path / "o/all_samples_counts")).collect()}
+    assert rows == {("a", "first", "hap1"): (1, 3, 2), ("a", "first", "all"): (1, 3, 2)}
+    folders = lambda: sorted(p.name for p in (tmp_path / "o/store/counts").iterdir())
+    before = folders()
+    run("o")
+    assert folders() == before
+    (tmp_path / "i.tsv").write_text((tmp_path / "i.tsv").read_text().replace("ten", "other"))
+    run("o", "--force")
+    assert len(folders()) == len(before) + 1
+
+
 def test_view_tables(spark):
     rng = np.random.default_rng(3)
     rows = []
@@ -222,8 +348,8 @@ def test_xci_run(spark, tmp_path):
     row = got["per_island"].first()
     assert row.island_id == "A" and row.n_reads_hap1 + row.n_reads_hap2 == 392 and row.meth_frac_hap1 > 0.9 and row.meth_frac_hap2 < 0.1
     assert got["hemi"].count() == 1
-    tables.write_bed9(got["track"], str(tmp_path / "track"))
-    lines = [x for f in (tmp_path / "track").glob("part-*") for x in f.read_text().splitlines()]
+    tables.write_bed9(got["track"], str(tmp_path / "track"), prefix="sample")
+    lines = [x for f in (tmp_path / "track/sample=s").glob("part-*") for x in f.read_text().splitlines()]
     assert lines[0] == 'track name="sample_chrX_XCI" description="CpG island methylation bias chrX \u2014 sample" itemRgb="On"' and [x.split("\t")[3] for x in lines[1:]] == ["P|PAR", f"A|d=+{row.delta_meth:.2f}(h1={row.meth_frac_hap1:.0%},h2={row.meth_frac_hap2:.0%})", "B|no_data"]
     contigs = spark.createDataFrame([("s", "chrX", 900), ("s", "chrY", 10), ("m", "chrX", 100), ("m", "chrY", 90)], "sample string, contig string, mapped long")
     summary = runs.xci_summary("s", "s.bam", contigs, got, phasing_mode="pedigree", min_reads_per_hap=8)
@@ -236,6 +362,158 @@ def test_xci_run(spark, tmp_path):
     assert male == {"sample": "m", "bam": "m.bam", "inferred_sex": "M", "sex_check_n_chrx_sampled": 100, "sex_check_n_chry_sampled": 90, "sex_check_chry_frac": 0.474, "phasing_mode": "read_backed", "params": {}}
 
 
+def test_xci_of_many_samples(spark, tmp_path):
+    """Summaries of all samples together are those of each alone; every sample has its own track, plots and fit."""
+    rng, rows = np.random.default_rng(8), []
+    for s in ("a", "b"):
+        for isle in range(12):
+            for i in range(40):
+                hap = 1 + i % 2
+                p = (0.9 if hap == 1 else 0.1) + (0.05 if s == "b" else 0) * (-1 if hap == 1 else 1)
+                rows.append((s, f"{s}{isle}-{i}", "chrX", 3_000_000 + isle * 5000, 3_001_000 + isle * 5000, False, False, False, False, hap, [(3_000_100 + isle * 5000 + 10 * k, int(255 * (rng.random() < p))) for k in range(20)]))
+    reads = spark.createDataFrame(rows, tables.READ_CALLS)
+    islands = spark.createDataFrame([("chrX", 3_000_100 + k * 5000, 3_000_300 + k * 5000, f"i{k}") for k in range(12)] + [("chrX", 100_000, 100_200, "P")], "chrom string, start long, end long, name string")
+    contigs = spark.createDataFrame([(s, "chrX", 900) for s in "ab"] + [("m", "chrX", 10), ("m", "chrY", 90), ("z", "chr1", 5)], "sample string, contig string, mapped long")
+    got = runs.xci_run(reads, islands, meth_frac_thr=0.6)
+    for mode in ("pedigree", "read_backed"):
+        told = {r.sample: json.loads(r.json) for r in runs.xci_summaries(contigs, got, source="f.bam", phasing_mode=mode, min_reads_per_hap=8).collect()}
+        for s in ("a", "b", "m"):
+            alone = runs.xci_summary(s, "f.bam", contigs, got, phasing_mode=mode, min_reads_per_hap=8)
+            assert list(told[s]) == list(alone) and told[s] == alone
+        assert told["z"]["inferred_sex"] == "unknown" and told["z"]["n_reads_retained"] == 0
+    assert told["a"]["gmm_peak_low"] < 20 < 80 < told["a"]["gmm_peak_high"]
+    tables.write_bed9(got["track"], str(tmp_path / "t"))
+    for s in "ab":
+        lines = [x for f in (tmp_path / f"t/sample={s}").glob("part-*") for x in f.read_text().splitlines()]
+        assert len(lines) == 14 and f'"{s}_chrX_XCI"' in lines[0] and [int(x.split("\t")[1]) for x in lines[1:]] == sorted(int(x.split("\t")[1]) for x in lines[1:])
+    plots = runs.xci_plots(got["hemi"])
+    assert plots["fits"].count() == 2 and plots["overlays"].count() == 2 * 2 * 2 * 500 and plots["scatter"].groupBy("sample").count().count() == 2
+    heights = {r.plot: r.y for r in plots["overlays"].where("sample = 'a'").groupBy("plot").agg(F.max("y").alias("y")).collect()}
+    assert heights["histogram"] == pytest.approx(heights["distribution"] * 24 * 2)
+
+
+def test_exact_quantiles(spark):
+    """Rounds that narrow to a few rows give numpy's quantiles: ties, heavy tails, null keys, groups without values."""
+    rng = np.random.default_rng(2)
+    groups = {"u": rng.random(5000), "tied": np.repeat([1.0, 2.0, 2.5], [3000, 10, 1990]), "tail": np.exp(rng.normal(0, 40, 4000)), "one": np.array([7.0]), None: rng.integers(-9, 9, 3000) / 4, "two": np.array([1.0, 2.0])}
+    rows = [(k, float(v)) for k, x in groups.items() for v in x] + [("none", None), ("u", float("nan")), ("u", None)]
+    df = spark.createDataFrame(rows, "k string, v double").repartition(5)
+    probs = (0.0, 0.001, 0.25, 0.5, 0.9, 1.0)
+    for most in (1 << 20, 300, 20):
+        got = {r.k: (r.n, r.q) for r in ranks.exact_quantiles(df, ["k"], "v", probs, rows=most).collect()}
+        assert got.pop("none") == (0, None) and set(got) == set(groups)
+        for k, (n, q) in got.items():
+            assert n == len(groups[k]) and q == pytest.approx(list(np.quantile(groups[k], probs)), rel=1e-12)
+    assert ranks.exact_quantiles(df.limit(0), ["k"], "v", probs).collect() == []
+
+
+def test_first_per_group(spark):
+    """More rows than a group limit takes, among ties and nulls; no rank twice."""
+    rng = np.random.default_rng(9)
+    rows = [(("a", "b", None)[i % 3], None if i % 10 == 0 else float(rng.integers(0, 40)) / 4, f"t{i}") for i in range(9000)]
+    df = spark.createDataFrame(rows, "g string, z double, t string")
+    for k in (1, 1500, 10_000):
+        got = {(r.g, r["rank"]): r.t for r in ranks.first_per_group(df, ["g"], F.abs("z"), ["t"], k).collect()}
+        for g in ("a", "b", None):
+            want = sorted((r for r in rows if r[0] == g), key=lambda r: (r[1] is None, -(r[1] or 0), r[2]))[:k]
+            assert [got[g, i + 1] for i in range(len(want))] == [r[2] for r in want]
+        assert len(got) == 3 * min(k, 3000)
+
+
+def test_ranked(spark):
+    df = spark.range(1000).selectExpr("id", "id * 7919 % 500 AS v", "CASE WHEN id % 9 = 0 THEN NULL ELSE id % 4 END AS w").repartition(7)
+    got = {r.id: r["rank"] for r in intervals.ranked(df, [F.desc("v"), "w", "id"]).collect()}
+    want = sorted(((-(i * 7919 % 500), -1 if i % 9 == 0 else i % 4, i) for i in range(1000)))
+    assert [got[i] for *_, i in want] == list(range(1000))
+
+
+def test_ranges_of_their_own(spark):
+    """Histograms over the data's range count every value, also islands longer than any fixed end."""
+    rows = [("a", float(v)) for v in (200, 300, 4999, 5000, 45_712)] + [("b", 3.0)] * 4 + [("c", None)]
+    got = views.histogram(spark.createDataFrame(rows, "k string, v double"), "v", bins=10, keys=["k"]).collect()
+    assert {(r.k, r.bin): r.n for r in got} == {("a", 1): 2, ("a", 2): 2, ("a", 10): 1, ("b", 1): 4}
+    ends = {(r.k, r.bin): (r.low, r.high) for r in got}
+    assert ends["a", 1] == (200, 200 + 4551.2) and ends["a", 10][1] == pytest.approx(45_712) and ends["b", 1] == (3, 3)
+    stats = spark.createDataFrame([("all", 0, 200 + 50 * k + (40_000 if k == 7 else 0), 10 + k, k / 900 if k % 3 else None) for k in range(889)], "haplotype string, island_start long, island_end long, island_cpgNum long, cohort_mean double")
+    told = {r.panel: r.n for r in views.locus_distributions(stats).groupBy("panel").agg(F.sum("n").alias("n")).collect()}
+    assert told == {"island_size": 889, "island_cpgNum": 889, "cohort_mean": 592}
+
+
+def test_components_of_many(spark):
+    """A matrix larger than the finder's width on both sides, with axes that stand out, against a full decomposition."""
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=(90, 3)) * (6, 4, 1) @ rng.normal(size=(3, 120)) + rng.normal(size=(90, 120)) + 5
+    x[:, 7] = 2.0
+    df = spark.createDataFrame([(f"s{i:03}", f"l{j:03}", float(x[i, j])) for i in range(90) for j in range(120)], "sample string, island_id string, frac_meth double")
+    sd = x.std(0)
+    z = (x - x.mean(0)) / np.where(sd > 1e-12, sd, 1)
+    u, s, _ = np.linalg.svd(z, full_matrices=False)
+    want = u[:, :2] * s[:2]
+    want *= np.sign(want[np.abs(want).argmax(0), range(2)])
+    for more in (8, 24):
+        got = {r.sample: (r.pc1, r.pc2) for r in qc.principal_components(df, more=more).collect()}
+        assert np.allclose([got[f"s{i:03}"] for i in range(90)], want, atol=1e-6)
+    shares = {r.axis: r.share for r in qc.axis_shares(df).collect()}
+    assert shares["pc1"] == pytest.approx(s[0] ** 2 / (z**2).sum(), abs=1e-9)
+    assert qc.principal_components(df.where("sample < 's002'")).collect() == []
+    plan = qc.principal_components(df)._jdf.queryExecution().toString()
+    assert "CartesianProduct" not in plan and "collect_list" not in plan
+
+
+def test_kde_of_cells(spark):
+    """Densities from cells' moments are those of all kernels, to the last places, at any spread and for values off the grid."""
+    rng = np.random.default_rng(12)
+    groups = {"wide": rng.uniform(-50, 150, 700), "narrow": rng.normal(40, 0.3, 500), "far": np.append(rng.normal(50, 1, 50), 1e4), None: np.array([10.0, 20.0, 40.0])}
+    df = spark.createDataFrame([(k, float(v)) for k, x in groups.items() for v in x] + [("one", 3.0), ("flat", 2.0), ("flat", 2.0), ("wide", None)], "k string, pct double")
+    got = {}
+    for r in xci.kde(df, keys=["k"], points=201).collect():
+        got.setdefault(r.k, {})[r.i] = r.density
+    assert set(got) == set(groups)
+    for k, v in groups.items():
+        h, x = v.std(ddof=1) * len(v) ** -0.2, np.linspace(0, 100, 201)
+        want = np.exp(-0.5 * ((x[:, None] - v) / h) ** 2).sum(1) / (len(v) * h * (2 * np.pi) ** 0.5)
+        assert np.allclose([got[k].get(i, 0.0) for i in range(201)], want, rtol=1e-9, atol=1e-13)
+
+
+def test_mixtures_of_groups(spark):
+    rng = np.random.default_rng(3)
+    groups = {"a": np.concatenate([rng.normal(20, 4, 300), rng.normal(80, 6, 100)]), "b": np.concatenate([rng.normal(30, 2, 50), rng.normal(60, 6, 150)]), None: rng.normal(50, 1, 40)}
+    df = spark.createDataFrame([(k, float(v)) for k, x in groups.items() for v in x] + [("few", 1.0)] * 9 + [("a", None)], "k string, pct double")
+    got = {r.k: r.asDict() for r in xci.gaussian_mixtures(df, ["k"]).collect()}
+    assert set(got) == set(groups)
+    for k, fit in got.items():
+        alone = xci.gaussian_mixture(df.where(F.col("k").eqNullSafe(k)))
+        assert all(fit[c] == pytest.approx(alone[c], rel=1e-6) for c in alone) and fit["n"] == len(groups[k])
+    assert len({fit["rounds"] for fit in got.values()}) > 1
+    assert xci.gaussian_mixtures(df.where("k = 'few'"), ["k"]).collect() == []
+
+
+def test_incremental_cohort(spark, tmp_path):
+    """States after batches, among repeats and a batch that runs twice, give what a run over all counts gives."""
+    rng, rows = np.random.default_rng(13), []
+    for s in range(20):
+        for i in range(5):
+            for hap in ("all", "hap1", None):
+                rows.append((f"s{s}", f"i{i}", hap, None if rng.random() < 0.1 else round(float(rng.random()), 4)))
+    df = spark.createDataFrame(rows, "sample string, island_id string, haplotype string, frac_meth double")
+    states = CohortStates(spark, str(tmp_path / "c"))
+    assert states.stats() is None
+    cols = ["island_id", "haplotype", "cohort_n_samples", "cohort_mean", "cohort_std", "cohort_median", "cohort_q25", "cohort_q75", "cohort_min", "cohort_max", "cohort_IQR"]
+    part = lambda k: df.where(F.expr("int(substring(sample, 2)) % 4") == k)
+
+    def same(whole):
+        key = lambda r: str(tuple(r)[:2])
+        for a, b in zip(sorted(states.stats().select(cols).collect(), key=key), sorted(cohort.locus_stats(whole).select(cols).collect(), key=key), strict=True):
+            assert tuple(a)[:3] == tuple(b)[:3] and all(x == y or x == pytest.approx(y, abs=1e-12) for x, y in zip(a[3:], b[3:]))
+
+    assert states.add(part(0), 0) == 0 and states.add(part(1).union(part(0)), 1) == 75
+    same(df.where("int(substring(sample, 2)) % 4 < 2"))
+    assert states.add(part(2), 2) == 0 and states.add(part(2), 2) == 0
+    states.compact(2)
+    assert states.add(part(3).union(part(3)), 3) == 75
+    same(df)
+
+
 def test_cohort_files(spark, tmp_path):
     rng = np.random.default_rng(6)
     lines = ["\t".join(tables.COUNTS.replace(" string", "").replace(" long", "").replace(" double", "").split(", "))]
@@ -268,18 +546,49 @@ def test_cohort_files(spark, tmp_path):
         tables.read_counts(spark, str(tmp_path / "bad.tsv"))
 
 
-def test_counts_cache(spark, tmp_path):
+def test_counts_store(spark, tmp_path):
+    """Only what is new is made: samples, marks, parameters; samples without counts are remembered too, and what a run left half done isn't read."""
     made = []
 
     def make(samples):
         made.append(samples)
-        row = lambda s: (s, "i", None, "chr1", 1, 2, 3, "all", 1, 2, 1, 1, 0.5)
-        return spark.createDataFrame([row(s) for s in samples], tables.COUNTS)
-
-    get = lambda samples, cut=0.5, **how: sorted(r.sample for r in tables.cached_counts(spark, str(tmp_path), {"cut": cut}, samples, make, **how).collect())
-    assert get(["a", "b"]) == ["a", "b"] and get(["a", "b", "c"]) == ["a", "b", "c"] and get(["b"]) == ["b"]
-    assert get(["a"], 0.7) == ["a"] and get(["b"], force=True) == ["b"] and get(["a", "b", "c"]) == ["a", "b", "c"]
-    assert made == [["a", "b"], ["c"], ["a"], ["b"]]
+        row = lambda s: (s, "i", None, "chr1", 1, 2, 3, "all", len(made), 2, 1, 1, 0.5)
+        return spark.createDataFrame([row(s) for s in samples if s != "none"], tables.COUNTS)
+
+    def get(samples, cut=0.5, **how):
+        marks = spark.createDataFrame([(s, m) for s, m in samples.items()], "sample string, mark string")
+        return {r.sample: r.n_reads for r in tables.stored_counts(marks, str(tmp_path / "s"), {"cut": cut}, make, **how).collect()}
+
+    assert get({}) == {} and made == []
+    assert get({"a": "1", "none": "1"}) == {"a": 1} and get({"a": "1", "none": "1", "b": "1"}) == {"a": 1, "b": 2}
+    assert get({"none": "1", "b": "1"}) == {"b": 2}
+    assert get({"a": "2", "b": "1"}) == {"a": 3, "b": 2} and get({"a": "1"}) == {"a": 1}
+    assert get({"a": "1"}, 0.7) == {"a": 4} and get({"b": "1"}, force=True) == {"b": 5} and get({"a": "1", "b": "1"}) == {"a": 1, "b": 5}
+    assert made == [["a", "none"], ["b"], ["a"], ["a"], ["b"]]
+    make(["a"]).write.parquet(str(tmp_path / "s/counts/unlisted"))
+    assert get({"a": "1", "b": "1"}) == {"a": 1, "b": 5}
+    one, two = spark.range(5), spark.range(5).repartition(3)
+    assert tables.content_mark(one) == tables.content_mark(two) != tables.content_mark(spark.range(6))
+
+
+def test_headers(spark, tmp_path):
+    """Files are read by their own headers, in whatever order and with whatever more."""
+    names = [k.split(" ")[0] for k in tables.COUNTS.split(", ")]
+    row = dict(zip(names, ("s1", "i", "n", "chr1", 1, 2, 3, "all", 200, 20, 5, 15, 0.25)))
+    for i, order in enumerate((names, names[::-1], [*names, "more"])):
+        told = row | {"sample": f"s{i}", "more": "x"}
+        (tmp_path / f"{i} {{a,b}}.tsv").write_text("\t".join(order) + "\n" + "\t".join(str(told[c]) for c in order) + "\n")
+    (tmp_path / "empty.tsv").write_text("")
+    (tmp_path / "only.tsv").write_text("\t".join(names) + "\n")
+    for i in range(3):
+        (tmp_path / f"{i} {{a,b}}.tsv").rename(tmp_path / f"{i},x.tsv")
+    got = tables.read_counts(spark, [str(tmp_path / f) for f in ("0,x.tsv", "1,x.tsv", "2,x.tsv", "empty.tsv", "only.tsv", "absent.tsv")])
+    assert sorted((r.sample, r.n_reads, r.n_cpg_total, r.island_start, r.more) for r in got.collect()) == [("s0", 200, 20, 1, None), ("s1", 200, 20, 1, None), ("s2", 200, 20, 1, "x")]
+    assert [len(files) for _, files in tables.headers(spark, [str(tmp_path / f) for f in ("0,x.tsv", "only.tsv", "1,x.tsv", "empty.tsv")])] in ([1, 2], [2, 1])
+    assert tables.read_counts(spark, str(tmp_path / "*,x.tsv")).count() == 3
+    assert tables.read_by_header(spark, [str(tmp_path / "absent.tsv"), str(tmp_path / "no/absent.tsv")]) is None
+    with pytest.raises(ValueError, match="no counts"):
+        tables.read_counts(spark, str(tmp_path / "empty.tsv"))
 
 
 def test_stream(spark, tmp_path):
