@@ -20,8 +20,8 @@ NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 PIECES, TRAINER, NORMALIZER = 1, 2, 3
 MODEL_TYPE, BYTE_FALLBACK, SPACE_AS_SUFFIX = 3, 35, 24
 NAME, PREFIX, EXTRA_SPACES = 1, 3, 4
-#: Entries that a task remembers of words and of token pairs; beyond, it forgets all and starts anew, with the same results.
-REMEMBERED = 1 << 18
+#: Entries that a worker remembers of words (twice) and of token pairs; beyond, it forgets the older ones, with the same results.
+REMEMBERED = 1 << 17
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -57,6 +57,7 @@ class Vocabulary:
     """
 
     def __init__(self, model: bytes):
+        self._coders = None
         pieces, trainer, normalizer = [], {}, {}
         for field, value in _fields(model):
             if field == PIECES:
@@ -98,6 +99,31 @@ class Vocabulary:
                     if max(self.rank[last[0]], self.rank[last[1]]) > self.rank[i]:
                         raise ValueError("a piece must merge after its parts")
 
+    def letters(self) -> set[str]:
+        """Letters that no piece holds beside, or linked by others beside, anything but letters; pieces hold spaces in front alone."""
+        above: dict[str, str] = {}
+
+        def top(c: str) -> str:
+            while above.setdefault(c, c) != c:
+                c = above[c]
+            return c
+
+        for i in self.ids.values():
+            text = self.texts[i].lstrip(SPACE)
+            for a, b in zip(text, text[1:] or text):
+                above[top(a)] = top(b)
+        mixed = {top(c) for c in above if not c.isalpha()}
+        return {c for c in above if top(c) not in mixed}
+
+    def coders(self) -> tuple[Encoder, Decoder]:
+        """The encoder and decoder of this process: later tasks of a worker go on with what it remembers."""
+        if self._coders is None:
+            self._coders = Encoder(self), Decoder(self)
+        return self._coders
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"_coders": None}
+
     def _merge(self, text: str) -> tuple[list[int], tuple[int, int] | None]:
         """The tokens of a piece's own text by merging the best pair again and again, and the last merge."""
         now, last = [self.ids.get(c, -1) for c in text], None
@@ -120,14 +146,18 @@ class Encoder:
     def __init__(self, vocabulary: Vocabulary):
         import ahocorasick
 
-        self.v, self.known, self.pairs, self.spaces = vocabulary, {}, {}, {}
+        self.v, self.pairs, self.spaces = vocabulary, {}, {}
+        #: Words' tokens: those used since the last change of generations, and those before.
+        self.known, self.old = {}, {}
+        self.sizes = [len(t) for t in vocabulary.texts]
         self.automaton = ahocorasick.Automaton()
         for i in vocabulary.whole:
             self.automaton.add_word(vocabulary.texts[i], (len(vocabulary.texts[i]), i))
         self.automaton.make_automaton()
         self.chars = {t for t in vocabulary.ids if len(t) == 1}
-        #: A word with the spaces before it: no piece holds a space behind a letter, so merges never cross words.
-        self.word = re.compile(f"({SPACE}*)([^{SPACE}]*)")
+        #: A run of letters or of other characters, with the spaces before it: merges never cross these borders.
+        letters = "".join(map(re.escape, sorted(vocabulary.letters())))
+        self.word = re.compile(f"{SPACE}*(?:[{letters}]+|[^{letters}{SPACE}]+)|{SPACE}+" if letters else f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 
     def fit(self, a: int, b: int) -> bool:
         """Whether the text of tokens ``a`` and ``b`` encodes to just them.
@@ -154,26 +184,30 @@ class Encoder:
 
         A prefix has one last token: the one that ends there, fits the last token of the prefix before it, or is the whole prefix.
         """
-        last = [-1] * (len(text) + 1)
+        last, found = [0] * (len(text) + 1), 0
         pairs, fit = self.pairs, self.fit
         for end, (size, token) in self.automaton.iter(text):
             end += 1
-            if last[end] >= 0:
+            if end == found:  # the tokens that end at a character come together, the longest first
                 continue
             if size < end:
-                key = (last[end - size] << 20) | token
-                good = pairs.get(key)
-                if good is None:
+                key = last[end - size] << 20 | token
+                if key in pairs:
+                    if not pairs[key]:
+                        continue
+                else:
                     if len(pairs) >= REMEMBERED:
                         pairs.clear()
-                    good = pairs[key] = fit(last[end - size], token)
-                if not good:
-                    continue
+                    good = pairs[key] = fit(key >> 20, token)
+                    if not good:
+                        continue
             last[end] = token
-        out, at = [], len(text)
+            found = end
+        out, at, sizes = [], len(text), self.sizes
         while at:
-            out.append(last[at])
-            at -= len(self.v.texts[last[at]])
+            token = last[at]
+            out.append(token)
+            at -= sizes[token]
         return out[::-1]
 
     def run(self, n: int) -> list[int]:
@@ -194,40 +228,47 @@ class Encoder:
             self.spaces[n] = [runs[k] for k in stack]
         return self.spaces[n]
 
-    def _word(self, spaces: int, word: str) -> list[int]:
-        out, at, mark = [], 0, SPACE if spaces else ""
-        text = mark + word
-        while at < len(text):  # characters outside the vocabulary are bytes, and no merge crosses them
-            end = at
-            while end < len(text) and text[end] in self.chars:
-                end += 1
-            if end > at:
-                out += self.stretch(text[at:end])
-            if end < len(text):
-                out += [self.v.bytes[b] for b in text[end].encode()]
-            at = end + 1
+    def _word(self, whole: str) -> list[int]:
+        word = whole.lstrip(SPACE)
+        spaces = len(whole) - len(word)
+        if not word:
+            return self.run(spaces)
+        text = SPACE + word if spaces else word
+        if self.chars.issuperset(text):
+            out = self.stretch(text)
+        else:
+            out, at = [], 0
+            while at < len(text):  # characters outside the vocabulary are bytes, and no merge crosses them
+                end = at
+                while end < len(text) and text[end] in self.chars:
+                    end += 1
+                if end > at:
+                    out += self.stretch(text[at:end])
+                if end < len(text):
+                    out += [self.v.bytes[b] for b in text[end].encode()]
+                at = end + 1
         if not spaces:
             return out
         if out[0] == self.v.ids.get(SPACE):
             return self.run(spaces) + out[1:]
         return self.run(spaces - 1) + out if spaces > 1 else out
 
+    def _remember(self, whole: str) -> list[int]:
+        got = self.old.get(whole)
+        if got is None:
+            got = self._word(whole)
+        if len(whole) < 64:
+            if len(self.known) >= REMEMBERED:
+                self.known, self.old = {}, self.known
+            self.known[whole] = got
+        return got
+
     def encode(self, text: str) -> list[int]:
         if not text:
             return []
-        out, known = [], self.known
-        text = (SPACE if self.v.prefix else "") + text.replace(" ", SPACE)
-        for m in self.word.finditer(text):
-            whole = m.group()
-            got = known.get(whole)
-            if got is None:
-                spaces, word = m.groups()
-                got = self._word(len(spaces), word) if word else self.run(len(spaces))
-                if len(whole) < 64:
-                    if len(known) >= REMEMBERED:
-                        known.clear()
-                    known[whole] = got
-            out += got
+        out = []
+        for whole in self.word.findall((SPACE if self.v.prefix else "") + text.replace(" ", SPACE)):
+            out += self.known.get(whole) or self._remember(whole)
         return out
 
 
@@ -295,7 +336,7 @@ def encode_pieces(df: DataFrame, model_file: str, *, text: str = "text", decode:
     made = flat.drop("text").schema.add("ids", T.ArrayType(T.IntegerType())).add("decoded", T.StringType())
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, decoder = Encoder(vocabulary.value), Decoder(vocabulary.value)
+        encoder, decoder = vocabulary.value.coders()
         for batch in batches:
             rest = batch.select([n for n in batch.schema.names if n != "text"])
             at, texts = 0, batch.column(source).cast(pa.binary())
