@@ -415,7 +415,7 @@ ORACLE = {
     "sample_manhattan_points": f"WITH {PLACED}, points AS (SELECT *, {X_POS} AS x_pos, row_number() OVER (PARTITION BY sample, chrom ORDER BY abs(z_score) DESC, island_id) AS rank, coalesce(island_name, island_id) AS name FROM placed JOIN c USING (chrom) WHERE haplotype = 'all' AND p_adj IS NOT NULL) SELECT {KEYS}, chrom, x_pos, z_score, floor(sign(z_score) * -log10(greatest(p_adj, 1e-300)) * 1e6 + 0.5e0) / 1e6 AS signed_logp, floor(CASE WHEN abs(z_score) - 2e0 >= 0 THEN greatest(6e0, least(14e0, 6 + 1.5e0 * (abs(z_score) - 2e0))) ELSE 4.5e0 END * 1e4 + 0.5e0) / 1e4 AS size, CASE WHEN abs(z_score) - 2e0 >= 0 AND rank <= 3 THEN CASE WHEN length(name) > 18 THEN substring(name, 1, 17) || '…' ELSE name END END AS label FROM points",
     "smallest_p": f"WITH {PVALUES} SELECT {KEYS}, z_score, {s8('p_value')}, rank FROM (SELECT *, row_number() OVER (PARTITION BY haplotype ORDER BY p_value, abs(z_score) DESC, sample, island_id) AS rank FROM flagged WHERE p_value IS NOT NULL) WHERE rank <= 10",
     "locus_distributions": f"WITH {PLACED_STATS}, v AS (SELECT unnest(['island_size', 'island_cpgNum', 'cohort_mean']) AS panel, unnest([CAST(island_end - island_start AS DOUBLE), CAST(\"island_cpgNum\" AS DOUBLE), cohort_mean]) AS x FROM ps WHERE haplotype = 'all'), r(panel, low, high, n) AS (VALUES ('island_size', 300e0, 330e0, 10), ('island_cpgNum', 0e0, 26e0, 13), ('cohort_mean', 0e0, 1e0, 50)) SELECT panel, CAST(least(floor((x - low) / ((high - low) / n)) + 1, n) AS BIGINT) AS bin, count(*) AS n FROM v JOIN r USING (panel) WHERE x BETWEEN low AND high GROUP BY 1, 2",
-    "locus_distributions_whole": f"WITH {PLACED_STATS}, v AS (SELECT unnest(['island_size', 'island_cpgNum', 'cohort_mean']) AS panel, unnest([50, 40, 50]) AS bins, unnest([CAST(island_end - island_start AS DOUBLE), CAST(\"island_cpgNum\" AS DOUBLE), cohort_mean]) AS x FROM ps WHERE haplotype = 'all'), e AS (SELECT panel, min(x) AS lo, max(x) AS hi, (max(x) - min(x)) / min(bins) AS w, min(bins) AS most FROM v GROUP BY panel), b AS (SELECT panel, lo, hi, w, CAST(CASE WHEN w > 0 THEN least(floor((x - lo) / w) + 1, most) ELSE 1 END AS BIGINT) AS bin FROM v JOIN e USING (panel) WHERE x IS NOT NULL) SELECT panel, bin, count(*) AS n, {ROUND.format('lo + (bin - 1) * w')} AS low, {ROUND.format('CASE WHEN w > 0 THEN lo + bin * w ELSE hi END')} AS high FROM b GROUP BY panel, bin, lo, hi, w",
+    "locus_distributions_whole": f"WITH {PLACED_STATS}, v AS (SELECT unnest(['island_size', 'island_cpgNum', 'cohort_mean']) AS panel, unnest([50, 40, 50]) AS bins, unnest([CAST(island_end - island_start AS DOUBLE), CAST(\"island_cpgNum\" AS DOUBLE), cohort_mean]) AS x FROM ps WHERE haplotype = 'all'), e AS (SELECT panel, min(x) AS lo, max(x) AS hi, (max(x) - min(x)) / min(bins) AS w, min(bins) AS most FROM v GROUP BY panel), b AS (SELECT panel, lo, hi, w, CAST(CASE WHEN w > 0 THEN least(floor((x - lo) / w) + 1, most) ELSE 1 END AS BIGINT) AS bin FROM v JOIN e USING (panel) WHERE x IS NOT NULL) SELECT panel, bin, count(*) AS n, {ROUND.format('(lo + (bin - 1) * w)')} AS low, {ROUND.format('(CASE WHEN w > 0 THEN lo + bin * w ELSE hi END)')} AS high FROM b GROUP BY panel, bin, lo, hi, w",
     "price_histogram": "WITH e AS (SELECT l_returnflag, min(l_extendedprice) AS lo, (max(l_extendedprice) - min(l_extendedprice)) / 20 AS w FROM lineitem GROUP BY 1) SELECT l_returnflag, bin, count(*) AS n, floor((lo + (bin - 1) * w) * 1e4 + 0.5e0) / 1e4 AS low, floor((lo + bin * w) * 1e4 + 0.5e0) / 1e4 AS high FROM (SELECT l_returnflag, lo, w, CAST(least(floor((l_extendedprice - lo) / w) + 1, 20) AS BIGINT) AS bin FROM lineitem JOIN e USING (l_returnflag)) GROUP BY l_returnflag, bin, lo, w",
     "largest_orders": "SELECT o_orderpriority, o_orderkey, rank FROM (SELECT *, row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_totalprice DESC NULLS LAST, o_orderkey) AS rank FROM orders) WHERE rank <= 2000",
     "price_quantiles": "SELECT s_nationkey, count(l_extendedprice) AS n, " + ", ".join(f"floor(quantile_cont(l_extendedprice, {q}) * 1e4 + 0.5e0) / 1e4 AS {n}" for q, n in ((0.01, "q01"), (0.5, "q50"), (0.999, "q999"))) + " FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY 1",
