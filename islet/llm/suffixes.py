@@ -18,6 +18,7 @@ DEPTH = 50  # bytes
 GRAM = 24  # bytes of an anchor
 BATCH = 3 << 20  # bytes of text that are looked at together
 OFTEN = 32  # batches; of anchors in as many, windows are asked for one by one
+MOST = 1 << 14  # buckets of the table of texts and partitions of pieces, at most: beyond, each holds more batches and pieces
 _PICKS = DEPTH - GRAM + 1
 _BASE = 0x2545F4914F6CDD1D
 _INV = pow(_BASE, -1, 1 << 64)
@@ -366,7 +367,7 @@ def remove_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text
     flat = flat.withColumn("row", F.xxhash64("text", F.length("text"))).withColumn("n_bytes", F.octet_length("text").cast("long"))
     total = flat.agg(F.sum("n_bytes")).first()[0] or 0
     parts, pieces = 8 + total // (8 << 20), 64 + total // (2 << 20)
-    packed = bundles(flat.where(F.col("n_bytes") >= DEPTH).select(F.struct("row", "d").alias("id"), "row", "d", "text"), BATCH, 16 + total // (32 << 20))
+    packed = bundles(flat.where(F.col("n_bytes") >= DEPTH).select(F.struct("row", "d").alias("id"), "row", "d", "text"), BATCH, min(16 + total // (32 << 20), MOST))
     each = packed.select("batch", F.posexplode("ids").alias("place", "id")).select("batch", "place", "id.row", "id.d")
     least = keep(each.groupBy("row").agg(F.min(F.struct("d", "batch", "place")).alias("best")))
     chosen = least.groupBy("best.batch").agg(F.collect_list("best.place").alias("places"))
@@ -377,7 +378,7 @@ def remove_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text
         told = told.union(keep(asked.groupBy("part").applyInArrow(_answered(level), ROWS)))
     runs = by_batch(_runs(pieces), "piece long, hash binary, d binary, row binary, start binary, size binary, data binary")
     salt = F.when(F.col("piece") < 0, F.xxhash64("row")).otherwise(F.lit(0))  # what is removed already is dealt out
-    gone = runs.withColumn("salt", salt).repartition(pieces, "piece", "salt").sortWithinPartitions("piece").drop("salt").mapInArrow(_removed, "row long, s long, e long")
+    gone = runs.withColumn("salt", salt).repartition(min(pieces, MOST), "piece", "salt").sortWithinPartitions("piece").drop("salt").mapInArrow(_removed, "row long, s long, e long")
     gone = gone.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("s", "e"))).alias("spans"))
     # written, so that the join below has a shuffle of its own, which adaptive execution can split where a text has many copies
     told = keep(least.select("row", F.col("best.d").alias("least")).join(gone, "row", "left"))
