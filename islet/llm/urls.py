@@ -83,23 +83,27 @@ def filter_urls(pages: DataFrame, rules: list[tuple[str, str]], *, url: str = "u
     threshold. Where the held-out names aren't of both kinds there is no threshold, and the rest is allowed.
 
     Null URLs and those without ``://`` have an empty host and path, no score, and are allowed. Repeated rows each come
-    back and count each in the models. Input columns named like an added column are replaced; an empty table gives an empty table.
+    back and count each in the models. Names are told apart by 64-bit hashes with their lengths. Input columns named like an added column are replaced; an empty table gives an empty table.
     """
     flat, names = enter(pages, url=url)
     host, path = host_path(F.col("url"))
     flat = flat.withColumn("host", host).withColumn("path", path)
     rule, verdict = longest_rule(F.col("host"), F.col("path"), rules)
     flat = flat.withColumn("rule", rule).withColumn("ruled", verdict).withColumn("name", F.concat("host", "path"))
-    names_of = keep(flat.where("name <> ''").groupBy("name", "ruled").agg(F.count("*").alias("n")))
-    padded = F.concat(F.lit("\x01" * ORDER), "name", F.lit("\x02"))
-    cut = F.transform(F.sequence(F.lit(1), F.length("name") + 1), lambda i: F.substring(padded, i, F.lit(ORDER + 1)))
-    places = names_of.select("name", "ruled", "n", F.explode(cut).alias("gram"))
-    held = F.pmod(F.xxhash64("name"), F.lit(HELD)) == 0
+    flat = flat.withColumns({"nk": F.xxhash64("name"), "nl": F.length("name")})
+    names_of = keep(flat.where("name <> ''").groupBy("nk", "nl", "name", "ruled").agg(F.count("*").alias("n")))
+    # the characters once, and each gram of neighbours in their array: linear in a name's length
+    chars = F.regexp_extract_all(F.concat(F.lit("\x01" * ORDER), "name", F.lit("\x02")), F.lit("(?s)."), F.lit(0))
+    gram = lambda c: F.transform(F.sequence(F.lit(0), F.size(c) - F.lit(ORDER + 1)), lambda i: F.concat(*[F.get(c, i + k) for k in range(ORDER + 1)]))
+    cut = F.get(F.transform(F.array(chars), gram), F.lit(0))
+    # a name's grams carry its hash and length, which are columns by now, not itself
+    places = names_of.select("nk", "nl", "ruled", "n", F.explode(cut).alias("gram"))
+    held = F.pmod(F.col("nk"), F.lit(HELD)) == 0
     count = lambda says: F.sum(F.when((F.col("ruled") == says) & ~held, F.col("n")).otherwise(0))
     grams = keep(places.groupBy("gram").agg(count("allow").alias("ok"), count("block").alias("bad")))
-    scores = keep(places.join(gram_ratios(grams), "gram").groupBy("name", "ruled").agg(F.round(F.avg("ratio"), 9).alias("score")))
+    scores = keep(places.join(gram_ratios(grams), "gram").groupBy("nk", "nl", "ruled").agg(F.round(F.avg("ratio"), 9).alias("score")))
     threshold = calibrated(scores.where(held).select((F.col("ruled") == "allow").alias("label"), "score"))
-    by_name = scores.groupBy("name").agg(F.first("score").alias("score"))
-    done = flat.join(by_name, "name", "left")
+    by_name = scores.groupBy("nk", "nl").agg(F.first("score").alias("score"))
+    done = flat.join(by_name, ["nk", "nl"], "left")
     guess = F.lit("allow") if threshold is None else F.when(F.col("score") < F.lit(threshold), "block").otherwise("allow")
     return leave(done, names, {"host": F.col("host"), "path": F.col("path"), "rule": F.col("rule"), "verdict": F.coalesce("ruled", guess), "score": F.col("score")})
