@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -45,6 +46,29 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(text, GAP), "")
 
 
+def scanned(values: Column, zero: Column, step: Callable[[Column, Column], Column]) -> Column:
+    """What ``step`` makes of all elements before each one, as sums or maxima run, for an associative step and its zero.
+
+    An array that grows by an element is copied each time, so elements are scanned in blocks of their number's root, whose own results are then
+    scanned: an array of n copies n * sqrt(n) elements instead of n * n.
+    """
+
+    def along(part: Column) -> Column:
+        start = F.struct(zero.alias("at"), F.slice(F.array(zero), 1, 0).alias("out"))
+        return F.aggregate(part, start, lambda a, x: F.struct(step(a["at"], x).alias("at"), F.concat(a["out"], F.array(a["at"])).alias("out")))
+
+    def whole(v: Column) -> Column:
+        root = F.ceil(F.sqrt(F.size(v).cast("double"))).cast("int")
+        blocks = F.transform(F.sequence(F.lit(1), F.size(v), root), lambda s: along(F.slice(v, s, root)))
+        return F.get(F.transform(F.array(blocks), join), F.lit(0))
+
+    def join(blocks: Column) -> Column:
+        before = along(F.transform(blocks, lambda b: b["at"]))["out"]
+        return F.flatten(F.zip_with(blocks, before, lambda b, f: F.transform(b["out"], lambda x: step(f, x))))
+
+    return F.get(F.transform(F.array(values), lambda v: F.when(F.size(v) == 0, F.slice(F.array(zero), 1, 0)).otherwise(whole(v))), F.lit(0))
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The cluster's shared folder; a folder of our own only where none is set and one machine does all, as in tests."""
     got = spark.conf.get("spark.checkpoint.dir", "") or ""

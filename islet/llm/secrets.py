@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from islet.llm.common import enter, join_salted, keep, leave
+from islet.llm.common import enter, join_salted, keep, leave, scanned
 
 #: kind -> (pattern, its capturing group that must be long enough, least length). Fixed values of the query contract.
 BASE = {
@@ -20,6 +20,8 @@ WEAK = {
     "endpoint": (r"(?:https?|ftp|s3|jdbc:[a-z]+|postgres|mysql|mongodb|redis|amqp)://[A-Za-z0-9][A-Za-z0-9.-]*(?::[0-9]{1,5})?", "endpoint"),
 }
 KINDS = [*BASE, *WEAK]
+NONE = "array<struct<s:int,k:int,e:int>>"
+CHUNK = 1024  # code points of a piece of a text that is blanked
 ROLE = {"assign": "secret", "access": "id", "hex": "secret"} | {k: r for k, (_, r) in WEAK.items()}
 
 
@@ -33,14 +35,41 @@ def spans(text: Column, kind: str, pattern: str, group: int = 0, least: int = 1)
     strong = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else found
     gaps = F.split(text, pattern, -1)
     order = KINDS.index(kind)
-    step = lambda acc, x: F.struct(
-        (acc["at"] + x["gap"] + x["len"]).alias("at"),
-        F.when(x["strong"] >= least, F.concat(acc["out"], F.array(F.struct((acc["at"] + x["gap"]).alias("s"), F.lit(order).alias("k"), (acc["at"] + x["gap"] + x["len"]).alias("e"))))).otherwise(acc["out"]).alias("out"),
-    )
     parts = F.zip_with(F.zip_with(found, strong, lambda f, s: F.struct(F.length(f).alias("len"), F.length(s).alias("strong"))), gaps, lambda m, g: F.struct(F.length(g).alias("gap"), m["len"].alias("len"), m["strong"].alias("strong")))
     real = F.filter(parts, lambda x: x["len"].isNotNull())
-    start = F.struct(F.lit(0).alias("at"), F.from_json(F.lit("[]"), "array<struct<s:int,k:int,e:int>>").alias("out"))
-    return F.when(text.rlike(pattern), F.aggregate(real, start, step, lambda a: a["out"])).otherwise(F.from_json(F.lit("[]"), "array<struct<s:int,k:int,e:int>>"))
+
+    def placed(real: Column) -> Column:
+        before = scanned(F.transform(real, lambda x: x["gap"] + x["len"]), F.lit(0), lambda a, b: a + b)
+        start = lambda x, at: at + x["gap"]
+        every = F.zip_with(real, before, lambda x, at: F.when(x["strong"] >= least, F.struct(start(x, at).alias("s"), F.lit(order).alias("k"), (start(x, at) + x["len"]).alias("e"))))
+        return F.filter(every, lambda x: x.isNotNull())
+
+    return F.when(text.rlike(pattern), F.get(F.transform(F.array(real), placed), F.lit(0))).otherwise(F.from_json(F.lit("[]"), NONE))
+
+
+def blanked(text: Column, found: Column, mark: str = "[SECRET]") -> Column:
+    """``text`` with the sorted spans replaced by ``mark``, those that overlap by one.
+
+    The text is cut into pieces of CHUNK code points once; what stays between spans is joined of the pieces that it touches, so time is linear in
+    the text and in the spans.
+    """
+    last = lambda chunks, at: F.floor(at / CHUNK).cast("int")
+
+    def between(chunks: Column, a: Column, b: Column) -> Column:
+        first = last(chunks, a)
+        return F.substring(F.array_join(F.slice(chunks, first + 1, last(chunks, b - 1) - first + 1), ""), a - first * CHUNK + 1, b - a)
+
+    def cut(x: Column) -> Column:
+        chunks, spans, reach = x["chunks"], x["spans"], x["reach"]
+        # where a span begins behind all before it: what lies between, and the mark
+        pieces = F.zip_with(spans, reach, lambda s, r: F.when(s["s"] > r, F.concat(between(chunks, r, s["s"]), F.lit(mark))).when(s["s"] == r, F.lit(mark)).otherwise(""))
+        end = F.greatest(F.try_element_at(reach, F.lit(-1)), F.try_element_at(spans, F.lit(-1))["e"])
+        tail = F.when(end < F.length(text), between(chunks, end, F.length(text))).otherwise("")
+        return F.concat(F.array_join(pieces, ""), tail)
+
+    reach = scanned(F.transform(found, lambda s: s["e"]), F.lit(0), lambda a, b: F.greatest(a, b))
+    whole = F.struct(F.regexp_extract_all(text, F.lit(f"(?s).{{1,{CHUNK}}}"), F.lit(0)).alias("chunks"), found.alias("spans"), reach.alias("reach"))
+    return F.when(F.size(found) == 0, text).otherwise(F.get(F.transform(F.array(whole), cut), F.lit(0)))
 
 
 def joined(found: Column) -> Column:
@@ -70,15 +99,10 @@ def link_credentials(docs: DataFrame, *, text: str = "text", scope: int = 300) -
     flat = flat.withColumn("tk", F.xxhash64("text")).withColumn("tl", F.length("text"))
     base = F.sort_array(F.concat(*[spans(F.col("text"), k, *how) for k, how in BASE.items()]))
     weak = F.concat(*[spans(F.col("text"), k, pattern) for k, (pattern, _) in WEAK.items()])
-    parts = (
-        flat.select("tk", "tl", weak.alias("weak"), base.alias("base_spans"))
-        .where(F.size("weak") > 0)
-        .where(F.size("weak") + F.size("base_spans") > 1)
-        .select("tk", "tl", F.explode(F.concat("base_spans", "weak")).alias("p"))
-        .select("tk", "tl", "p.s", "p.k", "p.e")
-        .distinct()
-    )
-    parts = keep(parts)
+    # what patterns find, once a text: neither the parts nor the result look again
+    found = flat.select("tk", "tl", base.alias("base_spans"), weak.alias("weak")).where(F.size("weak") + F.size("base_spans") > 0)
+    found = keep(found.groupBy("tk", "tl").agg(F.first("base_spans").alias("base_spans"), F.first("weak").alias("weak")))
+    parts = found.where(F.size("weak") > 0).where(F.size("weak") + F.size("base_spans") > 1).select("tk", "tl", F.explode(F.concat("base_spans", "weak")).alias("p")).select("tk", "tl", "p.s", "p.k", "p.e").distinct()
     role = F.get(F.array(*[F.lit(ROLE[k]) for k in KINDS]), F.col("k"))
     first, last = F.floor(F.col("s") / scope), F.floor(F.col("e") / scope)
     parts = parts.withColumn("role", role)
@@ -95,16 +119,11 @@ def link_credentials(docs: DataFrame, *, text: str = "text", scope: int = 300) -
         .groupBy("tk", "tl")
         .agg(F.collect_set(F.struct("s", "k", "e")).alias("more"))
     )
-    done = join_salted(flat.withColumn("base_spans", base), linked, ["tk", "tl"], "left")
-    every = F.sort_array(F.concat("base_spans", F.coalesce("more", F.from_json(F.lit("[]"), "array<struct<s:int,k:int,e:int>>"))))
+    # written, so that the join below has a shuffle of its own
+    told = keep(found.drop("weak").join(linked, ["tk", "tl"], "left"))
+    none = F.from_json(F.lit("[]"), NONE)
+    done = join_salted(flat, told, ["tk", "tl"], "left").withColumn("base_spans", F.coalesce("base_spans", none))
+    every = F.sort_array(F.concat("base_spans", F.coalesce("more", none)))
     done = done.withColumn("all_spans", every)
-    cut = F.aggregate(
-        "all_spans",
-        F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
-        lambda a, x: F.when(x["e"] <= a["at"], a).when(x["s"] < a["at"], F.struct(x["e"].alias("at"), a["out"].alias("out"))).otherwise(
-            F.struct(x["e"].alias("at"), F.concat(a["out"], F.substring(F.col("text"), a["at"] + 1, x["s"] - a["at"]), F.lit("[SECRET]")).alias("out"))
-        ),
-        lambda a: F.concat(a["out"], F.substring(F.col("text"), a["at"] + 1, F.length("text"))),
-    )
-    redacted = F.when(F.size("all_spans") == 0, F.col("text")).otherwise(cut)
+    redacted = blanked(F.col("text"), F.col("all_spans"))
     return leave(done, names, {"base_spans": F.col("base_spans"), "all_spans": F.col("all_spans"), "redacted": redacted})

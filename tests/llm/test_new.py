@@ -277,3 +277,50 @@ def test_pieces_edges(spark, library):
 def test_pieces_other_models(tmp_path):
     with pytest.raises(ValueError):
         Vocabulary(b"")
+
+
+def test_scanned(spark):
+    from islet.llm.common import scanned
+    from pyspark.sql import functions as F
+
+    rows = [(i, [(k * 7919) % 101 - 50 for k in range(n)]) for i, n in enumerate((0, 1, 2, 3, 4, 5, 9, 10, 100, 1000, 1001))]
+    df = spark.createDataFrame(rows, "i int, v array<int>")
+    got = {r.i: (r.s, r.m) for r in df.select("i", scanned(F.col("v"), F.lit(0), lambda a, b: a + b).alias("s"), scanned(F.col("v"), F.lit(-60), F.greatest).alias("m")).collect()}
+    for i, v in rows:
+        assert got[i] == ([sum(v[:k]) for k in range(len(v))], [max([-60, *v[:k]]) for k in range(len(v))])
+
+
+def test_many_spans(spark):
+    """A text of 32,000 spans is scanned and blanked in seconds, overlaps, neighbours and characters of any width as in a plain pass."""
+    import time
+
+    from islet.llm.secrets import blanked, link_credentials
+    from pyspark.sql import functions as F
+
+    rnd = random.Random(1)
+    text = "".join(rnd.choice("aé漢😀 \n") for _ in range(9000))
+    found = sorted((a, 0, min(a + rnd.randint(1, 40), 9000)) for a in [0, 5, 5, 8960, *rnd.sample(range(9000), 400)])
+    want, at = "", 0
+    for s, _, e in found:
+        if s >= at:
+            want += text[at:s] + "[SECRET]"
+        at = max(at, e)
+    df = spark.createDataFrame([(text, found), ("", []), (text, []), ("ab", [(0, 0, 2)])], "t string, f array<struct<s:int,k:int,e:int>>")
+    assert [r.x for r in df.select(blanked(F.col("t"), F.col("f")).alias("x")).collect()] == [want + text[at:], "", text, "[SECRET]"]
+    many = " ".join(f"token={k:06}x" for k in range(32_000))
+    began = time.time()
+    got = link_credentials(spark.createDataFrame([(1, many)], "doc_id long, text string")).select("redacted", F.size("base_spans").alias("n")).first()
+    assert got.n == 32_000 and got.redacted == " ".join(["[SECRET]"] * 32_000) and time.time() - began < 30
+
+
+def test_long_urls(spark):
+    """Names of 200,000 characters, such as data of pages, are judged in seconds."""
+    import time
+
+    from islet.llm.queries import URL_RULES
+    from islet.llm.urls import filter_urls
+
+    rows = [(1, "data://" + "ab/é😀" * 40_000), (2, "https://example.com/en/7"), (3, "https://x.example.net/de/a"), (4, "https://q.org/x")]
+    began = time.time()
+    got = {r.page_id: r for r in filter_urls(spark.createDataFrame(rows, "page_id long, url string"), URL_RULES).collect()}
+    assert got[1].score is not None and len(got[1].path) > 190_000 and time.time() - began < 40
