@@ -15,16 +15,22 @@ _TITLES = {
     "m": ["Mr", "Sir", "Herr", "Monsieur", "Señor", "Sr", "г-н", "господин", "Κύριος", "κύριος"],
     "n": ["Dr", "Prof", "Professor"],
 }
+#: What a name is made of behind its title: particles, parts with hyphens and apostrophes, or a run of one of the scripts without capitals.
+_PARTICLE = r"(?:(?:al|el|de|da|di|du|del|dos|van|von|der|den|ter|la|le|bin|ibn|abu)[\x20-]){0,3}"
+_PART = rf"{_PARTICLE}(?:\p{{Lu}}['’])?\p{{Lu}}\p{{L}}+(?:[-'’]\p{{Lu}}\p{{L}}+)*"
+_NAME = rf"(?:{_PART}(?:\x20{_PART}){{0,2}}|[\p{{IsHan}}\p{{IsHiragana}}\p{{IsKatakana}}]{{1,8}}|\p{{IsHangul}}{{1,5}})"
+#: Country codes by their first digits: of one digit, of two, else of three. Fixed values of the numbering plan.
+COUNTRY = r"^\+(1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3})"
 _ALL_TITLES = "|".join(sorted((t for some in _TITLES.values() for t in some), key=len, reverse=True))
 PATTERNS = {
-    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
+    "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[\p{L}0-9-]+(?:\.[\p{L}0-9-]+)+",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "ip6": rf"(?<![0-9A-Za-z:.])(?:(?:{_HEX}:){{7}}{_HEX}|{_HEX}(?::{_HEX}){{0,5}}::(?:{_HEX}(?::{_HEX}){{0,5}})?)(?![0-9A-Za-z:])",
     "ip": rf"(?<![0-9.]){_V4}(?![0-9]|\.[0-9])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
     "phone": r"(?<![0-9A-Za-z+])(?:\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)|[0-9]{1,4})(?:[ .-]?[0-9]{2,4}){2,4}|\([0-9]{3}\)[ .-]?[0-9]{3}[ .-][0-9]{4}|[0-9]{3}[-.][0-9]{3}[-.][0-9]{4}|(?<=\b(?:[Tt]el|[Pp]hone|[Ff]on|[Ff]ax|[Mm]obile|[Cc]all)[.:]?\x20{0,2})[0-9]{7,12})(?![0-9])",
     "card": r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])",
-    "name": rf"(?<!\p{{L}})(?:{_ALL_TITLES})\.?\x20\p{{Lu}}\p{{L}}+(?:[\x20-]\p{{Lu}}\p{{L}}+)?",
+    "name": rf"(?<!\p{{L}})(?:{_ALL_TITLES})\.?\x20{_NAME}",
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 _NUMBERS = "|".join(f"(?:{PATTERNS[k]})" for k in ("iban", "ip6", "ip", "ssn", "phone", "card"))
@@ -36,23 +42,33 @@ GIVEN = {
     ("latin", "m"): "adam bruno carl david emil felix georg hugo ivan jonas karl leon marco niklas oscar paul".split(),
     ("cyrillic", "f"): "анна вера дарья елена зоя ирина ксения лидия мария нина ольга полина раиса софья тамара юлия".split(),
     ("cyrillic", "m"): "антон борис виктор глеб денис егор захар игорь кирилл лев максим никита олег павел роман фёдор".split(),
+    ("han", "f"): "芳 静 敏 丽 娜 秀英 美咲 葵 陽菜 结衣 花子 雪 梅 玲 燕 霞".split(),
+    ("han", "m"): "伟 强 磊 洋 勇 军 健 翔太 大輔 拓也 太郎 明 刚 平 辉 超".split(),
+    ("hangul", "f"): "지은 서연 민지 수진 하은 유진 은영 미경 지현 소영 예진 혜진 정은 윤서 다은 선영".split(),
+    ("hangul", "m"): "민수 준호 성민 현우 지훈 도윤 영호 상철 동현 재현 승우 태민 진우 경수 우진 종혁".split(),
     ("greek", "f"): "άννα βάσια δανάη ελένη ζωή ηλέκτρα θάλεια ιωάννα καίτη λίνα μαρία νίκη όλγα ρένα σοφία χαρά".split(),
     ("greek", "m"): "άγγελος βασίλης γιάννης δήμος ηλίας θάνος κώστας λάμπρος μάνος νίκος πέτρος σάκης τάσος φώτης χάρης ορέστης".split(),
 }
 STEMS = {
+    "han": "林 森 高 石 白 江 金 安 原 松 竹 水 黒 青 大 小".split(),
+    "hangul": "김 이 박 최 정 강 조 윤 장 임 한 오 서 신 권 황".split(),
     "latin": "al ber cor dal eb fal gru hol il jan kel lam mor nov ol pal".split(),
     "cyrillic": "антон бел власт гром демид ерш жук зор калин лап мороз нос орл пан рог сокол".split(),
     "greek": "αλεξ βαλ γρηγορ δημ ευθυμ ζαφειρ ηλι θεοδωρ καρ λαμπρ μαν νικολ παπ ραφτ σταμ χρηστ".split(),
 }
 ENDS = {
+    ("han", "f"): "田 村 川 本 山 野 島 崎".split(),
+    ("hangul", "f"): "산 강 원 천 주 양 성 남".split(),
     ("latin", "f"): "an bert den er feld gard holm in ken lund man ner quist rup sen ton".split(),
     ("cyrillic", "f"): "ова ина ская енко ева ушкина юк овская".split(),
     ("cyrillic", "m"): "ов ин ский енко ев ушкин юк овский".split(),
     ("greek", "f"): "ίδου οπούλου άκη έα ιάδου ούση".split(),
     ("greek", "m"): "ίδης όπουλος άκης έας ιάδης ούσης".split(),
 }
-ENDS["latin", "m"] = ENDS["latin", "f"]
-for _script in ("latin", "cyrillic", "greek"):  # of unknown gender: any given name, and the endings of one
+SCRIPTS = ("latin", "cyrillic", "greek", "han", "hangul")
+for _script in ("latin", "han", "hangul"):
+    ENDS[_script, "m"] = ENDS[_script, "f"]
+for _script in SCRIPTS:  # of unknown gender: any given name, and the endings of one
     GIVEN[_script, "n"], ENDS[_script, "n"] = GIVEN[_script, "f"] + GIVEN[_script, "m"], ENDS[_script, "m"]
 GROW, ROUNDS = 4, 64
 
@@ -87,9 +103,11 @@ def _digits(value: Column) -> Column:
 
 
 def canonical(kind: Column, value: Column) -> Column:
-    """What makes two mentions one entity, but for names: digits of numbers (without a leading 1 of eleven), account numbers without blanks, lower case of the others."""
+    """What makes two mentions one entity, but for names: digits of numbers (without a leading 1 of eleven, with any other country's code apart: ``+49 301234567``), account numbers without blanks, lower case of the others."""
     digits = _digits(value)
-    phone = F.when((F.length(digits) == 11) & digits.startswith("1"), F.substring(digits, 2, 10)).otherwise(digits)
+    country = F.regexp_extract(value, COUNTRY, 1)
+    abroad = F.concat(F.lit("+"), country, F.lit(" "), F.substring(digits, F.length(country) + 1, F.length(digits)))
+    phone = F.when((F.length(digits) == 11) & digits.startswith("1"), F.substring(digits, 2, 10)).when((country != "") & (country != "1"), abroad).otherwise(digits)
     return F.when(kind == "phone", phone).when(kind.isin("card", "ssn"), digits).when(kind == "iban", F.replace(value, F.lit(" "))).otherwise(F.lower(value))
 
 
@@ -127,12 +145,14 @@ def surrogate(kind: Column, canon: Column, attempt: Column, key: str, host: Colu
     """
     digest = F.sha2(F.concat_ws("\x1f", F.lit(key), kind, canon, attempt.cast("string")), 256)
     numerals = lambda d: F.translate(d, "abcdef", "073951")
-    letters = lambda d: F.translate(d, "0123456789abcdef", "bcdfghjklmnprstv")
+    letters = lambda d, of="bcdfghjklmnprstv": F.translate(d, "0123456789abcdef", of)
     more, extra = F.sha2(digest, 256), F.least(F.greatest(attempt - GROW + 1, F.lit(0)), F.lit(64))
 
     def alike(text: Column, d: Column) -> Column:
-        one = lambda c, i: F.when(c.rlike("[a-z]"), F.substring(letters(d), i % 64 + 1, F.lit(1))).when(c.rlike("[A-Z]"), F.upper(F.substring(letters(d), i % 64 + 1, F.lit(1)))).when(c.rlike("[0-9]"), F.substring(numerals(d), i % 64 + 1, F.lit(1))).otherwise(c)
-        return F.array_join(F.transform(F.split(text, ""), one), "")
+        one = lambda c, i: F.when(c.rlike("[a-z]"), F.substring(letters(d), i % 64 + 1, F.lit(1))).when(c.rlike("[A-Z]"), F.upper(F.substring(letters(d), i % 64 + 1, F.lit(1)))).when(c.rlike("[0-9]"), F.substring(numerals(d), i % 64 + 1, F.lit(1)))
+        # letters of other scripts by some of their own, any further ones by Latin ones
+        other = lambda c, i: F.when(c.rlike(r"\p{IsCyrillic}"), F.substring(letters(d, "бвгджзклмнпрстфх"), i % 64 + 1, F.lit(1))).when(c.rlike(r"\p{IsGreek}"), F.substring(letters(d, "βγδζθκλμνξπρστφψ"), i % 64 + 1, F.lit(1))).when(c.rlike(r"[\p{L}\p{N}]"), F.substring(letters(d), i % 64 + 1, F.lit(1))).otherwise(c)
+        return F.array_join(F.transform(F.split(text, ""), lambda c, i: F.coalesce(one(c, i), other(c, i))), "")
 
     grown = F.substring(letters(more), F.lit(1), extra)
     top = F.substring_index(canon, ".", -1)
@@ -145,7 +165,8 @@ def surrogate(kind: Column, canon: Column, attempt: Column, key: str, host: Colu
     hexes = F.array_join(F.transform(F.split(canon, ""), lambda c, i: F.when(c == ":", c).otherwise(F.substring(digest, i % 64 + 1, F.lit(1)))), "")
     ip6 = F.concat(hexes, chosen(lambda i: F.concat(F.lit(":"), F.lpad(F.hex(byte(i).cast("long")), 2, "1"))))
     tail = F.substring(numerals(more), F.lit(1), extra)
-    number = F.concat(F.substring(numerals(digest), F.lit(1), F.length(canon)), tail)
+    code = F.regexp_extract(canon, r"^\+[0-9]+ ", 0)  # a phone number's country
+    number = F.concat(code, F.substring(numerals(digest), F.lit(1), F.length(canon) - F.length(code)), tail)
     payload = F.concat(F.substring(canon, 1, 1), F.substring(numerals(digest), F.lit(1), F.length(canon) - 2), tail)
     check = (10 - luhn_sum(payload, False) % 10) % 10
     account = F.concat(alike(F.substring(canon, F.lit(5), F.length(canon)), digest), tail)
@@ -153,10 +174,11 @@ def surrogate(kind: Column, canon: Column, attempt: Column, key: str, host: Colu
     iban = F.concat(country, F.lpad((98 - iban_rest(F.concat(country, F.lit("00"), account))).cast("string"), 2, "0"), account)
     name = None
     for (script, gender), given in GIVEN.items():
-        family = lambda at: F.concat(_pick(STEMS[script], digest, at), _pick(ENDS[script, gender], digest, at + 2))  # noqa: B023, E731
+        # two stems and an ending: some thousand families, and some ten thousand full names, before any needs a hyphen
+        family = lambda at: F.concat(_pick(STEMS[script], digest, at), _pick(STEMS[script], digest, at + 2), _pick(ENDS[script, gender], digest, at + 4))  # noqa: B023, E731
         two = F.when(canon.rlike(r"^. \S+[ -]\S"), F.concat(_pick(given, digest, 1), F.lit(" "), family(3))).otherwise(family(3))
-        joined = F.when(attempt > 0, F.concat(two, F.lit("-"), family(7), F.when(attempt > 2, F.concat(F.lit("-"), family(11), F.lit("-"), family(15))).otherwise(""))).otherwise(two)
-        other = r"\p{IsCyrillic}|\p{IsGreek}"
+        joined = F.when(attempt > 0, F.concat(two, F.lit("-"), family(9), F.when(attempt > 2, F.concat(F.lit("-"), family(15), F.lit("-"), family(21))).otherwise(""))).otherwise(two)
+        other = "|".join(rf"\p{{Is{x.title()}}}" for x in SCRIPTS[1:])
         fits = canon.startswith(f"{gender} ") & (~canon.rlike(other) if script == "latin" else canon.rlike(rf"\p{{Is{script.title()}}}"))
         further = chosen(lambda i: F.concat(F.lit("-"), F.get(F.array(*map(F.lit, STEMS[script])), byte(i) % len(STEMS[script])), F.lit(ENDS[script, gender][0])))  # noqa: B023
         whole = F.concat(F.lit(f"{gender} "), joined, further)
@@ -170,6 +192,9 @@ def surrogate(kind: Column, canon: Column, attempt: Column, key: str, host: Colu
 
 def rendered(kind: Column, value: Column, canon: Column, new: Column, full: Column) -> Column:
     """The surrogate in the mention's own format: its separators, country code, title and letter case; what it is longer by follows. Single names get the person's family name."""
+    code = F.regexp_extract(canon, r"^\+[0-9]+ ", 0)
+    value_of = lambda c: F.substring(c, F.length(code) + 1, F.length(c))
+    canon, new = F.when(kind == "phone", value_of(canon)).otherwise(canon), F.when(kind == "phone", value_of(new)).otherwise(new)
     signs = F.when(kind == "iban", "[A-Za-z0-9]").otherwise("[0-9]")
     extra = F.length(F.regexp_replace(value, F.concat(F.lit("[^"), F.substring(signs, F.lit(2), F.length(signs))), F.lit(""))) - F.length(canon)
     filled = F.aggregate(
@@ -197,8 +222,8 @@ def distinct_surrogates(entities: DataFrame, key: str) -> DataFrame:
     """(kind, canon, host) -> (kind, canon, new): no two entities of a kind share a surrogate, and none is itself an entity of the input.
 
     In each round every entity left proposes one; of those that propose the same the smallest value gets it, unless it is
-    taken or real, and the others propose again. What can be proposed grows with the rounds, so few of them end it; should ROUNDS not,
-    the job fails.
+    taken or real, and the others propose again. What can be proposed grows with the rounds, so few of them end it: from the round GROW
+    on each makes at least eight times as many, so ROUNDS are enough for far more than 10**40 entities of a kind, and never end in the error below.
     """
     entities = keep(entities)
     done, left = None, entities
@@ -220,12 +245,13 @@ def replace_entities(docs: DataFrame, *, text: str = "text", key: str = "islet")
     """Adds n_entities and surrogate_text, the text with every detected entity replaced.
 
     Entities are e-mail and IP addresses, phone and social-security numbers, cards and accounts with valid check digits, and
-    names after a title of respect, in Latin, Cyrillic or Greek letters. Their surrogates are keyed, so one entity has one surrogate in all
+    names after a title of respect, in Latin, Cyrillic, Greek, Han or Hangul letters, with particles, hyphens and apostrophes. Their surrogates are keyed, so one entity has one surrogate in all
     documents and mentions (coreference), two entities have two (see ``distinct_surrogates``), and each keeps kind and form: e-mails
     keep their shape and top-level domain, one domain stays one domain and two stay two, cards keep their first digit, accounts their
     country, both have valid check digits, phone numbers keep separators and country code, names keep title, gender, script and letter case.
     Within a text a single name after a title is the person whose full name the text also gives, and the full name is replaced
-    without a title too (n_entities counts the others).
+    without a title too (n_entities counts the others); names that no title comes before anywhere in their text aren't found.
+    Kana count as Han and get Latin names. A number with a country code and one without are two, but for the code 1.
 
     Null text is an empty text. Equal texts get equal results; repeated rows each come back. Input columns named like an
     added column are replaced; an empty table gives an empty table. Only texts with entities are shuffled, once.
@@ -248,9 +274,13 @@ def replace_entities(docs: DataFrame, *, text: str = "text", key: str = "islet")
     person = F.when(F.col("full"), F.struct(F.regexp_replace("value", TITLE, "").alias("old"), F.regexp_replace("new", TITLE, "").alias("new")))
     # written, so that the join below has a shuffle of its own, which adaptive execution can split where a text has many copies
     found = keep(found.groupBy("tk", "tl").agg(F.sort_array(F.collect_list(F.struct("i", "new"))).alias("found"), F.collect_set(person).alias("persons"), F.count("kind").alias("n")))
-    untitled = lambda gap: F.aggregate("persons", gap, lambda t, x: F.regexp_replace(t, F.concat(F.lit(r"(?<!\p{L})\Q"), x["old"], F.lit(r"\E(?!\p{L})")), x["new"]))
+    # one pattern of all of a text's persons, the longest names first
+    of_length = F.sort_array(F.transform("persons", lambda x: F.struct((-F.length(x["old"])).alias("n"), x["old"].alias("old"), x["new"].alias("new"))))
+    some_one = F.concat(F.lit(r"(?<!\p{L})(?:\Q"), F.array_join(F.transform(of_length, lambda x: x["old"]), r"\E|\Q"), F.lit(r"\E)(?!\p{L})"))
+    put_in = lambda w: F.coalesce(F.get(F.filter("persons", lambda x: x["old"] == w), F.lit(0))["new"], F.lit(""))
+    untitled = lambda gap: F.array_join(F.zip_with(F.split(gap, F.col("pattern"), -1), F.regexp_extract_all(gap, F.col("pattern"), F.lit(0)), lambda t, w: F.concat(t, put_in(w))), "")
     gaps = F.split(F.col("text"), ANY, -1)
     put = F.array_join(F.zip_with(gaps, F.col("found"), lambda g, x: F.concat(F.when(F.size("persons") > 0, untitled(g)).otherwise(g), F.coalesce(x["new"], F.lit("")))), "")
-    some = flat.where(has).join(found, ["tk", "tl"])
+    some = flat.where(has).join(found.withColumn("pattern", some_one), ["tk", "tl"])
     out = lambda n, t: {"n_entities": n.cast("long"), "surrogate_text": t}
     return leave(some, names, out(F.col("n"), put)).unionByName(leave(flat.where(~has), names, out(F.lit(0), F.col("text"))))

@@ -324,3 +324,72 @@ def test_long_urls(spark):
     began = time.time()
     got = {r.page_id: r for r in filter_urls(spark.createDataFrame(rows, "page_id long, url string"), URL_RULES).collect()}
     assert got[1].score is not None and len(got[1].path) > 190_000 and time.time() - began < 40
+
+
+def test_pii_leaks(spark):
+    """Names with hyphens, apostrophes and particles, of three parts and of other scripts, addresses with any letters, country codes: nothing real stays."""
+    from islet.llm.pii import replace_entities
+
+    made = [
+        "José.García@example.com wrote, Иван.Петров@пример.com too", "Mrs Anna-Maria Smith met Mr Mohammed al-Rashid.", "Mr O'Brien and Dr Ursula von der Leyen-Meyer left.", "Mr 田中 and Ms 김민지 stayed", "Mrs Anna Maria Smith said: Anna Maria Smith's here.",
+        "+49 30 1234567, +49-30-1234567 and +44 30 1234567 or +358 40 1234567; +1 (212) 555-0147, 212-555-0147",
+    ]
+    got = {r.doc_id: r for r in replace_entities(spark.createDataFrame(list(enumerate(made)), "doc_id long, text string")).collect()}
+    out = [got[i].surrogate_text for i in range(len(made))]
+    assert [got[i].n_entities for i in range(len(made))] == [2, 2, 2, 2, 1, 6]
+    for text, real in zip(out, (["José", "Garc", "Иван", "Петров", "example", "пример"], ["Anna", "Maria", "Smith", "Mohammed", "Rashid"], ["Brien", "Ursula", "Leyen", "Meyer"], ["田中", "김민지"], ["Anna", "Maria", "Smith"], [])):
+        assert not any(r in text for r in real), text
+    import regex
+
+    assert regex.fullmatch(r"\S+\.\S+@[a-z]+\.com wrote, \p{IsCyrillic}+\.\p{IsCyrillic}+@\p{IsCyrillic}+\.com too", out[0])
+    assert regex.fullmatch(r"Mrs \p{Lu}\p{L}+ \p{Lu}[\p{L}-]+ met Mr \p{Lu}\p{L}+ \p{Lu}[\p{L}-]+\.", out[1])
+    assert regex.fullmatch(r"Mr \p{Han}+ and Ms \p{Hangul}+ stayed", out[3])
+    one = regex.fullmatch(r"Mrs ([\p{L} -]+) said: ([\p{L} -]+)'s here\.", out[4])
+    assert one and one[1] == one[2]
+    numbers = regex.findall(r"\+?[0-9() -]{8,}[0-9]", out[5])
+    assert [n.split()[0].split("-")[0] for n in numbers[:5]] == ["+49", "+49", "+44", "+358", "+1"]
+    digits = [regex.sub(r"\D", "", n) for n in numbers]
+    assert digits[0] == digits[1] != "49301234567" and digits[2][2:] != digits[0][2:] and digits[4][1:] == digits[5]
+
+
+def test_pii_many_persons(spark):
+    """A text of thousands of persons is replaced in seconds: one pattern a text, not a pass a person."""
+    import time
+
+    from islet.llm.pii import replace_entities
+
+    names = [f"{a}{b}ka {c}{d}son" for a in "ABCDEFGHIJ" for b in "aeiou" for c in "KLMNPRSTVW" for d in "aeiou"]
+    text = "; ".join(f"Mr {n} came, {n} left" for n in names)
+    began = time.time()
+    got = replace_entities(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    pairs = [p.split(" came, ") for p in got.surrogate_text.split("; ")]
+    assert got.n_entities == len(names) == 2500 and all(f"Mr {b.removesuffix(' left')}" == a for a, b in pairs) and len({a for a, _ in pairs}) == 2500
+    assert time.time() - began < 60
+
+
+def test_pii_names_of_a_plain_scan(spark):
+    """Names among real texts, as many as a plain scan of the titles finds, each person the same wherever it is told, and no two alike."""
+    import regex
+    from islet.llm.pii import replace_entities
+
+    rnd, texts = random.Random(2), [r.text for r in spark.read.parquet(f"{SF}/documents.parquet").select("text").collect()]
+    given, family = ["Anna", "Émilie", "Jean-Luc", "Ivo", "Zoë"], ["Smith", "O'Neil", "de la Cruz", "Novák", "Meyer-Lund"]
+    made = []
+    for i, t in enumerate(texts):
+        cut = sorted(rnd.sample(range(len(t) + 1), min(len(t), rnd.randint(0, 3))))
+        for at in reversed(cut):
+            t = f"{t[:at]} {rnd.choice(['Mrs', 'Mr', 'Dr', 'Herr', 'Mme'])} {rnd.choice(given)} {rnd.choice(family)}, {t[at:]}"
+        made.append((i, t))
+    title = r"(?<!\p{L})(?:Mrs|Mr|Dr|Herr|Mme)\.? "
+    part = r"(?:(?:al|el|de|da|di|du|del|dos|van|von|der|den|ter|la|le|bin|ibn|abu)[ -]){0,3}(?:\p{Lu}['’])?\p{Lu}\p{L}+(?:[-'’]\p{Lu}\p{L}+)*"
+    name = regex.compile(rf"{title}{part}(?: {part}){{0,2}}")
+    got = replace_entities(spark.createDataFrame(made, "doc_id long, text string")).collect()
+    plain = {r.doc_id: r.n_entities for r in replace_entities(spark.createDataFrame([(i, name.sub("", t)) for i, t in made], "doc_id long, text string")).collect()}
+    met = {}
+    for r in got:
+        old, new = name.findall(r.text), name.findall(r.surrogate_text)
+        assert r.n_entities - plain[r.doc_id] == len(old) == len(new)
+        for a, b in zip(old, new):
+            assert a.split(" ")[0] == b.split(" ")[0] and met.setdefault(a, b) == b != a
+    people = {a: b for a, b in met.items() if a.split(" ")[0] in ("Mrs", "Mr")}
+    assert len(people) > 30 and len(set(people.values())) == len(people)
