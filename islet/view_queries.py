@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 
 from islet.functions.numeric import rounded
 from islet.operators import cohort, counts, intervals, qc, ranks, views, xci
-from islet.plans import runs
+from islet.plans import cli, runs
 from islet.queries import CALLS, COMPONENTS, COUNTS, KEY, KEYS, METRICS, PVALUES, R4, RENAMED, ROUND, STAT_COLS, STATS, _chrom_rows, _counts, _deep, _flagged, _island_sql, _islands, _reads, _renamed, _t, r8, s8
 from islet.queries import ORACLE as FIRST
 from islet.sources import tables
+from islet.sources.bam import regions_text
+from islet.sources.bam_write import write_reads
 from islet.streaming.incremental import CohortStates
 
 ATTRIBUTES = ("island_name", "chrom", "island_start", "island_end", "island_cpgNum")
@@ -179,6 +181,12 @@ def kde_by_brand(spark, d):
     return xci.kde(_sizes(spark, d), keys=["p_brand"], points=101).select("p_brand", "i", rounded(F.col("density"), 8).alias("density"))
 
 
+def qc_run(spark, d):
+    """The whole quality run: metrics, distances in the embedding, flags and reasons."""
+    made = runs.qc_run(_renamed(spark, d), mahal_thresh=2.0, min_coverage_frac=0.99, meth_lo=0.45, meth_hi=0.6)
+    return made.select("sample", "coverage_frac", "mean_meth", "mahal_dist", "flag_embedding", "flag_coverage", "flag_meth", "qc_outlier", "qc_reasons")
+
+
 def axis_shares(spark, d):
     """What the first two axes carry of the variance."""
     return qc.axis_shares(qc.median_imputed(_counts(spark, d).where("haplotype = 'all'"))).select("axis", rounded(F.col("share"), 8).alias("share"))
@@ -211,6 +219,62 @@ def track_in_order(spark, d):
     return intervals.ranked(track_rows(spark, d), ["start", F.desc("is_par"), "line"]).select("line", F.col("rank").cast("long").alias("rank"))
 
 
+def _alignments(spark, d):
+    """Alignment files of four samples, written from the embeddings: each is a read of 64 C with their calls, a clip in front and an insertion within."""
+    v = F.col("vec_id")
+    flag = F.when(v % 11 == 0, 4).otherwise(0) + F.when(v % 3 == 0, 16).otherwise(0) + F.when(v % 7 == 0, 256).otherwise(0) + F.when(v % 5 == 0, 1024).otherwise(0)
+    calls = F.transform("embedding", lambda e: F.greatest(F.lit(0), F.least(F.lit(255), F.floor((e.cast("double") + 1) * 120).cast("int"))))
+    rows = _t(spark, d, "embeddings").select(
+        F.concat(F.lit("s"), (v % 4).cast("string")).alias("sample"), F.concat(F.lit("r"), v.cast("string")).alias("read_id"), flag.alias("flag"), F.when(v % 2 == 0, "chr1").otherwise("chrX").alias("chrom"),
+        (v % 50 * 40_000 + v % 7 + v % 2 * 3_000_000).alias("pos"), F.lit("4S60M2I62M").alias("cigar"), F.repeat(F.lit("CG"), F.lit(64)).alias("sequence"), F.concat(F.lit("C+m?"), F.repeat(F.lit(",0"), F.lit(64)), F.lit(";")).alias("mm"), calls.alias("ml"), F.when(v % 3 > 0, (v % 3).cast("int")).alias("hp"),
+    )
+    folder = tables.scratch(spark)
+    write_reads(rows, folder, [("chr1", 3_000_000), ("chrX", 6_000_000), ("chrY", 1000)])
+    return f"{folder}/*.bam"
+
+
+def _islands_of_reads(spark):
+    each = spark.range(50).where("id <> 7").select("id", F.explode(F.array(F.lit("chr1"), F.lit("chrX"))).alias("chrom"))
+    start = F.col("id") * 40_000 + 20 + F.when(F.col("chrom") == "chrX", 3_000_000).otherwise(0)
+    return each.select("chrom", start.alias("start"), (start + F.col("id") * 3 % 80 + 1).alias("end"), F.concat(F.lit("i"), F.col("id").cast("string")).alias("name"))
+
+
+def alignment_reads(spark, d):
+    """What the alignment files hold, read by read: places without clips and insertions, calls on both strands, flags and haplotypes."""
+    got = cli.bam(spark, _alignments(spark, d))
+    total = lambda f: F.aggregate("calls", F.lit(0).cast("long"), lambda a, c: a + f(c))
+    return got.select("sample", "read_id", "chrom", "ref_start", "ref_end", "is_unmapped", "is_secondary", "is_duplicate", "hp", F.size("calls").cast("long").alias("n"), total(lambda c: c["rpos"]).alias("places"), total(lambda c: c["rpos"] % 97 * c["prob"]).alias("mixed"))
+
+
+def alignment_regions(spark, d):
+    """Reads of some regions, by the index's bins, of the first three files by name."""
+    got = cli.bam(spark, _alignments(spark, d), 3, region=regions_text([("chr1", 400_000, 400_050), ("chrX", 4_000_000, 4_480_010)]))
+    return got.select("sample", "read_id", "chrom", "ref_start")
+
+
+def contig_counts(spark, d):
+    """Mapped reads of each contig, by the indexes alone, and the sex that they tell."""
+    contigs = cli.bam(spark, _alignments(spark, d), table="contigs")
+    return contigs.join(xci.sex_of(contigs).select("sample", "x_reads", "sex"), "sample")
+
+
+def alignment_counts(spark, d):
+    """From alignment files to counts: the chunks of the islands alone are read."""
+    islands = _islands_of_reads(spark).withColumn("island_id", tables.island_id(F.col("chrom"), F.col("start"), F.col("end"))).withColumn("island_name", F.col("name")).withColumn("island_cpgNum", F.lit(1).cast("long"))
+    region = regions_text((r.chrom, r.start, r.end) for r in islands.toLocalIterator())
+    made = runs.count_reads(cli.bam(spark, _alignments(spark, d), region=region), islands)
+    return made.select("sample", "island_id", "haplotype", "n_reads", "n_cpg_total", "n_cpg_meth", "frac_meth")
+
+
+def per_read_files(spark, d):
+    """The per-read table of the inactivation run on alignment files, written and read again."""
+    got = runs.xci_run(cli.bam(spark, _alignments(spark, d), region="chrX"), _islands_of_reads(spark).where("chrom = 'chrX'"), min_cpg=5)
+    path = tables.scratch(spark)
+    tables.write_tsv(got["per_read"], path)
+    back = spark.read.csv(path, sep="\t", header=True)
+    return back.select("sample", "read_id", *[F.col(c).cast("long").alias(c) for c in ("haplotype", "island_start", "n_cpg", "n_cpg_meth", "n_cpg_unmeth")], F.col("meth_fraction").cast("double").alias("meth_fraction"), "classification")
+
+
 def read_flags(spark, d):
     """Reads left by the cohort run, which keeps duplicates, and by the inactivation run, which drops them."""
     flags = {"is_unmapped": 11, "is_secondary": 7, "is_supplementary": 5, "is_duplicate": 3}
@@ -406,6 +470,14 @@ def _em_by(key: str, x: str, table: str, rounds: int) -> str:
     return ", ".join([*steps, f"fits AS (SELECT {key}, n, {columns} FROM e{rounds})"])
 
 
+#: The reads of the alignment files: r, and their calls with a place: c. A call's base is the k-th C, from the other end on the reverse strand.
+ALIGNMENTS = """r AS (SELECT vec_id AS v, 's' || vec_id % 4 AS sample, 'r' || vec_id AS read_id, CASE WHEN vec_id % 2 = 0 THEN 'chr1' ELSE 'chrX' END AS chrom, vec_id % 50 * 40000 + vec_id % 7 + vec_id % 2 * 3000000 AS pos,
+  vec_id % 11 = 0 AS is_unmapped, vec_id % 7 = 0 AS is_secondary, vec_id % 5 = 0 AS is_duplicate, vec_id % 3 AS hp, embedding FROM embeddings),
+q AS (SELECT * EXCLUDE (embedding), CASE WHEN v % 3 = 0 THEN 127 - 2 * k ELSE 2 * k END AS q, CAST(greatest(0, least(255, floor((CAST(embedding[k + 1] AS DOUBLE) + 1) * 120))) AS BIGINT) AS prob FROM r, range(64) g(k)),
+c AS (SELECT *, CASE WHEN q < 64 THEN pos + q - 4 ELSE pos + q - 6 END AS rpos FROM q WHERE q >= 4 AND (q < 64 OR q >= 66)),
+isles AS (SELECT chrom, x + i * 40000 + 20 AS a, x + i * 40000 + 20 + i * 3 % 80 + 1 AS b FROM range(50) g(i), (VALUES ('chr1', 0), ('chrX', 3000000)) n(chrom, x) WHERE i <> 7)"""
+SPANNING = "spanning AS (SELECT r.*, a, b FROM r JOIN isles USING (chrom) WHERE pos <= a AND pos + 122 >= b AND NOT is_unmapped AND NOT is_secondary)"
+
 BRANDS = _em_by("p_brand", "p_size * 2e0", "part", 40)
 
 ORACLE = {
@@ -432,9 +504,15 @@ ORACLE = {
     "xci_distribution": f"WITH {HEMI}, m AS (SELECT series, count(*) AS n, stddev_samp(pct) * power(count(*), -1e0 / 5) AS w FROM pct GROUP BY series) SELECT series, CAST(i AS INTEGER) AS i, {ROUND.format('sum(exp(-0.5e0 * power((i * 2e0 - pct) / w, 2))) / (min(n) * min(w) * sqrt(2 * pi()))')} AS density FROM pct JOIN m USING (series), range(51) g(i) WHERE n > 1 AND w > 0 GROUP BY series, i",
     "xci_histogram": f"WITH {HEMI} SELECT series, CAST(least(floor(pct / 5e0) + 1, 20) AS BIGINT) AS bin, count(*) AS n FROM pct WHERE pct BETWEEN 0 AND 100 GROUP BY 1, 2",
     "normal_overlay": " UNION ALL ".join(f"SELECT x, '{s}' AS component, {ROUND.format(f'200e0 * {w} * exp(-0.5e0 * ((x - {m}) / {sd}) * ((x - {m}) / {sd})) / ({sd} * sqrt(2e0 * pi()))')} AS density FROM (SELECT DISTINCT CAST(p_size AS DOUBLE) AS x FROM part)" for s, w, m, sd in (("low", "0.4e0", "25e0", "10e0"), ("high", "0.6e0", "75e0", "12.5e0"))),
+    "alignment_reads": f"WITH {ALIGNMENTS} SELECT sample, read_id, chrom, pos AS ref_start, pos + 122 AS ref_end, is_unmapped, is_secondary, is_duplicate, CASE WHEN hp > 0 THEN CAST(hp AS INTEGER) END AS hp, coalesce(n, 0) AS n, CAST(coalesce(places, 0) AS BIGINT) AS places, CAST(coalesce(mixed, 0) AS BIGINT) AS mixed FROM r LEFT JOIN (SELECT v, count(*) AS n, sum(rpos) AS places, sum(rpos % 97 * prob) AS mixed FROM c WHERE NOT is_unmapped GROUP BY v) USING (v)",
+    "alignment_regions": f"WITH {ALIGNMENTS} SELECT sample, read_id, chrom, pos AS ref_start FROM r WHERE sample <> 's3' AND ((chrom = 'chr1' AND pos < 400050 AND pos + 122 > 400000) OR (chrom = 'chrX' AND pos < 4480010 AND pos + 122 > 4000000))",
+    "contig_counts": f"WITH {ALIGNMENTS}, m AS (SELECT s.sample, contig, count(read_id) FILTER (NOT is_unmapped) AS mapped FROM (SELECT DISTINCT sample FROM r) s CROSS JOIN (VALUES ('chr1'), ('chrX'), ('chrY')) n(contig) LEFT JOIN r ON r.sample = s.sample AND r.chrom = contig GROUP BY 1, 2) SELECT sample, contig, mapped, CAST(sum(CASE WHEN contig = 'chrX' THEN mapped ELSE 0 END) OVER (PARTITION BY sample) AS BIGINT) AS x_reads, CASE WHEN sum(CASE WHEN contig = 'chrX' THEN mapped ELSE 0 END) OVER (PARTITION BY sample) > 0 THEN 'F' ELSE 'unknown' END AS sex FROM (SELECT s.sample, contig, mapped FROM m s)",
+    "alignment_counts": f"WITH {ALIGNMENTS}, {SPANNING}, told AS (SELECT s.sample, s.chrom || ':' || a || '-' || b AS island_id, CASE s.hp WHEN 1 THEN 'hap1' WHEN 2 THEN 'hap2' ELSE 'unphased' END AS haplotype, s.v, count(*) AS n, count(*) FILTER (prob >= 127) AS m FROM spanning s JOIN c ON c.v = s.v AND rpos >= a AND rpos < b GROUP BY ALL) SELECT sample, island_id, CASE WHEN grouping(haplotype) = 1 THEN 'all' ELSE haplotype END AS haplotype, count(*) AS n_reads, CAST(sum(n) AS BIGINT) AS n_cpg_total, CAST(sum(m) AS BIGINT) AS n_cpg_meth, floor(sum(m) * 1e4 / sum(n) + 0.5e0) / 1e4 AS frac_meth FROM told GROUP BY GROUPING SETS ((sample, island_id, haplotype), (sample, island_id))",
+    "per_read_files": f"WITH {ALIGNMENTS}, {SPANNING}, told AS (SELECT s.sample, s.read_id, s.hp AS haplotype, a AS island_start, count(*) AS n_cpg, count(*) FILTER (prob >= 128) AS n_cpg_meth FROM spanning s JOIN c ON c.v = s.v AND rpos >= a AND rpos < b WHERE s.chrom = 'chrX' AND NOT s.is_duplicate AND NOT (b > 60001 AND a < 2699520) GROUP BY ALL) SELECT *, n_cpg - n_cpg_meth AS n_cpg_unmeth, floor(n_cpg_meth * 1e4 / n_cpg + 0.5e0) / 1e4 AS meth_fraction, CASE WHEN n_cpg_meth / n_cpg >= 0.75 THEN 'methylated' WHEN n_cpg_meth / n_cpg <= 0.25 THEN 'unmethylated' ELSE 'partial' END AS classification FROM told WHERE n_cpg >= 5",
     "gmm_by_brand": f"WITH {BRANDS} SELECT p_brand, n, " + ", ".join(f"floor({c}_{s} * 1e6 + 0.5e0) / 1e6 AS {c}_{s}" for s in ("low", "high") for c in ("weight", "mean", "sd")) + " FROM fits",
     "mixture_overlays": f"WITH {BRANDS}, g AS (SELECT *, i * 5e0 AS x FROM fits, range(21) g(i)), " + "c AS (" + " UNION ALL ".join(f"SELECT p_brand, n, i, '{s}' AS component, weight_{s} * exp(-0.5e0 * ((x - mean_{s}) / sd_{s}) * ((x - mean_{s}) / sd_{s})) / (sd_{s} * sqrt(2e0 * pi())) AS y FROM g" for s in ("low", "high")) + ") SELECT p_brand, plot, component, CAST(i AS INTEGER) AS i, floor(y * CASE plot WHEN 'histogram' THEN n * 2e0 ELSE 1e0 END * 1e6 + 0.5e0) / 1e6 AS y FROM c, (VALUES ('distribution'), ('histogram')) p(plot)",
     "kde_by_brand": "WITH v AS (SELECT p_brand, p_size * 2e0 AS v FROM part), m AS (SELECT p_brand, count(*) AS n, stddev_samp(v) * power(count(*), -1e0 / 5) AS w FROM v GROUP BY 1) SELECT p_brand, CAST(i AS INTEGER) AS i, floor(sum(exp(-0.5e0 * power((i - v) / w, 2))) / (min(n) * min(w) * sqrt(2 * pi())) * 1e8 + 0.5e0) / 1e8 AS density FROM v JOIN m USING (p_brand), range(101) g(i) WHERE n > 1 AND w > 0 GROUP BY 1, i",
+    "qc_run": f"SELECT sample, coverage_frac, mean_meth, far AS mahal_dist, fe AS flag_embedding, flag_coverage, flag_meth, fe OR qc_outlier AS qc_outlier, concat_ws(' ', CASE WHEN fe THEN 'embedding_outlier' END, nullif(qc_reasons, '')) AS qc_reasons FROM (SELECT *, coalesce(far > 2.0, false) AS fe FROM ({FIRST['qc_flags']}) LEFT JOIN (SELECT sample, floor(mahal_dist * 1e3 + 0.5e0) / 1e3 AS far FROM ({FIRST['pca_mahalanobis']})) USING (sample))",
     "axis_shares": f"WITH {COMPONENTS}, t AS (SELECT count(*) AS total FROM (SELECT *, stddev_pop(v) OVER (PARTITION BY island_id) AS sd FROM full_grid) WHERE sd > 0) SELECT 'pc1' AS axis, floor(e / total * 1e8 + 0.5e0) / 1e8 AS share FROM v1, t UNION ALL SELECT 'pc2', floor(e / total * 1e8 + 0.5e0) / 1e8 FROM v2, t",
     "incremental_cohort": f"WITH {STATS} SELECT island_id, haplotype, cohort_n_samples, {s8(*STAT_COLS)} FROM stats",
     "outliers_in_order": f"WITH {PVALUES} SELECT {KEYS}, z_score, row_number() OVER (ORDER BY island_id, haplotype, abs(z_score) DESC NULLS LAST, sample) - 1 AS rank FROM flagged WHERE outlier",
@@ -474,6 +552,6 @@ QUERIES = {
         manhattan_positions, manhattan_by_haplotype, hap_delta_manhattan, sample_manhattan_points, smallest_p, locus_distributions, locus_distributions_whole, price_histogram, largest_orders, price_quantiles, stats_headline, locus_boxes, first_per_locus, loci_in_order,
         qc_records, qc_bars, embedding_samples, spread_limits, xci_scatter, haplotype_percentages, xci_distribution, xci_histogram, normal_overlay, read_flags, without_sex_chromosomes,
         merged_counts, haplotype_labels, sides_of_named_loci, wide_fractions, deep_at_sites, track_rows, xci_summary_numbers, counts_files, counts_by_header, cached_counts, stored_counts, scored_files, island_files, exclusion_file,
-        gmm_by_brand, mixture_overlays, kde_by_brand, axis_shares, incremental_cohort, outliers_in_order, loci_on_genome, track_in_order,
+        alignment_reads, alignment_regions, contig_counts, alignment_counts, per_read_files, gmm_by_brand, mixture_overlays, kde_by_brand, qc_run, axis_shares, incremental_cohort, outliers_in_order, loci_on_genome, track_in_order,
     )
 }
