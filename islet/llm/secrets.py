@@ -13,6 +13,8 @@ BASE = {
     "access": (r"AKIA[A-Z0-9]+", 0, 20),
     "hex": (r"[0-9a-f]+", 0, 24),
 }
+#: What a text must have somewhere to hold a match that is long enough: most texts then need no positions.
+LONG_ENOUGH = {"access": r"AKIA[A-Z0-9]{16}", "hex": r"[0-9a-f]{24}"}
 #: Parts too weak to report alone: kind -> (pattern, role it plays in a credential).
 WEAK = {
     "access_id": (r"(?<![A-Za-z0-9_])(?:A[A-Z]IA[A-Z0-9]{8,15}|(?:[uU]ser(?:name)?|[lL]ogin|client_id|access_key_id)\x20*[:=]\x20*[A-Za-z0-9@._-]{3,64})|(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", "id"),
@@ -44,7 +46,7 @@ def spans(text: Column, kind: str, pattern: str, group: int = 0, least: int = 1)
         every = F.zip_with(real, before, lambda x, at: F.when(x["strong"] >= least, F.struct(start(x, at).alias("s"), F.lit(order).alias("k"), (start(x, at) + x["len"]).alias("e"))))
         return F.filter(every, lambda x: x.isNotNull())
 
-    return F.when(text.rlike(pattern), F.get(F.transform(F.array(real), placed), F.lit(0))).otherwise(F.from_json(F.lit("[]"), NONE))
+    return F.when(text.rlike(LONG_ENOUGH.get(kind, pattern)), F.get(F.transform(F.array(real), placed), F.lit(0))).otherwise(F.from_json(F.lit("[]"), NONE))
 
 
 def blanked(text: Column, found: Column, mark: str = "[SECRET]") -> Column:
