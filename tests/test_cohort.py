@@ -140,7 +140,7 @@ def test_components_of_many_samples(spark, monkeypatch):
     most, collect = [], DataFrame.collect
     monkeypatch.setattr(DataFrame, "collect", lambda self: most.append(got := collect(self)) or got)
     made = qc.principal_components(qc.median_imputed(table))
-    assert max(map(len, most), default=0) <= 10
+    assert max(map(len, most), default=0) <= 26 * 26  # the products of the thin matrix's columns, whatever the samples
     got = {r.sample: (r.pc1, r.pc2) for r in collect(made)}
     sd = values.std(0)
     x = (values - values.mean(0)) / np.where(sd > 1e-9, sd, 1)

@@ -15,7 +15,7 @@ def test_names():
     assert set(e.oracle_sql()) <= set(e.queries())
 
 
-@pytest.mark.parametrize("name", ["counts_rollup", "cohort_outliers", "cohort_loo_zscores", "span_join", "igv_status_rgb", "median_impute", "sample_manhattan_points", "track_rows", "xci_summary_numbers", "exclusion_file", "scored_files", "gmm_fit"])
+@pytest.mark.parametrize("name", ["counts_rollup", "cohort_outliers", "cohort_loo_zscores", "span_join", "igv_status_rgb", "median_impute", "sample_manhattan_points", "track_rows", "xci_summary_numbers", "exclusion_file", "scored_files", "gmm_fit", "counts_by_header", "stored_counts", "price_quantiles", "largest_orders", "locus_distributions_whole", "pca_mahalanobis", "alignment_counts", "incremental_cohort", "outliers_in_order"])
 def test_oracle(spark, name):
     duckdb = pytest.importorskip("duckdb")
     import __spark_entry__ as e

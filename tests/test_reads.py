@@ -10,6 +10,7 @@ import pytest
 from islet.operators import cohort, intervals, qc, ranks, views, xci
 from islet.plans import cli, runs
 from islet.sources import bam, tables
+from islet.sources.bam_write import ALIGNED, write_reads
 from islet.streaming.incremental import CohortStates, append_counts, counts_stream
 from pyspark.sql import functions as F
 
@@ -310,6 +311,28 @@ def test_count_from_files(spark, tmp_path):
     assert len(folders()) == len(before) + 1
 
 
+def test_written_alignments(spark, tmp_path):
+    """Files of many blocks, of samples dealt over tasks, come back whole and by region; reads without a place come last."""
+    rng = np.random.default_rng(21)
+    rows = []
+    for i in range(3000):
+        chrom = ("chr1", "chrX", None)[i % 3] if i % 50 else "chrQ"
+        rows.append((f"s{i % 2}", f"r{i}", 0 if chrom else 4, chrom, int(rng.integers(0, 9_000_000)), "20M5D20M" if i % 2 else "40M", "ACGTN" * 8, "C+m,0;" if i % 4 == 0 else None, [i % 256] if i % 4 == 0 else None, i % 3 or None))
+    write_reads(spark.createDataFrame(rows, ALIGNED).repartition(5), str(tmp_path / "o"), [("chr1", 1 << 24), ("chrX", 1 << 24)])
+    path = str(tmp_path / "o/*.bam")
+    assert sorted(p.name for p in (tmp_path / "o").iterdir()) == ["s0.bam", "s0.bam.bai", "s1.bam", "s1.bam.bai"] and bam.Blocks(str(tmp_path / "o/s0.bam")).next < (tmp_path / "o/s0.bam").stat().st_size
+    got = {r.read_id: r for r in cli.bam(spark, path).collect()}
+    assert len(got) == 3000
+    for s, name, flag, chrom, pos, cigar, *_, ml, hp in rows:
+        r, placed = got[name], chrom in ("chr1", "chrX")
+        assert (r.sample, r.chrom, r.ref_start, r.hp, r.is_unmapped) == (s, chrom if placed else None, pos if placed else -1, hp, flag == 4)
+        assert r.ref_end - r.ref_start == (45 if cigar == "20M5D20M" else 40) and [c.prob for c in r.calls] == (ml or [] if flag == 0 else [])
+    for a, b in ((0, 100_000), (4_000_000, 4_300_000), (8_900_000, 1 << 29)):
+        want = {name for _, name, _, chrom, pos, cigar, *_ in rows if chrom == "chrX" and pos < b and pos + (45 if cigar == "20M5D20M" else 40) > a}
+        assert {r.read_id for r in cli.bam(spark, path, region=f"chrX:{a}-{b}").collect()} == want
+    assert sum(r.mapped for r in cli.bam(spark, path, table="contigs").collect()) == sum(r[3] in ("chr1", "chrX") for r in rows)
+
+
 def test_view_tables(spark):
     rng = np.random.default_rng(3)
     rows = []
@@ -450,13 +473,13 @@ def test_components_of_many(spark):
     u, s, _ = np.linalg.svd(z, full_matrices=False)
     want = u[:, :2] * s[:2]
     want *= np.sign(want[np.abs(want).argmax(0), range(2)])
-    for more in (8, 24):
-        got = {r.sample: (r.pc1, r.pc2) for r in qc.principal_components(df, more=more).collect()}
-        assert np.allclose([got[f"s{i:03}"] for i in range(90)], want, atol=1e-6)
-    shares = {r.axis: r.share for r in qc.axis_shares(df).collect()}
+    axes = qc.principal_components(df)
+    got = {r.sample: (r.pc1, r.pc2) for r in axes.collect()}
+    assert np.allclose([got[f"s{i:03}"] for i in range(90)], want, atol=1e-6)
+    shares = {r.axis: r.share for r in qc.axis_shares(df, axes=axes).collect()}
     assert shares["pc1"] == pytest.approx(s[0] ** 2 / (z**2).sum(), abs=1e-9)
     assert qc.principal_components(df.where("sample < 's002'")).collect() == []
-    plan = qc.principal_components(df)._jdf.queryExecution().toString()
+    plan = axes._jdf.queryExecution().toString()
     assert "CartesianProduct" not in plan and "collect_list" not in plan
 
 
