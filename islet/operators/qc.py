@@ -119,7 +119,7 @@ def principal_components(imputed: DataFrame, *, value: str = "frac_meth", sample
     The matrix stays a table of cells. It is multiplied with k + ``more`` random signs a locus, and then by turns with its transpose and
     itself, until the leading eigenvalues move by less than ``tolerance`` of themselves (after ``rounds`` rounds at the latest): each
     product is a join and a pre-aggregated sum. Only products of the thin matrices' columns, k + ``more`` squared numbers, reach
-    the driver, so samples and loci may both be many; where one of them is no more than k + ``more``, the first round is exact.
+    the driver, so samples and loci may both be many; where one of them is no more than k + ``more``, the first round is exact and the only one.
     Signs are set so that the largest coordinate of each axis is positive. Under three samples: no rows. Null samples or loci don't count.
     """
     spark, kind = imputed.sparkSession, imputed.schema[sample].dataType.simpleString()
@@ -128,12 +128,13 @@ def principal_components(imputed: DataFrame, *, value: str = "frac_meth", sample
     scale = cells.groupBy("l").agg(F.avg("v").alias("mean"), F.stddev_pop("v").alias("sd"))
     x = (F.col("v") - F.col("mean")) / F.when(F.col("sd") > 0, F.col("sd")).otherwise(1.0)
     cells = keep(cells.join(scale, "l").select("s", "l", x.alias("x")))
-    if cells.select("s").distinct().limit(3).count() < 3:
+    sides = [cells.select(c).distinct().limit(width + 1).count() for c in ("s", "l")]
+    if sides[0] < 3:
         return spark.createDataFrame([], ", ".join([f"{sample} {kind}", *[f"{n} double" for n in names]]))
     sign = lambda j: F.when(F.xxhash64("l", F.lit(j)) % 2 == 0, 1.0).otherwise(-1.0)
     loci = cells.select("l").distinct().select("l", F.array(*[sign(j) for j in range(width)]).alias("y"))
     before = None
-    for _ in range(rounds):
+    for _ in range(1 if min(sides) <= width else rounds):
         left = keep(_orthonormal(keep(_times(cells, "s", "l", loci, width)), "s", width))
         right = keep(_times(cells, "l", "s", left, width))
         values, axes = np.linalg.eigh(_inner(right, width))
