@@ -537,6 +537,30 @@ def test_incremental_cohort(spark, tmp_path):
     same(df)
 
 
+def test_xci_command(spark, tmp_path):
+    """The command on a glob of three samples: tables, tracks and plots of the two that aren't male, a summary of each."""
+    rows = []
+    for s in ("a", "b", "m"):
+        for isle in range(12):
+            for i in range(24):
+                calls = [240 if (i % 2 == 0) != (i % 12 == 0) else 10] * 12
+                rows.append((s, f"{s}{isle}-{i}", 0, "chrX", 3_000_000 + isle * 5000, "24M", "CG" * 12, "C+m" + ",0" * 12 + ";", calls, 1 + i % 2))
+        rows += [(s, f"{s}y{i}", 0, "chrY", i, "4M", "ACGT", None, None, None) for i in range(400 if s == "m" else 1)]
+    write_reads(spark.createDataFrame(rows, ALIGNED), str(tmp_path / "bam"), [("chrX", 1 << 24), ("chrY", 1 << 24)])
+    (tmp_path / "i.bed").write_text("".join(f"chrX\t{3_000_000 + k * 5000}\t{3_000_024 + k * 5000}\tCpG\n" for k in range(12)) + "chrX\t100000\t100100\tP\n")
+    run = lambda glob, out: cli.main(["xci", "--bam_glob", str(tmp_path / glob), "--cpg_islands", str(tmp_path / "i.bed"), "--outdir", str(tmp_path / out)], spark)
+    run("bam/*.bam", "o")
+    read = lambda name: spark.read.csv(str(tmp_path / "o" / name), sep="\t", header=True)
+    assert {r.sample: r["count"] for r in read("per_read").groupBy("sample").count().collect()} == {"a": 288, "b": 288} and read("per_island").count() == 24
+    told = {f.parent.name[7:]: json.loads(f.read_text()) for f in (tmp_path / "o/summary").glob("sample=*/part-*") if f.read_text()}
+    assert {s: x["inferred_sex"] for s, x in told.items()} == {"a": "F", "b": "F", "m": "M"} and "xci_bias" not in told["m"] and told["a"]["n_islands_hemi_methylated"] == 12 and told["a"]["xci_bias"] is not None
+    tracks = {f.parent.name[7:]: f.read_text().splitlines() for f in (tmp_path / "o/track").glob("sample=*/part-*") if f.read_text()}
+    assert set(tracks) == {"a", "b"} and len(tracks["a"]) == 14 and "P|PAR" in tracks["a"][1]
+    assert read("xci_overlays").count() == 2 * 2 * 2 * 500 and read("xci_fits").count() == 2 and read("xci_scatter").count() == 24
+    run("bam/m.bam", "male")
+    assert json.loads(next(f.read_text() for f in (tmp_path / "male/summary").glob("sample=m/part-*") if f.read_text()))["inferred_sex"] == "M"
+
+
 def test_cohort_files(spark, tmp_path):
     rng = np.random.default_rng(6)
     lines = ["\t".join(tables.COUNTS.replace(" string", "").replace(" long", "").replace(" double", "").split(", "))]
