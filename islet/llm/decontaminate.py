@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType, NullType
 
 from islet.llm import textarrays
 from islet.llm.common import enter, keep, leave
@@ -19,7 +20,6 @@ SEED = 3  # words
 PIECE = 16  # words at most; longer items are looked for by their pieces
 _PLAIN = ~np.array([c >= 128 or chr(c).isalnum() for c in range(256)])
 HIT = ["item_id", "distance", "item_words", "first_word"]
-HITS = "array<struct<item_id:bigint,distance:int,item_words:int,first_word:int>>"
 
 
 def words(text: str) -> np.ndarray:
@@ -188,17 +188,19 @@ def find_items(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", ite
     text, and then the documents; where they are few, Spark broadcasts them and no document is shuffled.
 
     Null or empty texts have no hits (an empty array). Of items under ``min_words`` words exact copies are found; items without words never are.
-    Repeated rows and items each have their own hits. Input columns of other types are cast; one called hits is replaced.
+    Repeated rows and items each have their own hits. Texts of other types are cast, ids that aren't whole
+    numbers are told as strings, and an input column called hits is replaced.
     """
     spark = docs.sparkSession
     flat, names = enter(docs, text=text)
     flat = flat.withColumn("text", F.coalesce(F.col("text").cast("string"), F.lit("")))
     flat = flat.withColumn("tk", F.xxhash64("text")).withColumn("tl", F.length("text"))
     items, _ = enter(benchmark, item_id=item_id, text=item_text)
-    items = items.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
+    kind = "bigint" if isinstance(items.schema["item_id"].dataType, (IntegralType, NullType)) else "string"
+    items = items.select(F.col("item_id").cast(kind).alias("item_id"), F.col("text").cast("string").alias("text"))
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = 1 + size // block_bytes
-    found = None
+    found, told_id = None, pa.int64() if kind == "bigint" else pa.string()
     for block in range(blocks):
         rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
         sent = spark.sparkContext.broadcast([tuple(r) for r in rows.collect()])
@@ -209,14 +211,14 @@ def find_items(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", ite
                 hits = block_items.find(batch.column(2).to_pylist())
                 told = [(i, k, *h.values()) for i, each in enumerate(hits) for k, h in enumerate(each)]
                 of = pa.array([r[0] for r in told], pa.int64())
-                columns = [pa.array([r[j] for r in told], t) for j, t in enumerate((pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int32()), 1)]
+                columns = [pa.array([r[j] for r in told], t) for j, t in enumerate((pa.int32(), told_id, pa.int32(), pa.int32(), pa.int32()), 1)]
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(of), batch.column(1).take(of), *columns], ["tk", "tl", "nth", *HIT])
 
         # copies of a text tell the same
-        told = flat.select("tk", "tl", "text").mapInArrow(run, "tk long, tl int, nth int, item_id long, distance int, item_words int, first_word int").distinct()
+        told = flat.select("tk", "tl", "text").mapInArrow(run, f"tk long, tl int, nth int, item_id {kind}, distance int, item_words int, first_word int").distinct()
         one = keep(told)
         sent.destroy()
         found = one if found is None else found.union(one)
     met = keep(found.groupBy("tk", "tl").agg(F.array_sort(F.collect_list(F.struct(*HIT))).alias("hits")))
     done = flat.join(met, ["tk", "tl"], "left")
-    return leave(done, names, {"hits": F.coalesce("hits", F.array().cast(HITS))})
+    return leave(done, names, {"hits": F.coalesce("hits", F.array().cast(f"array<struct<item_id:{kind},distance:int,item_words:int,first_word:int>>"))})

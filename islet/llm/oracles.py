@@ -39,9 +39,9 @@ WITH d AS (SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '')
 win AS (SELECT r, i, array_to_string(w[i : i + 7], ' ') AS k FROM (SELECT r, w, unnest(range(1, len(w) - 6)) AS i FROM d)),
 again AS (SELECT r, i FROM win QUALIFY count(*) OVER (PARTITION BY r, k) > 1),
 rep AS (SELECT r, CAST(sum(least(8, coalesce(later - i, 8))) AS BIGINT) AS n FROM (SELECT r, i, lead(i) OVER (PARTITION BY r ORDER BY i) AS later FROM again) GROUP BY r),
-line AS (SELECT r, source, t, trim(lower(regexp_replace(l, '[\x20\x09\x0B-\x0D]+', ' ', 'g'))) AS l FROM (SELECT r, source, t, unnest(string_split(t, chr(10))) AS l FROM d)),
-host AS (SELECT source, count(DISTINCT t) AS n FROM line WHERE l <> '' GROUP BY source),
-counted AS (SELECT source, l, count(DISTINCT t) AS n FROM line WHERE l <> '' GROUP BY source, l),
+line AS (SELECT r, source, trim(lower(regexp_replace(l, '[\x20\x09\x0B-\x0D]+', ' ', 'g'))) AS l FROM (SELECT r, source, unnest(string_split(t, chr(10))) AS l FROM d)),
+host AS (SELECT source, count(DISTINCT r) AS n FROM line WHERE l <> '' GROUP BY source),
+counted AS (SELECT source, l, count(DISTINCT r) AS n FROM line WHERE l <> '' GROUP BY source, l),
 often AS (SELECT c.source, l FROM counted c JOIN host h ON h.source IS NOT DISTINCT FROM c.source WHERE c.n > 5 AND c.n > CAST(0.01 AS DOUBLE) * h.n),
 lost AS (SELECT r, sum(len(string_split(l, ' '))) AS n FROM line x WHERE EXISTS (SELECT 1 FROM often o WHERE o.l = x.l AND o.source IS NOT DISTINCT FROM x.source) GROUP BY r),
 m AS (SELECT doc_id, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars, length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g')) AS n_symbols,

@@ -39,9 +39,9 @@ transform(array(sort_array(transform(lines, x -> struct(xxhash64(x) AS h, length
 def line_frequency_rules(docs: DataFrame, *, text: str = "text", host: str = "source", max_share: float = 0.01, min_docs: int = 5, copies_count: bool = False, max_removed: float = 0.5) -> DataFrame:
     """Judges every document by simple text rules and by how much of it is boilerplate of its host.
 
-    Lines are normalised (case, inner and outer blanks), hashed, and counted over the distinct
-    documents of their host; documents with the same text count as one, so copies and repeated
-    rows don't make their own lines frequent (with ``copies_count`` every row counts). A line found in more than
+    Lines are normalised (case, inner and outer blanks), hashed, and counted over the
+    documents of their host: with ``copies_count`` over all its rows; without, rows of the same text count as one, for
+    use before copies are taken out, where a large group of copies would else make all of its own lines frequent. A line found in more than
     ``max_share`` of the host's documents that have lines, and in more than ``min_docs``, is removed; a document that
     loses over ``max_removed`` of its words is depleted and rejected.
 

@@ -358,7 +358,7 @@ def remove_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text
        document lose theirs.
 
     So an anchor in fewer than OFTEN batches brings at most their bytes to a task, and a common one a batch's distinct repeated windows once
-    a batch. Null text is empty. A null doc_id counts as larger than any other, so such rows only lose bytes. Rows of one
+    a batch. Null text is empty. A doc_id is a whole number, or casts to one (others fail). A null doc_id counts as larger than any other, so such rows only lose bytes. Rows of one
     doc_id never take bytes from each other; repeated rows come back each, with equal results. Texts are told apart by 64-bit
     hashes with their lengths, windows by their bytes. Input columns named like an added column are replaced.
     """

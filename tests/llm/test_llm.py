@@ -57,7 +57,7 @@ def test_quality_acts_on_the_table(spark):
     """The registered query's own limit removes lines of a table and rejects some documents for it."""
     out = QUERIES["op10_quality_rules"](spark, "/root/testdata/sf0.01").collect()
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "source").collect()
-    assert bag(out) == Counter((i, n, c, s, d, r, b, k, lost) for i, n, c, s, d, r, b, k, lost in brute.quality([tuple(r) for r in docs]))
+    assert bag(out) == Counter((i, n, c, s, d, r, b, k, lost) for i, n, c, s, d, r, b, k, lost in brute.quality([tuple(r) for r in docs], copies_count=True))
     assert sum(r.n_removed_words > 0 for r in out) > 20
 
 
@@ -69,6 +69,17 @@ def test_quality_removes_lines(spark):
     assert not got[99].kept and got[98].n_removed_words == 0
 
 
+def test_quality_counts_documents(spark):
+    """The registered form counts every document, the pipeline's every text once: a group of copies is frequent only for the first."""
+    text = "\n".join(" ".join(f"word{k * 10 + j}" for j in range(10)) for k in range(3))
+    df = spark.createDataFrame([(i, text, "h") for i in range(7)] + [(9, text.replace("word", "term"), "h")], SCHEMA)
+    rows = [tuple(r) for r in df.collect()]
+    for counted in (True, False):
+        got = {r.doc_id: (r.kept, r.n_removed_words) for r in line_frequency_rules(df, copies_count=counted).collect()}
+        assert got == {r[0]: (r[7], r[8]) for r in brute.quality(rows, copies_count=counted)}
+        assert got[0] == ((False, 30) if counted else (True, 0)) and got[9] == (True, 0)
+
+
 def test_secrets(spark, docs, rows):
     made = [(100, f"id AKIAABCDEFGH and {'aB3' * 13}x done", "s"), (101, "AKIAABCDEFGH alone", "s"), (102, "password=token: abcdefghi \"secret\" : 'Abc123'", "s"), (103, "password: token: abcdefghi", "s"), (104, "ſecret=abcdefgh Token=ab toKen=abcdefgh" + "f" * 30, "s"), (106, "write to a.b@mail.example.org about token=abc123def", "s"), (107, "write to a.b@mail.example.org", "s"), (105, "https://db.example.org/x " + "0123456789abcdef" + " " * 400 + "fedcba9876543210", "s")]
     df = clash(docs.union(spark.createDataFrame(made, SCHEMA)))
@@ -260,6 +271,9 @@ def test_decontaminate_repeats(spark):
     assert sorted((r.doc_id, [(h.item_id, h.distance, h.first_word) for h in r.hits]) for r in got) == [(1, [(1, 0, 30_000)] * 2)] * 2 + [(2, [])]
     number = find_items(spark.range(12344, 12347), bench, text="id").collect()
     assert {r.id: len(r.hits) for r in number} == {12344: 0, 12345: 1, 12346: 0}
+    named = spark.createDataFrame([("x1", item), (None, "12345"), ("x2", None)], "item_id string, text string")
+    got = find_items(spark.createDataFrame([*made, (3, "12345", None)], SCHEMA), named).collect()
+    assert sorted((r.doc_id, [h.item_id for h in r.hits]) for r in got) == [(1, ["x1"]), (1, ["x1"]), (2, []), (3, [None])]
 
 
 def test_decontaminate_short_items(spark):
