@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from islet.functions.numeric import flag, null_if_nan, ratio, rounded, same_rows, two_sided_p
+from islet.functions.storage import keep
 
 LOCUS = ("island_id", "haplotype")
 
@@ -87,10 +88,11 @@ def bh_fdr(df: DataFrame, *, p: str = "p_value", group: str = "haplotype", out:
 
     Equal p of a group are one row with a count, so ties weigh nothing. Few large groups would leave few tasks, so each is
     cut into ``bins`` by p: ranks are the rank in the bin plus what lies in lower bins, and the running minimum is the one in the
-    bin and the least of the bins above. Windows over bins see one row a bin; the others see one bin.
+    bin and the least of the bins above. Windows over bins see one row a bin; the others see one bin. The distinct p and their
+    adjusted values are written once, so ``df`` is gone over twice, however many steps there are.
     """
     told = df.where(F.col(p).isNotNull()).groupBy(F.col(group).alias("g"), F.col(p).alias("p")).agg(F.count("*").alias("n"))
-    told = told.withColumn("bin", F.floor(F.col("p") * bins))
+    told = keep(told.withColumn("bin", F.floor(F.col("p") * bins)))
     along = Window.partitionBy("g").orderBy("bin")
     sizes = told.groupBy("g", "bin").agg(F.sum("n").alias("in_bin"))
     sizes = sizes.withColumn("below", F.sum("in_bin").over(along) - F.col("in_bin")).withColumn("m", F.sum("in_bin").over(Window.partitionBy("g")))
@@ -98,10 +100,10 @@ def bh_fdr(df: DataFrame, *, p: str = "p_value", group: str = "haplotype", out:
     here = Window.partitionBy("g", "bin")
     rank = F.col("below") + F.sum("n").over(here.orderBy("p"))
     rows = rows.withColumn("adj", F.col("p") * F.col("m") / rank)
-    rows = rows.withColumn("own", F.min("adj").over(here.orderBy(F.desc("p"))))
+    rows = keep(rows.withColumn("own", F.min("adj").over(here.orderBy(F.desc("p")))))
     least = rows.groupBy("g", "bin").agg(F.min("adj").alias("low"))
     least = least.withColumn("above", F.min("low").over(Window.partitionBy("g").orderBy(F.desc("bin")).rowsBetween(Window.unboundedPreceding, -1)))
-    rows = rows.alias("a").join(least.alias("b"), same_rows("a", "b", ["g", "bin"])).select("a.g", "a.p", F.least(F.lit(1.0), "a.own", "b.above").alias("_adjusted"))
+    rows = keep(rows.alias("a").join(least.alias("b"), same_rows("a", "b", ["g", "bin"])).select("a.g", "a.p", F.least(F.lit(1.0), "a.own", "b.above").alias("_adjusted")))
     # an equality on p and a null-safe one on the group: rows of null p meet nothing
     met = F.col(f"a.`{p}`").eqNullSafe(F.col("b.p")) & F.col(f"a.`{group}`").eqNullSafe(F.col("b.g"))
     return df.alias("a").join(rows.alias("b"), met, "left").select("a.*", F.col("b._adjusted").alias(out))

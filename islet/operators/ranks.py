@@ -36,11 +36,12 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Seque
     While a group has more than ``rows`` rows left, each round counts its rows between ``edges`` approximate quantiles of its own, and at
     those values: exact counts tell which interval holds each wanted rank, and only rows of those intervals stay. An interval
     holds about 1 / edges of its group, and a value that many rows share is one of its own. So a task holds a sketch per group,
-    and in the end the distinct values of one interval. All groups and ranks go through each round together.
+    and in the end the distinct values of one interval. All groups and ranks go through each round together. The values are
+    written once, as a round goes over them three times: ``df`` is made once.
     Null keys are groups like any other, NaN counts as null.
     """
     names = [f"k{i}" for i in range(len(keys))]
-    data = df.select(*[F.col(k).alias(n) for k, n in zip(keys, names)], null_if_nan(F.col(value).cast("double")).alias("v"))
+    data = keep(df.select(*[F.col(k).alias(n) for k, n in zip(keys, names)], null_if_nan(F.col(value).cast("double")).alias("v")))
     base = keep(data.groupBy(*names).agg(F.count("v").alias("n")))
     place = lambda p: (F.col("n") - 1) * F.lit(float(p))
     wanted = F.array_distinct(F.flatten(F.array(*[F.array(F.floor(place(p)), F.ceil(place(p))) for p in probs])))

@@ -31,7 +31,7 @@ def cohort_run(table: DataFrame, excluded: DataFrame | None = None, *, min_reads
     rows = counts.without_chromosomes(table, exclude_chroms) if exclude_chroms else table
     rows = counts.exclude_samples(rows, excluded) if excluded is not None else rows
     rows = counts.depth_filter(rows, min_reads=min_reads, min_reads_hap=min_reads_hap, min_cpg=min_cpg)
-    stats = cohort.locus_stats(rows, min_samples=min_samples, attributes=["island_name", "chrom", "island_start", "island_end", "island_cpgNum"])
+    stats = keep(cohort.locus_stats(rows, min_samples=min_samples, attributes=["island_name", "chrom", "island_start", "island_end", "island_cpgNum"]))
     scored = cohort.score_leave_one_out(rows, min_samples=min_samples) if leave_one_out else cohort.score_standard(rows, stats)
     return stats, tables.in_order(cohort.add_pvalues_and_flags(scored, z_thresh=z_thresh))
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from islet.functions.numeric import ERFC, rounded, sanitized
+from islet.functions.storage import keep
 from islet.operators import cohort, counts, intervals, qc, views, xci
 
 LINE = dict(min_reads=15, min_reads_hap=8, cpg=None)
@@ -16,10 +17,11 @@ def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _counts(spark: SparkSession, d: str) -> DataFrame:
+    """Counted once: queries go over them several times."""
     part = _t(spark, d, "part").select("p_partkey", F.col("p_brand").alias("island_id"))
     line = _t(spark, d, "lineitem").join(part, F.col("l_partkey") == F.col("p_partkey"))
     reads = line.select(F.col("l_suppkey").alias("sample"), "island_id", F.col("l_returnflag").alias("haplotype"), F.col("l_quantity").alias("n_total"), F.when(F.col("l_discount") >= 0.05, F.col("l_quantity")).otherwise(0.0).alias("n_meth"))
-    return counts.rollup_counts(reads)
+    return keep(counts.rollup_counts(reads))
 
 
 def _deep(spark, d):
@@ -31,8 +33,11 @@ def _stats(spark, d):
 
 
 def _flagged(spark, d):
-    deep = _deep(spark, d)
-    return cohort.add_pvalues_and_flags(cohort.score_standard(deep, cohort.locus_stats(deep)))
+    return _flagged_of(_deep(spark, d))
+
+
+def _flagged_of(deep):
+    return cohort.add_pvalues_and_flags(cohort.score_standard(deep, keep(cohort.locus_stats(deep))))
 
 
 COUNTS = """counts AS (

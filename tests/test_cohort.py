@@ -172,3 +172,24 @@ def test_two_names_of_a_locus_fail(spark):
         cohort_run(two)[0].collect()
     nameless = spark.createDataFrame([row(i, None) for i in range(8)], COUNTS)
     assert all(r.z_score is not None for r in cohort_run(nameless)[1].collect())
+
+
+def test_made_once(spark):
+    """Quantiles make their table once and adjusted p twice, however many steps go over it; the cohort's rows come from counts that are written once."""
+    import islet.queries as q
+    from islet.operators import ranks
+
+    seen = spark.sparkContext.accumulator(0)
+
+    def work(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    df = spark.range(500).selectExpr("id % 2 AS haplotype", "cast((id * 37) % 251 AS double) / 300 AS p_value").mapInArrow(work, "haplotype long, p_value double")
+    got = {r.haplotype: r.q for r in ranks.exact_quantiles(df, ["haplotype"], "p_value", [0.5], rows=20, edges=4).collect()}
+    assert seen.value == 500
+    rows = [((i * 37) % 251 / 300, i % 2) for i in range(500)]
+    assert got == {h: [pytest.approx(float(np.quantile([p for p, g in rows if g == h], 0.5)))] for h in (0, 1)}
+    assert cohort.bh_fdr(df).where("p_adj >= p_value").count() == 500 and seen.value <= 1500
+    assert not any("lineitem" in f or "part.parquet" in f for f in q._flagged(spark, "/root/testdata/sf0.001").inputFiles())
