@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from islet.functions.numeric import rounded
 from islet.operators import cohort, counts, intervals, qc, ranks, views, xci
 from islet.plans import cli, runs
-from islet.queries import CALLS, COMPONENTS, COUNTS, KEY, KEYS, METRICS, PVALUES, R4, RENAMED, ROUND, STAT_COLS, STATS, _chrom_rows, _counts, _deep, _flagged, _island_sql, _islands, _reads, _renamed, _t, r8, s8
+from islet.queries import CALLS, COMPONENTS, COUNTS, KEY, KEYS, METRICS, PVALUES, R4, RENAMED, ROUND, STAT_COLS, STATS, _chrom_rows, _counts, _deep, _flagged, _flagged_of, _island_sql, _islands, _reads, _renamed, _t, r8, s8
 from islet.queries import ORACLE as FIRST
 from islet.sources import tables
 from islet.sources.bam import regions_text
@@ -380,14 +380,16 @@ def stored_counts(spark, d):
 
 def scored_files(spark, d):
     """The cohort run's three tables written, found beside each other, and read."""
-    path = tables.scratch(spark)
-    scored = _placed(_flagged(spark, d))
+    path, deep = tables.scratch(spark), _deep(spark, d)
+    scored = _placed(_flagged_of(deep))
     tables.write_tsv(tables.in_order(scored), f"{path}/all_samples_stats")
-    tables.write_tsv(_placed_stats(spark, d), f"{path}/cohort_locus_stats")
+    tables.write_tsv(cohort.locus_stats(_placed(deep), attributes=ATTRIBUTES), f"{path}/cohort_locus_stats")
     tables.write_tsv(cohort.sorted_outliers(scored), f"{path}/outliers")
     rows, stats, outliers = tables.read_scored(spark, f"{path}/all_samples_stats")
-    told = [t.groupBy().agg(F.lit(name).alias("name"), F.count("*").alias("n"), F.count(F.when(F.col("island_name").isNull(), 1)).alias("nameless")) for name, t in (("scored", rows), ("stats", stats), ("outliers", outliers), ("flagged", rows.where("outlier")))]
-    return told[0].union(told[1]).union(told[2]).union(told[3])
+    # one pass over each file: all rows, and of the scored ones those with the flag
+    n = lambda name, some: F.struct(F.lit(name).alias("name"), F.count(F.when(some, 1)).alias("n"), F.count(F.when(some & F.col("island_name").isNull(), 1)).alias("nameless"))
+    told = [t.groupBy().agg(F.array(*[n(name, some) for name, some in parts.items()]).alias("told")) for t, parts in ((rows, {"scored": F.lit(True), "flagged": F.col("outlier")}), (stats, {"stats": F.lit(True)}), (outliers, {"outliers": F.lit(True)}))]
+    return told[0].union(told[1]).union(told[2]).select(F.inline("told"))
 
 
 def island_files(spark, d):

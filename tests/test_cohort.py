@@ -193,3 +193,16 @@ def test_made_once(spark):
     assert got == {h: [pytest.approx(float(np.quantile([p for p, g in rows if g == h], 0.5)))] for h in (0, 1)}
     assert cohort.bh_fdr(df).where("p_adj >= p_value").count() == 500 and seen.value <= 1500
     assert not any("lineitem" in f or "part.parquet" in f for f in q._flagged(spark, "/root/testdata/sf0.001").inputFiles())
+
+
+def test_scored_files_count_once(spark, monkeypatch):
+    """The cohort run's files all come from one table of counts, and each is read in one pass."""
+    import islet.queries as q
+    from islet import view_queries
+
+    made, real = [], q._counts
+    monkeypatch.setattr(q, "_counts", lambda *a: made.append(1) or real(*a))
+    got = view_queries.scored_files(spark, "/root/testdata/sf0.001")
+    assert len(made) == 1 and got._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 3
+    n = {r.name: r.n for r in got.collect()}
+    assert set(n) == {"scored", "stats", "outliers", "flagged"} and n["outliers"] == n["flagged"] <= n["scored"]
