@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from islet.functions.numeric import null_if_nan, same_rows
+from islet.functions.storage import keep
 from islet.operators.cohort import LOCUS
 from islet.sources.tables import COUNTS
 
@@ -54,10 +55,11 @@ class CohortStates:
     def add(self, batch: DataFrame, number: int) -> int:
         """Adds a batch; gives the number of rows that were refused as repeats."""
         at = [self.sample, *self.keys]
-        rows = batch.select(*at, F.round(null_if_nan(F.col(self.value)) * 1e4).cast("long").alias("f"))
+        rows = keep(batch.select(*at, F.round(null_if_nan(F.col(self.value)) * 1e4).cast("long").alias("f")))
         once = rows.groupBy(*at).agg(F.min("f").alias("f"))
         seen = self._read("seen", number)
-        fresh = once if seen is None else once.alias("a").join(seen.alias("b"), same_rows("a", "b", at), "left_anti")
+        # by a merge: a small file of keys holds many rows, which a broadcast would send through the driver
+        fresh = once if seen is None else once.alias("a").join(seen.hint("merge").alias("b"), same_rows("a", "b", at), "left_anti")
         fresh.write.mode("overwrite").parquet(f"{self.path}/seen/{number:012d}")
         mine = self.spark.read.schema(fresh.schema).parquet(f"{self.path}/seen/{number:012d}")
         mine.groupBy(*self.keys, "f").agg(F.count("*").alias("n")).write.mode("overwrite").parquet(f"{self.path}/states/{number:012d}")

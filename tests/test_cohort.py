@@ -206,3 +206,20 @@ def test_scored_files_count_once(spark, monkeypatch):
     assert len(made) == 1 and got._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 3
     n = {r.name: r.n for r in got.collect()}
     assert set(n) == {"scored", "stats", "outliers", "flagged"} and n["outliers"] == n["flagged"] <= n["scored"]
+
+
+def test_batches_made_once(spark, tmp_path):
+    """Adding a batch to the states makes it once, and what came before isn't sent to all by the driver."""
+    from islet.streaming.incremental import CohortStates
+
+    seen, schema = spark.sparkContext.accumulator(0), "sample string, island_id string, haplotype string, frac_meth double"
+
+    def work(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    df = table(spark, {("a", "all"): X, ("b", None): X}).mapInArrow(work, schema)
+    states = CohortStates(spark, str(tmp_path / "c"))
+    assert [states.add(df, 0), states.add(df, 1)] == [0, 10] and seen.value == 20
+    assert [r.cohort_n_samples for r in states.stats().collect()] == [5, 5]
