@@ -11,7 +11,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from islet.functions.storage import scratch  # noqa: F401
+from islet.functions.storage import keep, scratch  # noqa: F401
 from islet.operators.counts import require_columns
 from islet.operators.intervals import ranked
 
@@ -137,16 +137,19 @@ def content_mark(df: DataFrame) -> str:
     return ":".join(map(str, df.agg(F.count("*"), F.sum(h), F.sum(F.hash(*df.columns).cast("decimal(38,0)"))).first()))
 
 
-def stored_counts(inputs: DataFrame, path: str, params: dict, make: Callable[[list[str]], DataFrame], *, force: bool = False) -> DataFrame:
+def stored_counts(inputs: DataFrame, path: str, params: dict, make: Callable[[list[str]], DataFrame] | Callable[[DataFrame], DataFrame], *, force: bool = False, as_table: bool = False) -> DataFrame:
     """Counts of the samples of ``inputs`` (sample, mark) from a store at ``path``; only what it lacks is made (all, with ``force``).
 
+    ``make`` gets the names to make counts of: a sorted list, where they are files to read, which the driver lists anyway; with ``as_table`` a table
+    (sample), and no name reaches the driver.
+
     The key of a sample's counts is its mark and the parameters (give them a mark of every other input, such as the islands): a changed
     file, parameter or annotation is made anew, and what an earlier one gave stays beside it. A manifest lists what is there, also
     samples without any counts; an anti-join with it tells what to make. Counts are written to a folder of their own
     before the manifest names them, so a run that ends early leaves nothing half done, and of two that wrote the same the last counts.
     """
     spark, shared = inputs.sparkSession, json.dumps(params, sort_keys=True)
-    wanted = inputs.select(F.col("sample").cast("string").alias("sample"), F.sha2(F.concat_ws("\n", F.lit(shared), F.col("sample").cast("string"), F.col("mark").cast("string")), 256).alias("key")).distinct()
+    wanted = keep(inputs.select(F.col("sample").cast("string").alias("sample"), F.sha2(F.concat_ws("\n", F.lit(shared), F.col("sample").cast("string"), F.col("mark").cast("string")), 256).alias("key")).distinct())
     have = lambda: spark.read.schema(MANIFEST).parquet(f"{path.rstrip('/')}/manifest/*")
     try:
         lacking = wanted if force else wanted.join(have(), "key", "left_anti")
@@ -154,21 +157,20 @@ def stored_counts(inputs: DataFrame, path: str, params: dict, make: Callable[[li
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
         lacking = wanted
-    # names of files to read: as many as the reader lists on the driver anyway
-    names = sorted(r.sample for r in lacking.select("sample").distinct().collect())
-    if names:
+    new = keep(lacking.select("sample").distinct())
+    if not new.isEmpty():
         run = uuid.uuid4().hex
         folder = f"{path.rstrip('/')}/counts/{run}"
-        make(names).select(*[k.split(" ")[0] for k in COUNTS.split(", ")]).write.parquet(folder)
+        make(new if as_table else sorted(r.sample for r in new.collect())).select(*[k.split(" ")[0] for k in COUNTS.split(", ")]).write.parquet(folder)
         got = spark.read.schema(COUNTS).parquet(folder).groupBy("sample").agg(F.count("*").alias("rows"))
-        made = wanted.where(F.col("sample").isin(names)).join(got, "sample", "left").select("key", "sample", F.lit(run).alias("folder"), F.coalesce("rows", F.lit(0).cast("long")).alias("rows"))
+        made = wanted.join(new, "sample", "left_semi").join(got, "sample", "left").select("key", "sample", F.lit(run).alias("folder"), F.coalesce("rows", F.lit(0).cast("long")).alias("rows"))
         made.coalesce(1).write.parquet(f"{path.rstrip('/')}/manifest/{time.time_ns():020d}-{run}")
     elif wanted.isEmpty():
         return spark.createDataFrame([], COUNTS)
     # the last entry of a key counts
     entries = have().withColumn("at", F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2))
     last = entries.groupBy("key").agg(F.max_by(F.struct("sample", "folder", "rows"), "at").alias("x")).select("key", "x.*")
-    chosen = wanted.join(last.drop("sample"), "key").where("rows > 0").select("sample", "folder")
+    chosen = keep(wanted.join(last.drop("sample"), "key").where("rows > 0").select("sample", "folder"))
     counts = spark.read.schema(COUNTS).parquet(f"{path.rstrip('/')}/counts/*").withColumn("folder", F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2))
     return counts.join(chosen, ["sample", "folder"], "left_semi").select(*[k.split(" ")[0] for k in COUNTS.split(", ")])
 

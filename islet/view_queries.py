@@ -358,10 +358,10 @@ def counts_by_header(spark, d):
 def cached_counts(spark, d):
     """Counts made in two goes, of which the second makes only what is new, and read from their store."""
     table = _placed(_counts(spark, d)).withColumn("sample", F.col("sample").cast("string"))
-    path, make = tables.scratch(spark), lambda samples: table.where(F.col("sample").isin(samples))
+    path, make = tables.scratch(spark), lambda samples: table.join(samples, "sample", "left_semi")
     every = _t(spark, d, "supplier").select(F.col("s_suppkey").cast("string").alias("sample"), F.lit("a").alias("mark"))
-    tables.stored_counts(every.where("sample % 2 = 0"), path, {"cutoff": 0.5}, make)
-    return tables.stored_counts(every, path, {"cutoff": 0.5}, make)
+    tables.stored_counts(every.where("sample % 2 = 0"), path, {"cutoff": 0.5}, make, as_table=True)
+    return tables.stored_counts(every, path, {"cutoff": 0.5}, make, as_table=True)
 
 
 def stored_counts(spark, d):
@@ -369,13 +369,13 @@ def stored_counts(spark, d):
     table = _placed(_counts(spark, d)).withColumn("sample", F.col("sample").cast("string"))
     path, names = tables.scratch(spark), [k.split(" ")[0] for k in tables.COUNTS.split(", ")]
     # the n-th go counts n reads more, so that rows tell which made them
-    make = lambda n: lambda samples: table.where(F.col("sample").isin(samples)).withColumn("n_reads", F.col("n_reads") + n).select(names)
+    make = lambda n: lambda samples: table.join(samples, "sample", "left_semi").withColumn("n_reads", F.col("n_reads") + n).select(names)
     every = _t(spark, d, "supplier").select(F.col("s_suppkey").cast("string").alias("sample"))
     first, empty = every.where("sample % 2 = 0").withColumn("mark", F.lit("a")), spark.createDataFrame([("none", "a")], "sample string, mark string")
-    tables.stored_counts(first.union(empty), path, {"cutoff": 0.5}, make(0))
-    tables.stored_counts(every.withColumn("mark", F.lit("a")).union(empty), path, {"cutoff": 0.5}, make(1))
+    tables.stored_counts(first.union(empty), path, {"cutoff": 0.5}, make(0), as_table=True)
+    tables.stored_counts(every.withColumn("mark", F.lit("a")).union(empty), path, {"cutoff": 0.5}, make(1), as_table=True)
     last = every.withColumn("mark", F.when(F.col("sample") == "3", "b").otherwise("a"))
-    return tables.stored_counts(last.union(empty), path, {"cutoff": 0.5}, make(2))
+    return tables.stored_counts(last.union(empty), path, {"cutoff": 0.5}, make(2), as_table=True)
 
 
 def scored_files(spark, d):

@@ -223,3 +223,19 @@ def test_batches_made_once(spark, tmp_path):
     states = CohortStates(spark, str(tmp_path / "c"))
     assert [states.add(df, 0), states.add(df, 1)] == [0, 10] and seen.value == 20
     assert [r.cohort_n_samples for r in states.stats().collect()] == [5, 5]
+
+
+def test_store_of_a_table(spark, tmp_path):
+    """With ``as_table`` the samples to make are a table, and inputs are evaluated once."""
+    from islet.sources import tables
+
+    made, names = [], [k.split(" ")[0] for k in tables.COUNTS.split(", ")]
+    every = spark.createDataFrame([(f"s{i}", "i", None, "chr1", 1, 2, 3, "all", 7, 2, 1, 1, 0.5) for i in range(6)], tables.COUNTS)
+
+    def make(samples):
+        made.append(samples.columns)
+        return every.join(samples, "sample", "left_semi").select(names)
+
+    get = lambda n: {r.sample for r in tables.stored_counts(spark.createDataFrame([(f"s{i}", "a") for i in range(n)], "sample string, mark string"), str(tmp_path / "s"), {}, make, as_table=True).collect()}
+    assert get(3) == {"s0", "s1", "s2"} and get(7) == {f"s{i}" for i in range(6)} and get(7) == {f"s{i}" for i in range(6)}
+    assert made == [["sample"]] * 2
