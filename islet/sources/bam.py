@@ -18,6 +18,7 @@ from bisect import bisect_right
 from collections.abc import Iterable, Iterator, Sequence
 from typing import BinaryIO, NamedTuple
 
+import pyarrow as pa
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, InputPartition, LessThan, LessThanOrEqual
 
 from islet.sources.tables import READ_CALLS
@@ -25,6 +26,9 @@ from islet.sources.tables import READ_CALLS
 _BASES = "=ACMGRSVTWYHKDBN"
 CONTIGS = "sample string, contig string, mapped long"
 SPLIT = 16 << 20  # compressed bytes of a partition of an indexed file
+BATCH = 1 << 16  # calls, and reads without any, of a batch of rows: one read at least
+_CALLS = pa.list_(pa.struct([("rpos", pa.int64()), ("prob", pa.int32())]))
+_ROW = pa.schema([(c, {"string": pa.string(), "long": pa.int64(), "int": pa.int32(), "boolean": pa.bool_()}[t]) for c, t in (x.split(" ") for x in READ_CALLS.split(", calls ")[0].split(", "))] + [("calls", _CALLS)])
 #: Fixed values of the index format: the bin that holds counts instead of places, the bits of a window, and by level the first bin and the bits of its span.
 _COUNTS_BIN, _WINDOW, _LEVELS = 37450, 14, ((0, 29), (1, 26), (9, 23), (73, 20), (585, 17), (4681, 14))
 _FAR = 1 << 29  # the end of what the index can tell
@@ -278,6 +282,24 @@ def records(path: str, chunks: Sequence[tuple[int, int | None]] | None = None) -
     f.close()
 
 
+def batches(rows: Iterable[tuple]) -> Iterator[pa.RecordBatch]:
+    """Rows as Arrow batches of some BATCH calls, so that a task holds no more of them, however long the reads are."""
+    held, n = [], 0
+
+    def made() -> pa.RecordBatch:
+        columns = list(zip(*held))
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _ROW)], schema=_ROW)
+
+    for row in rows:
+        held.append(row)
+        n += 1 + len(row[-1])
+        if n >= BATCH:
+            yield made()
+            held, n = [], 0
+    if held:
+        yield made()
+
+
 class Regions:
     """Spans by contig, merged and in order, so that a read is looked up in a few steps."""
 
@@ -392,9 +414,8 @@ class BamReader(DataSourceReader):
             for name, contig in zip(contig_names(Blocks(partition.path)), read_index(index)):
                 yield sample, name, contig.mapped
             return
-        for row in records(partition.path, partition.chunks):
-            if self.regions is None or self.regions.meet(row[1], row[2], max(row[3], row[2] + 1)):
-                yield (sample, *row)
+        rows = records(partition.path, partition.chunks)
+        yield from batches((sample, *row) for row in rows if self.regions is None or self.regions.meet(row[1], row[2], max(row[3], row[2] + 1)))
 
 
 class PushedReader(BamReader):

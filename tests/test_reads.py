@@ -648,3 +648,15 @@ def test_stream(spark, tmp_path):
         q.awaitTermination(120)
         assert spark.read.parquet(str(tmp_path / "out")).count() == more
         (tmp_path / "in/b.tsv").write_text(f"{header}\n{row.replace('s', 'z', 1)}\n")
+
+
+def test_read_batches_are_bounded(spark, tmp_path, monkeypatch):
+    """Long reads leave the reader in batches of a bounded number of calls, and all of them come."""
+    rows = [("s", f"r{i}", 0, "chr1", i, "600M", "CG" * 300, "C+m" + ",0" * 300 + ";", [200] * 300, None) for i in range(50)]
+    write_reads(spark.createDataFrame(rows, ALIGNED), str(tmp_path), [("chr1", 1 << 20)])
+    monkeypatch.setattr(bam, "BATCH", 1000)
+    reader = bam.BamReader({"path": str(tmp_path / "*.bam")})
+    got = [b for p in reader.partitions() for b in reader.read(p)]
+    assert all(sum(len(c) for c in b.column("calls").to_pylist()) <= 1200 for b in got)
+    told = [r for b in got for r in b.to_pylist()]
+    assert [r["read_id"] for r in told] == [f"r{i}" for i in range(50)] and all(len(r["calls"]) == 300 and r["calls"][0] == {"rpos": r["ref_start"], "prob": 200} and r["hp"] is None for r in told)
